@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
+from .mixing import op9_mixing
 from .quality_rules import op3_quality_rules
+from .secrets import op6_secret_scans
+from .token_output import op1_token_output
+from .warc import ORACLE as WARC_SQL
+from .warc import op8_warc
 
 QUERIES = {
+    "op1_token_output": op1_token_output,
     "op3_quality_rules": op3_quality_rules,
+    "op6_secret_scans": op6_secret_scans,
+    "op8_warc": op8_warc,
+    "op9_mixing": op9_mixing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op8_warc": WARC_SQL,
+}

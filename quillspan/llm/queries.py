@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .mixing import op9_mixing
+from .pieces import op10_sentencepiece
 from .quality_rules import op3_quality_rules
 from .secrets import op6_secret_scans
 from .token_output import op1_token_output
@@ -15,6 +16,7 @@ QUERIES = {
     "op6_secret_scans": op6_secret_scans,
     "op8_warc": op8_warc,
     "op9_mixing": op9_mixing,
+    "op10_sentencepiece": op10_sentencepiece,
 }
 
 ORACLES: dict[str, str] = {

@@ -9,6 +9,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,6 +51,11 @@ def discard(*tables) -> None:
             p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def broadcast_if_small(df: DataFrame, rows: int = 500_000) -> DataFrame:
+    """A settled table, with a broadcast hint if it has ``rows`` rows of a few numbers or digests at most; else it is shuffled."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -104,7 +110,7 @@ def append_columns(df: DataFrame, column: str, make, fields: list[tuple[str, str
     return df.select(*[F.col(f"`{c}`") for c in need]).mapInArrow(run, schema)
 
 
-def small_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def small_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Slice Arrow batches so that ``column`` holds about ``limit`` bytes at most (one row at least)."""
     import numpy as np
 
@@ -112,7 +118,7 @@ def small_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4
         if b.num_rows == 0:
             continue
         a = b.column(column)
-        lens = np.asarray(pa.compute.fill_null(pa.compute.binary_length(a), 0), dtype=np.int64)
+        lens = np.asarray(pc.fill_null(pc.binary_length(a), 0), dtype=np.int64)
         ends = np.cumsum(lens)
         at = 0
         while at < len(lens):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .media import op5_media
 from .mixing import op9_mixing
 from .pieces import op10_sentencepiece
 from .quality_rules import op3_quality_rules
@@ -13,6 +14,7 @@ from .warc import op8_warc
 QUERIES = {
     "op1_token_output": op1_token_output,
     "op3_quality_rules": op3_quality_rules,
+    "op5_media": op5_media,
     "op6_secret_scans": op6_secret_scans,
     "op8_warc": op8_warc,
     "op9_mixing": op9_mixing,

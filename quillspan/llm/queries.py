@@ -6,6 +6,7 @@ from .media import op5_media
 from .mixing import op9_mixing
 from .pieces import op10_sentencepiece
 from .quality_rules import op3_quality_rules
+from .rule_ensemble import op4_quality_classifier
 from .secrets import op6_secret_scans
 from .token_output import op1_token_output
 from .warc import ORACLE as WARC_SQL
@@ -14,6 +15,7 @@ from .warc import op8_warc
 QUERIES = {
     "op1_token_output": op1_token_output,
     "op3_quality_rules": op3_quality_rules,
+    "op4_quality_classifier": op4_quality_classifier,
     "op5_media": op5_media,
     "op6_secret_scans": op6_secret_scans,
     "op8_warc": op8_warc,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .media import op5_media
 from .mixing import op9_mixing
+from .ngram_join import op2_ngram_join
 from .pieces import op10_sentencepiece
 from .quality_rules import op3_quality_rules
 from .rule_ensemble import op4_quality_classifier
@@ -14,6 +15,7 @@ from .warc import op8_warc
 
 QUERIES = {
     "op1_token_output": op1_token_output,
+    "op2_ngram_join": op2_ngram_join,
     "op3_quality_rules": op3_quality_rules,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_media": op5_media,

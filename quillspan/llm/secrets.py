@@ -124,33 +124,37 @@ def candidates(docs: DataFrame, text: str, owner: str, repository: str, keep: li
 
 def ownership(found: DataFrame) -> DataFrame:
     """(hash, n_owners, n_repos, n_rows) of every candidate."""
-    each = found.filter(F.size("sec_spans") > 0).select("sec_owner", "sec_repo", F.explode("sec_spans.hash").alias("hash"))
+    each = found.select("sec_owner", "sec_repo", F.explode("sec_spans.hash").alias("hash"))
     by = each.groupBy("hash", "sec_owner", "sec_repo").agg(F.count(F.lit(1)).alias("n"))
     by = by.groupBy("hash", "sec_owner").agg(F.count(F.lit(1)).alias("r"), F.sum("n").alias("n"))
     return by.groupBy("hash").agg(F.count(F.lit(1)).alias("n_owners"), F.sum("r").alias("n_repos"), F.sum("n").alias("n_rows"))
 
 
-def judged(found: DataFrame, example_owners: int = 3) -> DataFrame:
-    """One row (sec_row, sec_judged) for each text with a candidate: its spans with their verdict ``live``.
+_JUDGED = "array<struct<start:bigint,kind:int,end:bigint,hash:bigint,live:boolean>>"
 
-    ``found`` must carry the row number ``sec_row``; it and the hash are what is shuffled.
+
+def judged(found: DataFrame, keep: list[str], example_owners: int = 3) -> DataFrame:
+    """``keep`` and ``sec_judged``, the spans with their verdict ``live``, of each row of ``found``.
+
+    ``found`` holds rows with a candidate and a row number ``sec_row``. Spans meet their candidate's
+    counts by hash, and then the other spans of their row.
     """
-    spans = found.filter(F.size("sec_spans") > 0).select("sec_row", F.explode("sec_spans").alias("s"))
-    spans = spans.select("sec_row", "s.*").join(ownership(found), "hash")
+    spans = found.select("sec_row", *[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)], F.explode("sec_spans").alias("s"))
+    spans = spans.select("sec_row", *[f"k{i}" for i in range(len(keep))], "s.*").join(ownership(found), "hash")
     one = F.struct("start", "kind", "end", "hash", (F.col("n_owners") < example_owners).alias("live"))
-    return spans.groupBy("sec_row").agg(F.array_sort(F.collect_list(one)).alias("sec_judged"))  # a text's own spans only
+    rows = spans.groupBy("sec_row").agg(*[F.first(f"k{i}").alias(c) for i, c in enumerate(keep)], F.array_sort(F.collect_list(one)).alias("sec_judged"))  # a text's own spans only
+    return rows.drop("sec_row")
 
 
 def scan_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", owner: str = "source", repository: str = "lang", example_owners: int = 3) -> DataFrame:
     """Counts, digests and spans of every document, with the number of spans that look live."""
     found = settle(candidates(docs, text, owner, repository, [doc_id]).withColumn("sec_row", F.monotonically_increasing_id()), "secrets")
-    out = found.join(judged(found, example_owners), "sec_row", "left")
-    spans = F.coalesce("sec_judged", F.array().cast("array<struct<start:bigint,kind:int,end:bigint,hash:bigint,live:boolean>>"))
-    out = out.withColumn("j", spans)
-    base = F.filter("j", lambda s: s["kind"] < 3)
-    kept = F.filter("j", lambda s: (s["kind"] < 3) | s["live"])
-    count = lambda k: F.size(F.filter("j", lambda s: s["kind"] == k)).cast("bigint")
-    return out.select(
+    some = judged(found.filter(F.size("sec_spans") > 0), [doc_id], example_owners)
+    none = found.filter(F.size("sec_spans") == 0).select(F.col(f"`{doc_id}`"), F.array().cast(_JUDGED).alias("sec_judged"))
+    base = F.filter("sec_judged", lambda s: s["kind"] < 3)
+    kept = F.filter("sec_judged", lambda s: (s["kind"] < 3) | s["live"])
+    count = lambda k: F.size(F.filter("sec_judged", lambda s: s["kind"] == k)).cast("bigint")
+    return some.unionByName(none).select(
         F.col(f"`{doc_id}`"), count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
         F.sha2(_text_of(base).cast("binary"), 256).alias("base_sha256"), _text_of(kept).alias("spans"),
         F.size(F.filter(kept, lambda s: s["live"])).cast("bigint").alias("n_live"),
@@ -171,8 +175,8 @@ def stage_secret_scans(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = candidates(docs, "text", "source", "lang", docs.columns)
     clean = rows.filter(F.size("sec_spans") == 0).select(*docs.columns)
     found = settle(rows.filter(F.size("sec_spans") > 0).withColumn("sec_row", F.monotonically_increasing_id()), "secrets")
-    live = judged(found).select("sec_row", F.filter("sec_judged", lambda s: s["live"]).alias("live"))
-    masked = found.join(live, "sec_row").withColumn("text", _masked(F.col("text"), F.col("live")))
+    some = judged(found.withColumn("sec_id", F.col("sec_row")), ["sec_id"]).select("sec_id", F.filter("sec_judged", lambda s: s["live"]).alias("sec_live"))
+    masked = found.join(some, F.col("sec_row") == F.col("sec_id")).withColumn("text", _masked(F.col("text"), F.col("sec_live")))
     return clean.unionByName(masked.select(*docs.columns))
 
 

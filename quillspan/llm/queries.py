@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .hpylm import op7_hpylm
 from .media import op5_media
 from .mixing import op9_mixing
 from .ngram_join import op2_ngram_join
@@ -20,11 +21,13 @@ QUERIES = {
     "op4_quality_classifier": op4_quality_classifier,
     "op5_media": op5_media,
     "op6_secret_scans": op6_secret_scans,
+    "op7_hpylm": op7_hpylm,
     "op8_warc": op8_warc,
     "op9_mixing": op9_mixing,
     "op10_sentencepiece": op10_sentencepiece,
 }
 
 ORACLES: dict[str, str] = {
+    "op7_hpylm": op7_hpylm,
     "op8_warc": WARC_SQL,
 }

@@ -5,11 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quillspan.llm import common
+from quillspan.llm.mixing import stage_mixing
+from quillspan.llm.ngram_join import stage_ngram_join
+from quillspan.llm.pieces import stage_sentencepiece
 from quillspan.llm.quality_rules import stage_quality_rules
+from quillspan.llm.secrets import stage_secret_scans
 
 #: (name, function of (spark, docs, sf_dir)); each works on all that the one before kept.
 STAGES = [
     ("quality_rules", stage_quality_rules),
+    ("ngram_join", stage_ngram_join),
+    ("secret_scans", stage_secret_scans),
+    ("mixing", stage_mixing),
+    ("sentencepiece", stage_sentencepiece),
 ]
 
 #: The robust estimates, the joins' classes and the sampler's keys are beyond SQL; tests hold the stages against brute force.

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textkernel as tk
-from .common import discard, n_buckets, settle, small_batches
+from .common import broadcast_if_small, discard, n_buckets, settle, small_batches
 from .components import components
 
 WIDTH, NUM, DEN = 5, 80, 100
@@ -265,8 +265,18 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component: the one with the least id (of repeated rows, any one; null ids stay)."""
-    found = join(docs)
-    keep = settle(found.filter("doc_id = component_id").select("doc_id").distinct().withColumnRenamed("doc_id", "keep_id"), "join-keep")
-    kept = docs.join(keep, F.col("doc_id") == F.col("keep_id"), "left_semi")
-    return kept.unionByName(docs.filter("doc_id is null")).select(*docs.columns)
+    """One document of each component: the one with the least id, one row of it.
+
+    Ids are taken to name one text each. Rows without an id cannot be told apart by it and stay.
+    Only the ids that go are joined, so texts are not shuffled while those are half a million at most.
+    """
+    found = settle(join(docs), "join-result").filter("doc_id is not null")
+    gone = settle(found.filter("doc_id != component_id").select(F.col("doc_id").alias("gone_id")).distinct(), "join-gone")
+    kept = docs.join(broadcast_if_small(gone), F.col("doc_id") == F.col("gone_id"), "left_anti")
+    again = found.filter("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.max("n_shingles").alias("n"))
+    again = settle(again.filter("rows > 1 and n > 0").select(F.col("doc_id").alias("again_id")), "join-again")
+    if again.limit(1).count() == 0:
+        return kept.select(*docs.columns)
+    rest = kept.join(again, F.col("doc_id") == F.col("again_id"), "left_anti")
+    one = kept.join(again, F.col("doc_id") == F.col("again_id"), "left_semi").dropDuplicates(["doc_id"])
+    return rest.unionByName(one).select(*docs.columns)

@@ -315,7 +315,7 @@ def encode_column(m: Pieces, col) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts, count of each)."""
     if m.key not in _cached:
         _cached.clear()
-        _cached[m.key] = CachedEncoder(lambda d, s, e: viterbi(m, d, s, e))
+        _cached[m.key] = CachedEncoder(lambda d, s, e: (*viterbi(m, d, s, e), np.arange(len(s))))
     data, off = normalise(m, *tk.flat(col))
     starts, ends = tile(off, cuts(data))
     ids, counts = _cached[m.key](data, starts, ends)

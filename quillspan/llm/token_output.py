@@ -8,7 +8,7 @@ A segment holds consecutive documents:
     u64 words: the top 4 bits select how many ids of how many bits the other 60 hold
     u64 position, u64 value of each escape: an id of over 60 bits, 0 among the words
 
-Blocks of 256 ids are packed on their own, so all of a segment's blocks are coded in lockstep and
+Blocks of 1024 ids are packed on their own, so all of a segment's blocks are coded in lockstep and
 decoded selector by selector, without a loop over ids. Documents are range-partitioned by id and
 sorted; a file holds one partition's segments; only rows of tasks that succeeded name files.
 
@@ -36,14 +36,25 @@ from . import textkernel as tk
 from .common import fetch, filesystem, fresh, n_buckets, settle, small_batches
 from .units import CachedEncoder, tile
 
-BLOCK = 256
+BLOCK = 1024
 #: Fixed values of the format: ids per word and bits per id, by selector.
 COUNTS = np.array([240, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 BITS = np.array([0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 SEGMENT_IDS = 2_000_000
+_POWERS = np.uint64(1) << np.arange(60, dtype=np.uint64)
+_SHORT = np.searchsorted(_POWERS, np.arange(1 << 16, dtype=np.uint64), "right").astype(np.uint8)
 _HEAD = struct.Struct("<4sIQQQQQ")
 
 
+def _widths(ids: np.ndarray) -> np.ndarray:
+    """Bits of each id."""
+    out = _SHORT[(ids & np.uint64(0xFFFF)).astype(np.int64)]
+    large = np.flatnonzero(ids >> np.uint64(16))
+    if len(large):
+        out[large] = np.searchsorted(_POWERS, ids[large], "right")
+    return out
+
+
 def pack(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(words, offset of each block's first word, escape positions) of unsigned 64-bit ids."""
     n = len(ids)
@@ -55,8 +66,7 @@ def pack(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray, n
     flat[escapes] = 0
     wide[:, :block] = flat.reshape(nb, block)
     width = np.zeros((nb, block + 240), np.uint8)
-    for bits in np.unique(BITS):  # the least of the format's widths that holds the id
-        width[wide >= np.uint64(1 << int(bits))] = bits + 1
+    width[:, :block] = _widths(flat).reshape(nb, block)
     spans = {1: width}
     k = 1
     while k < 128:
@@ -166,8 +176,10 @@ def cuts(data: np.ndarray) -> np.ndarray:
     left[1:] |= (data[1:] >= 0x80) & (data[:-1] == 0xC3)
     lone = np.zeros(n, bool)
     lone[1:-1] = left[:-2] & right[2:]
-    feed = np.flatnonzero(lone & (data == 0x0A))
-    return np.union1d(np.flatnonzero(lone & ((data == 0x20) | (data == 0x0A))), feed + 1)
+    feed = lone & (data == 0x0A)
+    cut = feed | lone & (data == 0x20)
+    cut[1:] |= feed[:-1]
+    return np.flatnonzero(cut)
 
 
 _cached: dict[str, CachedEncoder] = {}
@@ -187,25 +199,23 @@ def encoder(path: str) -> CachedEncoder:
             spans = [raw[s:e] for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
             space = np.concatenate([[0], np.cumsum(_SPACE[data] | (data >= 0x80) & ~_latin(data))])
             plain = (space[ends] - space[np.minimum(starts + 1, ends)] == 0) & (_SOLID[data[starts]] | (data[starts] == 0x20) | (data[starts] == 0xC3)) & ((ends - starts > 1) | (data[starts] != 0x20))
-            out: list = [None] * len(spans)
-            alone = np.flatnonzero(~plain).tolist()
-            for i, e in zip(alone, tokenizer.encode_batch_fast([spans[i].decode() for i in alone], add_special_tokens=False), strict=True):
-                out[i] = e.ids
-            many = np.flatnonzero(plain).tolist()
-            for k in range(0, len(many), 2000):  # a line feed between units is a token of its own
-                part = many[k : k + 2000]
-                ids = np.array(tokenizer.encode_batch_fast([b"\n".join(spans[i] for i in part).decode()], add_special_tokens=False)[0].ids, np.int32)
-                ends_at = np.append(np.flatnonzero(ids == feed), len(ids))
+            alone, many = np.flatnonzero(~plain), np.flatnonzero(plain)
+            ids, counts = [], []
+            for k in range(0, len(many), 400):  # a line feed between units is a token of its own
+                part = many[k : k + 400]
+                got = np.array(tokenizer.encode_batch_fast([b"\n".join([spans[i] for i in part.tolist()]).decode()], add_special_tokens=False)[0].ids, np.int32)
+                feeds = got == feed
+                ends_at = np.append(np.flatnonzero(feeds), len(got))
                 if len(ends_at) != len(part):  # not as foreseen: one by one
-                    for i in part:
-                        out[i] = tokenizer.encode(spans[i].decode(), add_special_tokens=False).ids
+                    alone = np.concatenate([alone, part])
+                    many = np.concatenate([many[:k], np.full(len(part), -1), many[k + 400 :]])
                     continue
-                at = 0
-                for i, e in zip(part, ends_at.tolist(), strict=True):
-                    out[i] = ids[at:e]
-                    at = e + 1
-            counts = np.array([len(x) for x in out], np.int64)
-            return np.concatenate([np.asarray(x, np.int32) for x in out]), counts
+                ids.append(got[~feeds])
+                counts.append(np.diff(ends_at, prepend=-1) - 1)
+            for e in tokenizer.encode_batch_fast([spans[i].decode() for i in alone.tolist()], add_special_tokens=False):
+                ids.append(np.array(e.ids, np.int32))
+                counts.append([len(e.ids)])
+            return np.concatenate(ids), np.concatenate(counts).astype(np.int64), np.concatenate([many[many >= 0], alone])
 
         _cached[path] = CachedEncoder(encode)
     return _cached[path]
@@ -256,7 +266,7 @@ def write_ids(docs: DataFrame, uri: str, tokenizer: str, doc_id: str = "doc_id",
             return row
 
         size = 0
-        for b in small_batches(batches, "text"):
+        for b in small_batches(batches, "text", 4 << 20):
             part = b.column("part")[0].as_py()
             ids, per = encode_column(b.column("text"), tokenizer, end)
             held[0] += b.column("doc_id").to_pylist()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import repeat
+
 import numpy as np
 
 from . import textkernel as tk
@@ -9,14 +11,17 @@ from . import textkernel as tk
 
 def tile(off: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Units that cover each text whole: they start at text starts and at ``cuts`` (ascending positions)."""
-    begin = off[:-1][np.diff(off) > 0]
-    starts = np.union1d(begin, cuts)
+    mark = np.zeros(int(off[-1]) + 1, bool)
+    mark[off[:-1]] = True
+    mark[cuts] = True
+    starts = np.flatnonzero(mark[:-1])
     return starts, np.append(starts[1:], off[-1]) if len(starts) else starts
 
 
 class CachedEncoder:
     """Ids of units by way of their hashes. ``encode(data, starts, ends)`` returns (ids, count of each unit).
 
+    ``encode`` gives (ids, counts, order): the ids of its units in an order of its own choice.
     The cache holds ``limit`` units or those of one call; beyond that it starts anew.
     """
 
@@ -49,10 +54,11 @@ class CachedEncoder:
         if len(self.slots) >= self.limit:
             self._clear()
         u, idx, inv = np.unique(tk.span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        get = self.slots.get
-        slot = np.fromiter((get(x, -1) for x in u.tolist()), np.int64, len(u))
+        slot = np.array(list(map(self.slots.get, u.tolist(), repeat(-1))), np.int64)
         miss = np.flatnonzero(slot < 0)
         if len(miss):
-            slot[miss] = self._add(u[miss], *self.encode(data, starts[idx[miss]], ends[idx[miss]]))
+            ids, n, order = self.encode(data, starts[idx[miss]], ends[idx[miss]])
+            miss = miss[order]
+            slot[miss] = self._add(u[miss], ids, n)
         counts = self.n[slot].astype(np.int64)[inv]
         return self.ids[tk.rows_of(self.at[slot][inv], counts)], counts

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textkernel as tk
-from .common import n_buckets, small_batches
+from .common import buckets_for, small_batches
 from .ngram_join import even_keys
 
 CONTEXTS = 4096
@@ -118,15 +118,15 @@ def _postings(rows: DataFrame, keys: list[int], k: int) -> DataFrame:
 
         size = 0
         for b in small_batches(batches, "text"):
+            if ids and (size >= BLOCK_TOKENS or len(ids) + b.num_rows > BLOCK_DOCS):
+                yield flush()
+                size = 0
             h, at = tokens(b.column("text"))
             held[0].append(h)
             held[1].append(contexts(h, at, k))
             held[2].append(np.diff(at))
             ids += b.column("doc_id").to_pylist()
             size += len(h)
-            if size >= BLOCK_TOKENS or len(ids) + b.num_rows > BLOCK_DOCS:
-                yield flush()
-                size = 0
         if ids:
             yield flush()
 
@@ -297,8 +297,8 @@ def _added(spark: SparkSession, rdd, schema: str = "ctx int, x bigint, y bigint"
 def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = CONTEXTS) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity) of every row."""
     spark = docs.sparkSession
-    n = n_buckets(spark)
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    n = buckets_for(rows, "text")
     posted = _postings(rows, even_keys(spark, n), k).repartition(n, "bucket").rdd  # one shuffle, read by every sweep
     got = _added(spark, posted.mapPartitionsWithIndex(lambda i, it: _first_totals(i, it, k)))
     array = lambda j: np.array([got.get(i, (0, 0))[j] for i in range(k)], np.float64)

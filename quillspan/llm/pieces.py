@@ -152,7 +152,7 @@ def double_array(words: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.nd
         else:
             at = max(one, lows, int(codes[0]))
             while True:
-                if at + 8192 + 257 >= len(free):
+                while at + 8192 + 257 >= len(free):
                     more = len(free)
                     free = np.concatenate([free, np.ones(more, bool)])
                     base, check, leaf = (np.concatenate([x, np.full(more, v, np.int32)]) for x, v in ((base, 0), (check, -1), (leaf, -1)))
@@ -186,7 +186,7 @@ def viterbi(m: Pieces, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -
     at = 0
     while at < len(order):  # units of like length, in matrices of a bounded size
         top = max(int(lengths[order[at]]) * 3 // 2, 16)
-        to = min(int(np.searchsorted(lengths[order], top, "right")), at + max(1, 4_000_000 // top))
+        to = min(int(np.searchsorted(lengths[order], top, "right")), at + max(1, 1_000_000 // top))
         which = order[at : max(to, at + 1)]
         for i, ids in zip(which.tolist(), _lockstep(m, data, starts[which], lengths[which]), strict=True):
             out[i] = ids

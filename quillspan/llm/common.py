@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
 import shutil
 import tempfile
 import uuid
@@ -65,6 +67,15 @@ def n_buckets(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def buckets_for(docs: DataFrame, text: str, each: int = 16 << 20) -> int:
+    """Buckets of packed postings for these texts: one for every ``each`` bytes, the shuffle partitions at least.
+
+    So a reducer's memory does not depend on how a session is configured.
+    """
+    size = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0
+    return max(n_buckets(docs.sparkSession), -(-size // each))
+
+
 def filesystem(uri: str):
     """(pyarrow filesystem, path) of a URI or a plain path; file, hdfs, s3 and gs schemes alike."""
     return pafs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (pafs.LocalFileSystem(), uri)
@@ -110,8 +121,15 @@ def append_columns(df: DataFrame, column: str, make, fields: list[tuple[str, str
     return df.select(*[F.col(f"`{c}`") for c in need]).mapInArrow(run, schema)
 
 
-def small_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
-    """Slice Arrow batches so that ``column`` holds about ``limit`` bytes at most (one row at least)."""
+def trim() -> None:
+    """Give freed memory back to the system: a Python worker lives on after its task."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def small_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20, rows: int = 20_000) -> Iterator[pa.RecordBatch]:
+    """Slice Arrow batches so that ``column`` holds about ``limit`` bytes at most (one row at least), and to ``rows`` rows."""
     import numpy as np
 
     for b in batches:
@@ -123,6 +141,7 @@ def small_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2
         at = 0
         while at < len(lens):
             base = ends[at - 1] if at else 0
-            to = max(at + 1, int(np.searchsorted(ends, base + limit, "right")))
+            to = min(max(at + 1, int(np.searchsorted(ends, base + limit, "right"))), at + rows)
             yield b.slice(at, to - at)
             at = to
+    trim()

@@ -11,8 +11,8 @@ digest. A payload's recipe is its ordered list of chunk digests and lengths, and
 form. Equal payloads are stored once. Reading back joins the shared chunks by digest, puts a
 payload's chunks in order, verifies each chunk against its digest and hashes the whole.
 
-Tables of repeated digests are broadcast up to half a million rows and shuffled beyond; a payload
-whose chunks a shuffle has scattered is stored in parts, which reading back puts together.
+Tables of repeated payloads and of payloads with shared chunks are broadcast up to half a million
+rows and shuffled beyond.
 
 Defined cases: null text is the empty payload of 576 bytes 255; repeated rows and equal texts share
 a stored payload and get equal values; empty tables give empty results.
@@ -26,7 +26,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import broadcast_if_small, settle, small_batches
@@ -94,93 +94,62 @@ def features(raw: bytes, chunks: int) -> str:
     return f"chunks={chunks};mean={float(np.arange(256) @ counts) / len(raw):.4f};entropy={float(-(p * np.log2(p)).sum()):.4f}"
 
 
-def _listed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(doc_id, n_bytes, key) of every row: the key is the payload's digest."""
+def payload_key(text: Column) -> Column:
+    """SHA-256 of a text's payload, without Python."""
+    raw = F.encode(F.coalesce(text, F.lit("")), "utf-8")
+    n = F.octet_length(raw)
+    pad = F.when(n == 0, F.lit(UNIT)).otherwise(F.pmod(-n, F.lit(UNIT)))
+    return F.unhex(F.sha2(F.concat(raw, F.unhex(F.repeat(F.lit("FF"), pad))), 256))
 
-    def run(batches):
-        for b in small_batches(batches, "text"):
-            raw = [payload(t) for t in b.column("text").to_pylist()]
-            sizes = [len(t.encode()) if t else 0 for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(sizes, pa.int64()), pa.array([hashlib.sha256(x).digest() for x in raw])], names=["doc_id", "n_bytes", "key"])
 
-    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    return rows.mapInArrow(run, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, n_bytes bigint, key binary")
+def _digests(batches):
+    """(key, digests) of each text's payload."""
+    for b in batches:
+        for part in small_batches([b], "text", 1 << 20):
+            yield pa.RecordBatch.from_arrays([part.column("key"), pa.array([cut(t)[2] for t in part.column("text").to_pylist()], pa.list_(pa.binary()))], names=["key", "digests"])
 
 
-def _chunk_rows(docs: DataFrame, text: str, with_bytes: bool) -> DataFrame:
-    """A row for each chunk of each row's payload: its key, the chunk's place, digest, and length or (deflated) bytes."""
+_STORED = "key binary, digests array<binary>, lengths array<int>, foreign array<boolean>, body binary"
 
-    def run(batches):
-        for b in small_batches(batches, "text"):
-            key, place, digest, body = [], [], [], []
-            for t in b.column("text").to_pylist():
-                raw, chunks, digests = cut(t)
-                k = hashlib.sha256(raw).digest()
-                key += [k] * len(chunks)
-                place += range(len(chunks))
-                digest += digests
-                body += chunks if with_bytes else map(len, chunks)
-            yield pa.RecordBatch.from_arrays([pa.array(key, pa.binary()), pa.array(place, pa.int32()), pa.array(digest, pa.binary()), pa.array(body, pa.binary() if with_bytes else pa.int32())], names=["key", "place", "digest", "body"])
 
-    return docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(run, f"key binary, place int, digest binary, body {'binary' if with_bytes else 'int'}")
+def _pack(batches):
+    """A row per payload with its own chunks, and one (without key) per shared chunk that it owns."""
+    for b in small_batches(batches, "text", 1 << 20):
+        rows = []
+        for k, t, foreign, mine in zip(*(b.column(c).to_pylist() for c in ("key", "text", "foreign_places", "mine_places")), strict=True):
+            _, chunks, digests = cut(t)
+            away = set(foreign or [])
+            own = zlib.compress(b"".join(c for i, c in enumerate(chunks) if i not in away), 6)
+            rows.append((k, digests, [len(c) for c in chunks], [i in away for i in range(len(chunks))], own))
+            rows += [(None, [digests[i]], None, None, zlib.compress(chunks[i], 6)) for i in mine or []]
+        cols = list(zip(*rows, strict=True)) or [[]] * 5
+        types = (pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.list_(pa.bool_()), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["key", "digests", "lengths", "foreign", "body"])
 
 
 def store(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
     """Write the media: (rows with their payload's key, stored payloads, shared chunks), all settled.
 
     A stored payload has its recipe and its own chunks deflated together; a shared chunk has its
-    digest and deflated bytes.
+    digest and deflated bytes. Only digests meet: a payload's bytes go from its text to its row.
     """
-    listed = settle(_listed(docs, doc_id, text), "media-rows")
+    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).withColumn("key", payload_key(F.col("text")))
+    listed = settle(rows.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"), "key"), "media-rows")
     again = listed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first"))
     again = settle(again.filter("n > 1").select(F.col("key").alias("again_key"), "first"), "media-again")
-    once = broadcast_if_small(again)
-
-    def firsts() -> DataFrame:
-        """Texts of the first row of each payload (rows that repeat its id as well)."""
-
-        def run(batches):
-            for b in small_batches(batches, "text"):
-                keys = pa.array([hashlib.sha256(payload(t)).digest() for t in b.column("text").to_pylist()], pa.binary())
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text"), keys], names=["doc_id", "text", "key"])
-
-        rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-        keyed = rows.mapInArrow(run, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, text string, key binary")
-        return keyed.join(once, F.col("key") == F.col("again_key"), "left").filter("again_key is null or first <=> doc_id").select("text")
+    # the first row of each payload (and rows that repeat its id)
+    firsts = rows.join(broadcast_if_small(again), F.col("key") == F.col("again_key"), "left").filter("again_key is null or first <=> doc_id").select("key", "text")
 
+    recipes = settle(firsts.mapInArrow(_digests, "key binary, digests array<binary>"), "media-recipes")
+    each = recipes.select("key", F.posexplode("digests").alias("place", "digest"))
     place = F.struct("key", "place")
-    counts = _chunk_rows(firsts(), "text", False).groupBy("digest").agg(F.min(place).alias("owner"), F.max(place).alias("other"))
+    counts = each.groupBy("digest").agg(F.min(place).alias("owner"), F.max(place).alias("other"))
     shared = settle(counts.filter("owner != other").select(F.col("digest").alias("shared_digest"), "owner"), "media-shared")
-    rows = _chunk_rows(firsts(), "text", True).join(broadcast_if_small(shared), F.col("digest") == F.col("shared_digest"), "left")
-
-    def pack(batches):
-        """Payloads as they pass by: a join by broadcast keeps a payload's chunks together, a shuffled one does not, hence the parts."""
-        for b in batches:
-            keys, places, digests, bodies, mine, foreign = (b.column(c).to_pylist() for c in ("key", "place", "digest", "body", "mine", "foreign"))
-            out: dict = {}
-            for k, p, d, x, m, f in zip(keys, places, digests, bodies, mine, foreign, strict=True):
-                got = out.setdefault(k, [{}, [], [], [], []])
-                if p in got[0]:  # a repeated row
-                    continue
-                got[0][p] = True
-                got[1].append(d)
-                got[2].append(len(x))
-                got[3].append(f)
-                if not f:
-                    got[4].append(x)
-                elif m:
-                    out.setdefault((k, p), (d, zlib.compress(x, 6)))
-            parts = [(k, v) for k, v in out.items() if not isinstance(k, tuple)]
-            chunks = [v for k, v in out.items() if isinstance(k, tuple)]
-            cols = [
-                pa.array([k for k, _ in parts] + [None] * len(chunks), pa.binary()), pa.array([list(v[0]) for _, v in parts] + [None] * len(chunks), pa.list_(pa.int32())),
-                pa.array([v[1] for _, v in parts] + [[d] for d, _ in chunks], pa.list_(pa.binary())), pa.array([v[2] for _, v in parts] + [None] * len(chunks), pa.list_(pa.int32())),
-                pa.array([v[3] for _, v in parts] + [None] * len(chunks), pa.list_(pa.bool_())), pa.array([zlib.compress(b"".join(v[4]), 6) for _, v in parts] + [z for _, z in chunks], pa.binary()),
-            ]
-            yield pa.RecordBatch.from_arrays(cols, names=["key", "places", "digests", "lengths", "foreign", "body"])
-
-    flags = rows.select("key", "place", "digest", "body", F.col("owner").eqNullSafe(F.struct("key", "place")).alias("mine"), F.col("shared_digest").isNotNull().alias("foreign"))
-    stored = settle(flags.mapInArrow(pack, "key binary, places array<int>, digests array<binary>, lengths array<int>, foreign array<boolean>, body binary"), "media-store")
+    marks = each.join(broadcast_if_small(shared), F.col("digest") == F.col("shared_digest"))
+    marks = marks.groupBy("key").agg(F.collect_set("place").alias("foreign_places"), F.collect_set(F.when(F.col("owner") == place, F.col("place"))).alias("mine_places"))  # one payload's places
+    marks = settle(marks.withColumnRenamed("key", "mark_key"), "media-marks")
+    packed = firsts.join(broadcast_if_small(marks), F.col("key") == F.col("mark_key"), "left").select("key", "text", "foreign_places", "mine_places")
+    stored = settle(packed.mapInArrow(_pack, _STORED), "media-store")
     return listed, stored.filter("key is not null"), stored.filter("key is null").select(F.col("digests")[0].alias("digest"), "body")
 
 
@@ -190,8 +159,8 @@ _BACK = "key binary, payload_bytes bigint, payload_sha256 string, tail_crc32 big
 def read_back(stored: DataFrame, chunks: DataFrame) -> DataFrame:
     """Each stored payload put together and verified, with what is computed from it.
 
-    Payloads in one part and without shared chunks are read where they lie; the parts and shared
-    chunks of the others meet by key, one payload a group.
+    Payloads without shared chunks are read where they lie; the chunks of the others meet by key, one
+    payload a group.
     """
 
     def finish(key: bytes, places: list[int], digests: list[bytes], bodies: list[bytes]) -> tuple:
@@ -219,11 +188,11 @@ def read_back(stored: DataFrame, chunks: DataFrame) -> DataFrame:
 
     def whole(batches):
         for b in batches:
-            yield batch([finish(r["key"], r["places"], r["digests"], own(r["lengths"], r["foreign"], r["body"])) for r in b.to_pylist()])
+            yield batch([finish(r["key"], list(range(len(r["digests"]))), r["digests"], own(r["lengths"], r["foreign"], r["body"])) for r in b.to_pylist()])
 
     def parts(batches):
         for b in batches:
-            rows = [(r["key"], p, d, x) for r in b.to_pylist() for p, d, x in zip(r["places"], r["digests"], own(r["lengths"], r["foreign"], r["body"]), strict=True)]
+            rows = [(r["key"], p, d, x) for r in b.to_pylist() for p, (d, x) in enumerate(zip(r["digests"], own(r["lengths"], r["foreign"], r["body"]), strict=True))]
             cols = list(zip(*rows, strict=True)) or [[]] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.binary(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["key", "place", "digest", "own"])
 
@@ -235,15 +204,12 @@ def read_back(stored: DataFrame, chunks: DataFrame) -> DataFrame:
                 rows.append(finish(r["key"], list(got), [d for d, _ in got.values()], [c for _, c in got.values()]))
             yield batch(rows)
 
-    split = stored.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("key").alias("split_key"))
-    split = broadcast_if_small(settle(split, "media-split"))
-    marked = stored.join(split, F.col("key") == F.col("split_key"), "left")
-    marked = marked.withColumn("apart", F.exists("foreign", lambda f: f) | F.col("split_key").isNotNull())
-    straight = marked.filter("not apart").select("key", "places", "digests", "lengths", "foreign", "body").mapInArrow(whole, _BACK)
-    pieces = marked.filter("apart").select("key", "places", "digests", "lengths", "foreign", "body").mapInArrow(parts, "key binary, place int, digest binary, own binary")
+    apart = F.exists("foreign", lambda f: f)
+    straight = stored.filter(~apart).mapInArrow(whole, _BACK)
+    pieces = stored.filter(apart).mapInArrow(parts, "key binary, place int, digest binary, own binary")
     joined = pieces.join(chunks.withColumnRenamed("digest", "chunk_digest"), F.col("own").isNull() & (F.col("digest") == F.col("chunk_digest")), "left")
     grouped = joined.groupBy("key").agg(F.collect_list(F.struct("place", "digest", "own", "body")).alias("chunks"))  # one payload's chunks
-    return straight.unionByName(grouped.mapInArrow(gather, _BACK))
+    return straight.unionByName(grouped.mapInArrow(gather, _BACK)).dropDuplicates(["key"])
 
 
 def op5_media(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ class CachedEncoder:
     The cache holds ``limit`` units or those of one call; beyond that it starts anew.
     """
 
-    def __init__(self, encode, limit: int = 1_000_000):
+    def __init__(self, encode, limit: int = 600_000):
         self.encode, self.limit = encode, limit
         self._clear()
 

@@ -41,23 +41,23 @@ SELECT user_id AS protein, row_number() OVER (PARTITION BY user_id ORDER BY ts,
        CAST(event_id % 9 AS BIGINT) AS contacts, CASE WHEN event_id % 3 = 0 THEN 1 ELSE 0 END AS hit
 FROM {events}
 """
-#: Pair errors between the residues of a protein.
-ERRORS = """
-SELECT protein, r1, r2, CAST((protein * 31 + r1 * 7 + r2 * 13) % 300 AS DOUBLE) / 10 AS err
-FROM (SELECT s_suppkey AS protein, CAST(a.p_partkey AS INT) AS r1, CAST(b.p_partkey AS INT) AS r2
-      FROM {supplier} CROSS JOIN {part} AS a CROSS JOIN {part} AS b
-      WHERE s_suppkey <= 12 AND a.p_partkey BETWEEN 1 AND 80 AND b.p_partkey BETWEEN 1 AND 80 AND a.p_partkey < b.p_partkey) AS e
+#: Residues of a chain with pair errors.
+CHAIN = 60
+#: Pair errors between the residues of every protein's chain.
+ERRORS = f"""
+SELECT s_suppkey AS protein, CAST(r1 AS INT) AS r1, CAST(r2 AS INT) AS r2, CAST((s_suppkey * 31 + r1 * 7 + r2 * 13) % 300 AS DOUBLE) / 10 AS err
+FROM {{supplier}} CROSS JOIN range(1, {CHAIN + 1}) AS a(r1) CROSS JOIN range(1, {CHAIN + 1}) AS b(r2) WHERE r1 < r2
 """
 #: Points of chains.
 ATOMS = """
 SELECT CAST(label AS BIGINT) AS protein, CAST(vec_id AS INT) AS resid, CAST(embedding[{base}] AS DOUBLE) * 50 AS x, CAST(embedding[{base} + 1] AS DOUBLE) * 50 AS y, CAST(embedding[{base} + 2] AS DOUBLE) * 50 AS z
 FROM {embeddings}
 """
-#: Merge pairs among the lines of an order.
+#: Merge pairs: consecutive lines of an order.
 EDGES = """
 SELECT protein, a, b FROM (
-  SELECT l_suppkey AS protein, l_partkey AS a, lead(l_partkey) OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_extendedprice) AS b, l_orderkey FROM {lineitem}) AS e
-WHERE b IS NOT NULL AND a <> b AND l_orderkey % 4 = 0
+  SELECT l_orderkey AS protein, l_partkey AS a, lead(l_partkey) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS b FROM {lineitem}) AS e
+WHERE b IS NOT NULL AND a <> b
 """
 #: Predictions of topologies for domains.
 PREDICTIONS = """

@@ -241,7 +241,7 @@ def file_order_ranks(spark, sf):
 
 @query(
     "greedy_redundancy",
-    f"""WITH RECURSIVE h AS (SELECT *, row_number() OVER (PARTITION BY protein, family ORDER BY -prob, line_no) AS k, list_distinct(generate_series(ts, ts + qe - qs)) AS res FROM {H} WHERE protein <= 40),
+    f"""WITH RECURSIVE h AS (SELECT *, row_number() OVER (PARTITION BY protein, family ORDER BY -prob, line_no) AS k, list_distinct(generate_series(ts, ts + qe - qs)) AS res FROM {H}),
     g AS (SELECT protein, family, k, line_no, res AS covered, 1 AS kept_no, true AS kept FROM h WHERE k = 1
       UNION ALL SELECT h.protein, h.family, h.k, h.line_no,
         CASE WHEN len(list_filter(h.res, lambda x: NOT list_contains(g.covered, x))) >= len(h.res) * 0.5 THEN list_distinct(list_concat(g.covered, h.res)) ELSE g.covered END,
@@ -251,7 +251,7 @@ def file_order_ranks(spark, sf):
     SELECT protein, family, line_no, kept_no FROM g WHERE kept""",
 )
 def greedy_redundancy(spark, sf):
-    h = hits(spark, sf).filter("protein <= 40").withColumn("res", F.sequence("ts", F.col("ts") + F.col("qe") - F.col("qs")))
+    h = hits(spark, sf).withColumn("res", F.sequence("ts", F.col("ts") + F.col("qe") - F.col("qs")))
     return running.greedy_redundancy(h, ["protein", "family"], "prob", "res")
 
 
@@ -308,13 +308,13 @@ def uniform_weights(spark, sf):
 
 @query(
     "sequence_support",
-    f"""WITH h AS {H}, s AS (SELECT protein, line_no, family, qs, qe FROM h WHERE z >= 12 AND protein <= 30), q AS (SELECT protein, line_no AS hit, family, prob, qe - qs + 5 AS length, qs, qe, ts FROM h WHERE prob >= 60 AND protein <= 30),
+    f"""WITH h AS {H}, s AS (SELECT protein, line_no, family, qs, qe FROM h WHERE z >= 12), q AS (SELECT protein, line_no AS hit, family, prob, qe - qs + 5 AS length, qs, qe, ts FROM h WHERE prob >= 60),
     c AS (SELECT s.protein, s.line_no, q.hit, q.prob, CAST(greatest(0, least(s.qe, q.qe) - greatest(s.qs, q.qs) + 1) AS DOUBLE) / q.length AS cov FROM s JOIN q ON s.protein = q.protein AND s.family = q.family),
     b AS (SELECT *, max(prob) OVER (PARTITION BY protein, line_no) AS best FROM c)
     SELECT s.protein, s.line_no, coalesce(max(best), 0.0) AS best_prob, coalesce(max(CASE WHEN prob >= best - 0.1 THEN cov END), 0.0) AS best_cov FROM s LEFT JOIN b ON s.protein = b.protein AND s.line_no = b.line_no GROUP BY s.protein, s.line_no""",
 )
 def sequence_support(spark, sf):
-    h = hits(spark, sf).filter("protein <= 30")
+    h = hits(spark, sf)
     st = h.filter("z >= 12").select("protein", "line_no", "family", F.sequence("qs", "qe").alias("residues"))
     sq = h.filter("prob >= 60").select("protein", "family", F.col("line_no").alias("hit"), "prob", (F.col("qe") - F.col("qs") + 5).alias("length"), F.posexplode(F.sequence("qs", "qe")).alias("i", "q"), "ts")
     return joins.support_by_family(st, sq.withColumn("t", F.col("ts") + F.col("i")))
@@ -410,21 +410,21 @@ def position_numbers(spark, sf):
 
 @query(
     "contacts",
-    f"""WITH s AS (SELECT protein, r, (r + protein) // 9 AS sid FROM (SELECT s_suppkey AS protein, unnest(generate_series(1, 80)) AS r FROM supplier WHERE s_suppkey <= 12) WHERE (r + protein) % 9 < 6),
+    f"""WITH s AS (SELECT protein, r, (r + protein) // 9 AS sid FROM (SELECT s_suppkey AS protein, unnest(generate_series(1, {bd.CHAIN})) AS r FROM supplier) WHERE (r + protein) % 9 < 6),
     c AS (SELECT e.protein, e.r1, e.r2 FROM {E} e JOIN s a ON a.protein = e.protein AND a.r = e.r1 JOIN s b ON b.protein = e.protein AND b.r = e.r2 WHERE e.r1 + 10 <= e.r2 AND e.err < 12 AND a.sid <> b.sid)
     SELECT protein, resid, count(*) AS contacts FROM (SELECT protein, r1 AS resid FROM c UNION ALL SELECT protein, r2 FROM c) GROUP BY protein, resid""",
 )
 def contacts(spark, sf):
-    sup = spark.read.parquet(f"{sf}/supplier.parquet").filter("s_suppkey <= 12").select(F.col("s_suppkey").alias("protein"), F.explode(F.sequence(F.lit(1), F.lit(80))).alias("resid"))
+    sup = spark.read.parquet(f"{sf}/supplier.parquet").select(F.col("s_suppkey").alias("protein"), F.explode(F.sequence(F.lit(1), F.lit(bd.CHAIN))).alias("resid"))
     sse = sup.filter((F.col("resid") + F.col("protein")) % 9 < 6).withColumn("sse_id", F.floor((F.col("resid") + F.col("protein")) / 9))
     return joins.contacts(bd.bind(spark, sf, bd.ERRORS), sse)
 
 
-_PS = f"(SELECT protein, a AS r1, b AS r2, max(prob) AS best, count(*) AS n FROM (SELECT protein, prob, a, unnest(generate_series(a + 1, least(qe, 80))) AS b FROM (SELECT protein, prob, qe, unnest(generate_series(qs, least(qe, 79))) AS a FROM {H} WHERE protein <= 12 AND qs <= 79 AND prob >= 80)) GROUP BY ALL)"
+_PS = f"(SELECT protein, a AS r1, b AS r2, max(prob) AS best, count(*) AS n FROM (SELECT protein, prob, a, unnest(generate_series(a + 1, least(qe, {bd.CHAIN}))) AS b FROM (SELECT protein, prob, qe, unnest(generate_series(qs, least(qe, {bd.CHAIN}))) AS a FROM {H} WHERE qs <= {bd.CHAIN} AND prob >= 80)) GROUP BY ALL)"
 
 
 def small_hits(spark, sf):
-    return hits(spark, sf).filter("protein <= 12 and qs <= 79 and prob >= 80").withColumn("res", F.sequence("qs", F.least("qe", F.lit(80))))
+    return hits(spark, sf).filter(f"qs <= {bd.CHAIN} and prob >= 80").withColumn("res", F.sequence("qs", F.least("qe", F.lit(bd.CHAIN))))
 
 
 @query("pair_scores", f"SELECT protein, r1, r2, best, n FROM (SELECT protein, CAST(r1 AS INT) AS r1, CAST(r2 AS INT) AS r2, best, n FROM {_PS})")
@@ -451,7 +451,7 @@ def probability_matrix(spark, sf):
 
 @query(
     "chunk_pairs",
-    f"""WITH c AS (SELECT s_suppkey AS protein, unnest(generate_series(1, 80)) AS r FROM supplier WHERE s_suppkey <= 12), k AS (SELECT protein, r, (r - 1) // 5 AS chunk FROM c),
+    f"""WITH c AS (SELECT s_suppkey AS protein, unnest(generate_series(1, {bd.CHAIN})) AS r FROM supplier), k AS (SELECT protein, r, (r - 1) // 5 AS chunk FROM c),
     g AS (SELECT a.protein, a.chunk AS i, b.chunk AS j, count(*) AS n, sum(p.p) AS total FROM k a JOIN k b ON a.protein = b.protein AND a.chunk < b.chunk AND a.r + 5 < b.r LEFT JOIN {_MATRIX} p ON p.protein = a.protein AND p.r1 = a.r AND p.r2 = b.r GROUP BY ALL)
     SELECT protein, CAST(i AS BIGINT) AS i, CAST(j AS BIGINT) AS j, n, round(coalesce(total, 0) / n, 6) AS mean FROM g""",
 )
@@ -460,7 +460,7 @@ def chunk_pairs(spark, sf):
 
 
 def all_chunks(spark, sf):
-    c = spark.read.parquet(f"{sf}/supplier.parquet").filter("s_suppkey <= 12").select(F.col("s_suppkey").alias("protein"), F.explode(F.sequence(F.lit(1), F.lit(80))).alias("resid"))
+    c = spark.read.parquet(f"{sf}/supplier.parquet").select(F.col("s_suppkey").alias("protein"), F.explode(F.sequence(F.lit(1), F.lit(bd.CHAIN))).alias("resid"))
     return windows.chunks(c)
 
 
@@ -545,11 +545,11 @@ def unmerged(spark, sf):
 
 # ---- merging and confidence
 
-_MH = f"(SELECT protein, line_no AS row_no, CAST(line_no % 5 AS BIGINT) AS domain, template, prob, CAST(prob % 10 AS DOUBLE) / 10 AS coverage, ts, ts + qe - qs AS te FROM {H} WHERE protein <= 60)"
+_MH = f"(SELECT protein, line_no AS row_no, CAST(line_no % 5 AS BIGINT) AS domain, template, prob, CAST(prob % 10 AS DOUBLE) / 10 AS coverage, ts, ts + qe - qs AS te FROM {H})"
 
 
 def merge_hits(spark, sf):
-    h = hits(spark, sf).filter("protein <= 60")
+    h = hits(spark, sf)
     return h.select("protein", F.col("line_no").alias("row_no"), (F.col("line_no") % 5).alias("domain"), "template", "prob", ((F.col("prob") % 10) / 10).alias("coverage"), F.sequence("ts", F.col("ts") + F.col("qe") - F.col("qs")).alias("tres"))
 
 
@@ -579,12 +579,12 @@ def supported_merges(spark, sf):
 
 @query(
     "merge_closure",
-    f"""WITH RECURSIVE e AS (SELECT DISTINCT protein, a, b FROM (SELECT protein, a, b FROM {G} WHERE protein <= 25 UNION ALL SELECT protein, b, a FROM {G} WHERE protein <= 25)),
+    f"""WITH RECURSIVE e AS (SELECT DISTINCT protein, a, b FROM (SELECT protein, a, b FROM {G} UNION ALL SELECT protein, b, a FROM {G})),
     r(protein, node, label) AS (SELECT DISTINCT protein, a, a FROM e UNION SELECT e.protein, e.b, r.label FROM r JOIN e ON e.protein = r.protein AND e.a = r.node)
     SELECT protein, node, min(label) AS label FROM r GROUP BY protein, node""",
 )
 def merge_closure(spark, sf):
-    return graph.closure(bd.bind(spark, sf, bd.EDGES).filter("protein <= 25"))
+    return graph.closure(bd.bind(spark, sf, bd.EDGES))
 
 
 @query(

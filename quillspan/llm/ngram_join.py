@@ -35,11 +35,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textkernel as tk
-from .common import broadcast_if_small, discard, n_buckets, settle, small_batches
+from .common import broadcast_if_small, buckets_for, discard, settle, small_batches
 from .components import components
 
 WIDTH, NUM, DEN = 5, 80, 100
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES, BLOCK_CLASSES = 16 << 20, 60_000  # a class of a block is a number of two bytes
 
 
 def _sets(col, width: int):
@@ -66,6 +66,15 @@ def _meta(rows: DataFrame, width: int, id_type: str) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {id_type}, n bigint, sig binary")
 
 
+def _planes(sorted_keys: np.ndarray) -> bytes:
+    """Keys as eight planes of bytes: of sorted keys the upper ones are runs, which the shuffle's compression takes away."""
+    return np.ascontiguousarray(sorted_keys.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def _from_planes(body, m: int) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(body, np.uint8, 8 * m).reshape(8, m).T).view("<u8").ravel().astype(np.uint64)
+
+
 def even_keys(spark: SparkSession, n: int) -> list[int]:
     """One integer for each of ``n`` hash partitions, so that buckets are dealt out evenly."""
     ids = spark.range(0, 40 * n + 1000).select(F.col("id").cast("int").alias("id"))
@@ -88,12 +97,12 @@ def _postings(rows: DataFrame, width: int, keys: list[int]) -> DataFrame:
             nonlocal seq, size
             block = (part << 32) | seq
             k = np.concatenate(sets)
-            d = np.repeat(np.arange(len(sets), dtype=np.uint32), [len(s) for s in sets])
+            d = np.repeat(np.arange(len(sets), dtype=np.uint16), [len(s) for s in sets])
             order = np.argsort(k, kind="stable")
             k, d = k[order], d[order]
             edges = np.array([(i << 64) // n for i in range(1, n)], np.uint64)
             at = np.concatenate([[0], np.searchsorted(k, edges), [len(k)]])
-            bodies = [k[a:b].tobytes() + d[a:b].tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+            bodies = [_planes(k[a:b]) + d[a:b].tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
             meta = np.array([len(s) for s in sets], np.uint32).tobytes() + b"".join(local)
             out = pa.RecordBatch.from_arrays(
                 [pa.array([*keys, keys[block % n]], pa.int32()), pa.array([block] * (n + 1), pa.int64()), pa.array([0] * n + [1], pa.int32()), pa.array([*bodies, meta], pa.binary())],
@@ -112,8 +121,8 @@ def _postings(rows: DataFrame, width: int, keys: list[int]) -> DataFrame:
                         local[sig] = len(sets)
                         sets.append(s)
                         size += 8 * len(s)
-            if size >= BLOCK_BYTES:
-                yield flush()
+                if size >= BLOCK_BYTES or len(sets) >= BLOCK_CLASSES:
+                    yield flush()
         if sets:
             yield flush()
 
@@ -128,10 +137,10 @@ def _count(batches):
             if kind:
                 yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([1], pa.int32()), pa.array([body], pa.binary())], names=["block", "kind", "body"])
             elif body:
-                m = len(body) // 12
+                m = len(body) // 10
                 blocks.append(block)
-                keys.append(np.frombuffer(body, np.uint64, m))
-                classes.append(np.frombuffer(body, np.uint32, m, 8 * m))
+                keys.append(_from_planes(body, m))
+                classes.append(np.frombuffer(body, np.uint16, m, 8 * m))
     if not keys:
         return
     u, c = np.unique(np.concatenate(keys), return_counts=True)
@@ -142,7 +151,7 @@ def _count(batches):
         i = np.minimum(np.searchsorted(u, k), len(u) - 1)
         hit = u[i] == k
         if hit.any():
-            body = k[hit].tobytes() + c[i[hit]].tobytes() + d[hit].tobytes()
+            body = _planes(k[hit]) + c[i[hit]].tobytes() + d[hit].tobytes()
             yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([0], pa.int32()), pa.array([body], pa.binary())], names=["block", "kind", "body"])
 
 
@@ -162,7 +171,7 @@ def _assemble(batches):
         meta = metas[block]
         m = len(meta) // 20
         size = np.frombuffer(meta, np.uint32, m).astype(np.int64)
-        parts = [(np.frombuffer(x, np.uint64, len(x) // 16), np.frombuffer(x, np.uint32, len(x) // 16, len(x) // 2), np.frombuffer(x, np.uint32, len(x) // 16, len(x) // 4 * 3)) for x in bodies]
+        parts = [(_from_planes(x, len(x) // 14), np.frombuffer(x, np.uint32, len(x) // 14, len(x) // 14 * 8), np.frombuffer(x, np.uint16, len(x) // 14, len(x) // 14 * 12)) for x in bodies]
         k, f, d = (np.concatenate(x) for x in zip(*parts, strict=True))
         order = np.lexsort((k, f, d))
         k, d = k[order], d[order]
@@ -244,7 +253,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int
     spark = docs.sparkSession
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     meta = settle(_meta(rows, width, rows.schema["doc_id"].dataType.simpleString()), "join-meta")
-    n = n_buckets(spark)
+    n = buckets_for(rows, "text")
     posted = _postings(rows, width, even_keys(spark, n)).repartition(n, "bucket")
     answered = posted.mapInArrow(_count, "block bigint, kind int, body binary").repartition(n, "block")
     found = settle(answered.mapInArrow(_assemble, _RECORD), "join-found")

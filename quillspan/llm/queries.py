@@ -28,6 +28,5 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
-    "op7_hpylm": op7_hpylm,
     "op8_warc": WARC_SQL,
 }

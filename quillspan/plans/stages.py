@@ -7,7 +7,7 @@ Inputs, all keyed by ``protein`` where they have one:
     struct_search(protein, line_no, template, qs, qe, evalue), struct_hits(protein, hit_no, template, z, pairs),
     codes(protein, resid, aa, code), errors(protein, r1, r2, err), atoms(protein, resid, x, y, z),
     chain_map(chain_key, template, resids), templates(template, key, family, code, length, norm, keyword),
-    weights(template, position, weight), history(template, z, q), residue_map(template, pdb_resid, ecod_resid),
+    weights(template, position, weight), history(template, z, q), residue_map(template, chain_resid, template_resid),
     tgroups(tgroup, avg_length)
 """
 
@@ -187,7 +187,7 @@ def feature_table(t: Tables, p: Params = DEFAULT) -> DataFrame:
     hh = ml.best_per_template(joins.overlapping(dom, seq.select("protein", "line_no", "template", "prob", "coverage", "hh_rank", "residues", "e")), "prob")
     hh = hh.select("protein", "domain", "template", (F.col("prob") / 100).alias("hh_prob"), F.col("coverage").alias("hh_cov"), "hh_rank", F.col("residues").alias("hq"), F.array_sort(F.array_distinct("e")).alias("ht"), "length")
     st = t["analysed"].withColumnRenamed("hit_no", "line_no").withColumn("residues", F.array_sort(F.array_distinct("q")))
-    stored = F.map_from_entries(F.collect_list(F.struct("pdb_resid", "ecod_resid")))
+    stored = F.map_from_entries(F.collect_list(F.struct("chain_resid", "template_resid")))
     maps = t["residue_map"].groupBy("template").agg(stored.alias("m"))
     st = st.join(maps, "template", "left").withColumn("stt", F.coalesce(F.filter(F.transform(F.array_sort(F.array_distinct("e")), lambda r: F.try_element_at("m", r)), lambda r: r.isNotNull()), F.array().cast("array<int>"))).drop("m")
     best = ml.best_per_template(joins.overlapping(dom, st.select("protein", "line_no", "template", "z", "qscore", "ztile", "qtile", "rank", "residues", "stt")), "z")
@@ -214,7 +214,7 @@ def confident(t: Tables, p: Params = DEFAULT) -> DataFrame:
 def mappings(t: Tables, p: Params = DEFAULT) -> DataFrame:
     """Step 18: template residues of the first strictly overlapping hit of either method."""
     want = t["confident"].select("protein", "domain", "template", "tgroup", "prob", "quality").join(t["domains"].select("protein", "domain", "resids"), ["protein", "domain"])
-    recoded = F.map_from_entries(F.collect_list(F.struct(F.col("ecod_resid").alias("k"), F.col("pdb_resid").alias("v"))))
+    recoded = F.map_from_entries(F.collect_list(F.struct(F.col("template_resid").alias("k"), F.col("chain_resid").alias("v"))))
     maps = t["residue_map"].groupBy("template").agg(recoded.alias("m"))
 
     def first(hits: DataFrame, name: str, renumber: bool) -> DataFrame:

@@ -187,9 +187,9 @@ def feature_table(rows: DataFrame) -> DataFrame:
 
 
 def residue_map(rows: DataFrame) -> DataFrame:
-    """(file, pdb_resid, ecod_resid): read in either direction."""
+    """(file, chain_resid, template_resid): read in either direction."""
     t = rows.select("file", F.split(F.trim("value"), r"\s+").alias("t")).filter(F.size("t") >= 2)
-    return t.select("file", F.col("t")[0].try_cast("int").alias("pdb_resid"), F.col("t")[1].try_cast("int").alias("ecod_resid")).dropna()
+    return t.select("file", F.col("t")[0].try_cast("int").alias("chain_resid"), F.col("t")[1].try_cast("int").alias("template_resid")).dropna()
 
 
 def dimension(rows: DataFrame, columns: list[tuple[str, str, int]], key: str | None = None) -> DataFrame:
@@ -218,7 +218,7 @@ def position_weights(weights: DataFrame, lengths: DataFrame) -> DataFrame:
     return weights.select("template", "position", "weight").unionByName(uniform)
 
 
-def jdbc_table(spark: SparkSession, options: dict[str, str], table: str, keys: DataFrame | None = None, key: str = "ecod_num") -> DataFrame:
+def jdbc_table(spark: SparkSession, options: dict[str, str], table: str, keys: DataFrame | None = None, key: str = "template") -> DataFrame:
     """A database table by the caller's options, restricted to the wanted keys."""
     got = spark.read.format("jdbc").options(**options).option("dbtable", table).load()
     return got if keys is None else got.join(keys.select(key).distinct(), key, "left_semi")

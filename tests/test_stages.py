@@ -27,7 +27,7 @@ def inputs(spark):
         "templates": make(templates, "template string, key string, family string, code string, length int, norm double, keyword string"),
         "weights": make([("t1", i, 1.0 + i % 3) for i in range(1, 56)], "template string, position int, weight double"),
         "history": make([("t1", z, 0.5) for z in (5.0, 10.0, 20.0)], "template string, z double, q double"),
-        "residue_map": make([(t, i, i) for t in ("t1", "t2") for i in range(1, 56)], "template string, pdb_resid int, ecod_resid int"), "tgroups": make([("1.1.1", 55.0)], "tgroup string, avg_length double"),
+        "residue_map": make([(t, i, i) for t in ("t1", "t2") for i in range(1, 56)], "template string, chain_resid int, template_resid int"), "tgroups": make([("1.1.1", 55.0)], "tgroup string, avg_length double"),
     }
 
 
@@ -80,3 +80,16 @@ def test_resume_reads_complete_stages(spark, inputs, tables, tmp_path):
     broken = dict(inputs, struct_search=inputs["struct_search"].withColumn("qs", F.raise_error(F.lit("run again")).cast("int")))
     again = stages.run(spark, broken, str(tmp_path), until=6)
     assert again["candidates"].count() == 3
+
+
+def test_command_line(spark, inputs, tmp_path):
+    from quillspan import cli
+
+    for name, df in inputs.items():
+        df.write.parquet(f"{tmp_path}/in/{name}")
+    args = cli.parser().parse_args(["run", f"{tmp_path}/in", f"{tmp_path}/out", "--until", "5"])
+    assert cli.execute(spark, args).count() == 3
+    status = cli.execute(spark, cli.parser().parse_args(["status", f"{tmp_path}/out"]))
+    assert {r.name for r in status.collect() if r.complete} == {"capped", "mapped"}
+    same = cli.execute(spark, cli.parser().parse_args(["compare", f"{tmp_path}/in/weights", f"{tmp_path}/in/weights"]))
+    assert same.count() == 0

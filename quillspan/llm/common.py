@@ -97,6 +97,17 @@ def fetch(uri: str, start: int = 0, length: int | None = None) -> bytes:
         return f.read(length) if length is not None else f.read()
 
 
+def shield(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with names that no computed column has, and the new name of each old one."""
+    names = [f"shielded_{i}" for i in range(len(docs.columns))]
+    return docs.toDF(*names), dict(zip(docs.columns, names, strict=True))
+
+
+def unshield(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` under their old names."""
+    return rows.select(*[F.col(f"shielded_{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
 def crc_mod(doc_id, mod: int):
     """crc32 of the id's decimal text, modulo ``mod``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % mod

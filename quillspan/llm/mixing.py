@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textkernel as tk
-from .common import append_columns, settle
+from .common import append_columns, settle, shield, unshield
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
@@ -138,8 +138,9 @@ def op9_mixing(spark, sf_dir: str) -> DataFrame:
 
 def stage_mixing(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as often as the mix takes them; those it does not take go."""
-    keyed = settle(_keyed(docs, "doc_id", "source", "text", 11, ["doc_id"]).drop("doc_id"), "mix")
-    bounds = plan(keyed)
-    rows = _keyed(docs, "doc_id", "source", "text", 11, docs.columns)
+    shielded, name = shield(docs)
+    of = [name[k] for k in ("doc_id", "source", "text")]
+    bounds = plan(settle(_keyed(shielded, *of, 11, of[:1]).drop(of[0]), "mix"))
+    rows = _keyed(shielded, *of, 11, shielded.columns)
     out = rows.join(bounds, F.col("mix_source").eqNullSafe(F.col("plan_source"))).withColumn("mix_copies", copies())
-    return out.withColumn("mix_copy", F.explode(F.array_repeat(F.lit(1), F.col("mix_copies").cast("int")))).select(*docs.columns)
+    return unshield(out.withColumn("mix_copy", F.explode(F.array_repeat(F.lit(1), F.col("mix_copies").cast("int")))), docs)

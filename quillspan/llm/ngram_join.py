@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textkernel as tk
-from .common import broadcast_if_small, buckets_for, discard, settle, small_batches
+from .common import broadcast_if_small, buckets_for, discard, settle, shield, small_batches, unshield
 from .components import components
 
 WIDTH, NUM, DEN = 5, 80, 100
@@ -249,7 +249,7 @@ def links(records: DataFrame) -> DataFrame:
 
 
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row."""
+    """(doc_id, n_shingles, component_id, class_id) of every row: a class is the documents with one set, named by its least id."""
     spark = docs.sparkSession
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     meta = settle(_meta(rows, width, rows.schema["doc_id"].dataType.simpleString()), "join-meta")
@@ -263,9 +263,9 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int
     classes = meta.filter("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("least"))
     classes = classes.join(labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn("label", F.coalesce("label", "sig"))
     named = classes.groupBy("label").agg(F.min("least").alias("component_id"))
-    named = settle(classes.join(named, "label").select("sig", "component_id"), "join-classes")
+    named = settle(classes.join(named, "label").select("sig", "component_id", F.col("least").alias("class_id")), "join-classes")
     out = meta.join(named, "sig", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), *[F.coalesce(c, "doc_id").alias(c) for c in ("component_id", "class_id")])
 
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -279,13 +279,15 @@ def stage_ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Ids are taken to name one text each. Rows without an id cannot be told apart by it and stay.
     Only the ids that go are joined, so texts are not shuffled while those are half a million at most.
     """
-    found = settle(join(docs), "join-result").filter("doc_id is not null")
+    rows, name = shield(docs)
+    d = name["doc_id"]
+    found = settle(join(rows, d, name["text"]), "join-result").filter("doc_id is not null")
     gone = settle(found.filter("doc_id != component_id").select(F.col("doc_id").alias("gone_id")).distinct(), "join-gone")
-    kept = docs.join(broadcast_if_small(gone), F.col("doc_id") == F.col("gone_id"), "left_anti")
+    kept = rows.join(broadcast_if_small(gone), F.col(d) == F.col("gone_id"), "left_anti")
     again = found.filter("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.max("n_shingles").alias("n"))
     again = settle(again.filter("rows > 1 and n > 0").select(F.col("doc_id").alias("again_id")), "join-again")
     if again.limit(1).count() == 0:
-        return kept.select(*docs.columns)
-    rest = kept.join(again, F.col("doc_id") == F.col("again_id"), "left_anti")
-    one = kept.join(again, F.col("doc_id") == F.col("again_id"), "left_semi").dropDuplicates(["doc_id"])
-    return rest.unionByName(one).select(*docs.columns)
+        return unshield(kept, docs)
+    rest = kept.join(again, F.col(d) == F.col("again_id"), "left_anti")
+    one = kept.join(again, F.col(d) == F.col("again_id"), "left_semi").dropDuplicates([d])
+    return unshield(rest.unionByName(one), docs)

@@ -396,4 +396,4 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage_sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of every document that the mix takes."""
-    return encode(docs, _model(), keep=["doc_id", "lang", "source"])
+    return encode(docs.select("doc_id", "text", "lang", "source"), _model(), keep=["doc_id", "lang", "source"])

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textkernel as tk
-from .common import append_columns, settle
+from .common import append_columns, settle, shield, unshield
 
 SYMBOLS = b"#*$%&|<>"
 _IS_SYMBOL = np.zeros(256, bool)
@@ -181,9 +181,13 @@ def fit(docs: DataFrame, lang: str = "lang", source: str = "source", text: str =
 
 
 def judge(docs: DataFrame, model: DataFrame, lang: str = "lang", source: str = "source", text: str = "text", keep: list[str] | None = None, z_cut: float = 3.5) -> DataFrame:
-    """Columns ``keep`` (all by default) with BASE, ``base_failed``, ``distance`` and ``kept``."""
+    """Columns ``keep`` (all by default) with BASE, ``base_failed``, ``distance`` and ``kept``.
+
+    Columns of ``docs`` with names of computed ones are left out.
+    """
     k = len(DIMS)
-    cols = docs.columns if keep is None else keep
+    made = {*BASE, *EXTRA, "base_failed", "distance", "kept", "g0", "mu", "prec", "scale", *(f"x{i}" for i in range(k))}
+    cols = [c for c in (docs.columns if keep is None else keep) if c not in made]
     rows = docs.withColumns({"q_lang": F.col(f"`{lang}`"), "q_source": F.col(f"`{source}`")})
     rows = with_statistics(rows, text, [*[c for c in cols if c not in ("q_lang", "q_source")], "q_lang", "q_source"])
     rows = rows.withColumn("g0", F.concat_ws("\x1f", F.lit("s"), F.coalesce("q_lang", F.lit("\x00")), F.coalesce("q_source", F.lit("\x00"))))
@@ -193,7 +197,7 @@ def judge(docs: DataFrame, model: DataFrame, lang: str = "lang", source: str = "
     out = out.withColumn("distance", F.sqrt(_distance(k) / F.col("scale")))
     cut = math.sqrt(chi2_quantile(k, z_cut))
     out = out.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= cut, F.lit(True)))
-    return out.select(*[c for c in cols if c not in BASE], *BASE, "base_failed", "distance", "kept")
+    return out.select(*[F.col(f"`{c}`") for c in cols], *BASE, "base_failed", "distance", "kept")
 
 
 def op3_quality_rules(spark, sf_dir: str) -> DataFrame:
@@ -204,5 +208,6 @@ def op3_quality_rules(spark, sf_dir: str) -> DataFrame:
 
 def stage_quality_rules(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules keep."""
-    judged = judge(docs, fit(docs))
-    return judged.filter("kept").select(*docs.columns)
+    rows, name = shield(docs)
+    of = {k: name[k] for k in ("lang", "source", "text")}
+    return unshield(judge(rows, fit(rows, **of), **of).filter("kept"), docs)

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textkernel as tk
-from .common import append_columns, settle
+from .common import append_columns, settle, shield, unshield
 
 KINDS = ["assign", "access", "hex", "generic"]
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.IGNORECASE | re.ASCII)
@@ -172,12 +172,13 @@ def stage_secret_scans(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows without a candidate are passed on as they are read; only those with one are settled,
     counted and masked.
     """
-    rows = candidates(docs, "text", "source", "lang", docs.columns)
-    clean = rows.filter(F.size("sec_spans") == 0).select(*docs.columns)
+    shielded, name = shield(docs)
+    rows = candidates(shielded, name["text"], name["source"], name["lang"], shielded.columns)
+    clean = rows.filter(F.size("sec_spans") == 0)
     found = settle(rows.filter(F.size("sec_spans") > 0).withColumn("sec_row", F.monotonically_increasing_id()), "secrets")
     some = judged(found.withColumn("sec_id", F.col("sec_row")), ["sec_id"]).select("sec_id", F.filter("sec_judged", lambda s: s["live"]).alias("sec_live"))
-    masked = found.join(some, F.col("sec_row") == F.col("sec_id")).withColumn("text", _masked(F.col("text"), F.col("sec_live")))
-    return clean.unionByName(masked.select(*docs.columns))
+    masked = found.join(some, F.col("sec_row") == F.col("sec_id")).withColumn(name["text"], _masked(F.col(name["text"]), F.col("sec_live")))
+    return unshield(clean, docs).unionByName(unshield(masked, docs))
 
 
 def _masked(text, live):

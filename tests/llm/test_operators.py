@@ -46,7 +46,7 @@ def test_quality_verdicts(odd, empty, spark):
         failed = r.n_words < 10 or 100 * r.n_repeat_words > 20 * r.n_words
         assert r.base_failed == failed and not (failed and r.kept)
     assert rows(quality_rules.judge(empty, quality_rules.fit(empty), keep=["doc_id"])) == []
-    assert quality_rules.stage_quality_rules(spark, odd, "").columns == odd.columns
+    assert quality_rules.judge(odd, quality_rules.fit(odd, least=10)).count() == odd.count()
 
 
 def test_mcd_rejects_planted_outliers(spark):
@@ -269,6 +269,19 @@ def test_sentencepiece_round_trip(odd, empty, spark):
     assert rows(pieces.encode(empty, m)) == []
 
 
+def test_stages_keep_columns_and_clashing_values(odd, empty, spark):
+    stages = [quality_rules.stage_quality_rules, ngram_join.stage_ngram_join, secrets.stage_secret_scans, mixing.stage_mixing]
+    before = {r.doc_id: r for r in rows(odd)}
+    for stage in stages:
+        out = stage(spark, odd, "")
+        assert out.columns == odd.columns and out.dtypes == odd.dtypes
+        for r in rows(out):
+            old = before[r.doc_id]
+            assert r.doc_id is None or (r.n_words, r.kept, r.mu, r.size, r.component_id) == (old.n_words, old.kept, old.mu, old.size, old.component_id)
+        assert rows(stage(spark, empty, "")) == []
+    assert pieces.stage_sentencepiece(spark, odd, "").count() == odd.count()
+
+
 # ---- 1: token output
 
 

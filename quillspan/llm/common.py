@@ -113,12 +113,18 @@ def crc_mod(doc_id, mod: int):
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % mod
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of 4 MB in this session, however long its texts are: they count in executors' direct memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+
+
 def append_columns(df: DataFrame, column: str, make, fields: list[tuple[str, str]], keep: list[str] | None = None) -> DataFrame:
     """``df`` (or its columns ``keep``) with columns computed from the text ``column`` in Arrow batches.
 
     ``make(col)`` gets a slice of a few MB and returns one array for each of ``fields``
     (name, Spark type). Columns of ``df`` with such a name are left out.
     """
+    bound_batches(df.sparkSession)
     names = [n for n, _ in fields]
     kept = [c for c in (df.columns if keep is None else keep) if c not in names]
     need = list(dict.fromkeys([*kept, column]))

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textkernel as tk
-from .common import broadcast_if_small, buckets_for, discard, settle, shield, small_batches, unshield
+from .common import bound_batches, broadcast_if_small, buckets_for, discard, settle, shield, small_batches, unshield
 from .components import components
 
 WIDTH, NUM, DEN = 5, 80, 100
@@ -224,6 +224,7 @@ def links(records: DataFrame) -> DataFrame:
     entry = F.struct("own", "n", "lead", "pos")
     pivots = lists.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min(entry).alias("p0"), *[F.min(F.struct(F.xxhash64("lead", F.lit(s)).alias("h"), *[F.col(c) for c in ("own", "n", "lead", "pos")])).alias(f"p{s}") for s in (1, 2)])
     pivots = pivots.filter("m > 1").select("key", F.explode(F.array(*[F.struct(*[F.col(f"p{s}")[c].alias(c) for c in ("own", "n", "lead", "pos")]) for s in (0, 1, 2)])).alias("p")).select("key", F.col("p.n").alias("pn"), F.col("p.lead").alias("pl"), F.col("p.pos").alias("pp")).distinct()
+    pivots = settle(pivots, "join-pivots")  # so that both sides of the join are dealt anew, and a hot list's rows can be split
     star = lists.join(pivots, "key").filter(F.col("lead") != F.col("pl")).filter(_fits(F.col("n"), F.col("pos"), F.col("pn"), F.col("pp")))
     star = star.select(F.least("lead", "pl").alias("a"), F.greatest("lead", "pl").alias("b"))
     within = records.join(groups.select("grp", "lead"), "grp").filter("sig != lead").select(F.col("lead").alias("a"), F.col("sig").alias("b"))
@@ -235,6 +236,7 @@ def links(records: DataFrame) -> DataFrame:
     member = settle(member, "join-members")
     span = member.groupBy("grp").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     open_keys = lists.join(span, "grp").groupBy("key").agg(F.min("low").alias("low"), F.max("high").alias("high")).filter("low != high").select("key")
+    open_keys = settle(open_keys, "join-open")
     rest = settle(lists.join(open_keys, "key", "left_semi").join(span, "grp"), "join-rest")
     x = rest.select("key", *[F.col(c).alias(f"{c}_x") for c in ("grp", "n", "pos", "low", "high")])
     y = rest.select("key", *[F.col(c).alias(f"{c}_y") for c in ("grp", "n", "pos", "low", "high")])
@@ -251,6 +253,7 @@ def links(records: DataFrame) -> DataFrame:
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
     """(doc_id, n_shingles, component_id, class_id) of every row: a class is the documents with one set, named by its least id."""
     spark = docs.sparkSession
+    bound_batches(spark)
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     meta = settle(_meta(rows, width, rows.schema["doc_id"].dataType.simpleString()), "join-meta")
     n = buckets_for(rows, "text")

@@ -82,3 +82,14 @@ def test_decisions(spark):
     assert value(spark, lk.refined_class(F.lit("odd"), F.lit(2), F.lit(0.95), F.lit(0.8), F.lit(0.8))) == "low_confidence"
     assert value(spark, lk.plain_id(F.lit("AF-P123-F1-model_v4"))) == "P123"
     assert value(spark, lk.three_to_one(F.lit("mse"))) == "M" and value(spark, lk.one_to_three(F.lit("m"))) == "MET"
+
+
+def test_sql_functions(spark):
+    from quillspan.functions import sql
+
+    sql.register_functions(spark)
+    sql.register_tables({"some_ranges": spark.createDataFrame([("A:1-3, 5",), ("na",), (None,)], "t string")})
+    got = [r[0] for r in spark.sql("SELECT parse_range(t) FROM some_ranges").collect()]
+    assert got == [[1, 2, 3, 5], [], []]
+    r = spark.sql("SELECT set_jaccard(array(1, 2), array(2, 3, 4)), distance_probability(3.01D), structure_probability(1.9D), plain_id('AF-P1-F1-m')").first()
+    assert tuple(r) == (0.25, 0.94, 0.5, "P1")

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textkernel as tk
-from .common import buckets_for, small_batches
+from .common import bound_batches, buckets_for, small_batches
 from .ngram_join import even_keys
 
 CONTEXTS = 4096
@@ -297,6 +297,7 @@ def _added(spark: SparkSession, rdd, schema: str = "ctx int, x bigint, y bigint"
 def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = CONTEXTS) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity) of every row."""
     spark = docs.sparkSession
+    bound_batches(spark)
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     n = buckets_for(rows, "text")
     posted = _postings(rows, even_keys(spark, n), k).repartition(n, "bucket").rdd  # one shuffle, read by every sweep

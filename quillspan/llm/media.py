@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, settle, small_batches
+from .common import bound_batches, broadcast_if_small, settle, small_batches
 
 UNIT = 576
 LEAST, MASK_BITS, MOST = 256, 10, 8192
@@ -133,6 +133,7 @@ def store(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[
     A stored payload has its recipe and its own chunks deflated together; a shared chunk has its
     digest and deflated bytes. Only digests meet: a payload's bytes go from its text to its row.
     """
+    bound_batches(docs.sparkSession)
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).withColumn("key", payload_key(F.col("text")))
     listed = settle(rows.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"), "key"), "media-rows")
     again = listed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first"))

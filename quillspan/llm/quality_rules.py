@@ -147,10 +147,21 @@ def fit(docs: DataFrame, lang: str = "lang", source: str = "source", text: str =
     keyed = rows.filter("not failed").withColumn("g0", F.concat_ws("\x1f", F.lit("s"), F.coalesce("q_lang", F.lit("\x00")), F.coalesce("q_source", F.lit("\x00")))).join(of.filter("grp is not null"), "g0")
     half = chi2_quantile(k, 0.0)
 
-    start = keyed.groupBy("grp").agg(*[F.percentile_approx(f"x{i}", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 2000).alias(f"p{i}") for i in range(k)])
-    mu = F.array(*[F.col(f"p{i}")[1] for i in range(k)])
-    prec = F.array(*[(1 / F.greatest(F.pow((F.col(f"p{i}")[2] - F.col(f"p{i}")[0]) / 1.349, 2), F.lit(float(floors[i]))) if i == j else F.lit(0.0)) for i in range(k) for j in range(k)])
-    est = settle(start.select("grp", mu.alias("mu"), prec.alias("prec"), F.lit(1.0).alias("scale")), "mcd-est")
+    def start(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Median and quartile range of each statistic, from counts in bins of a 32nd."""
+        mu, var = [], []
+        for i in range(k):
+            mine = pdf[pdf["dim"] == i].sort_values("bin")
+            upto = np.cumsum(mine["n"].to_numpy(float))
+            low, mid, high = ((mine["bin"].to_numpy()[np.searchsorted(upto, q * upto[-1])] + 0.5) / 32 for q in (0.25, 0.5, 0.75))
+            mu.append(float(mid))
+            var.append(max(((high - low) / 1.349) ** 2, floors[i]))
+        return pd.DataFrame({"grp": [pdf["grp"].iloc[0]], "mu": [mu], "prec": [np.diag(1 / np.array(var)).ravel().tolist()], "scale": [1.0]})
+
+    schema = "grp string, mu array<double>, prec array<double>, scale double"
+    each = keyed.select("grp", F.posexplode(F.array(*[F.col(f"x{i}") for i in range(k)])).alias("dim", "x"))
+    counts = each.groupBy("grp", "dim", F.floor(F.col("x") * 32).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    est = settle(counts.groupBy("grp").applyInPandas(start, schema), "mcd-est")
 
     def concentrate(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("bin")
@@ -173,7 +184,7 @@ def fit(docs: DataFrame, lang: str = "lang", source: str = "source", text: str =
     sums += [F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"s{i}_{j}") for i in range(k) for j in range(i, k)]
     for step in range(steps + 1):
         binned = keyed.join(est, "grp").withColumn("bin", _bin(_distance(k))).groupBy("grp", "bin").agg(*sums)
-        new = binned.groupBy("grp").applyInPandas(concentrate, "grp string, mu array<double>, prec array<double>, scale double")
+        new = binned.groupBy("grp").applyInPandas(concentrate, schema)
         if step == steps:  # the scale under the last estimate
             new = est.drop("scale").join(new.select("grp", "scale"), "grp")
         est = settle(new, "mcd-est")

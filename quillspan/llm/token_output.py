@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import textkernel as tk
-from .common import fetch, filesystem, fresh, n_buckets, settle, small_batches
+from .common import bound_batches, fetch, filesystem, fresh, n_buckets, settle, small_batches
 from .units import CachedEncoder, tile
 
 BLOCK = 1024
@@ -242,6 +242,7 @@ def encode_column(col: pa.Array, path: str, end: int = 0) -> tuple[np.ndarray, n
 
 def write_ids(docs: DataFrame, uri: str, tokenizer: str, doc_id: str = "doc_id", text: str = "text", end: int = 0) -> DataFrame:
     """Write one file per range of document ids; a row for each segment."""
+    bound_batches(docs.sparkSession)
     n = n_buckets(docs.sparkSession)
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     rows = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text").withColumn("part", F.spark_partition_id())

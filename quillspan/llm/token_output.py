@@ -217,7 +217,7 @@ def encoder(path: str) -> CachedEncoder:
                 counts.append([len(e.ids)])
             return np.concatenate(ids), np.concatenate(counts).astype(np.int64), np.concatenate([many[many >= 0], alone])
 
-        _cached[path] = CachedEncoder(encode)
+        _cached[path] = CachedEncoder(encode, 1_500_000)
     return _cached[path]
 
 

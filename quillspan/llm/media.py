@@ -191,25 +191,22 @@ def read_back(stored: DataFrame, chunks: DataFrame) -> DataFrame:
         for b in batches:
             yield batch([finish(r["key"], list(range(len(r["digests"]))), r["digests"], own(r["lengths"], r["foreign"], r["body"])) for r in b.to_pylist()])
 
-    def parts(batches):
-        for b in batches:
-            rows = [(r["key"], p, d, x) for r in b.to_pylist() for p, (d, x) in enumerate(zip(r["digests"], own(r["lengths"], r["foreign"], r["body"]), strict=True))]
-            cols = list(zip(*rows, strict=True)) or [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.binary(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["key", "place", "digest", "own"])
-
     def gather(batches):
         for b in batches:
             rows = []
             for r in b.to_pylist():
-                got = {x["place"]: (x["digest"], x["own"] if x["own"] is not None else zlib.decompress(x["body"])) for x in r["chunks"]}
-                rows.append(finish(r["key"], list(got), [d for d, _ in got.values()], [c for _, c in got.values()]))
+                bodies = {x["place"]: x["body"] for x in r["bodies"]}
+                mine = own(r["lengths"], r["foreign"], bodies[-1])
+                rows.append(finish(r["key"], list(range(len(mine))), r["digests"], [zlib.decompress(bodies[i]) if c is None else c for i, c in enumerate(mine)]))
             yield batch(rows)
 
     apart = F.exists("foreign", lambda f: f)
     straight = stored.filter(~apart).mapInArrow(whole, _BACK)
-    pieces = stored.filter(apart).mapInArrow(parts, "key binary, place int, digest binary, own binary")
-    joined = pieces.join(chunks.withColumnRenamed("digest", "chunk_digest"), F.col("own").isNull() & (F.col("digest") == F.col("chunk_digest")), "left")
-    grouped = joined.groupBy("key").agg(F.collect_list(F.struct("place", "digest", "own", "body")).alias("chunks"))  # one payload's chunks
+    mixed = stored.filter(apart)
+    refs = mixed.select("key", F.posexplode(F.arrays_zip("digests", "foreign")).alias("place", "c")).filter("c.foreign").select("key", "place", F.col("c.digests").alias("digest"))
+    shared = refs.join(chunks, "digest").select("key", "place", "body")
+    both = mixed.select("key", F.lit(-1).alias("place"), "body", "digests", "lengths", "foreign").unionByName(shared, allowMissingColumns=True)  # own chunks travel once, deflated
+    grouped = both.groupBy("key").agg(F.collect_list(F.struct("place", "body")).alias("bodies"), *[F.first(c, ignorenulls=True).alias(c) for c in ("digests", "lengths", "foreign")])  # one payload's chunks
     return straight.unionByName(grouped.mapInArrow(gather, _BACK)).dropDuplicates(["key"])
 
 

@@ -265,7 +265,8 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int
     labels = links(records)
     classes = meta.filter("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("least"))
     classes = classes.join(labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn("label", F.coalesce("label", "sig"))
-    named = classes.groupBy("label").agg(F.min("least").alias("component_id"))
+    classes = settle(classes, "join-labelled")
+    named = settle(classes.groupBy("label").agg(F.min("least").alias("component_id")), "join-named")  # settled, so that a hot component's classes can be split
     named = settle(classes.join(named, "label").select("sig", "component_id", F.col("least").alias("class_id")), "join-classes")
     out = meta.join(named, "sig", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), *[F.coalesce(c, "doc_id").alias(c) for c in ("component_id", "class_id")])

@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import contextlib
 import ctypes
+import gc
 import shutil
 import tempfile
 import uuid
@@ -53,6 +54,12 @@ def discard(*tables) -> None:
             p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of the shuffle files of frames that nothing refers to: Spark removes them once the driver has collected those."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def broadcast_if_small(df: DataFrame, rows: int = 500_000) -> DataFrame:
     """A settled table, with a broadcast hint if it has ``rows`` rows of a few numbers or digests at most; else it is shuffled."""
     return F.broadcast(df) if df.count() <= rows else df

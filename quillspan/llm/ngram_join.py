@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textkernel as tk
-from .common import bound_batches, broadcast_if_small, buckets_for, discard, settle, shield, small_batches, unshield
+from .common import bound_batches, broadcast_if_small, buckets_for, discard, release, settle, shield, small_batches, unshield
 from .components import components
 
 WIDTH, NUM, DEN = 5, 80, 100
@@ -250,6 +250,12 @@ def links(records: DataFrame) -> DataFrame:
     return components(first.union(second))
 
 
+def _found(rows: DataFrame, width: int, n: int) -> DataFrame:
+    """Classes that can have partners, by way of the packed postings."""
+    posted = _postings(rows, width, even_keys(rows.sparkSession, n)).repartition(n, "bucket")
+    return posted.mapInArrow(_count, "block bigint, kind int, body binary").repartition(n, "block").mapInArrow(_assemble, _RECORD)
+
+
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
     """(doc_id, n_shingles, component_id, class_id) of every row: a class is the documents with one set, named by its least id."""
     spark = docs.sparkSession
@@ -257,11 +263,11 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     meta = settle(_meta(rows, width, rows.schema["doc_id"].dataType.simpleString()), "join-meta")
     n = buckets_for(rows, "text")
-    posted = _postings(rows, width, even_keys(spark, n)).repartition(n, "bucket")
-    answered = posted.mapInArrow(_count, "block bigint, kind int, body binary").repartition(n, "block")
-    found = settle(answered.mapInArrow(_assemble, _RECORD), "join-found")
+    found = settle(_found(rows, width, n), "join-found")
+    release(spark)  # the postings
     records = settle(found.groupBy("sig").agg(*[F.first(c).alias(c) for c in ("grp", "n", "own", "prefix", "items")]), "join-records")
     discard(found)
+    del found
     labels = links(records)
     classes = meta.filter("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("least"))
     classes = classes.join(labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn("label", F.coalesce("label", "sig"))

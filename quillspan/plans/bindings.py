@@ -43,11 +43,17 @@ FROM {events}
 """
 #: Residues of a chain with pair errors.
 CHAIN = 60
-#: Pair errors between the residues of every protein's chain.
-ERRORS = f"""
+
+
+def errors(chain: int) -> str:
+    """Pair errors between the residues of every protein's chain of ``chain`` residues."""
+    return f"""
 SELECT s_suppkey AS protein, CAST(r1 AS INT) AS r1, CAST(r2 AS INT) AS r2, CAST((s_suppkey * 31 + r1 * 7 + r2 * 13) % 300 AS DOUBLE) / 10 AS err
-FROM {{supplier}} CROSS JOIN range(1, {CHAIN + 1}) AS a(r1) CROSS JOIN range(1, {CHAIN + 1}) AS b(r2) WHERE r1 < r2
+FROM {{supplier}} CROSS JOIN range(1, {chain + 1}) AS a(r1) CROSS JOIN range(1, {chain + 1}) AS b(r2) WHERE r1 < r2
 """
+
+
+ERRORS = errors(CHAIN)
 #: Points of chains.
 ATOMS = """
 SELECT CAST(label AS BIGINT) AS protein, CAST(vec_id AS INT) AS resid, CAST(embedding[{base}] AS DOUBLE) * 50 AS x, CAST(embedding[{base} + 1] AS DOUBLE) * 50 AS y, CAST(embedding[{base} + 2] AS DOUBLE) * 50 AS z

@@ -437,10 +437,26 @@ _MATRIX = f"""(SELECT e.protein, e.r1, e.r2, pow({case('e.dist', lk.DISTANCE_BIN
   FROM (SELECT *, CAST({_DIST} AS DOUBLE) AS dist FROM {E}) e LEFT JOIN {_PS} s ON s.protein = e.protein AND s.r1 = e.r1 AND s.r2 = e.r2)"""
 
 
-def matrix(spark, sf):
-    e = bd.bind(spark, sf, bd.ERRORS)
+def whole_hits(spark, sf):
+    """All hits with all residues of their ranges."""
+    return hits(spark, sf).withColumn("res", F.sequence("qs", "qe"))
+
+
+def longest(spark, sf) -> int:
+    """Residues of a chain that holds the ranges of all hits."""
+    return max(bd.CHAIN, hits(spark, sf).agg(F.max("qe")).first()[0] or 0)
+
+
+@query("pair_scores_whole", f"SELECT protein, CAST(a AS INT) AS r1, CAST(b AS INT) AS r2, max(prob) AS best, count(*) AS n FROM (SELECT protein, prob, a, unnest(generate_series(a + 1, qe)) AS b FROM (SELECT protein, prob, qe, unnest(generate_series(qs, qe)) AS a FROM {H})) GROUP BY ALL")
+def pair_scores_whole(spark, sf):
+    return joins.pair_scores(whole_hits(spark, sf), "res", "prob")
+
+
+def matrix(spark, sf, whole: bool = False):
+    """Probabilities of a chain's pairs: of ``CHAIN`` residues and the strong hits there, or ``whole``."""
+    e = bd.bind(spark, sf, bd.errors(longest(spark, sf)) if whole else bd.ERRORS)
     dist = e.select("protein", "r1", "r2", F.expr(_DIST).cast("double").alias("dist"))
-    s = joins.pair_scores(small_hits(spark, sf), "res", "prob")
+    s = joins.pair_scores((whole_hits if whole else small_hits)(spark, sf), "res", "prob")
     return joins.probability_matrix(dist, e, s, s.withColumn("best", F.col("best") / 5))
 
 
@@ -449,6 +465,12 @@ def probability_matrix(spark, sf):
     return matrix(spark, sf).withColumn("p", F.round("p", 6))
 
 
+@query("probability_matrix_whole")
+def probability_matrix_whole(spark, sf):
+    """The matrix of whole chains; tests hold it against a plain model."""
+    return matrix(spark, sf, whole=True).withColumn("p", F.round("p", 6))
+
+
 @query(
     "chunk_pairs",
     f"""WITH c AS (SELECT s_suppkey AS protein, unnest(generate_series(1, {bd.CHAIN})) AS r FROM supplier), k AS (SELECT protein, r, (r - 1) // 5 AS chunk FROM c),
@@ -456,22 +478,33 @@ def probability_matrix(spark, sf):
     SELECT protein, CAST(i AS BIGINT) AS i, CAST(j AS BIGINT) AS j, n, round(coalesce(total, 0) / n, 6) AS mean FROM g""",
 )
 def chunk_pairs(spark, sf):
-    return pair_stats(spark, sf).select("protein", F.col("i").cast("bigint").alias("i"), F.col("j").cast("bigint").alias("j"), F.col("n").cast("bigint").alias("n"), F.round("mean", 6).alias("mean"))
+    return shown_stats(pair_stats(spark, sf))
+
+
+@query("chunk_pairs_whole")
+def chunk_pairs_whole(spark, sf):
+    """Chunk pairs of whole chains; tests hold them against a plain model."""
+    return shown_stats(pair_stats(spark, sf, whole=True))
+
+
+def shown_stats(s):
+    return s.select("protein", F.col("i").cast("bigint").alias("i"), F.col("j").cast("bigint").alias("j"), F.col("n").cast("bigint").alias("n"), F.round("mean", 6).alias("mean"))
 
 
-def all_chunks(spark, sf):
-    c = spark.read.parquet(f"{sf}/supplier.parquet").select(F.col("s_suppkey").alias("protein"), F.explode(F.sequence(F.lit(1), F.lit(bd.CHAIN))).alias("resid"))
+def all_chunks(spark, sf, whole: bool = False):
+    n = longest(spark, sf) if whole else bd.CHAIN
+    c = spark.read.parquet(f"{sf}/supplier.parquet").select(F.col("s_suppkey").alias("protein"), F.explode(F.sequence(F.lit(1), F.lit(n))).alias("resid"))
     return windows.chunks(c)
 
 
-def pair_stats(spark, sf):
-    return windows.chunk_pairs(all_chunks(spark, sf), matrix(spark, sf))
+def pair_stats(spark, sf, whole: bool = False):
+    return windows.chunk_pairs(all_chunks(spark, sf, whole), matrix(spark, sf, whole))
 
 
 @query("chunk_clusters")
 def chunk_clusters(spark, sf):
-    """Greedy agglomeration has no SQL; tests hold it against a plain model."""
-    return cluster.cluster_chunks(pair_stats(spark, sf), all_chunks(spark, sf), 0.5)
+    """Greedy agglomeration has no SQL; tests hold it against a plain model. Whole chains with all hits."""
+    return cluster.cluster_chunks(pair_stats(spark, sf, whole=True), all_chunks(spark, sf, whole=True), 0.5)
 
 
 @query("spatial_contacts", f"SELECT a.protein, a.resid AS r1, b.resid AS r2 FROM {A} a JOIN {A} b ON a.protein = b.protein AND a.resid < b.resid WHERE sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) + (a.z - b.z) * (a.z - b.z)) <= 8")

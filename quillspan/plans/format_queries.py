@@ -132,6 +132,13 @@ def interval_coverage(spark, sf):
     return domain_rows(spark, sf).join(h, ["protein", "resid"]).select("protein", "domain", "line_no")
 
 
+@query("interval_coverage_whole", f"SELECT d.protein, domain, line_no, count(*) AS n FROM {DR} d JOIN {H} h ON h.protein = d.protein AND d.resid BETWEEN h.qs AND h.qe GROUP BY ALL")
+def interval_coverage_whole(spark, sf):
+    """Every hit with the domains it covers, and how many of their residues."""
+    h = hits(spark, sf).select("protein", "line_no", F.explode(F.sequence("qs", "qe")).alias("resid"))
+    return domain_rows(spark, sf).join(h, ["protein", "resid"]).groupBy("protein", "domain", "line_no").agg(F.count(F.lit(1)).alias("n"))
+
+
 # ---- features
 
 _HB = f"(SELECT protein, domain, template, prob / 100 AS hh_prob, qs, qe, ts, line_no FROM (SELECT *, row_number() OVER (PARTITION BY protein, domain, template ORDER BY prob DESC, line_no) AS k FROM (SELECT *, CAST(line_no % 4 AS BIGINT) AS domain FROM {H} WHERE line_no % 2 = 0)) WHERE k = 1)"

@@ -5,6 +5,7 @@ from collections import defaultdict
 import pytest
 
 from quillspan.functions import lookups as lk
+from quillspan.plans import format_queries as fq
 from quillspan.plans import queries as q
 
 SF = "/root/testdata/sf0.001"
@@ -65,3 +66,10 @@ def test_matrix_and_chunks_of_whole_chains(spark, hits):
     got = {(r.protein, r.i, r.j): (r.n, r.mean) for r in q.chunk_pairs_whole(spark, SF).collect()}
     assert got.keys() == sums.keys() and all(got[k][0] == c and abs(got[k][1] - t / c) < 2e-6 for k, (c, t) in sums.items())
     assert q.chunk_clusters(spark, SF).agg({"resid": "max"}).first()[0] > 60
+
+
+def test_coverage_of_all_hits(spark, hits):
+    domains = [(r.protein, r.domain, set(r.resids)) for r in q.domains(spark, SF).collect()]
+    want = {(p, d, h.line_no): len(x & set(range(h.qs, h.qe + 1))) for p, d, x in domains for h in hits if h.protein == p}
+    got = {(r.protein, r.domain, r.line_no): r.n for r in fq.interval_coverage_whole(spark, SF).collect()}
+    assert got == {k: n for k, n in want.items() if n}

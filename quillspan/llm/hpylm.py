@@ -1,19 +1,19 @@
 """Language-model scoring by a hierarchical Pitman-Yor model.
 
-Context restaurants (the token before, hashed to ``CONTEXTS`` classes) share one parent restaurant,
-whose base is uniform over the training vocabulary and one unknown token. Customers are training
-tokens; each table of a context restaurant is a customer of the parent. Gibbs sweeps reseat all
-customers of every dish by the Chinese-restaurant rule, given the seating of the rest as the sweep
-before left it; predictive probabilities are averaged over the sweeps after burn-in.
+Context restaurants (one for each token before) share one parent restaurant, whose base is uniform
+over the training vocabulary and one unknown token. Customers are training tokens; each table of a
+context restaurant is a customer of the parent. Gibbs sweeps reseat all customers of every dish by
+the Chinese-restaurant rule, given the seating of the rest as the sweep before left it; predictive
+probabilities are averaged over the sweeps after burn-in.
 
 All counts are of whole texts and of all training documents. Blocks of texts send their postings
 (token hash, context, document, count), packed by token hash, to reducers; a reducer holds its
-tokens' dishes in all restaurants, so the parent's counts are local, and only totals per context
-(``CONTEXTS`` rows) pass between sweeps, added up by Spark. Sweeps reuse the one shuffle of the
-postings; a task repeats earlier sweeps from their totals and seeds, so a lost executor costs a
-recomputation and no state. Reducers answer each block with sums per document.
-
-A dish of any frequency has at most ``CONTEXTS`` types here, each a few bytes per block.
+tokens' dishes in all restaurants, so the parent's counts are local. It stores its types (word,
+context, count) once; sweeps read only those. Totals per context are a table spread over hash
+ranges of the contexts: after each sweep, reducers send their sums to the ranges, which add them up
+and answer each reducer for the contexts it holds. Only single numbers and names of files pass
+through the driver. A task repeats earlier sweeps from their totals and seeds, so a lost executor
+costs a recomputation and no state. Reducers answer each block with sums per document.
 
 Defined cases: null and empty texts are one end token; a null id counts as the empty text in the
 hold-out rule; repeated rows count each; without training tokens all probabilities are uniform over
@@ -22,6 +22,7 @@ the unknown token alone (score 0); empty tables give empty results.
 
 from __future__ import annotations
 
+import uuid
 import zlib
 
 import numpy as np
@@ -31,10 +32,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textkernel as tk
-from .common import bound_batches, buckets_for, small_batches
-from .ngram_join import even_keys
+from .common import bound_batches, buckets_for, discard, fetch, fresh, publish, release, small_batches
+from .ngram_join import _from_planes, _planes, even_keys
 
-CONTEXTS = 4096
 BURN, KEEP = 1, 2
 STRENGTH, PARENT_STRENGTH = 1.0, 10.0
 EXACT = 64
@@ -55,38 +55,34 @@ def tokens(col) -> tuple[np.ndarray, np.ndarray]:
     return out, at
 
 
-def contexts(h: np.ndarray, at: np.ndarray, k: int = CONTEXTS) -> np.ndarray:
-    """The class of the token before each; a text's first token follows an end."""
-    before = np.empty_like(h)
-    before[1:] = h[:-1]
-    before[at[:-1]] = END
-    return (tk.mix(before) % np.uint64(k)).astype(np.uint16)
-
-
 def held_out(doc_id) -> bool:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % 5 == 1
 
 
-def _postings(rows: DataFrame, keys: list[int], k: int) -> DataFrame:
+def _postings(rows: DataFrame, keys: list[int]) -> DataFrame:
     """(bucket, block, kind, body): postings by token hash, and each block's documents (kind 1)."""
     n = len(keys)
 
     def run(batches):
         part, seq = TaskContext.get().partitionId(), 0
         ids: list = []
-        held: list = [[], [], []]
+        held: list = [[], []]
 
         def flush():
             nonlocal seq
             block = (part << 32) | seq
-            h, c, sizes = np.concatenate(held[0]), np.concatenate(held[1]), np.concatenate(held[2])
+            h, sizes = np.concatenate(held[0]), np.concatenate(held[1])
             out = np.array([held_out(d) for d in ids], bool)
             place = np.empty(len(ids), np.int64)  # training documents come first
             order = np.argsort(out, kind="stable")
             place[order] = np.arange(len(ids))
             doc = np.repeat(place, sizes)
             words, w = np.unique(h, return_inverse=True)
-            code, times = np.unique((w.astype(np.uint64) << np.uint64(32)) | (c.astype(np.uint64) << np.uint64(16)) | doc.astype(np.uint64), return_counts=True)
+            c = np.empty_like(w)  # the token before; a text's first token follows an end
+            c[1:] = w[:-1]
+            c[np.cumsum(sizes) - sizes] = np.searchsorted(words, END)
+            m, many = np.uint64(len(ids)), np.uint64(len(words))
+            code, times = np.unique((w.astype(np.uint64) * many + c.astype(np.uint64)) * m + doc.astype(np.uint64), return_counts=True)
             if times.max(initial=0) > 65535:  # a count of two bytes, so often as it takes
                 rep = (times + 65534) // 65535
                 last = times - (rep - 1) * 65535
@@ -94,16 +90,17 @@ def _postings(rows: DataFrame, keys: list[int], k: int) -> DataFrame:
                 ends = np.cumsum(rep) - 1
                 times = np.full(len(code), 65535)
                 times[ends] = last
-            w = (code >> np.uint64(32)).astype(np.int64)
+            code, doc = code // m, (code % m).astype(np.uint16)
+            w, c, times = (code // many).astype(np.int64), (code % many).astype(np.int64), times.astype(np.uint16)
             per = np.bincount(w, minlength=len(words)).astype(np.uint32)
             pos = np.concatenate([[0], np.cumsum(per, dtype=np.int64)])
             edges = np.concatenate([[0], np.searchsorted(words, np.array([(i << 64) // n for i in range(1, n)], np.uint64)), [len(words)]])
-            c, doc, times = ((code >> np.uint64(16)) & np.uint64(0xFFFF)).astype(np.uint16), (code & np.uint64(0xFFFF)).astype(np.uint16), times.astype(np.uint16)
             bodies = []
             for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                 p, q = pos[a], pos[b]
-                head = np.array([int((~out).sum()), b - a, q - p], np.uint32)
-                bodies.append(b"".join(x.tobytes() for x in (head, words[a:b], per[a:b], c[p:q], doc[p:q], times[p:q])) if b > a else b"")
+                before, at = np.unique(c[p:q], return_inverse=True)
+                head = np.array([int((~out).sum()), b - a, q - p, len(before)], np.uint32)
+                bodies.append(b"".join((head.tobytes(), _planes(words[a:b]), per[a:b].tobytes(), _planes(words[before]), *(x.tobytes() for x in (at.astype(_index(len(before))), doc[p:q], times[p:q])))) if b > a else b"")
             known = np.array([d is not None for d in ids], np.uint8)[order]
             meta = b"".join(x.tobytes() for x in (np.array([0 if ids[i] is None else ids[i] for i in order.tolist()], np.int64), sizes[order].astype(np.int64), known, out[order].astype(np.uint8)))
             got = pa.RecordBatch.from_arrays(
@@ -118,13 +115,12 @@ def _postings(rows: DataFrame, keys: list[int], k: int) -> DataFrame:
 
         size = 0
         for b in small_batches(batches, "text"):
-            if ids and (size >= BLOCK_TOKENS or len(ids) + b.num_rows > BLOCK_DOCS):
+            h, at = tokens(b.column("text"))
+            if ids and (size + len(h) > BLOCK_TOKENS or len(ids) + b.num_rows > BLOCK_DOCS):
                 yield flush()
                 size = 0
-            h, at = tokens(b.column("text"))
             held[0].append(h)
-            held[1].append(contexts(h, at, k))
-            held[2].append(np.diff(at))
+            held[1].append(np.diff(at))
             ids += b.column("doc_id").to_pylist()
             size += len(h)
         if ids:
@@ -133,44 +129,76 @@ def _postings(rows: DataFrame, keys: list[int], k: int) -> DataFrame:
     return rows.mapInArrow(run, "bucket int, block bigint, kind int, body binary")
 
 
+def _index(n: int):
+    return np.uint16 if n <= 1 << 16 else np.uint32
+
+
+def _publish(path: str, *columns: np.ndarray) -> None:
+    """A file of columns of integers, as compressed planes of bytes."""
+    body = b"".join(map(_planes, columns))
+    publish(path, np.array([len(body), *map(len, columns)], np.int64).tobytes() + pa.compress(body, "zstd", asbytes=True))
+
+
+def _fetch(path: str, n: int) -> list[np.ndarray]:
+    """The ``n`` columns of such a file."""
+    data = fetch(path)
+    total, *sizes = np.frombuffer(data, np.int64, n + 1).tolist()
+    body = pa.decompress(memoryview(data)[8 * (n + 1) :], total, "zstd", asbytes=True) if total else b""
+    ends = np.cumsum([0, *sizes]).tolist()
+    return [_from_planes(memoryview(body)[8 * a : 8 * b], b - a) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+
+def _parts(body) -> list:
+    """Training documents, words, postings of each, contexts, and each posting's context, document and count."""
+    train, nw, n, nc = np.frombuffer(body, np.uint32, 4).tolist()
+    at, got = 16, [train]
+    for dtype, m in ((np.uint64, nw), (np.uint32, nw), (np.uint64, nc), (_index(nc), n), (np.uint16, n), (np.uint16, n)):
+        x = _from_planes(memoryview(body)[at : at + 8 * m], m) if dtype == np.uint64 else np.frombuffer(body, dtype, m, at)
+        at += x.nbytes
+        got.append(x)
+    return got
+
+
 class Shard:
-    """A reducer's tokens: words, training types (word, context) with counts, and the blocks' postings."""
+    """A reducer's tokens: words, the contexts they follow, and training types (word, context) with counts."""
 
     def __init__(self, rows):
-        self.metas, blocks = [], []
-        for _, block, kind, body in rows:
-            if kind:
-                self.metas.append((block, bytes(body)))
-            elif len(body):
-                blocks.append((block, body))
-        blocks.sort(key=lambda x: x[0])
-        parts = []
-        for block, body in blocks:
-            train, nw, np_ = np.frombuffer(body, np.uint32, 3).tolist()
-            at, got = 12, []
-            for dtype, m in ((np.uint64, nw), (np.uint32, nw), (np.uint16, np_), (np.uint16, np_), (np.uint16, np_)):
-                x = np.frombuffer(body, dtype, m, at)
-                at += x.nbytes
-                got.append(x)
-            parts.append((block, train, *got))
-        self.words = np.unique(np.concatenate([p[2] for p in parts])) if parts else np.zeros(0, np.uint64)
-        self.blocks, keys, counts = [], [], []
-        for block, train, words, per, ctx, doc, times in parts:
-            key = (np.repeat(np.searchsorted(self.words, words), per).astype(np.int64) << 16) | ctx
-            self.blocks.append((block, key, doc, times))
-            mine = doc < train
-            keys.append(key[mine])
-            counts.append(times[mine].astype(np.int64))
+        parts = [_parts(body) for _, block, kind, body in rows if not kind and len(body)]
+        union = lambda j: np.unique(np.concatenate([p[j] for p in parts])) if parts else np.zeros(0, np.uint64)
+        self.words, self.contexts = union(1), union(3)
+        keys, counts = [], []
+        while parts:
+            part = parts.pop()
+            mine = part[5] < part[0]
+            keys.append(self.keys(*part[1:5])[mine])
+            counts.append(part[6][mine])
         key, count = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (keys, counts))
+        del keys, counts
         order = np.argsort(key, kind="stable")
-        key, count = key[order], count[order]
+        key, count = key[order], count[order].astype(np.int64)
         first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-        self.key = key[first]
-        self.count = np.add.reduceat(count, first) if len(first) else np.zeros(0, np.int64)
-        self.word, self.ctx = self.key >> 16, self.key & 0xFFFF
+        self._types(key[first], np.add.reduceat(count, first) if len(first) else np.zeros(0, np.int64))
+
+    def _types(self, key: np.ndarray, count: np.ndarray) -> None:
+        self.key, self.count = key, count
+        self.word, self.ctx = self.key >> 32, self.key & 0xFFFFFFFF
         self.word_count = np.bincount(self.word, weights=self.count, minlength=len(self.words)).astype(np.int64)
         self.contexts_of = np.bincount(self.word, minlength=len(self.words))
 
+    def keys(self, words, per, before, ctx) -> np.ndarray:
+        """The type of each posting of a block."""
+        return (np.repeat(np.searchsorted(self.words, words), per).astype(np.int64) << 32) | np.searchsorted(self.contexts, before)[ctx]
+
+    def store(self, path: str) -> None:
+        _publish(path, self.words, self.contexts, self.key, self.count)
+
+    @classmethod
+    def load(cls, path: str) -> Shard:
+        self = cls.__new__(cls)
+        self.words, self.contexts, key, count = _fetch(path, 4)
+        self._types(key.astype(np.int64), count.astype(np.int64))
+        return self
+
 
 def seat(count: np.ndarray, mass: np.ndarray, discount: float, rng) -> np.ndarray:
     """Tables of each dish after its customers are seated one by one.
@@ -209,35 +237,116 @@ def sweeps(shard: Shard, model: dict, upto: int, seed: int):
         yield t, c0, t0
 
 
-def _first_totals(index: int, rows, k: int):
-    """Sums over one reducer: customers and types per context; N, V and counts of counts under -1 to -4."""
+_SENT = "bucket int, src int, part int, body binary"
+#: Parts below 0 go to the driver: a reducer's numbers, its file of types, a range's file of places, a reducer's file of totals.
+NUMBERS, TYPES, PLACES, TOTALS = -1, -2, -3, -4
+
+
+def _send(index: int, shard: Shard, keys: list[int], columns: list[np.ndarray], numbers: list[int]):
+    """Rows of _SENT: a reducer's ``columns`` (one value per context) by hash range of the contexts, and its numbers."""
+    n = len(keys)
+    at = np.concatenate([[0], np.searchsorted(shard.contexts, np.array([(i << 64) // n for i in range(1, n)], np.uint64)), [len(shard.contexts)]]).tolist()
+    for j in range(n):
+        a, b = at[j], at[j + 1]
+        if b > a:
+            yield keys[j], index, j, b"".join(_planes(x[a:b]) for x in columns)
+    yield keys[index], index, NUMBERS, np.array(numbers, np.int64).tobytes()
+
+
+def _first(index: int, rows, keys: list[int], base: str):
+    """Stores one reducer's types; customers and types per context, and N, V and counts of counts."""
     s = Shard(rows)
-    c = np.bincount(s.ctx, weights=s.count, minlength=k)
-    t = np.bincount(s.ctx, minlength=k)
-    yield from ((int(i), int(c[i]), int(t[i])) for i in np.flatnonzero(t))
-    yield -1, int(s.count.sum()), int((s.word_count > 0).sum())
-    yield -2, int((s.count == 1).sum()), int((s.count == 2).sum())
-    yield -3, int((s.contexts_of == 1).sum()), int((s.contexts_of == 2).sum())
-
-
-def _sweep_totals(index: int, rows, model: dict, s: int, k: int):
-    """Tables per context, and of the parent under -1, after sweep s."""
-    shard = Shard(rows)
-    t = c0 = t0 = None
-    for t, c0, t0 in sweeps(shard, model, s, index):
+    path = f"{base}/types-{index}-{uuid.uuid4().hex}"
+    s.store(path)
+    yield keys[index], index, TYPES, path.encode()
+    k = len(s.contexts)
+    c, t = np.bincount(s.ctx, weights=s.count, minlength=k), np.bincount(s.ctx, minlength=k)
+    n = [s.count.sum(), (s.word_count > 0).sum(), (s.count == 1).sum(), (s.count == 2).sum(), (s.contexts_of == 1).sum(), (s.contexts_of == 2).sum(), t.sum()]
+    yield from _send(index, s, keys, [s.contexts, c, t], [int(x) for x in n])
+
+
+def _loaded(index: int, model: dict) -> tuple[Shard, dict]:
+    """A reducer's types, and the model with the totals of its contexts."""
+    s = Shard.load(model["types"][index])
+    k = len(s.contexts)
+    read = lambda files, n: [x.astype(np.float64) for x in _fetch(files[index], n)] if index in files else [np.zeros(k)] * n
+    columns = [read(files, 2 if i == 0 else 1) for i, (files, _, _) in enumerate(model["totals"])]
+    totals = [(x[-1], a, b) for x, (_, a, b) in zip(columns, model["totals"], strict=True)]
+    return s, model | {"totals": totals, "customers": columns[0][0]}
+
+
+def _sweep(index: int, model: dict, s: int, keys: list[int]):
+    """Tables per context, and of the parent, after sweep s."""
+    shard, mine = _loaded(index, model)
+    for t, _, t0 in sweeps(shard, mine, s, index):  # noqa: B007
         pass
-    per = np.bincount(shard.ctx, weights=t, minlength=k)
-    yield from ((int(i), int(per[i]), 0) for i in np.flatnonzero(per))
-    yield -1, int(t0.sum()), 0
+    yield from _send(index, shard, keys, [np.bincount(shard.ctx, weights=t, minlength=len(shard.contexts))], [int(t0.sum()), int(t.sum())])
+
+
+def _rows(batches):
+    for b in batches:
+        yield from zip(*(b.column(c).to_pylist() for c in ("bucket", "src", "part", "body")), strict=True)
+
+
+def _batch(*rows):
+    cols = zip(*rows, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=["bucket", "src", "part", "body"])
+
+
+def _add(keys: list[int], base: str, places: dict[int, str] | None):
+    """Per hash range of contexts: adds the reducers' columns up and answers each for its contexts. Without ``places``, finds and stores them."""
+
+    def run(batches):
+        parts: dict[int, list] = {}
+        for row in _rows(batches):
+            if row[2] < 0:
+                yield _batch(row)
+            else:
+                parts.setdefault(row[2], []).append((row[1], row[3]))
+        for part, got in parts.items():
+            got.sort(key=lambda x: x[0])
+            width = 24 if places is None else 8
+            size = [len(x) // width for _, x in got]
+            column = lambda j, got=got, size=size: np.concatenate([_from_planes(x[8 * j * m : 8 * (j + 1) * m], m) for (_, x), m in zip(got, size, strict=True)])
+            if places is None:
+                _, at = np.unique(column(0), return_inverse=True)
+                path = f"{base}/places-{part}-{uuid.uuid4().hex}"
+                _publish(path, at)
+                yield _batch((keys[part], part, PLACES, path.encode()))
+            else:
+                at = _fetch(places[part], 1)[0].astype(np.int64)
+            sums = [np.bincount(at, weights=column(j))[at] for j in ((1, 2) if places is None else (0,))]
+            end = 0
+            for (src, _), m in zip(got, size, strict=True):
+                yield _batch((keys[src], src, part, b"".join(_planes(x[end : end + m]) for x in sums)))
+                end += m
+
+    return run
+
+
+def _keep(base: str, width: int):
+    """Per reducer: stores the answers of all ranges, in the order of its contexts."""
+
+    def run(batches):
+        got: dict[int, list] = {}
+        for row in _rows(batches):
+            if row[2] < 0:
+                yield _batch(row)
+            else:
+                got.setdefault(row[1], []).append((row[2], row[3]))
+        for src, parts in got.items():
+            bodies = [x for _, x in sorted(parts, key=lambda x: x[0])]
+            path = f"{base}/totals-{src}-{uuid.uuid4().hex}"
+            size = [len(x) // (8 * width) for x in bodies]
+            _publish(path, *(np.concatenate([_from_planes(x[8 * j * m : 8 * (j + 1) * m], m) for x, m in zip(bodies, size, strict=True)]) for j in range(width)))
+            yield _batch((0, src, TOTALS, path.encode()))
+
+    return run
 
 
-def _scores(index: int, rows, model: dict, k: int):
+def _scores(index: int, rows, model: dict):
     """Answers (block, kind, body): documents with their sums of log10 probabilities, base and known counts."""
-    shard = Shard(rows)
-    for block, body in shard.metas:
-        yield block, 1, body
-    if not shard.blocks:
-        return
+    shard, model = _loaded(index, model)
     d, d0, n, v = model["d"], model["d0"], model["N"], model["V"]
     base = 1.0 / (v + 1)
     samples = []
@@ -248,8 +357,15 @@ def _scores(index: int, rows, model: dict, k: int):
             samples.append((np.maximum(shard.count - d * t, 0), p0, (STRENGTH + d * tables) / (STRENGTH + model["customers"]), 1 / (STRENGTH + model["customers"])))
     log_base = np.log10((shard.word_count + 0.5) / (n + 0.5 * (v + 1)))
     known = shard.word_count > 0
-    for block, key, doc, times in shard.blocks:
-        word, ctx = key >> 16, key & 0xFFFF
+    for _, block, kind, body in rows:
+        if kind:
+            yield block, 1, bytes(body)
+            continue
+        if not len(body):
+            continue
+        _, words, per, before, at, doc, times = _parts(body)
+        key = shard.keys(words, per, before, at)
+        word, ctx = key >> 32, key & 0xFFFFFFFF
         i = np.minimum(np.searchsorted(shard.key, key), max(len(shard.key) - 1, 0))
         hit = shard.key[i] == key if len(shard.key) else np.zeros(len(key), bool)
         p = np.zeros(len(key))
@@ -289,27 +405,40 @@ def _documents(n_train: int):
     return run
 
 
-def _added(spark: SparkSession, rdd, schema: str = "ctx int, x bigint, y bigint") -> dict[int, tuple[int, int]]:
-    rows = spark.createDataFrame(rdd, schema).groupBy("ctx").agg(F.sum("x").alias("x"), F.sum("y").alias("y")).collect()  # CONTEXTS rows and a few
-    return {r["ctx"]: (int(r["x"]), int(r["y"])) for r in rows}
+def _exchanged(spark: SparkSession, rdd, keys: list[int], base: str, places: dict[int, str] | None) -> tuple[np.ndarray, dict[int, dict[int, str]]]:
+    """Sums of the reducers' numbers, and the names of the files that an exchange stored, by kind and index."""
+    sent = spark.createDataFrame(rdd, _SENT).repartition(len(keys), "bucket").mapInArrow(_add(keys, base, places), _SENT)
+    kept = sent.repartition(len(keys), "bucket").mapInArrow(_keep(base, 2 if places is None else 1), _SENT)
+    numbers, files = [], {TYPES: {}, PLACES: {}, TOTALS: {}}
+    for _, src, part, body in kept.collect():  # a few short rows for each reducer
+        if part == NUMBERS:
+            numbers.append(np.frombuffer(bytes(body), np.int64))
+        else:
+            files[part][src] = bytes(body).decode()
+    return np.sum(numbers, axis=0), files
 
 
-def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = CONTEXTS) -> DataFrame:
+def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity) of every row."""
     spark = docs.sparkSession
     bound_batches(spark)
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     n = buckets_for(rows, "text")
-    posted = _postings(rows, even_keys(spark, n), k).repartition(n, "bucket").rdd  # one shuffle, read by every sweep
-    got = _added(spark, posted.mapPartitionsWithIndex(lambda i, it: _first_totals(i, it, k)))
-    array = lambda j: np.array([got.get(i, (0, 0))[j] for i in range(k)], np.float64)
-    (n_tokens, vocabulary), (n1, n2), (m1, m2) = (got.get(i, (0, 0)) for i in (-1, -2, -3))
+    keys, base = even_keys(spark, n), fresh(spark, "lm")
+    posted = _postings(rows, keys).repartition(n, "bucket").rdd  # one shuffle, read for the types and for the scores
+    got, files = _exchanged(spark, posted.mapPartitionsWithIndex(lambda i, it: _first(i, it, keys, base)), keys, base, None)
+    n_tokens, vocabulary, n1, n2, m1, m2, types = got.tolist()
     discount = lambda a, b: float(np.clip(a / (a + 2 * b), 0.05, 0.95)) if a else 0.5
-    model = {"N": n_tokens, "V": vocabulary, "d": discount(n1, n2), "d0": discount(m1, m2), "customers": array(0), "totals": [(array(1), float(vocabulary), float(array(1).sum()))]}
+    model = {"N": n_tokens, "V": vocabulary, "d": discount(n1, n2), "d0": discount(m1, m2), "types": files[TYPES], "totals": [(files[TOTALS], float(vocabulary), float(types))]}
+    each, places = spark.sparkContext.parallelize(range(n), n), files[PLACES]
     for s in range(1, BURN + KEEP + 1):
-        got = _added(spark, posted.mapPartitionsWithIndex(lambda i, it, m=model, s=s: _sweep_totals(i, it, m, s, k)))
-        model["totals"].append((array(0), float(got.get(-1, (0, 0))[0]), float(array(0).sum())))
-    answers = spark.createDataFrame(posted.mapPartitionsWithIndex(lambda i, it: _scores(i, it, model, k)), "block bigint, kind int, body binary")
+        swept = each.mapPartitionsWithIndex(lambda i, _, m=model | {"totals": list(model["totals"])}, s=s: _sweep(i, m, s, keys))
+        got, files = _exchanged(spark, swept, keys, base, places)
+        model["totals"].append((files[TOTALS], float(got[0]), float(got[1])))
+        del swept
+        release(spark)  # the sums that were exchanged
+    discard(*places.values())
+    answers = spark.createDataFrame(posted.mapPartitionsWithIndex(lambda i, it: _scores(i, it, model)), "block bigint, kind int, body binary")
     return answers.repartition(n, "block").mapInArrow(_documents(n_tokens), "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, perplexity double")
 
 

@@ -1,0 +1,58 @@
+"""Operators that do the whole job, against plain models."""
+
+import zlib
+
+import numpy as np
+import pyarrow as pa
+
+from quillspan.llm import hpylm
+from quillspan.llm import textkernel as tk
+
+
+def clashing_words():
+    """Two words that share a class of 4096."""
+    seen = {}
+    for i in range(100_000):
+        h, _ = hpylm.tokens(pa.array([f"c{i}"]))
+        k = int(tk.mix(h[:1])[0] % np.uint64(4096))
+        if k in seen:
+            return seen[k], f"c{i}"
+        seen[k] = f"c{i}"
+
+
+def test_contexts_are_not_pooled(spark):
+    """After u comes a and after v comes b, among more contexts than 4096: what follows one says nothing about the other."""
+    u, v = clashing_words()
+    train = [i for i in range(20_000) if zlib.crc32(str(i).encode()) % 5 != 1][:6200]
+    out = [i for i in range(20_000) if zlib.crc32(str(i).encode()) % 5 == 1][:4]
+    texts = [f"{u} a" if k % 2 else f"{v} b" for k in range(200)] + [f"w{k} x{k % 50}" for k in range(6000)]
+    held = dict(zip(out, [f"{u} a", f"{u} b", f"{v} a", f"{v} b"], strict=True))
+    df = spark.createDataFrame([*zip(train, texts, strict=True), *held.items()], "doc_id long, text string")
+    got = {held[r.doc_id]: r.score for r in hpylm.score(df).filter("held_out").collect()}
+    assert got[f"{u} a"] - got[f"{u} b"] > 1 and got[f"{v} b"] - got[f"{v} a"] > 1
+
+
+def test_totals_per_context_are_exact(spark, tmp_path):
+    """The totals that reducers get are those of all reducers' types in a context."""
+    rng = np.random.default_rng(1)
+    shards, keys = [], [0, 1, 2]
+    hashes = np.unique(rng.integers(0, 1 << 63, 5000, dtype=np.uint64) * np.uint64(2))
+    for i in range(3):
+        s = hpylm.Shard([])
+        s.words, s.contexts = np.arange(40, dtype=np.uint64), np.sort(rng.choice(hashes, 3000, replace=False))
+        key = np.unique(rng.integers(0, 40, 9000) << 32 | rng.integers(0, 3000, 9000))
+        s._types(key, rng.integers(1, 9, len(key)))
+        s.store(f"{tmp_path}/types-{i}")
+        shards.append(s)
+    sent = [r for i, s in enumerate(shards) for r in hpylm._send(i, s, keys, [s.contexts, np.bincount(s.ctx, weights=s.count, minlength=3000), np.bincount(s.ctx, minlength=3000)], [1])]
+    kept = [r for b in hpylm._keep(str(tmp_path), 2)(hpylm._add(keys, str(tmp_path), None)([hpylm._batch(*sent)])) for r in hpylm._rows([b])]
+    files = {src: body.decode() for _, src, part, body in kept if part == hpylm.TOTALS}
+    want = {}
+    for s in shards:
+        for c, n in zip(s.contexts[s.ctx].tolist(), s.count.tolist(), strict=True):
+            a, b = want.get(c, (0, 0))
+            want[c] = a + n, b + 1
+    model = {"types": {i: f"{tmp_path}/types-{i}" for i in range(3)}, "totals": [(files, 1.0, 1.0)]}
+    for i in range(3):
+        s, mine = hpylm._loaded(i, model)
+        assert [want.get(c, (0, 0)) for c in s.contexts.tolist()] == list(zip(mine["customers"].astype(int).tolist(), mine["totals"][0][0].astype(int).tolist(), strict=True))

@@ -7,6 +7,7 @@ import pytest
 from quillspan.functions import lookups as lk
 from quillspan.plans import format_queries as fq
 from quillspan.plans import queries as q
+from quillspan.plans import stage_query as sq
 
 SF = "/root/testdata/sf0.001"
 
@@ -73,3 +74,10 @@ def test_coverage_of_all_hits(spark, hits):
     want = {(p, d, h.line_no): len(x & set(range(h.qs, h.qe + 1))) for p, d, x in domains for h in hits if h.protein == p}
     got = {(r.protein, r.domain, r.line_no): r.n for r in fq.interval_coverage_whole(spark, SF).collect()}
     assert got == {k: n for k, n in want.items() if n}
+
+
+def test_stage_inputs_hold_all_hits(spark, hits):
+    t = sq.stage_inputs(spark, SF)
+    assert t["seq_search"].count() == t["struct_hits"].count() == t["struct_search"].count() == len(hits)
+    n = max(h.qe for h in hits)
+    assert {r.length for r in t["proteins"].collect()} == {n} and t["errors"].agg({"r2": "max"}).first()[0] == n

@@ -113,6 +113,12 @@ def split_by_query(spark, sf):
     return sinks.split_by_query(hits(spark, sf).filter("z >= 19"), wanted)[1]
 
 
+@query("split_by_query_whole", f"SELECT s_suppkey AS protein, count(line_no) AS hits FROM supplier LEFT JOIN {H} h ON h.protein = s_suppkey GROUP BY s_suppkey")
+def split_by_query_whole(spark, sf):
+    wanted = spark.read.parquet(f"{sf}/supplier.parquet").select(F.col("s_suppkey").alias("protein"))
+    return sinks.split_by_query(hits(spark, sf), wanted)[1]
+
+
 @query("substructures", f"SELECT protein, domain, CAST(resid AS INT) AS resid FROM {DR} WHERE resid % 3 = 0")
 def substructures(spark, sf):
     d = domains(spark, sf).select(F.col("protein").alias("file"), "domain", "resids")

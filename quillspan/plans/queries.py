@@ -320,6 +320,19 @@ def sequence_support(spark, sf):
     return joins.support_by_family(st, sq.withColumn("t", F.col("ts") + F.col("i")))
 
 
+@query(
+    "sequence_support_whole",
+    f"""WITH h AS {H}, c AS (SELECT s.protein, s.line_no, q.prob, CAST(greatest(0, least(s.qe, q.qe) - greatest(s.qs, q.qs) + 1) AS DOUBLE) / (q.qe - q.qs + 5) AS cov FROM h s JOIN h q ON s.protein = q.protein AND s.family = q.family),
+    b AS (SELECT *, max(prob) OVER (PARTITION BY protein, line_no) AS best FROM c)
+    SELECT protein, line_no, max(best) AS best_prob, max(CASE WHEN prob >= best - 0.1 THEN cov END) AS best_cov FROM b GROUP BY protein, line_no""",
+)
+def sequence_support_whole(spark, sf):
+    """All hits, as structure hits, by all hits of their family, as sequence hits."""
+    h = hits(spark, sf)
+    sq = h.select("protein", "family", F.col("line_no").alias("hit"), "prob", (F.col("qe") - F.col("qs") + 5).alias("length"), F.posexplode(F.sequence("qs", "qe")).alias("i", "q"), "ts")
+    return joins.support_by_family(h.select("protein", "line_no", "family", F.sequence("qs", "qe").alias("residues")), sq.withColumn("t", F.col("ts") + F.col("i")))
+
+
 @query("span_coverage", f"SELECT protein, line_no, round(CAST(qe - qs + 1 AS DOUBLE) / p_size, 6) AS coverage FROM {H} JOIN part ON p_partkey = template")
 def span_coverage(spark, sf):
     part = spark.read.parquet(f"{sf}/part.parquet").select(F.col("p_partkey").alias("template"), "p_size")

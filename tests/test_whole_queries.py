@@ -81,3 +81,20 @@ def test_stage_inputs_hold_all_hits(spark, hits):
     assert t["seq_search"].count() == t["struct_hits"].count() == t["struct_search"].count() == len(hits)
     n = max(h.qe for h in hits)
     assert {r.length for r in t["proteins"].collect()} == {n} and t["errors"].agg({"r2": "max"}).first()[0] == n
+
+
+def test_support_of_all_hits(spark, hits):
+    got = {(r.protein, r.line_no): (float(r.best_prob), float(r.best_cov)) for r in q.sequence_support_whole(spark, SF).collect()}
+    assert len(got) == len(hits)
+    groups = defaultdict(list)
+    for h in hits:
+        groups[h.protein, h.family].append(h)
+    for s in hits:
+        of = groups[s.protein, s.family]
+        best = max(float(h.prob) for h in of)
+        cov = max(max(0, min(s.qe, h.qe) - max(s.qs, h.qs) + 1) / (h.qe - h.qs + 5) for h in of if float(h.prob) >= best - 0.1)
+        assert abs(got[s.protein, s.line_no][0] - best) < 1e-9 and abs(got[s.protein, s.line_no][1] - cov) < 1e-9
+
+
+def test_split_counts_all_hits(spark, hits):
+    assert sum(r.hits for r in fq.split_by_query_whole(spark, SF).collect()) == len(hits)

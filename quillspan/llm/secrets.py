@@ -2,8 +2,9 @@
 
 A scan of every whole text finds the base kinds (assign, access, hex) and generic candidates (long
 tokens that mix letters and digits). Candidate hashes are then counted over the corpus by distinct
-repositories and owners: a candidate found with ``example_owners`` owners or more is a widely
-copied example; one that stays with fewer looks live. Live generic candidates are added to the
+repositories and owners: a candidate found with ``example_owners`` owners or more, or in
+``example_repos`` repositories or more, is a widely copied example; one that stays below both looks
+live. Live generic candidates are added to the
 spans; base spans always stay, with their verdict.
 
 The counts aggregate (candidate, owner, repository) triples before the shuffle, so a candidate that
@@ -133,7 +134,7 @@ def ownership(found: DataFrame) -> DataFrame:
 _JUDGED = "array<struct<start:bigint,kind:int,end:bigint,hash:bigint,live:boolean>>"
 
 
-def judged(found: DataFrame, keep: list[str], example_owners: int = 3) -> DataFrame:
+def judged(found: DataFrame, keep: list[str], example_owners: int = 3, example_repos: int = 4) -> DataFrame:
     """``keep`` and ``sec_judged``, the spans with their verdict ``live``, of each row of ``found``.
 
     ``found`` holds rows with a candidate and a row number ``sec_row``. Spans meet their candidate's
@@ -141,15 +142,15 @@ def judged(found: DataFrame, keep: list[str], example_owners: int = 3) -> DataFr
     """
     spans = found.select("sec_row", *[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)], F.explode("sec_spans").alias("s"))
     spans = spans.select("sec_row", *[f"k{i}" for i in range(len(keep))], "s.*").join(ownership(found), "hash")
-    one = F.struct("start", "kind", "end", "hash", (F.col("n_owners") < example_owners).alias("live"))
+    one = F.struct("start", "kind", "end", "hash", ((F.col("n_owners") < example_owners) & (F.col("n_repos") < example_repos)).alias("live"))
     rows = spans.groupBy("sec_row").agg(*[F.first(f"k{i}").alias(c) for i, c in enumerate(keep)], F.array_sort(F.collect_list(one)).alias("sec_judged"))  # a text's own spans only
     return rows.drop("sec_row")
 
 
-def scan_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", owner: str = "source", repository: str = "lang", example_owners: int = 3) -> DataFrame:
+def scan_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", owner: str = "source", repository: str = "lang", example_owners: int = 3, example_repos: int = 4) -> DataFrame:
     """Counts, digests and spans of every document, with the number of spans that look live."""
     found = settle(candidates(docs, text, owner, repository, [doc_id]).withColumn("sec_row", F.monotonically_increasing_id()), "secrets")
-    some = judged(found.filter(F.size("sec_spans") > 0), [doc_id], example_owners)
+    some = judged(found.filter(F.size("sec_spans") > 0), [doc_id], example_owners, example_repos)
     none = found.filter(F.size("sec_spans") == 0).select(F.col(f"`{doc_id}`"), F.array().cast(_JUDGED).alias("sec_judged"))
     base = F.filter("sec_judged", lambda s: s["kind"] < 3)
     kept = F.filter("sec_judged", lambda s: (s["kind"] < 3) | s["live"])

@@ -3,7 +3,8 @@
 A document's set is its distinct word shingles (lower-cased A-Z). Documents with equal sets form
 one class. Two classes link when 100 * intersection >= 80 * union; the result is the connected
 components, so no link between different texts may be lost, but pairs already known to be
-connected need no verification.
+connected need no verification. Where links are counted, steps 3 and 4 give way to one pass that
+expands and verifies all pairs of groups that pass the filters.
 
 1. Blocks of texts are shingled; each block sends its (shingle hash, local class) postings, packed
    by hash range, to reducers, which find how many classes hold a shingle and answer each block for
@@ -215,11 +216,33 @@ def _fits(nx: Column, px: Column, ny: Column, py: Column) -> Column:
     return (DEN * F.least(nx, ny) >= NUM * F.greatest(nx, ny)) & ((NUM + DEN) * F.least(nx - px, ny - py) >= need)
 
 
-def links(records: DataFrame) -> DataFrame:
-    """(node, label) of every class with a partner: its component, named by a class."""
+def _lists(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The groups, and (key, grp, lead, n, own, pos) of their prefix shingles."""
     groups = records.groupBy("grp").agg(F.min("sig").alias("lead"), F.first("n").alias("n"), F.first("own").alias("own"), F.first("prefix").alias("prefix"))
     lists = groups.select("grp", "lead", "n", "own", F.posexplode("prefix").alias("i", "key")).withColumn("pos", F.col("i") + F.col("own"))
-    lists = settle(lists.select("key", "grp", "lead", "n", "own", "pos"), "join-lists")
+    return groups, settle(lists.select("key", "grp", "lead", "n", "own", "pos"), "join-lists")
+
+
+def all_links(records: DataFrame, salts: int = 8) -> DataFrame:
+    """(a, b) of all classes that link, each pair once: every pair of groups that passes the filters is expanded and verified.
+
+    A list's rows on one side are dealt to ``salts`` tasks, and the other side's are repeated for each.
+    """
+    _, lists = _lists(records)
+    shared = lists.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("key")
+    lists = settle(lists.join(shared, "key", "left_semi"), "join-shared")
+    x = lists.select("key", *[F.col(c).alias(f"{c}_x") for c in ("grp", "n", "pos")], F.expr(f"pmod(xxhash64(grp), {salts})").alias("salt"))
+    y = lists.select("key", *[F.col(c).alias(f"{c}_y") for c in ("grp", "n", "pos")], F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))).alias("salt"))
+    pairs = x.join(y, ["key", "salt"]).filter((F.col("grp_x") < F.col("grp_y")) & _fits(F.col("n_x"), F.col("pos_x"), F.col("n_y"), F.col("pos_y"))).select("grp_x", "grp_y").distinct()
+    one, two = (records.select(F.col("grp").alias(f"grp_{g}"), F.col("sig").alias(c)) for g, c in (("x", "a"), ("y", "b")))
+    across = pairs.join(one, "grp_x").join(two, "grp_y").select("a", "b")
+    within = one.join(two, F.col("grp_x") == F.col("grp_y")).filter("a < b").select("a", "b")
+    return settle(_verify(settle(across.union(within), "join-all-pairs"), records), "join-all-links")
+
+
+def links(records: DataFrame) -> DataFrame:
+    """(node, label) of every class with a partner: its component, named by a class."""
+    groups, lists = _lists(records)
 
     entry = F.struct("own", "n", "lead", "pos")
     pivots = lists.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min(entry).alias("p0"), *[F.min(F.struct(F.xxhash64("lead", F.lit(s)).alias("h"), *[F.col(c) for c in ("own", "n", "lead", "pos")])).alias(f"p{s}") for s in (1, 2)])
@@ -256,8 +279,11 @@ def _found(rows: DataFrame, width: int, n: int) -> DataFrame:
     return posted.mapInArrow(_count, "block bigint, kind int, body binary").repartition(n, "block").mapInArrow(_assemble, _RECORD)
 
 
-def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
-    """(doc_id, n_shingles, component_id, class_id) of every row: a class is the documents with one set, named by its least id."""
+def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, count: bool = False) -> DataFrame:
+    """(doc_id, n_shingles, component_id, class_id) of every row: a class is the documents with one set, named by its least id.
+
+    With ``count`` also n_links, the number of other classes that link with the row's.
+    """
     spark = docs.sparkSession
     bound_batches(spark)
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
@@ -268,19 +294,23 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int
     records = settle(found.groupBy("sig").agg(*[F.first(c).alias(c) for c in ("grp", "n", "own", "prefix", "items")]), "join-records")
     discard(found)
     del found
-    labels = links(records)
+    linked = all_links(records) if count else None
+    labels = components(linked) if count else links(records)
     classes = meta.filter("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("least"))
     classes = classes.join(labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn("label", F.coalesce("label", "sig"))
     classes = settle(classes, "join-labelled")
     named = settle(classes.groupBy("label").agg(F.min("least").alias("component_id")), "join-named")  # settled, so that a hot component's classes can be split
-    named = settle(classes.join(named, "label").select("sig", "component_id", F.col("least").alias("class_id")), "join-classes")
-    out = meta.join(named, "sig", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), *[F.coalesce(c, "doc_id").alias(c) for c in ("component_id", "class_id")])
+    named = classes.join(named, "label").select("sig", "component_id", F.col("least").alias("class_id"))
+    if count:
+        ends = linked.select(F.explode(F.array("a", "b")).alias("sig")).groupBy("sig").agg(F.count(F.lit(1)).alias("n_links"))
+        named = named.join(ends, "sig", "left")
+    out = meta.join(settle(named, "join-classes"), "sig", "left")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), *[F.coalesce(c, "doc_id").alias(c) for c in ("component_id", "class_id")], *[F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links")] * count)
 
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Components of near duplicates over every whole text."""
-    return join(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    """Components of near duplicates over every whole text, with the number of links of each class."""
+    return join(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), count=True)
 
 
 def stage_ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 
-from quillspan.llm import hpylm, secrets
+from quillspan.llm import hpylm, ngram_join, secrets
 from quillspan.llm import textkernel as tk
 
 
@@ -67,3 +67,21 @@ def test_many_repositories_make_an_example(spark):
     assert got == {0: 0, 1: 0, 2: 0, 3: 0, 9: 1, 10: 1, 11: 1}
     masked = {r.doc_id: r.text for r in secrets.stage_secret_scans(spark, df, "").collect()}
     assert masked[0] == f"see {key} here" and masked[9] == "mine [generic] only"
+
+
+def test_links_inside_components_are_counted(spark):
+    """Near copies of one text: every linking pair counts, against brute force."""
+    rng = np.random.default_rng(4)
+    base = [f"w{chr(97 + i // 26 % 26)}{chr(97 + i % 26)}" for i in range(200)]
+    texts = []
+    for _ in range(30):
+        t = list(base)
+        for i in rng.choice(200, rng.integers(0, 4), replace=False):
+            t[i] = "zz" + "".join(rng.choice(list("abcdefgh"), 6))
+        texts.append(" ".join(t))
+    texts += texts[:3]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = [frozenset(tuple(t.split()[i : i + 5]) for i in range(196)) for t in texts]
+    want = {i: sum(100 * len(x & s) >= 80 * len(x | s) for x in set(sets) if x != s) for i, s in enumerate(sets)}
+    got = {r.doc_id: r.n_links for r in ngram_join.join(df, count=True).collect()}
+    assert got == want and max(want.values()) > 2

@@ -17,20 +17,10 @@ LOWER[65:91] += 32
 IS_CHAR = (np.arange(256) & 0xC0) != 0x80  # first byte of a code point
 
 _rng = np.random.default_rng(20240607)
-_TABLE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_STEP = np.uint64(0x9E3779B97F4A7C15)
-_STEP_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 _MULT = _rng.integers(1, 2**63, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
-def _grow(n: int) -> None:
-    if len(_powers[0]) < n:
-        size = max(n, 1 << 20)
-        for i, step in enumerate((_STEP, _STEP_INV)):
-            p = np.full(size, step, np.uint64)
-            p[0] = 1
-            _powers[i] = np.cumprod(p, dtype=np.uint64)
+_PLACE = np.uint64(0x9E3779B97F4A7C15)
+_LENGTH = np.uint64(0xC2B2AE3D27D4EB4F)
+_KEEP = np.array([2**64 - 1, *((1 << 8 * i) - 1 for i in range(1, 8))], np.uint64)  # bytes of a last chunk, by length modulo 8
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -72,15 +62,42 @@ def words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return starts, ends, np.searchsorted(starts, off)
 
 
+def chunks(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(8-byte chunks of all spans, the last of each filled up with zeros; index of each span's first one, and one more)."""
+    lengths = np.asarray(ends, np.int64) - starts
+    n = (lengths + 7) >> 3
+    at = np.concatenate([[0], np.cumsum(n)])
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    every = np.ndarray((len(data) + 1,), "<u8", padded, 0, (1,))  # the eight bytes from each position on
+    if len(n) and n.max() > 1:
+        inside = np.arange(at[-1]) - np.repeat(at[:-1], n)
+        out = every[np.repeat(np.asarray(starts, np.int64), n) + 8 * inside]
+    else:
+        out = every[np.asarray(starts, np.int64)[n > 0]]
+    filled = np.flatnonzero(n)
+    out[at[1:][filled] - 1] &= _KEEP[lengths[filled] & 7]
+    return out, at
+
+
+def chunk_hashes(parts: np.ndarray, at: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """64-bit hashes of spans given as ``chunks``: each chunk is mixed with its place, so no algebra of repeated or swapped parts cancels."""
+    n = np.diff(at)
+    if len(n) and n.max() > 1:
+        place = (np.arange(len(parts)) - np.repeat(at[:-1], n)).astype(np.uint64)
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(parts ^ mix((place + np.uint64(1)) * _PLACE)), dtype=np.uint64)])
+        sums_ = total[at[1:]] - total[at[:-1]]
+    else:
+        sums_ = np.zeros(len(n), np.uint64)
+        sums_[n > 0] = mix(parts ^ mix(np.full(1, _PLACE, np.uint64)))
+    return mix(sums_ + np.asarray(lengths).astype(np.uint64) * _LENGTH)
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of byte spans (polynomial over random byte values, then mixed)."""
-    n = len(data)
-    if n == 0 or len(starts) == 0:
-        return np.zeros(len(starts), np.uint64)
-    _grow(n + 1)
-    c = np.zeros(n + 1, np.uint64)
-    np.cumsum(_TABLE[data] * _powers[0][:n], out=c[1:])
-    return mix((c[ends] - c[starts]) * _powers[1][starts] + (ends - starts).astype(np.uint64))
+    """64-bit hashes of byte spans."""
+    if len(starts) == 0:
+        return np.zeros(0, np.uint64)
+    return chunk_hashes(*chunks(data, starts, ends), np.asarray(ends) - starts)
 
 
 def shingle_hashes(h: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:

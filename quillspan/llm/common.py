@@ -6,25 +6,31 @@ import atexit
 import contextlib
 import ctypes
 import gc
+import operator
 import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyarrow import fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _own: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share (``spark.checkpoint.dir``); a temporary one where that is unset, as in tests."""
+    """The folder all executors share (``spark.checkpoint.dir``); a temporary one where that is unset on one machine, as in tests."""
     got = spark.conf.get("spark.checkpoint.dir", None)
     if got:
         return got.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not _own:
         _own.append(tempfile.mkdtemp(prefix="quillspan-"))
         atexit.register(shutil.rmtree, _own[0], ignore_errors=True)
@@ -60,9 +66,22 @@ def release(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
-def broadcast_if_small(df: DataFrame, rows: int = 500_000) -> DataFrame:
-    """A settled table, with a broadcast hint if it has ``rows`` rows of a few numbers or digests at most; else it is shuffled."""
-    return F.broadcast(df) if df.count() <= rows else df
+def _width(field: T.StructField) -> Column:
+    """Bytes of a column's value, near enough to bound a broadcast."""
+    c, kind = F.col(f"`{field.name}`"), field.dataType
+    if isinstance(kind, T.StringType | T.BinaryType):
+        size = F.octet_length(c) + 16
+    elif isinstance(kind, T.ArrayType):
+        size = F.size(c) * (16 if isinstance(kind.elementType, T.AtomicType) and not isinstance(kind.elementType, T.StringType | T.BinaryType) else 64) + 16
+    else:
+        size = F.lit(16)
+    return F.coalesce(size, F.lit(16)).cast("bigint")
+
+
+def broadcast_if_small(df: DataFrame, limit: int = 48 << 20) -> DataFrame:
+    """A settled table, with a broadcast hint if its values add up to ``limit`` bytes at most; else it is shuffled."""
+    size = df.agg(F.sum(reduce(operator.add, map(_width, df.schema.fields)))).first()[0] or 0
+    return F.broadcast(df) if size <= limit else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

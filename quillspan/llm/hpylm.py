@@ -33,7 +33,8 @@ from pyspark.sql import functions as F
 
 from . import textkernel as tk
 from .common import bound_batches, buckets_for, discard, fetch, fresh, publish, release, small_batches
-from .ngram_join import _from_planes, _planes, even_keys
+from .exchange import exchange
+from .ngram_join import _from_planes, _planes, at_home
 
 BURN, KEEP = 1, 2
 STRENGTH, PARENT_STRENGTH = 1.0, 10.0
@@ -59,9 +60,8 @@ def held_out(doc_id) -> bool:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % 5 == 1
 
 
-def _postings(rows: DataFrame, keys: list[int]) -> DataFrame:
-    """(bucket, block, kind, body): postings by token hash, and each block's documents (kind 1)."""
-    n = len(keys)
+def _postings(rows: DataFrame, n: int) -> DataFrame:
+    """(bucket, block, kind, body): postings by token hash, as far as there are some, and each block's documents (kind 1)."""
 
     def run(batches):
         part, seq = TaskContext.get().partitionId(), 0
@@ -94,17 +94,17 @@ def _postings(rows: DataFrame, keys: list[int]) -> DataFrame:
             w, c, times = (code // many).astype(np.int64), (code % many).astype(np.int64), times.astype(np.uint16)
             per = np.bincount(w, minlength=len(words)).astype(np.uint32)
             pos = np.concatenate([[0], np.cumsum(per, dtype=np.int64)])
-            edges = np.concatenate([[0], np.searchsorted(words, np.array([(i << 64) // n for i in range(1, n)], np.uint64)), [len(words)]])
+            some, edges = tk.ranges(words, n)
             bodies = []
             for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                 p, q = pos[a], pos[b]
                 before, at = np.unique(c[p:q], return_inverse=True)
                 head = np.array([int((~out).sum()), b - a, q - p, len(before)], np.uint32)
-                bodies.append(b"".join((head.tobytes(), _planes(words[a:b]), per[a:b].tobytes(), _planes(words[before]), *(x.tobytes() for x in (at.astype(_index(len(before))), doc[p:q], times[p:q])))) if b > a else b"")
+                bodies.append(b"".join((head.tobytes(), _planes(words[a:b]), per[a:b].tobytes(), _planes(words[before]), *(x.tobytes() for x in (at.astype(_index(len(before))), doc[p:q], times[p:q])))))
             known = np.array([d is not None for d in ids], np.uint8)[order]
             meta = b"".join(x.tobytes() for x in (np.array([0 if ids[i] is None else ids[i] for i in order.tolist()], np.int64), sizes[order].astype(np.int64), known, out[order].astype(np.uint8)))
             got = pa.RecordBatch.from_arrays(
-                [pa.array([*keys, keys[block % n]], pa.int32()), pa.array([block] * (n + 1), pa.int64()), pa.array([0] * n + [1], pa.int32()), pa.array([*bodies, meta], pa.binary())],
+                [pa.array([*some.tolist(), block % n], pa.int32()), pa.array([block] * (len(some) + 1), pa.int64()), pa.array([0] * len(some) + [1], pa.int32()), pa.array([*bodies, meta], pa.binary())],
                 names=["bucket", "block", "kind", "body"],
             )
             seq += 1
@@ -163,7 +163,7 @@ class Shard:
     """A reducer's tokens: words, the contexts they follow, and training types (word, context) with counts."""
 
     def __init__(self, rows):
-        parts = [_parts(body) for _, block, kind, body in rows if not kind and len(body)]
+        parts = [_parts(body) for _, block, kind, body in rows if not kind]
         union = lambda j: np.unique(np.concatenate([p[j] for p in parts])) if parts else np.zeros(0, np.uint64)
         self.words, self.contexts = union(1), union(3)
         keys, counts = [], []
@@ -242,27 +242,24 @@ _SENT = "bucket int, src int, part int, body binary"
 NUMBERS, TYPES, PLACES, TOTALS = -1, -2, -3, -4
 
 
-def _send(index: int, shard: Shard, keys: list[int], columns: list[np.ndarray], numbers: list[int]):
+def _send(index: int, shard: Shard, n: int, columns: list[np.ndarray], numbers: list[int]):
     """Rows of _SENT: a reducer's ``columns`` (one value per context) by hash range of the contexts, and its numbers."""
-    n = len(keys)
-    at = np.concatenate([[0], np.searchsorted(shard.contexts, np.array([(i << 64) // n for i in range(1, n)], np.uint64)), [len(shard.contexts)]]).tolist()
-    for j in range(n):
-        a, b = at[j], at[j + 1]
-        if b > a:
-            yield keys[j], index, j, b"".join(_planes(x[a:b]) for x in columns)
-    yield keys[index], index, NUMBERS, np.array(numbers, np.int64).tobytes()
+    some, at = tk.ranges(shard.contexts, n)
+    for j, a, b in zip(some.tolist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
+        yield j, index, j, b"".join(_planes(x[a:b]) for x in columns)
+    yield index, index, NUMBERS, np.array(numbers, np.int64).tobytes()
 
 
-def _first(index: int, rows, keys: list[int], base: str):
+def _first(index: int, rows, n_parts: int, base: str):
     """Stores one reducer's types; customers and types per context, and N, V and counts of counts."""
     s = Shard(rows)
     path = f"{base}/types-{index}-{uuid.uuid4().hex}"
     s.store(path)
-    yield keys[index], index, TYPES, path.encode()
+    yield index, index, TYPES, path.encode()
     k = len(s.contexts)
     c, t = np.bincount(s.ctx, weights=s.count, minlength=k), np.bincount(s.ctx, minlength=k)
     n = [s.count.sum(), (s.word_count > 0).sum(), (s.count == 1).sum(), (s.count == 2).sum(), (s.contexts_of == 1).sum(), (s.contexts_of == 2).sum(), t.sum()]
-    yield from _send(index, s, keys, [s.contexts, c, t], [int(x) for x in n])
+    yield from _send(index, s, n_parts, [s.contexts, c, t], [int(x) for x in n])
 
 
 def _loaded(index: int, model: dict) -> tuple[Shard, dict]:
@@ -275,12 +272,12 @@ def _loaded(index: int, model: dict) -> tuple[Shard, dict]:
     return s, model | {"totals": totals, "customers": columns[0][0]}
 
 
-def _sweep(index: int, model: dict, s: int, keys: list[int]):
+def _sweep(index: int, model: dict, s: int, n: int):
     """Tables per context, and of the parent, after sweep s."""
     shard, mine = _loaded(index, model)
     for t, _, t0 in sweeps(shard, mine, s, index):  # noqa: B007
         pass
-    yield from _send(index, shard, keys, [np.bincount(shard.ctx, weights=t, minlength=len(shard.contexts))], [int(t0.sum()), int(t.sum())])
+    yield from _send(index, shard, n, [np.bincount(shard.ctx, weights=t, minlength=len(shard.contexts))], [int(t0.sum()), int(t.sum())])
 
 
 def _rows(batches):
@@ -293,7 +290,7 @@ def _batch(*rows):
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=["bucket", "src", "part", "body"])
 
 
-def _add(keys: list[int], base: str, places: dict[int, str] | None):
+def _add(base: str, places: dict[int, str] | None):
     """Per hash range of contexts: adds the reducers' columns up and answers each for its contexts. Without ``places``, finds and stores them."""
 
     def run(batches):
@@ -312,13 +309,13 @@ def _add(keys: list[int], base: str, places: dict[int, str] | None):
                 _, at = np.unique(column(0), return_inverse=True)
                 path = f"{base}/places-{part}-{uuid.uuid4().hex}"
                 _publish(path, at)
-                yield _batch((keys[part], part, PLACES, path.encode()))
+                yield _batch((part, part, PLACES, path.encode()))
             else:
                 at = _fetch(places[part], 1)[0].astype(np.int64)
             sums = [np.bincount(at, weights=column(j))[at] for j in ((1, 2) if places is None else (0,))]
             end = 0
             for (src, _), m in zip(got, size, strict=True):
-                yield _batch((keys[src], src, part, b"".join(_planes(x[end : end + m]) for x in sums)))
+                yield _batch((src, src, part, b"".join(_planes(x[end : end + m]) for x in sums)))
                 end += m
 
     return run
@@ -361,8 +358,6 @@ def _scores(index: int, rows, model: dict):
         if kind:
             yield block, 1, bytes(body)
             continue
-        if not len(body):
-            continue
         _, words, per, before, at, doc, times = _parts(body)
         key = shard.keys(words, per, before, at)
         word, ctx = key >> 32, key & 0xFFFFFFFF
@@ -405,10 +400,10 @@ def _documents(n_train: int):
     return run
 
 
-def _exchanged(spark: SparkSession, rdd, keys: list[int], base: str, places: dict[int, str] | None) -> tuple[np.ndarray, dict[int, dict[int, str]]]:
+def _exchanged(spark: SparkSession, rdd, n: int, base: str, places: dict[int, str] | None) -> tuple[np.ndarray, dict[int, dict[int, str]]]:
     """Sums of the reducers' numbers, and the names of the files that an exchange stored, by kind and index."""
-    sent = spark.createDataFrame(rdd, _SENT).repartition(len(keys), "bucket").mapInArrow(_add(keys, base, places), _SENT)
-    kept = sent.repartition(len(keys), "bucket").mapInArrow(_keep(base, 2 if places is None else 1), _SENT)
+    sent = exchange(spark.createDataFrame(rdd, _SENT), n, "bucket").mapInArrow(_add(base, places), _SENT)
+    kept = exchange(sent, n, "bucket").mapInArrow(_keep(base, 2 if places is None else 1), _SENT)
     numbers, files = [], {TYPES: {}, PLACES: {}, TOTALS: {}}
     for _, src, part, body in kept.collect():  # a few short rows for each reducer
         if part == NUMBERS:
@@ -424,22 +419,22 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     bound_batches(spark)
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     n = buckets_for(rows, "text")
-    keys, base = even_keys(spark, n), fresh(spark, "lm")
-    posted = _postings(rows, keys).repartition(n, "bucket").rdd  # one shuffle, read for the types and for the scores
-    got, files = _exchanged(spark, posted.mapPartitionsWithIndex(lambda i, it: _first(i, it, keys, base)), keys, base, None)
+    base = fresh(spark, "lm")
+    posted = exchange(_postings(rows, n), n, "bucket").rdd  # one shuffle, read for the types and for the scores
+    got, files = _exchanged(spark, posted.mapPartitionsWithIndex(lambda i, it: _first(i, it, n, base)), n, base, None)
     n_tokens, vocabulary, n1, n2, m1, m2, types = got.tolist()
     discount = lambda a, b: float(np.clip(a / (a + 2 * b), 0.05, 0.95)) if a else 0.5
     model = {"N": n_tokens, "V": vocabulary, "d": discount(n1, n2), "d0": discount(m1, m2), "types": files[TYPES], "totals": [(files[TOTALS], float(vocabulary), float(types))]}
     each, places = spark.sparkContext.parallelize(range(n), n), files[PLACES]
     for s in range(1, BURN + KEEP + 1):
-        swept = each.mapPartitionsWithIndex(lambda i, _, m=model | {"totals": list(model["totals"])}, s=s: _sweep(i, m, s, keys))
-        got, files = _exchanged(spark, swept, keys, base, places)
+        swept = each.mapPartitionsWithIndex(lambda i, _, m=model | {"totals": list(model["totals"])}, s=s: _sweep(i, m, s, n))
+        got, files = _exchanged(spark, swept, n, base, places)
         model["totals"].append((files[TOTALS], float(got[0]), float(got[1])))
         del swept
         release(spark)  # the sums that were exchanged
     discard(*places.values())
     answers = spark.createDataFrame(posted.mapPartitionsWithIndex(lambda i, it: _scores(i, it, model)), "block bigint, kind int, body binary")
-    return answers.repartition(n, "block").mapInArrow(_documents(n_tokens), "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, perplexity double")
+    return exchange(at_home(answers, n), n, "home").mapInArrow(_documents(n_tokens), "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, perplexity double")
 
 
 def op7_hpylm(spark: SparkSession, sf_dir: str) -> DataFrame:

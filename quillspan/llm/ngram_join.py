@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from . import textkernel as tk
 from .common import bound_batches, broadcast_if_small, buckets_for, discard, release, settle, shield, small_batches, unshield
 from .components import components
+from .exchange import exchange
 
 WIDTH, NUM, DEN = 5, 80, 100
 BLOCK_BYTES, BLOCK_CLASSES = 16 << 20, 60_000  # a class of a block is a number of two bytes
@@ -76,17 +77,8 @@ def _from_planes(body, m: int) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(body, np.uint8, 8 * m).reshape(8, m).T).view("<u8").ravel().astype(np.uint64)
 
 
-def even_keys(spark: SparkSession, n: int) -> list[int]:
-    """One integer for each of ``n`` hash partitions, so that buckets are dealt out evenly."""
-    ids = spark.range(0, 40 * n + 1000).select(F.col("id").cast("int").alias("id"))
-    rows = ids.groupBy(F.expr(f"pmod(hash(id), {n})").alias("p")).agg(F.min("id").alias("id")).collect()  # n rows
-    got = {r["p"]: r["id"] for r in rows}
-    return [got.get(p, p) for p in range(n)]
-
-
-def _postings(rows: DataFrame, width: int, keys: list[int]) -> DataFrame:
-    """(bucket, block, kind, body): a block's postings by hash range, and its classes (kind 1)."""
-    n = len(keys)
+def _postings(rows: DataFrame, width: int, n: int) -> DataFrame:
+    """(bucket, block, kind, body): a block's postings by hash range, as far as it has some, and its classes (kind 1)."""
 
     def run(batches):
         part = TaskContext.get().partitionId()
@@ -101,12 +93,11 @@ def _postings(rows: DataFrame, width: int, keys: list[int]) -> DataFrame:
             d = np.repeat(np.arange(len(sets), dtype=np.uint16), [len(s) for s in sets])
             order = np.argsort(k, kind="stable")
             k, d = k[order], d[order]
-            edges = np.array([(i << 64) // n for i in range(1, n)], np.uint64)
-            at = np.concatenate([[0], np.searchsorted(k, edges), [len(k)]])
+            some, at = tk.ranges(k, n)
             bodies = [_planes(k[a:b]) + d[a:b].tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
             meta = np.array([len(s) for s in sets], np.uint32).tobytes() + b"".join(local)
             out = pa.RecordBatch.from_arrays(
-                [pa.array([*keys, keys[block % n]], pa.int32()), pa.array([block] * (n + 1), pa.int64()), pa.array([0] * n + [1], pa.int32()), pa.array([*bodies, meta], pa.binary())],
+                [pa.array([*some.tolist(), block % n], pa.int32()), pa.array([block] * (len(some) + 1), pa.int64()), pa.array([0] * len(some) + [1], pa.int32()), pa.array([*bodies, meta], pa.binary())],
                 names=["bucket", "block", "kind", "body"],
             )
             seq, size = seq + 1, 0
@@ -137,7 +128,7 @@ def _count(batches):
         for block, kind, body in zip(b.column("block").to_pylist(), b.column("kind").to_pylist(), b.column("body").to_pylist(), strict=True):
             if kind:
                 yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([1], pa.int32()), pa.array([body], pa.binary())], names=["block", "kind", "body"])
-            elif body:
+            else:
                 m = len(body) // 10
                 blocks.append(block)
                 keys.append(_from_planes(body, m))
@@ -273,10 +264,15 @@ def links(records: DataFrame) -> DataFrame:
     return components(first.union(second))
 
 
+def at_home(answers: DataFrame, n: int) -> DataFrame:
+    """Answers with the partition ``home`` of their block, one of ``n``."""
+    return answers.withColumn("home", F.expr(f"pmod(xxhash64(block), {n})").cast("int"))
+
+
 def _found(rows: DataFrame, width: int, n: int) -> DataFrame:
     """Classes that can have partners, by way of the packed postings."""
-    posted = _postings(rows, width, even_keys(rows.sparkSession, n)).repartition(n, "bucket")
-    return posted.mapInArrow(_count, "block bigint, kind int, body binary").repartition(n, "block").mapInArrow(_assemble, _RECORD)
+    posted = exchange(_postings(rows, width, n), n, "bucket")
+    return exchange(at_home(posted.mapInArrow(_count, "block bigint, kind int, body binary"), n), n, "home").mapInArrow(_assemble, _RECORD)
 
 
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, count: bool = False) -> DataFrame:

@@ -125,6 +125,18 @@ def shingle_hashes(h: np.ndarray, first: np.ndarray, width: int) -> tuple[np.nda
     return out, at
 
 
+def range_of(h: np.ndarray, n: int) -> np.ndarray:
+    """Which of ``n`` equal ranges a hash falls in; ascending with the hashes."""
+    return ((h >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
+
+
+def ranges(h: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of ascending hashes: the ranges that have some, and where the hashes of each begin (one more at the end)."""
+    r = range_of(h, n)
+    at = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]])) if len(r) else np.zeros(0, np.int64)
+    return r[at], np.append(at, len(h))
+
+
 def rows_of(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Indices of the concatenated ranges [start, start + count)."""
     counts = np.asarray(counts, np.int64)

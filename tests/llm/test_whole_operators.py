@@ -35,7 +35,7 @@ def test_contexts_are_not_pooled(spark):
 def test_totals_per_context_are_exact(spark, tmp_path):
     """The totals that reducers get are those of all reducers' types in a context."""
     rng = np.random.default_rng(1)
-    shards, keys = [], [0, 1, 2]
+    shards = []
     hashes = np.unique(rng.integers(0, 1 << 63, 5000, dtype=np.uint64) * np.uint64(2))
     for i in range(3):
         s = hpylm.Shard([])
@@ -44,8 +44,8 @@ def test_totals_per_context_are_exact(spark, tmp_path):
         s._types(key, rng.integers(1, 9, len(key)))
         s.store(f"{tmp_path}/types-{i}")
         shards.append(s)
-    sent = [r for i, s in enumerate(shards) for r in hpylm._send(i, s, keys, [s.contexts, np.bincount(s.ctx, weights=s.count, minlength=3000), np.bincount(s.ctx, minlength=3000)], [1])]
-    kept = [r for b in hpylm._keep(str(tmp_path), 2)(hpylm._add(keys, str(tmp_path), None)([hpylm._batch(*sent)])) for r in hpylm._rows([b])]
+    sent = [r for i, s in enumerate(shards) for r in hpylm._send(i, s, 3, [s.contexts, np.bincount(s.ctx, weights=s.count, minlength=3000), np.bincount(s.ctx, minlength=3000)], [1])]
+    kept = [r for b in hpylm._keep(str(tmp_path), 2)(hpylm._add(str(tmp_path), None)([hpylm._batch(*sent)])) for r in hpylm._rows([b])]
     files = {src: body.decode() for _, src, part, body in kept if part == hpylm.TOTALS}
     want = {}
     for s in shards:

@@ -3,8 +3,7 @@
 A document's set is its distinct word shingles (lower-cased A-Z). Documents with equal sets form
 one class. Two classes link when 100 * intersection >= 80 * union; the result is the connected
 components, so no link between different texts may be lost, but pairs already known to be
-connected need no verification. Where links are counted, steps 3 and 4 give way to one pass that
-expands and verifies all pairs of groups that pass the filters.
+connected need no verification there.
 
 1. Blocks of texts are shingled; each block sends its (shingle hash, local class) postings, packed
    by hash range, to reducers, which find how many classes hold a shingle and answer each block for
@@ -18,6 +17,8 @@ expands and verifies all pairs of groups that pass the filters.
    is joined into components.
 4. Then, only in lists that still hold several components, all pairs of groups of different
    components that pass the size and position filters are expanded to their members and verified.
+5. Where links are counted, the classes of each component are verified chunk by chunk: all pairs of
+   classes whose sizes let them link, without a row for a pair.
 
 Defined cases: null, empty and wordless texts have an empty set (no links); a text with fewer words
 than a shingle has its whole sequence as one; repeated rows are one class; a component's id is its
@@ -57,15 +58,23 @@ def _signature(s: np.ndarray) -> bytes:
     return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
 
 
-def _meta(rows: DataFrame, width: int, id_type: str) -> DataFrame:
-    """(doc_id, n, sig) of every row; sig is null for the empty set."""
+def digest_of(text: str) -> Column:
+    """16 bytes that name a text (null counts as empty)."""
+    return F.unhex(F.md5(F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")))
+
+
+def _meta(rows: DataFrame, width: int, keep: list[str] = []) -> DataFrame:  # noqa: B006
+    """(doc_id, ``keep``, n, sig) of every row; sig is null for the empty set."""
+    names = ["doc_id", *keep]
+    schema = ", ".join([f"{c} {rows.schema[c].dataType.simpleString()}" for c in names] + ["n bigint", "sig binary"])
 
     def run(batches):
         for b in small_batches(batches, "text"):
             sets = _sets(b.column("text"), width)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([_signature(s) if len(s) else None for s in sets], pa.binary())], names=["doc_id", "n", "sig"])
+            made = [pa.array([len(s) for s in sets], pa.int64()), pa.array([_signature(s) if len(s) else None for s in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), *made], names=[*names, "n", "sig"])
 
-    return rows.mapInArrow(run, f"doc_id {id_type}, n bigint, sig binary")
+    return rows.mapInArrow(run, schema)
 
 
 def _planes(sorted_keys: np.ndarray) -> bytes:
@@ -214,21 +223,80 @@ def _lists(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     return groups, settle(lists.select("key", "grp", "lead", "n", "own", "pos"), "join-lists")
 
 
-def all_links(records: DataFrame, salts: int = 8) -> DataFrame:
-    """(a, b) of all classes that link, each pair once: every pair of groups that passes the filters is expanded and verified.
-
-    A list's rows on one side are dealt to ``salts`` tasks, and the other side's are repeated for each.
+def _linked(na: np.ndarray, a: list[np.ndarray], nb: np.ndarray, b: list[np.ndarray]) -> np.ndarray:
+    """Of two chunks of classes: whether each of the one links with each of the other (in order of their sizes), by all their shared shingles."""
+    every, ids = np.unique(np.concatenate([*a, *b]), return_inverse=True)
+    sizes = [len(x) for x in b]
+    at = np.concatenate([[0], np.cumsum([*(len(x) for x in a), *sizes])])
+    theirs, first = ids[at[len(a)] :], np.concatenate([[0], np.cumsum(sizes)])
+    mark = np.zeros(len(every), np.int8)
+    out = np.zeros((len(a), len(b)), bool)
+    for k, n in enumerate(na.tolist()):
+        low, high = np.searchsorted(DEN * nb, NUM * n, "left"), np.searchsorted(NUM * nb, DEN * n, "right")
+        if high > low:
+            mine = ids[at[k] : at[k + 1]]
+            mark[mine] = 1
+            upto = np.concatenate([[0], np.cumsum(mark[theirs[first[low] : first[high]]], dtype=np.int64)])
+            mark[mine] = 0
+            same = np.diff(upto[first[low : high + 1] - first[low]])
+            out[k, low:high] = DEN * same >= NUM * (n + nb[low:high] - same)
+    return out
+
+
+def _count_links(batches):
+    """Links of the classes of each group of rows that come one after the other."""
+    names = ("label", "band", "kind", "i", "j")
+    held, key = [], None
+
+    def done():
+        sides = [sorted((x for x in held if x[0] == s), key=lambda x: x[2]) for s in (0, 1)]
+        sig, n, items = ([[x[k] for x in side] for side in sides] for k in (1, 2, 3))
+        n, items = [np.array(x, np.int64) for x in n], [[np.frombuffer(x, np.uint64) for x in side] for side in items]
+        _, _, kind, i, j = key
+        if kind == 0 and i == j:  # a chunk with itself
+            got = [(_linked(n[0], items[0], n[0], items[0]).sum(axis=1) - 1, sig[0])]
+        else:
+            found = _linked(n[0], items[0], n[1], items[1]) if sides[0] and sides[1] else np.zeros((len(sides[0]), len(sides[1])), bool)
+            got = [(found.sum(axis=1), sig[0]), (found.sum(axis=0), sig[1])]
+        return [(s, int(c)) for many, of in got for s, c in zip(of, many, strict=True) if c]
+
+    out = []
+    for b in batches:
+        for row in zip(*(b.column(c).to_pylist() for c in (*names, "side", "sig", "n", "items")), strict=True):
+            if row[:5] != key:
+                out += done() if held else []
+                held, key = [], row[:5]
+                if len(out) > 10_000:
+                    yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.binary()), pa.array([x[1] for x in out], pa.int64())], names=["sig", "n_links"])
+                    out = []
+            held.append(row[5:])
+    out += done() if held else []
+    if out:
+        yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.binary()), pa.array([x[1] for x in out], pa.int64())], names=["sig", "n_links"])
+
+
+def count_links(records: DataFrame, labels: DataFrame, chunk: int = 2 << 20) -> DataFrame:
+    """(sig, n_links): with how many other classes each one links, as far as there are some.
+
+    Classes that link are of one component and, by their sizes, of one band or of two that meet. The
+    classes of a band are dealt by hash to chunks of ``chunk`` bytes; each pair of chunks is one
+    task's group, in which all pairs are verified. No pair is a row.
     """
-    _, lists = _lists(records)
-    shared = lists.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("key")
-    lists = settle(lists.join(shared, "key", "left_semi"), "join-shared")
-    x = lists.select("key", *[F.col(c).alias(f"{c}_x") for c in ("grp", "n", "pos")], F.expr(f"pmod(xxhash64(grp), {salts})").alias("salt"))
-    y = lists.select("key", *[F.col(c).alias(f"{c}_y") for c in ("grp", "n", "pos")], F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))).alias("salt"))
-    pairs = x.join(y, ["key", "salt"]).filter((F.col("grp_x") < F.col("grp_y")) & _fits(F.col("n_x"), F.col("pos_x"), F.col("n_y"), F.col("pos_y"))).select("grp_x", "grp_y").distinct()
-    one, two = (records.select(F.col("grp").alias(f"grp_{g}"), F.col("sig").alias(c)) for g, c in (("x", "a"), ("y", "b")))
-    across = pairs.join(one, "grp_x").join(two, "grp_y").select("a", "b")
-    within = one.join(two, F.col("grp_x") == F.col("grp_y")).filter("a < b").select("a", "b")
-    return settle(_verify(settle(across.union(within), "join-all-pairs"), records), "join-all-links")
+    rows = labels.withColumnRenamed("node", "sig").join(records.select("sig", "n", "items"), "sig")
+    rows = settle(rows.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / float(np.log(1.26))).cast("int")), "join-linking")
+    sizes = rows.groupBy("label", "band").agg(F.ceil(F.sum(F.octet_length("items") + 64) / chunk).cast("int").alias("k"))
+    over, under = (sizes.select("label", (F.col("band") + d).alias("band"), F.col("k").alias(c)) for d, c in ((-1, "over"), (1, "under")))
+    sizes = settle(sizes.join(over, ["label", "band"], "left").join(under, ["label", "band"], "left"), "join-chunks")
+    each = rows.join(broadcast_if_small(sizes), ["label", "band"]).withColumn("c", F.expr("pmod(xxhash64(sig), k)").cast("int"))
+    upto = lambda k: F.when(F.col(k).isNotNull(), F.sequence(F.lit(0), F.col(k) - 1)).otherwise(F.array().cast("array<int>"))
+    to = lambda kind, i, j, side, band=F.col("band"): F.struct(band.alias("band"), F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"), side.cast("int").alias("side"))
+    mine = F.transform(upto("k"), lambda o: to(0, F.least("c", o), F.greatest("c", o), F.col("c") > o))
+    above = F.transform(upto("over"), lambda o: to(1, F.col("c"), o, F.lit(0)))
+    below = F.transform(upto("under"), lambda o: to(1, o, F.col("c"), F.lit(1), F.col("band") - 1))
+    dealt = each.select("label", F.explode(F.concat(mine, above, below)).alias("to"), "sig", "n", "items").select("label", "to.*", "sig", "n", "items")
+    keys = ["label", "band", "kind", "i", "j"]
+    dealt = dealt.repartition(*keys).sortWithinPartitions(*keys)
+    return dealt.mapInArrow(_count_links, "sig binary, n_links bigint").groupBy("sig").agg(F.sum("n_links").alias("n_links"))
 
 
 def links(records: DataFrame) -> DataFrame:
@@ -275,32 +343,40 @@ def _found(rows: DataFrame, width: int, n: int) -> DataFrame:
     return exchange(at_home(posted.mapInArrow(_count, "block bigint, kind int, body binary"), n), n, "home").mapInArrow(_assemble, _RECORD)
 
 
-def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, count: bool = False) -> DataFrame:
-    """(doc_id, n_shingles, component_id, class_id) of every row: a class is the documents with one set, named by its least id.
-
-    With ``count`` also n_links, the number of other classes that link with the row's.
-    """
-    spark = docs.sparkSession
-    bound_batches(spark)
-    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    meta = settle(_meta(rows, width, rows.schema["doc_id"].dataType.simpleString()), "join-meta")
+def _grouped(rows: DataFrame, meta: DataFrame, width: int, count: bool) -> DataFrame:
+    """(sig, label, n_links if counted) of every class: ``label`` names its component."""
+    spark = rows.sparkSession
     n = buckets_for(rows, "text")
     found = settle(_found(rows, width, n), "join-found")
     release(spark)  # the postings
     records = settle(found.groupBy("sig").agg(*[F.first(c).alias(c) for c in ("grp", "n", "own", "prefix", "items")]), "join-records")
     discard(found)
     del found
-    linked = all_links(records) if count else None
-    labels = components(linked) if count else links(records)
-    classes = meta.filter("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("least"))
+    labels = links(records)
+    release(spark)  # the pairs
+    classes = meta.filter("sig is not null").select("sig").distinct()
     classes = classes.join(labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn("label", F.coalesce("label", "sig"))
-    classes = settle(classes, "join-labelled")
-    named = settle(classes.groupBy("label").agg(F.min("least").alias("component_id")), "join-named")  # settled, so that a hot component's classes can be split
-    named = classes.join(named, "label").select("sig", "component_id", F.col("least").alias("class_id"))
     if count:
-        ends = linked.select(F.explode(F.array("a", "b")).alias("sig")).groupBy("sig").agg(F.count(F.lit(1)).alias("n_links"))
-        named = named.join(ends, "sig", "left")
-    out = meta.join(settle(named, "join-classes"), "sig", "left")
+        classes = classes.join(settle(count_links(records, labels), "join-counted"), "sig", "left")
+    classes = settle(classes, "join-labelled")
+    discard(records, labels)
+    return classes
+
+
+def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, count: bool = False) -> DataFrame:
+    """(doc_id, n_shingles, component_id, class_id) of every row: a class is the documents with one set, named by its least id.
+
+    With ``count`` also n_links, the number of other classes that link with the row's.
+    """
+    bound_batches(docs.sparkSession)
+    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    meta = settle(_meta(rows, width), "join-meta")
+    least = meta.filter("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("class_id"))
+    classes = settle(_grouped(rows, meta, width, count).join(least, "sig"), "join-classes")
+    named = settle(classes.groupBy("label").agg(F.min("class_id").alias("component_id")), "join-named")  # settled, so that a hot component's classes can be split
+    named = settle(classes.join(named, "label").drop("label"), "join-named-classes")
+    discard(classes)
+    out = meta.join(named, "sig", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), *[F.coalesce(c, "doc_id").alias(c) for c in ("component_id", "class_id")], *[F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links")] * count)
 
 
@@ -310,20 +386,32 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component: the one with the least id, one row of it.
+    """One document of each component: the row with the least id (ids before nulls) and, of those, the least digest of its text.
 
-    Ids are taken to name one text each. Rows without an id cannot be told apart by it and stay.
-    Only the ids that go are joined, so texts are not shuffled while those are half a million at most.
+    A row is known by its id and its text's digest, so different texts of one id go or stay each by
+    itself. Of rows with equal id and text the least in all columns stays. Rows without words stay.
+    Only names of rows that go are joined, so texts are not shuffled while those are few.
     """
-    rows, name = shield(docs)
-    d = name["doc_id"]
-    found = settle(join(rows, d, name["text"]), "join-result").filter("doc_id is not null")
-    gone = settle(found.filter("doc_id != component_id").select(F.col("doc_id").alias("gone_id")).distinct(), "join-gone")
-    kept = rows.join(broadcast_if_small(gone), F.col(d) == F.col("gone_id"), "left_anti")
-    again = found.filter("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.max("n_shingles").alias("n"))
-    again = settle(again.filter("rows > 1 and n > 0").select(F.col("doc_id").alias("again_id")), "join-again")
+    bound_batches(spark)
+    shielded, name = shield(docs)
+    d, t = name["doc_id"], name["text"]
+    digest = digest_of(t)
+    rows = shielded.select(F.col(d).alias("doc_id"), F.col(t).alias("text"))
+    meta = settle(_meta(rows.withColumn("digest", digest_of("text")), WIDTH, ["digest"]), "join-meta")
+    classes = _grouped(rows, meta, WIDTH, False)
+    who = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "digest")
+    each = meta.filter("sig is not null").groupBy("sig", "doc_id", "digest").agg(F.count(F.lit(1)).alias("rows")).join(classes, "sig")
+    each = settle(each, "join-each")
+    least = settle(each.groupBy("label").agg(F.min(who).alias("stays")), "join-stays")
+    each = each.join(least, "label").withColumn("stays", who == F.col("stays"))
+    gone = settle(each.filter("not stays").select(F.col("doc_id").alias("gone_id"), F.col("digest").alias("gone_digest")), "join-gone")
+    again = settle(each.filter("stays and rows > 1").select(F.col("doc_id").alias("gone_id"), F.col("digest").alias("gone_digest")), "join-again")
+    named = shielded.withColumn("row_digest", digest)
+    same = F.col(d).eqNullSafe(F.col("gone_id")) & (F.col("row_digest") == F.col("gone_digest"))
+    kept = named.join(broadcast_if_small(gone), same, "left_anti")
     if again.limit(1).count() == 0:
         return unshield(kept, docs)
-    rest = kept.join(again, F.col(d) == F.col("again_id"), "left_anti")
-    one = kept.join(again, F.col(d) == F.col("again_id"), "left_semi").dropDuplicates([d])
-    return unshield(rest.unionByName(one), docs)
+    rest, twice = (kept.join(broadcast_if_small(again), same, how) for how in ("left_anti", "left_semi"))
+    row, order = F.struct(*shielded.columns), F.struct(*[F.to_json(F.struct(c)).alias(c) for c in shielded.columns])
+    one = twice.groupBy(d, "row_digest").agg(F.min_by(row, order).alias("row")).select("row.*")
+    return unshield(rest.select(*shielded.columns).unionByName(one), docs)

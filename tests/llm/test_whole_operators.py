@@ -85,3 +85,27 @@ def test_links_inside_components_are_counted(spark):
     want = {i: sum(100 * len(x & s) >= 80 * len(x | s) for x in set(sets) if x != s) for i, s in enumerate(sets)}
     got = {r.doc_id: r.n_links for r in ngram_join.join(df, count=True).collect()}
     assert got == want and max(want.values()) > 2
+
+
+def test_links_across_chunks(spark, monkeypatch):
+    """Counts do not depend on how classes are dealt to chunks and bands."""
+    rng = np.random.default_rng(8)
+    words = [f"w{chr(97 + i // 26 % 26)}{chr(97 + i % 26)}" for i in range(300)]
+    texts = [" ".join(words[: rng.integers(60, 100)]) for _ in range(40)] + [" ".join(words[100 : rng.integers(180, 300)]) for _ in range(40)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    split = [t.split() for t in texts]
+    sets = [frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) for w in split]
+    want = {i: sum(100 * len(x & s) >= 80 * len(x | s) for x in set(sets) if x != s) for i, s in enumerate(sets)}
+    real = ngram_join.count_links
+    monkeypatch.setattr(ngram_join, "count_links", lambda records, labels: real(records, labels, 4000))
+    assert {r.doc_id: r.n_links for r in ngram_join.join(df, count=True).collect()} == want
+
+
+def test_rows_of_one_id_go_each_by_itself(spark):
+    """Two texts under one id: a link of one does not take the other; repeated and nameless rows stay once."""
+    a, b, c = (" ".join(f"{p}{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(60)) for p in "xyz")
+    data = [(1, a, "en", "s"), (2, a.upper(), "en", "s"), (2, b, "en", "s"), (3, c, "en", "s"), (3, c, "de", "s"), (None, c, "en", "s"), (None, "lone " + b[:50], "en", "s"), (None, "lone " + b[:50], "en", "s"), (None, None, "en", "s"), (5, "", "en", "s")]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string, source string")
+    got = sorted((tuple(r) for r in ngram_join.stage_ngram_join(spark, df, "").collect()), key=str)
+    want = [(1, a, "en", "s"), (2, b, "en", "s"), (3, c, "de", "s"), (None, "lone " + b[:50], "en", "s"), (None, None, "en", "s"), (5, "", "en", "s")]
+    assert got == sorted(want, key=str)

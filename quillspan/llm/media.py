@@ -7,12 +7,13 @@ a greatest chunk size.
 
 Chunk digests meet in an aggregation over (digest, count, first owner) only. Chunks found once stay
 with their payload, deflated together; chunks found more often are stored once, in a table by
-digest. A payload's recipe is its ordered list of chunk digests and lengths, and is its stored
-form. Equal payloads are stored once. Reading back joins the shared chunks by digest, puts a
-payload's chunks in order, verifies each chunk against its digest and hashes the whole.
+digest. A payload's recipe, its ordered list of chunk digests and lengths, is written with it: that is
+its stored form. Equal payloads are stored once. Reading back parses the stored recipe, joins the
+shared chunks by its digests, puts the payload's chunks in order, verifies each chunk against its
+digest and the whole against the payload's, and hashes recipe and payload.
 
-Tables of repeated payloads and of payloads with shared chunks are broadcast up to half a million
-rows and shuffled beyond.
+Tables of repeated payloads, of shared digests and of payloads' places of shared chunks are broadcast
+up to 48 MB of values and shuffled beyond.
 
 Defined cases: null text is the empty payload of 576 bytes 255; repeated rows and equal texts share
 a stored payload and get equal values; empty tables give empty results.
@@ -35,6 +36,7 @@ UNIT = 576
 LEAST, MASK_BITS, MOST = 256, 10, 8192
 _GEAR = np.random.default_rng(576).integers(0, 2**32, 256, dtype=np.uint64).astype(np.uint32)
 MAGIC = b"QCDC\x01"
+_HEAD, _ENTRY = len(MAGIC) + 12, 36  # bytes before the first entry, and of each
 
 
 def payload(text: str | None) -> bytes:
@@ -75,7 +77,7 @@ def parse_recipe(raw: bytes) -> tuple[int, list[bytes], list[int]]:
     if raw[:5] != MAGIC:
         raise ValueError("not a recipe")
     size, n = struct.unpack_from("<QI", raw, 5)
-    rows = [(raw[17 + 36 * i : 49 + 36 * i], struct.unpack_from("<I", raw, 49 + 36 * i)[0]) for i in range(n)]
+    rows = [(raw[_HEAD + _ENTRY * i : _HEAD + _ENTRY * i + 32], struct.unpack_from("<I", raw, _HEAD + _ENTRY * i + 32)[0]) for i in range(n)]
     return size, [d for d, _ in rows], [x for _, x in rows]
 
 
@@ -109,7 +111,8 @@ def _digests(batches):
             yield pa.RecordBatch.from_arrays([part.column("key"), pa.array([cut(t)[2] for t in part.column("text").to_pylist()], pa.list_(pa.binary()))], names=["key", "digests"])
 
 
-_STORED = "key binary, digests array<binary>, lengths array<int>, foreign array<boolean>, body binary"
+#: A payload: its key, its recipe, which of its chunks are stored apart, and the others. A shared chunk: its digest as ``recipe``.
+_STORED = "key binary, recipe binary, foreign array<boolean>, body binary"
 
 
 def _pack(batches):
@@ -120,14 +123,14 @@ def _pack(batches):
             _, chunks, digests = cut(t)
             away = set(foreign or [])
             own = zlib.compress(b"".join(c for i, c in enumerate(chunks) if i not in away), 6)
-            rows.append((k, digests, [len(c) for c in chunks], [i in away for i in range(len(chunks))], own))
-            rows += [(None, [digests[i]], None, None, zlib.compress(chunks[i], 6)) for i in mine or []]
-        cols = list(zip(*rows, strict=True)) or [[]] * 5
-        types = (pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.list_(pa.bool_()), pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["key", "digests", "lengths", "foreign", "body"])
+            rows.append((k, recipe(sum(map(len, chunks)), digests, [len(c) for c in chunks]), [i in away for i in range(len(chunks))], own))
+            rows += [(None, digests[i], None, zlib.compress(chunks[i], 6)) for i in mine or []]
+        cols = list(zip(*rows, strict=True)) or [[]] * 4
+        types = (pa.binary(), pa.binary(), pa.list_(pa.bool_()), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["key", "recipe", "foreign", "body"])
 
 
-def store(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
+def store(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", limit: int = 48 << 20) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Write the media: (rows with their payload's key, stored payloads, shared chunks), all settled.
 
     A stored payload has its recipe and its own chunks deflated together; a shared chunk has its
@@ -139,19 +142,19 @@ def store(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[
     again = listed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first"))
     again = settle(again.filter("n > 1").select(F.col("key").alias("again_key"), "first"), "media-again")
     # the first row of each payload (and rows that repeat its id)
-    firsts = rows.join(broadcast_if_small(again), F.col("key") == F.col("again_key"), "left").filter("again_key is null or first <=> doc_id").select("key", "text")
+    firsts = rows.join(broadcast_if_small(again, limit), F.col("key") == F.col("again_key"), "left").filter("again_key is null or first <=> doc_id").select("key", "text")
 
     recipes = settle(firsts.mapInArrow(_digests, "key binary, digests array<binary>"), "media-recipes")
     each = recipes.select("key", F.posexplode("digests").alias("place", "digest"))
     place = F.struct("key", "place")
     counts = each.groupBy("digest").agg(F.min(place).alias("owner"), F.max(place).alias("other"))
     shared = settle(counts.filter("owner != other").select(F.col("digest").alias("shared_digest"), "owner"), "media-shared")
-    marks = each.join(broadcast_if_small(shared), F.col("digest") == F.col("shared_digest"))
+    marks = each.join(broadcast_if_small(shared, limit), F.col("digest") == F.col("shared_digest"))
     marks = marks.groupBy("key").agg(F.collect_set("place").alias("foreign_places"), F.collect_set(F.when(F.col("owner") == place, F.col("place"))).alias("mine_places"))  # one payload's places
     marks = settle(marks.withColumnRenamed("key", "mark_key"), "media-marks")
-    packed = firsts.join(broadcast_if_small(marks), F.col("key") == F.col("mark_key"), "left").select("key", "text", "foreign_places", "mine_places")
+    packed = firsts.join(broadcast_if_small(marks, limit), F.col("key") == F.col("mark_key"), "left").select("key", "text", "foreign_places", "mine_places")
     stored = settle(packed.mapInArrow(_pack, _STORED), "media-store")
-    return listed, stored.filter("key is not null"), stored.filter("key is null").select(F.col("digests")[0].alias("digest"), "body")
+    return listed, stored.filter("key is not null"), stored.filter("key is null").select(F.col("recipe").alias("digest"), "body")
 
 
 _BACK = "key binary, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string"
@@ -164,15 +167,17 @@ def read_back(stored: DataFrame, chunks: DataFrame) -> DataFrame:
     payload a group.
     """
 
-    def finish(key: bytes, places: list[int], digests: list[bytes], bodies: list[bytes]) -> tuple:
-        order = sorted(range(len(places)), key=places.__getitem__)
-        digests, bodies = [digests[i] for i in order], [bodies[i] for i in order]
+    def finish(key: bytes, form: bytes, foreign: list[bool], body: bytes, shared: dict[int, bytes]) -> tuple:
+        size, digests, lengths = parse_recipe(form)
+        raw, at, bodies = zlib.decompress(body), 0, []
+        for i, (n, f) in enumerate(zip(lengths, foreign, strict=True)):
+            bodies.append(zlib.decompress(shared[i]) if f else raw[at : at + n])
+            at += 0 if f else n
         if any(hashlib.sha256(b).digest() != d for d, b in zip(digests, bodies, strict=True)):
             raise ValueError("a chunk differs from its digest")
         raw = b"".join(bodies)
-        if hashlib.sha256(raw).digest() != key:
+        if len(raw) != size or hashlib.sha256(raw).digest() != key:
             raise ValueError("a payload differs from its digest")
-        form = recipe(len(raw), digests, [len(b) for b in bodies])
         return key, len(raw), key.hex(), zlib.crc32(raw[-32:]), len(form), hashlib.sha256(form).hexdigest(), features(raw, len(bodies))
 
     def batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -180,33 +185,26 @@ def read_back(stored: DataFrame, chunks: DataFrame) -> DataFrame:
         types = (pa.binary(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["key", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
 
-    def own(lengths, foreign, body) -> list[bytes | None]:
-        raw, at, out = zlib.decompress(body), 0, []
-        for n, f in zip(lengths, foreign, strict=True):
-            out.append(None if f else raw[at : at + n])
-            at += 0 if f else n
-        return out
-
     def whole(batches):
         for b in batches:
-            yield batch([finish(r["key"], list(range(len(r["digests"]))), r["digests"], own(r["lengths"], r["foreign"], r["body"])) for r in b.to_pylist()])
+            yield batch([finish(r["key"], r["recipe"], r["foreign"], r["body"], {}) for r in b.to_pylist()])
 
     def gather(batches):
         for b in batches:
             rows = []
             for r in b.to_pylist():
                 bodies = {x["place"]: x["body"] for x in r["bodies"]}
-                mine = own(r["lengths"], r["foreign"], bodies[-1])
-                rows.append(finish(r["key"], list(range(len(mine))), r["digests"], [zlib.decompress(bodies[i]) if c is None else c for i, c in enumerate(mine)]))
+                rows.append(finish(r["key"], r["recipe"], r["foreign"], bodies.pop(-1), bodies))
             yield batch(rows)
 
     apart = F.exists("foreign", lambda f: f)
     straight = stored.filter(~apart).mapInArrow(whole, _BACK)
     mixed = stored.filter(apart)
-    refs = mixed.select("key", F.posexplode(F.arrays_zip("digests", "foreign")).alias("place", "c")).filter("c.foreign").select("key", "place", F.col("c.digests").alias("digest"))
+    digest = F.expr(f"substring(recipe, {_HEAD + 1} + {_ENTRY} * place, 32)")
+    refs = mixed.select("key", "recipe", F.posexplode("foreign").alias("place", "away")).filter("away").select("key", "place", digest.alias("digest"))
     shared = refs.join(chunks, "digest").select("key", "place", "body")
-    both = mixed.select("key", F.lit(-1).alias("place"), "body", "digests", "lengths", "foreign").unionByName(shared, allowMissingColumns=True)  # own chunks travel once, deflated
-    grouped = both.groupBy("key").agg(F.collect_list(F.struct("place", "body")).alias("bodies"), *[F.first(c, ignorenulls=True).alias(c) for c in ("digests", "lengths", "foreign")])  # one payload's chunks
+    both = mixed.select("key", F.lit(-1).alias("place"), "body", "recipe", "foreign").unionByName(shared, allowMissingColumns=True)  # own chunks travel once, deflated
+    grouped = both.groupBy("key").agg(F.collect_list(F.struct("place", "body")).alias("bodies"), *[F.first(c, ignorenulls=True).alias(c) for c in ("recipe", "foreign")])  # one payload's chunks
     return straight.unionByName(grouped.mapInArrow(gather, _BACK)).dropDuplicates(["key"])
 
 

@@ -1,5 +1,6 @@
 """Each operator against a plain model on small tables with every odd case."""
 
+import gzip
 import hashlib
 import math
 import re
@@ -9,6 +10,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from quillspan.llm import components, hpylm, media, mixing, ngram_join, pieces, quality_rules, rule_ensemble, secrets, token_output, warc
 
@@ -344,7 +346,26 @@ def test_media_read_back(odd, empty, spark):
             raw = (texts[r.doc_id] or "").encode()
             raw, n = raw + b"\xff" * (-len(raw) % 576 if raw else 576), len(raw)
             assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (n, len(raw), hashlib.sha256(raw).hexdigest(), zlib.crc32(raw[-32:]))
-    assert media.store(empty)[0].count() == 0
+            form = media.recipe(len(raw), [hashlib.sha256(c).digest() for c in media.cut(texts[r.doc_id])[1]], [len(c) for c in media.cut(texts[r.doc_id])[1]])
+            assert (r.media_bytes, r.media_sha256) == (len(form), hashlib.sha256(form).hexdigest())
+    kept = {hashlib.sha256(r.recipe).hexdigest() for r in rows(stored)}
+    assert {r.media_sha256 for r in got} == kept
+    listed, stored, chunks = media.store(empty)
+    assert rows(listed) == [] and rows(media.read_back(stored, chunks)) == []
+
+
+def test_cuts_are_where_the_plain_rule_puts_them():
+    """Brute force: after ``least`` bytes the first place where the window's sum has zero top bits, ``most`` at the latest."""
+    d = np.random.default_rng(6).integers(97, 123, 60_000).astype(np.uint8)
+    hit = media.gear(d) >> np.uint32(22) == 0
+    want, at = [], 0
+    while len(d) - at > 256:
+        cut = next((i for i in range(at + 256, min(at + 8192, len(d))) if hit[i - 1]), min(at + 8192, len(d)))
+        want.append(cut)
+        at = cut
+    if at < len(d):
+        want.append(len(d))
+    assert media.chunk_ends(d) == want and len(want) > 20
 
 
 def test_shared_chunks_are_stored_once(spark):
@@ -357,6 +378,11 @@ def test_shared_chunks_are_stored_once(spark):
     assert media.read_back(stored, chunks).count() == 6
     size, ds, ns = media.parse_recipe(media.recipe(9, [b"x" * 32], [9]))
     assert (size, ds, ns) == (9, [b"x" * 32], [9])
+    small = media.store(df, limit=0)  # nothing is broadcast
+    assert sorted(map(str, rows(media.read_back(*small[1:])))) == sorted(map(str, rows(media.read_back(stored, chunks))))
+    broken = stored.withColumn("recipe", F.expr("overlay(recipe placing X'00' from 30)"))
+    with pytest.raises(Exception, match="differs"):
+        media.read_back(broken, chunks).count()
 
 
 # ---- 8: WARC
@@ -364,21 +390,30 @@ def test_shared_chunks_are_stored_once(spark):
 
 def test_warc_records_and_lookups(spark, tmp_path):
     data = [(1, "http://Ex.com:80/a", "x" * 200), (2, "http://b.ex.com/a#f", "x" * 200), (3, None, None), (None, "http://ex.com/a", "y" * 300), (5, "http://ex.com/a", "y" * 300), (5, "http://ex.com/a", "y" * 300), (7, "bad\n\turl", "z"), (8, "http://ex.com/a?q", "z")]
+    data += [(20, "http://t.org/x\ty", "t"), (21, "http://t.org/x!", "t"), (22, "http://t.org/x$", "t"), (23, None, "x" * 200)]  # a tab sorts before "!", its escape after
     df = spark.createDataFrame([(*r, "clash") for r in data], "page_id long, url string, html string, digest string")
-    back, directory, uri = warc.archive(spark, df, f"file://{tmp_path}/warc")
-    got = rows(back)
+    uri = f"file://{tmp_path}/warc"
+    index = warc.archive(df, uri, 2)
+    got = rows(warc.lookup_all(warc.keys_of(df), index, f"{uri}/index", f"{uri}/data"))
     assert len(got) == len(data)
     by = {r.page_id: r for r in got if r.page_id not in (5, None)}
-    assert (by[1].record_type, by[2].record_type, by[2].refers_to) == ("response", "revisit", 1)
+    assert (by[1].record_type, by[2].record_type, by[2].refers_to, by[23].refers_to) == ("response", "revisit", 1, 1)
     assert by[3].payload_bytes == 0 and by[7].record_type == by[8].record_type == "response"
     assert [r.record_type for r in got if r.page_id == 5] == ["response"] * 2
     assert all(r.payload_digest == hashlib.sha256({1: "x" * 200, 3: "", 7: "z"}[k].encode()).hexdigest() for k in (1, 3, 7) for r in [by[k]])
-    blocks = [(r.first_key, r.file, r.offset, r.length) for r in rows(directory.orderBy("first_key"))]
-    hits = warc.lookup(blocks, f"{uri}/index", f"{uri}/data", "http://EX.com/a")
-    assert sorted(str(h["page_id"]) for h in hits) == ["1", "5", "5", "None"]
-    assert warc.lookup(blocks, f"{uri}/index", f"{uri}/data", "http://nowhere.org/") == []
-    none = warc.archive(spark, df.limit(0), f"file://{tmp_path}/none")
-    assert rows(none[0]) == []
+    files = warc.master(index)
+    find = lambda url: sorted(str(h["page_id"]) for h in warc.lookup(files, f"{uri}/index", f"{uri}/data", url))
+    assert find("http://EX.com/a") == ["1", "5", "5", "None"] and find("http://nowhere.org/") == []
+    assert [find(f"http://t.org/x{c}") for c in ("\ty", "!", "$", "%")] == [["20"], ["21"], ["22"], []]
+    some = warc.lookup_all(df.filter("page_id = 21").select(F.lit("org,t)/x!").alias("key")), index, f"{uri}/index", f"{uri}/data")
+    assert [r.page_id for r in rows(some)] == [21]
+    first = warc.lookup(files, f"{uri}/index", f"{uri}/data", "http://ex.com/a")
+    assert warc.record_id(1, "http://Ex.com:80/a", by[1].payload_digest) in {h["record_id"] for h in first}
+    for archived in (tmp_path / "warc" / "data").iterdir():
+        text = gzip.decompress(archived.read_bytes()).decode()
+        assert text.startswith("WARC/1.1\r\nWARC-Type: warcinfo\r\n") and "urn:page:1>" not in text
+    empty_uri = f"file://{tmp_path}/none"
+    assert rows(warc.lookup_all(warc.keys_of(df.limit(0)), warc.archive(df.limit(0), empty_uri), f"{empty_uri}/index", f"{empty_uri}/data")) == []
 
 
 # ---- 4: classifier

@@ -5,7 +5,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 
-from quillspan.llm import hpylm, ngram_join, secrets
+from quillspan.llm import hpylm, ngram_join, quality_rules, secrets
 from quillspan.llm import textkernel as tk
 
 
@@ -109,3 +109,63 @@ def test_rows_of_one_id_go_each_by_itself(spark):
     got = sorted((tuple(r) for r in ngram_join.stage_ngram_join(spark, df, "").collect()), key=str)
     want = [(1, a, "en", "s"), (2, b, "en", "s"), (3, c, "de", "s"), (None, "lone " + b[:50], "en", "s"), (None, None, "en", "s"), (5, "", "en", "s")]
     assert got == sorted(want, key=str)
+
+
+def test_small_groups_are_judged_by_their_language(spark):
+    """A source of few documents gets the estimate of all rows of its language, then of all rows."""
+    rng = np.random.default_rng(3)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnop"), rng.integers(2, 9)))
+    clean, junk = (lambda: " ".join(word() for _ in range(80))), (lambda: " ".join(word() + "&&&" for _ in range(80)))
+    data = [(i, clean(), "en", "s") for i in range(200)] + [(300 + i, f(), "en", "rare") for i, f in enumerate([clean, clean, junk])] + [(400 + i, f(), "xx", "other") for i, f in enumerate([clean, junk])]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string, source string")
+    model = quality_rules.fit(df)
+    got = {r.doc_id: r.kept for r in quality_rules.judge(df, model, keep=["doc_id"]).collect()}
+    assert [got[i] for i in (300, 301, 302, 400, 401)] == [True, True, False, True, False]
+    groups = {r.g0: r.grp for r in model.collect()}
+    assert sorted(groups.values()) == ["all", "l\x1fen", "s\x1fen\x1fs"]
+    few = quality_rules.fit(df.filter("doc_id < 3"))
+    assert few.count() == 0 and quality_rules.judge(df.filter("doc_id < 3"), few, keep=["doc_id"]).filter("kept").count() == 3
+
+
+def plain_mcd(x, floors, h, starts=60, steps=40):
+    """Concentration from many random subsets, on whole rows: (mean, covariance) of the least determinant."""
+    rng, best = np.random.default_rng(0), None
+    n, k = x.shape
+    size = int(np.ceil(h * n))
+    cov_of = lambda y: (lambda c: c + np.diag(np.maximum(floors - np.diag(c), 0)))(np.cov(y.T, bias=True) * quality_rules.consistency(k, h))
+    for _ in range(starts):
+        y = x[rng.choice(n, k + 2, replace=False)]
+        for _ in range(steps):
+            mu, cov = y.mean(axis=0), cov_of(y)
+            d = np.einsum("ij,jk,ik->i", x - mu, np.linalg.inv(cov), x - mu)
+            y = x[np.argsort(d, kind="stable")[:size]]
+        mu, cov = y.mean(axis=0), cov_of(y)
+        if best is None or np.linalg.slogdet(cov)[1] < best[2]:
+            best = mu, cov, np.linalg.slogdet(cov)[1]
+    return best
+
+
+def test_estimate_is_the_plain_least_determinant(spark):
+    """Correlated rows with a fifth of outliers: near the best of many plain random starts, and the least of the three starts."""
+    rng = np.random.default_rng(12)
+    k = len(quality_rules.DIMS)
+    mix = rng.normal(size=(k, k))
+    x = np.concatenate([rng.normal(size=(1600, k)) @ mix * 3 + 2, rng.normal(size=(400, k)) + 60])
+    df = spark.createDataFrame([("g", *map(float, r)) for r in x], ["grp", *(f"x{i}" for i in range(k))])
+    got = quality_rules.estimates(df).collect()
+    assert sorted(r.start for r in got) == [0, 1, 2]
+    best = min(got, key=lambda r: (r.logdet, r.start))
+    mu, cov, logdet = plain_mcd(x, np.array([s for _, s in quality_rules.DIMS]) ** 2, 0.75)
+    assert abs(best.logdet - logdet) < 0.3
+    ours = np.linalg.inv(np.array(best.prec).reshape(k, k))
+    assert np.abs(np.linalg.solve(np.linalg.cholesky(cov), np.array(best.mu) - mu)).max() < 0.25
+    assert 0.7 < np.linalg.eigvals(np.linalg.solve(cov, ours)).real.min() and np.linalg.eigvals(np.linalg.solve(cov, ours)).real.max() < 1.4
+    far = np.einsum("ij,jk,ik->i", x - best.mu, np.array(best.prec).reshape(k, k), x - best.mu) / best.scale > quality_rules.chi2_quantile(k, 3.5)
+    assert far[1600:].all() and far[:1600].mean() < 0.02
+
+
+def test_consistency_factor():
+    x = np.random.default_rng(0).normal(size=(200_000, 6))
+    d = (x * x).sum(axis=1)
+    inner = x[d <= np.quantile(d, 0.75)]
+    assert abs(quality_rules.consistency(6, 0.75) * inner.var(axis=0).mean() - 1) < 0.01

@@ -8,7 +8,8 @@ prefix, in key order, whose sizes come nearest to what is left.
 No source is ever sorted in one task. The prefix sum is found by radix: sizes are added up per
 (source, 12-bit digit of the key) with partial sums before the shuffle, the digit where the running
 sum crosses the budget is entered, and so on for four digits. What comes out is one key bound per
-source, so the selection itself is a filter.
+source, so the selection itself is a filter. Sources may be as many as sites: their sizes, targets
+and bounds are tables, and only sums over all of them pass through the driver.
 
 Defined cases: null text is empty (size 0); a null source is a source of its own, last in order;
 rows with equal id and text share a key and are taken or left together; empty tables give empty
@@ -18,11 +19,11 @@ results; sources without words have target 0.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textkernel as tk
-from .common import append_columns, settle, shield, unshield
+from .common import append_columns, broadcast_if_small, settle, shield, unshield
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
@@ -54,27 +55,35 @@ def _keyed(docs: DataFrame, doc_id: str, source: str, text: str, seed: int, keep
     return rows.withColumn("mix_key", F.floor(key / (1 + key) * F.lit(float(1 << _BITS))).cast("bigint")).drop("mix_hash", "mix_quality")
 
 
-def targets(sizes: dict[str | None, int], weights=WEIGHTS, share: float = SHARE, most: float = MOST) -> dict[str | None, float]:
-    """Targets of the sources: ``share`` of all sizes by weight, at most ``most`` times a source's size, the excess reshared."""
-    order = sorted(sizes, key=lambda s: (s is None, s or ""))
-    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
-    out: dict[str | None, float] = {}
-    left, budget = list(order), share * sum(sizes.values())
-    while left:
-        per = max(budget, 0.0) / sum(weight[s] for s in left)
-        above = [s for s in left if per * weight[s] > most * sizes[s]]
-        if not above:
-            return out | {s: per * weight[s] for s in left}
-        for s in above:
-            out[s] = most * sizes[s]
-            budget -= out[s]
-        left = [s for s in left if s not in out]
-    return out
+def _ranked(sizes: DataFrame) -> DataFrame:
+    """``sizes`` with ``place``, the source's number by code point, null last: numbers within ranges and the ranges' sums."""
+    order = [F.col("mix_source").isNull(), F.col("mix_source")]
+    parts = settle(sizes.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "mix-ranges")
+    sums = parts.groupBy("part").agg(F.count(F.lit(1)).alias("m"))
+    sums = sums.withColumn("before", F.sum("m").over(Window.orderBy("part")) - F.col("m"))  # a row for each range
+    within = F.row_number().over(Window.partitionBy("part").orderBy(*order)) - 1
+    return parts.withColumn("within", within).join(F.broadcast(sums), "part").select("mix_source", "source_size", (F.col("before") + F.col("within")).alias("place"))
 
 
-def _small(spark, rows: list[tuple], schema: str) -> DataFrame:
-    """One row per source: as small as the mix's own table of weights, so it is broadcast."""
-    return F.broadcast(spark.createDataFrame(rows, schema))
+def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
+    """(mix_source, source_size, target): ``share`` of all sizes by weight, at most ``most`` times a source's size, the excess reshared.
+
+    A round finds what a unit of weight gets from the budget that the sources at their limit leave,
+    and which sources that takes above theirs; those stay there, so rounds end.
+    """
+    w = F.element_at(F.array(*map(F.lit, weights)), (F.col("place") % len(weights) + 1).cast("int"))
+    rows = settle(_ranked(sizes).select("mix_source", "source_size", w.alias("weight")), "mix-weights")
+    total = rows.agg(F.sum("source_size")).first()[0] or 0
+    limit = most * F.col("source_size")
+    bound = 0.0  # sources with a limit of less than this per unit of weight are at their limit
+    while True:
+        at = limit < F.lit(bound) * F.col("weight")
+        spent, rest = rows.agg(F.sum(F.when(at, limit)), F.sum(F.when(~at, F.col("weight")))).first()
+        per = max(share * total - (spent or 0.0), 0.0) / rest if rest else 0.0
+        if not rest or per <= bound:
+            break
+        bound = per
+    return rows.select("mix_source", "source_size", F.least(limit, F.lit(bound) * F.col("weight")).cast("double").alias("target"))
 
 
 def plan(keyed: DataFrame) -> DataFrame:
@@ -82,41 +91,28 @@ def plan(keyed: DataFrame) -> DataFrame:
 
     ``keyed`` has mix_source, mix_size and mix_key, and should be a settled table: it is read five times.
     """
-    spark = keyed.sparkSession
-    size = {r[0]: int(r[1]) for r in keyed.groupBy("mix_source").agg(F.sum("mix_size")).collect()}
-    target = targets(size)
-    epochs = {s: int(target[s] // size[s]) if size[s] else 0 for s in size}
-    left = {s: target[s] - epochs[s] * size[s] for s in size}  # budget of the fractional epoch
-    prefix = {s: 0 for s in size if left[s] > 0}
-    bound: dict[str | None, int] = dict.fromkeys(size, -1)
-    rows = keyed.select("mix_source", "mix_key", "mix_size")
-    for level, shift in enumerate(_SHIFTS):
-        if not prefix:
-            break
-        at = _small(spark, [(s, int(p)) for s, p in prefix.items()], "at_source string, at_prefix bigint")
-        inside = rows.join(at, F.col("mix_source").eqNullSafe(F.col("at_source")) & (F.shiftright("mix_key", shift + 12) == F.col("at_prefix")))
-        got: dict[str | None, list[tuple[int, int]]] = {s: [] for s in prefix}
-        for r in inside.groupBy("mix_source", F.shiftright("mix_key", shift).alias("digit")).agg(F.sum("mix_size").alias("n")).collect():
-            got[r[0]].append((int(r[1]), int(r[2])))  # at most 4096 digits a source
-        for s in list(prefix):
-            ran = 0
-            for digit, n in sorted(got[s]):
-                if ran + n > left[s]:
-                    if shift == 0:  # the key that crosses is taken if that is nearer to the budget
-                        bound[s] = digit if ran + n - left[s] < left[s] - ran else digit - 1
-                    else:
-                        prefix[s] = digit
-                    break
-                ran += n
-            else:  # all of them fit
-                bound[s] = ((prefix[s] + 1) << (shift + 12)) - 1
-                del prefix[s]
-                continue
-            left[s] -= ran
-            if shift == 0:
-                del prefix[s]
-    rows = [(s, size[s], float(target[s]), epochs[s], bound[s]) for s in size]
-    return _small(spark, rows, "plan_source string, source_size bigint, target double, epochs bigint, bound bigint")
+    sizes = settle(keyed.groupBy("mix_source").agg(F.sum("mix_size").alias("source_size")), "mix-sizes")
+    rows = targets(sizes)
+    epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("bigint")
+    rows = rows.withColumn("epochs", epochs).withColumn("left", F.col("target") - F.col("epochs") * F.col("source_size"))
+    rows = settle(rows.withColumns({"prefix": F.when(F.col("left") > 0, F.lit(0).cast("bigint")), "bound": F.lit(-1).cast("bigint")}), "mix-plan")
+    each = keyed.select("mix_source", "mix_key", "mix_size")
+    for shift in _SHIFTS:  # sources with a prefix are still open
+        at = rows.filter("prefix is not null").select(F.col("mix_source").alias("at_source"), F.col("prefix").alias("at_prefix"), "left")
+        inside = each.join(broadcast_if_small(at), F.col("mix_source").eqNullSafe(F.col("at_source")) & (F.shiftright("mix_key", shift + 12) == F.col("at_prefix")))
+        digits = inside.groupBy("at_source", "at_prefix", "left", F.shiftright("mix_key", shift).alias("digit")).agg(F.sum("mix_size").alias("n"))
+        ran = F.sum("n").over(Window.partitionBy("at_source").orderBy("digit"))  # at most 4096 digits a source
+        cross = digits.withColumn("ran", ran).filter(F.col("ran") > F.col("left")).groupBy("at_source").agg(F.min(F.struct("digit", (F.col("ran") - F.col("n")).alias("before"), "n")).alias("cross"))
+        rows = rows.join(broadcast_if_small(settle(cross, "mix-cross")), F.col("mix_source").eqNullSafe(F.col("at_source")), "left")
+        opened, crossed = F.col("prefix").isNotNull(), F.col("cross").isNotNull()
+        over = F.col("cross.before") + F.col("cross.n") - F.col("left")
+        last = F.when(over < F.col("left") - F.col("cross.before"), F.col("cross.digit")).otherwise(F.col("cross.digit") - 1)  # the key that crosses is taken if that is nearer to the budget
+        all_fit = (F.shiftleft(F.col("prefix") + 1, shift + 12) - 1).cast("bigint")
+        bound = F.when(opened & ~crossed, all_fit).when(crossed & F.lit(shift == 0), last).otherwise(F.col("bound"))
+        prefix = F.when(crossed & F.lit(shift > 0), F.col("cross.digit"))
+        left = F.when(crossed, F.col("left") - F.col("cross.before")).otherwise(F.col("left"))
+        rows = settle(rows.select("mix_source", "source_size", "target", "epochs", left.alias("left"), prefix.cast("bigint").alias("prefix"), bound.cast("bigint").alias("bound")), "mix-plan")
+    return broadcast_if_small(rows.select(F.col("mix_source").alias("plan_source"), "source_size", "target", "epochs", "bound"))
 
 
 def copies() -> Column:

@@ -172,10 +172,31 @@ def test_ownership_separates_examples(spark):
 # ---- 9: mixing
 
 
-def test_targets_stop_at_twice_the_size():
-    got = mixing.targets({"a": 10, "b": 1000, "c": 1000, None: 0})
-    assert got["a"] == 20 and got[None] == 0 and math.isclose(sum(got.values()), 1.5 * 2010)
-    assert all(got[s] <= 2 * n + 1e-9 for s, n in {"a": 10, "b": 1000, "c": 1000}.items())
+def plain_targets(sizes, weights=(5.0, 2.0, 1.0)):
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[i % 3] for i, s in enumerate(order)}
+    out, left, budget = {}, list(order), 1.5 * sum(sizes.values())
+    while left:
+        per = max(budget, 0.0) / sum(weight[s] for s in left)
+        above = [s for s in left if per * weight[s] > 2 * sizes[s]]
+        if not above:
+            return out | {s: per * weight[s] for s in left}
+        for s in above:
+            out[s] = 2.0 * sizes[s]
+            budget -= out[s]
+        left = [s for s in left if s not in out]
+    return out
+
+
+def test_targets_stop_at_twice_the_size(spark):
+    rng = np.random.default_rng(2)
+    cases = [{"a": 10, "b": 1000, "c": 1000, None: 0}, {None: 7}, {"a": 0, "b": 0}, {"z\U0001f600": 5, "z\uffff": 50, "": 500}]
+    cases += [{f"s{i}": int(x) for i, x in enumerate(10 ** rng.uniform(0, 6, 300))}]
+    for sizes in cases:
+        df = spark.createDataFrame(list(sizes.items()), "mix_source string, source_size long")
+        got = {r.mix_source: r.target for r in rows(mixing.targets(df))}
+        want = plain_targets(sizes)
+        assert got.keys() == want.keys() and all(math.isclose(got[s], want[s], rel_tol=1e-9, abs_tol=1e-9) for s in want)
 
 
 def test_mix(odd, empty, spark):

@@ -78,6 +78,28 @@ def one_to_three(letter) -> Column:
     return F.coalesce(F.element_at(_letters(back), F.upper(_c(letter))), F.lit("UNK"))
 
 
+def scaled(value: Column, digits: int) -> Column:
+    """The size of a double times a power of ten as a whole number: rounded by its exact binary value, ties to even.
+
+    The product is exact as a sum of two doubles.
+    """
+    size = F.abs(value.cast("double"))
+    k = F.lit(float(10**digits))
+    c = size * F.lit(134217729.0)
+    high = c - (c - size)
+    p = size * k
+    rest = (high * k - p) + (size - high) * k  # what the product lost
+    n = F.floor(p)
+    over = ((p - n) - F.lit(0.5)) + rest
+    return n + F.when((over > 0) | ((over == 0) & (n % 2 == 1)), 1).otherwise(0)
+
+
+def rounded(value, digits: int) -> Column:
+    """A double rounded to ``digits`` places by its exact binary value, ties to even (not by its decimal text)."""
+    x = _c(value).cast("double")
+    return F.signum(x) * scaled(x, digits) / F.lit(float(10**digits))
+
+
 def is_amino_acid(code) -> Column:
     return F.element_at(_letters(AMINO_ACIDS), F.upper(_c(code))).isNotNull()
 

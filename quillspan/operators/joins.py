@@ -30,32 +30,46 @@ def weighted_score(pairs: DataFrame, weights: DataFrame, key: list[str], templat
 
 
 def history_percentiles(hits: DataFrame, history: DataFrame, key: str, pairs: list[tuple[str, str, str]]) -> DataFrame:
-    """``hits`` with a column for each (value, history column, name): the share of the key's history above the value, -1 without one.
+    """``hits`` with a column for each (value, history column, name): the share of the key's history strictly above the value, -1 without one.
 
-    Histories are aggregated to one array per key, the hits are joined to it.
+    Equal values of a key are counted first, then one window per key over its distinct values of hits
+    and history alike, in descending order, sums what lies above: linear in both, whatever a key's history.
     """
-    hist = history.groupBy(key).agg(*[F.collect_list(h).alias(f"h_{n}") for _, h, n in pairs])
-    out = hits.join(hist, key, "left")
-    for value, _, name in pairs:
-        out = out.withColumn(name, lk.percentile_above(value, f"h_{name}"))
-    return out.drop(*[f"h_{n}" for _, _, n in pairs])
+    out = hits
+    for value, column, name in pairs:
+        past = history.filter(F.col(column).isNotNull()).groupBy(key, F.col(column).cast("double").alias("pc_value")).agg(F.count(F.lit(1)).alias("pc_n"))
+        asked = hits.select(key, F.col(value).cast("double").alias("pc_value")).distinct().withColumn("pc_n", F.lit(0).cast("bigint"))
+        both = past.unionByName(asked).groupBy(key, "pc_value").agg(F.sum("pc_n").alias("pc_n"))
+        above = F.sum("pc_n").over(Window.partitionBy(key).orderBy(F.col("pc_value").desc()).rowsBetween(Window.unboundedPreceding, -1))
+        total = past.groupBy(key).agg(F.sum("pc_n").alias("pc_total"))
+        share = both.withColumn("pc_above", F.coalesce(above, F.lit(0))).join(total, key).select(key, "pc_value", (F.col("pc_above") / F.col("pc_total")).alias(name))
+        out = out.withColumn("pc_value", F.col(value).cast("double")).join(share, [key, "pc_value"], "left").drop("pc_value").withColumn(name, F.coalesce(name, F.lit(-1.0)))
+    return out
+
+
+def top_of_family(sequence: DataFrame, near: float = 0.1) -> DataFrame:
+    """``sequence`` hits within ``near`` of the best probability of their (protein, family), with that ``best_prob``."""
+    best = sequence.groupBy("protein", "family").agg(F.max("prob").alias("best_prob"))
+    return sequence.join(best, ["protein", "family"]).filter(F.col("prob") >= F.col("best_prob") - near)
 
 
 def support_by_family(structure: DataFrame, sequence: DataFrame, near: float = 0.1) -> DataFrame:
     """(protein, line_no, best_prob, best_cov) of structure hits from the sequence hits of their family.
 
-    ``structure``: protein, line_no, family, residues (array). ``sequence``: protein, family, hit,
-    prob, length, q, t (one row per aligned pair). Coverage counts distinct template positions whose
-    query residue is among the structure hit's; the best coverage is over hits within ``near`` of the best probability.
+    ``structure``: protein, line_no, family, residues (array). ``sequence``: protein, family, hit, prob,
+    length, and its aligned places as arrays q and t. Coverage counts distinct template positions whose
+    query residue is among the structure hit's; the best coverage is over hits within ``near`` of the
+    best probability, which is the family's: only those hits are joined.
     """
-    members = structure.select("protein", "line_no", "family", F.explode("residues").alias("q")).distinct()
-    heads = sequence.select("protein", "family", "hit", "prob", "length").distinct()
-    both = structure.select("protein", "line_no", "family").join(heads, ["protein", "family"])
-    got = members.join(sequence.select("protein", "family", "hit", "q", "t"), ["protein", "family", "q"]).groupBy("protein", "line_no", "hit").agg(F.count_distinct("t").alias("n"))
-    cov = both.join(got, ["protein", "line_no", "hit"], "left").withColumn("cov", F.coalesce("n", F.lit(0)) / F.col("length"))
-    best = cov.withColumn("best_prob", F.max("prob").over(Window.partitionBy("protein", "line_no")))
-    best = best.groupBy("protein", "line_no", "best_prob").agg(F.max(F.when(F.col("prob") >= F.col("best_prob") - near, F.col("cov"))).alias("best_cov"))
-    out = structure.select("protein", "line_no").join(best, ["protein", "line_no"], "left")
+    top = top_of_family(sequence, near)
+    places = F.array_distinct(F.arrays_zip("q", "t"))
+    plain = (F.size(F.array_distinct(F.transform("zip", lambda x: x["q"]))) == F.size("zip")) & (F.size(F.array_distinct(F.transform("zip", lambda x: x["t"]))) == F.size("zip"))
+    top = top.withColumn("zip", places).withColumn("plain", plain)
+    both = structure.select("protein", "line_no", "family", "residues").join(top.select("protein", "family", "best_prob", "length", "q", "zip", "plain"), ["protein", "family"])
+    held = F.filter("zip", lambda x: F.array_contains("residues", x["q"]))
+    n = F.when(F.col("plain"), F.size(F.array_intersect("q", "residues"))).otherwise(F.size(F.array_distinct(F.transform(held, lambda x: x["t"]))))
+    got = both.groupBy("protein", "line_no").agg(F.max("best_prob").alias("best_prob"), F.max(n / F.col("length")).alias("best_cov"))
+    out = structure.select("protein", "line_no").join(got, ["protein", "line_no"], "left")
     return out.select("protein", "line_no", F.coalesce("best_prob", F.lit(0.0)).alias("best_prob"), F.coalesce("best_cov", F.lit(0.0)).alias("best_cov"))
 
 
@@ -86,21 +100,38 @@ def nearest_atoms(atoms: DataFrame) -> DataFrame:
 
 
 def probability_matrix(distances: DataFrame, errors: DataFrame, sequence: DataFrame, structure: DataFrame) -> DataFrame:
-    """(protein, r1, r2, p): the combined probability of pairs with a distance and an error; scores have defaults."""
-    seq = sequence.select("protein", "r1", "r2", lk.pooled_sequence_score("best", "n").alias("h"))
-    st = structure.select("protein", "r1", "r2", lk.pooled_structure_score("best", "n").alias("z"))
-    rows = distances.join(errors.select("protein", "r1", "r2", "err"), ["protein", "r1", "r2"]).join(seq, ["protein", "r1", "r2"], "left").join(st, ["protein", "r1", "r2"], "left")
+    """(protein, r1, r2, p): the combined probability of pairs with a distance and an error; scores have defaults.
+
+    The four relations have one row per pair at most: they meet in one aggregation over their union,
+    without sorts.
+    """
+    columns = {"dist": F.col("dist"), "err": F.col("err"), "h": lk.pooled_sequence_score("best", "n"), "z": lk.pooled_structure_score("best", "n")}
+    parts = [("dist", distances), ("err", errors), ("h", sequence), ("z", structure)]
+    shaped = [rows.select("protein", "r1", "r2", *[(columns[c] if c == mine else F.lit(None)).cast("double").alias(c) for c in columns]) for mine, rows in parts]
+    rows = shaped[0].unionByName(shaped[1]).unionByName(shaped[2]).unionByName(shaped[3]).groupBy("protein", "r1", "r2").agg(*[F.max(c).alias(c) for c in columns])
     p = lk.combined_probability(lk.distance_probability("dist"), lk.error_probability("err"), lk.sequence_probability(F.coalesce("h", F.lit(20.0))), lk.structure_probability(F.coalesce("z", F.lit(1.0))))
-    return rows.select("protein", "r1", "r2", p.alias("p"))
+    return rows.filter("dist is not null and err is not null").select("protein", "r1", "r2", p.alias("p"))
 
 
-def overlapping(domains: DataFrame, hits: DataFrame, a: str = "resids", b: str = "residues", strict: bool = False) -> DataFrame:
-    """Domain x hit of a protein that overlap, with ``n_common``. Spans that do not meet are dropped first: they share nothing."""
+def probability_of(pairs: DataFrame, matrix: DataFrame) -> DataFrame:
+    """``pairs`` (protein, r1, r2 in any order) with their ``p``: 1 on the diagonal, 0 where the matrix has none."""
+    rows = pairs.withColumns({"pr_low": F.least("r1", "r2"), "pr_high": F.greatest("r1", "r2")})
+    got = rows.join(matrix.select("protein", F.col("r1").alias("pr_low"), F.col("r2").alias("pr_high"), "p"), ["protein", "pr_low", "pr_high"], "left").drop("pr_low", "pr_high")
+    return got.withColumn("p", F.when(F.col("r1") == F.col("r2"), 1.0).otherwise(F.coalesce("p", F.lit(0.0))))
+
+
+def common_residues(domains: DataFrame, hits: DataFrame, a: str = "resids", b: str = "residues") -> DataFrame:
+    """Domain x hit of a protein that share residues, with ``n_common`` of them. Spans that do not meet are dropped first: they share nothing."""
     d = domains.withColumns({"d1": F.array_min(a), "d2": F.array_max(a)})
     h = hits.withColumns({"h1": F.array_min(b), "h2": F.array_max(b)})
-    both = d.join(h, "protein").filter("d1 <= h2 and h1 <= d2").drop("d1", "d2", "h1", "h2").withColumn("n_common", F.size(F.array_intersect(a, b)))
+    both = d.join(h, "protein").filter("d1 <= h2 and h1 <= d2").drop("d1", "d2", "h1", "h2")
+    return both.withColumn("n_common", F.size(F.array_intersect(a, b))).filter("n_common > 0")
+
+
+def overlapping(domains: DataFrame, hits: DataFrame, a: str = "resids", b: str = "residues", strict: bool = False) -> DataFrame:
+    """Domain x hit of a protein that overlap, with ``n_common``."""
     test = lk.overlaps_strictly if strict else lk.overlaps_loosely
-    return both.filter(test("n_common", F.size(a), F.size(b)))
+    return common_residues(domains, hits, a, b).filter(test("n_common", F.size(a), F.size(b)))
 
 
 def first_of(rows: DataFrame, group: list[str], order: list[Column]) -> DataFrame:
@@ -165,7 +196,29 @@ def spatial_contacts(atoms: DataFrame, radius: float = 8.0) -> DataFrame:
     return x.join(y, ["protein", "cx", "cy", "cz"]).filter((F.col("r1") < F.col("r2")) & (F.sqrt(square) <= radius)).select("protein", "r1", "r2").distinct()
 
 
-def best_match(left: DataFrame, right: DataFrame, key: str, a: str = "resids_a", b: str = "resids_b") -> DataFrame:
-    """For each left domain the right one of its key with the greatest Jaccard above 0 (the first of equals)."""
-    both = left.join(right, key).withColumn("jaccard", lk.jaccard(a, b)).filter("jaccard > 0")
+def interface_counts(domains: DataFrame, contacts: DataFrame) -> DataFrame:
+    """(protein, d1, d2, contacts) of domains d1 < d2 (one row per residue): distinct residue pairs in contact, one of each."""
+    both = contacts.select("protein", "r1", "r2").union(contacts.select("protein", F.col("r2"), F.col("r1"))).toDF("protein", "r1", "r2")
+    side = lambda k: domains.select("protein", F.col("domain").alias(f"d{k}"), F.col("resid").alias(f"r{k}"))
+    x = both.join(side(1), ["protein", "r1"]).join(side(2), ["protein", "r2"]).filter("d1 < d2")
+    return x.groupBy("protein", "d1", "d2").agg(F.count_distinct("r1", "r2").alias("contacts"))
+
+
+def mapped_positions(residues: str = "resids", q: str = "q", e: str = "e", renumber: bool = False) -> Column:
+    """Template positions of the aligned places whose query residue is among ``residues``; with ``renumber`` by the map column ``m``, those it lacks go."""
+    kept = F.transform(F.filter(F.arrays_zip(q, e), lambda x: F.array_contains(residues, x[q])), lambda x: x[e])
+    if not renumber:
+        return kept
+    return F.coalesce(F.filter(F.transform(kept, lambda r: F.try_element_at("m", r)), lambda r: r.isNotNull()), F.array().cast("array<int>"))
+
+
+def singles(domains: DataFrame, grouped: DataFrame) -> DataFrame:
+    """Domains that are in no merged group."""
+    return domains.join(grouped.select("protein", "domain"), ["protein", "domain"], "left_anti")
+
+
+def best_match(left: DataFrame, right: DataFrame, key: str, a: str = "resids_a", b: str = "resids_b", where: str = "true") -> DataFrame:
+    """For each left domain the right one of its key, of the pairs that ``where`` allows, with the greatest Jaccard above 0 (the first of equals)."""
+    left, right = left.withColumns({"a1": F.array_min(a), "a2": F.array_max(a)}), right.withColumns({"b1": F.array_min(b), "b2": F.array_max(b)})
+    both = left.join(right, key).filter("a1 <= b2 and b1 <= a2").filter(where).withColumn("jaccard", lk.jaccard(a, b)).filter("jaccard > 0").drop("a1", "a2", "b1", "b2")
     return first_of(both, [key, "domain_a"], [F.col("jaccard").desc(), F.col("domain_b")])

@@ -29,6 +29,11 @@ def consensus(both: DataFrame, hh_query: str, hh_template: str, st_query: str, s
     return rows.withColumn("consensus_diff", F.when(F.size("diffs") > 0, mean).otherwise(-1.0)).withColumn("consensus_cov", F.size("common") / F.col(length)).drop("common", "diffs")
 
 
+def rank_floor(top: Column | str, least: float = 10.0) -> Column:
+    """What a missing rank counts: the greatest one of the protein, ``least`` at least."""
+    return F.greatest(F.coalesce(top, F.lit(least)), F.lit(least))
+
+
 def features(hh: DataFrame, st: DataFrame, max_ranks: DataFrame) -> DataFrame:
     """One row per (protein, domain, template) found by either method, with the defaults of the other.
 
@@ -44,7 +49,7 @@ def features(hh: DataFrame, st: DataFrame, max_ranks: DataFrame) -> DataFrame:
     both = consensus(both, "hq", "ht", "sq", "stt", "length")
     found = F.col("has_hh") & F.col("has_st")
     out = [F.coalesce(c, F.lit(d)).alias(c) for c, d in (("hh_prob", 0.0), ("hh_cov", 0.0), ("z", 0.0), ("q", 0.0), ("ztile", 10.0), ("qtile", 10.0))]
-    out += [F.coalesce("hh_rank", F.greatest(F.coalesce("max_hh", F.lit(10.0)), F.lit(10.0))).alias("hh_rank"), F.coalesce("st_rank", F.greatest(F.coalesce("max_st", F.lit(10.0)), F.lit(10.0))).alias("st_rank")]
+    out += [F.coalesce("hh_rank", rank_floor("max_hh")).alias("hh_rank"), F.coalesce("st_rank", rank_floor("max_st")).alias("st_rank")]
     out += [F.when(found, F.col("consensus_diff")).otherwise(-1.0).alias("consensus_diff"), F.when(found, F.col("consensus_cov")).otherwise(0.0).alias("consensus_cov")]
     return both.select(*keys, "length", *out)
 
@@ -77,12 +82,22 @@ def mlp_column(columns: list[str], weights: dict[str, np.ndarray]) -> Column:
     return 1 / (1 + F.exp(out[0] - out[1]))
 
 
+def best_per_topology(predictions: DataFrame) -> DataFrame:
+    """(protein, domain, tgroup, best): the greatest probability of each topology."""
+    return predictions.groupBy("protein", "domain", "tgroup").agg(F.max("prob").alias("best"))
+
+
+def prediction_summary(predictions: DataFrame, least: float = 0.6) -> DataFrame:
+    """One row: number, least, greatest, mean and middle probability, and the share of ``least`` or more."""
+    return predictions.agg(F.count(F.lit(1)).alias("n"), F.min("prob").alias("lowest"), F.max("prob").alias("highest"), F.avg("prob").alias("mean"), F.median("prob").alias("middle"), F.avg((F.col("prob") >= least).cast("double")).alias("share"))
+
+
 def confident(predictions: DataFrame, least: float = 0.6, near: float = 0.05) -> DataFrame:
     """Predictions of probability ``least`` or more with their domain's label ``quality``.
 
     Topologies within ``near`` of the domain's best decide: one is good, one family is ok, else bad.
     """
-    per = predictions.groupBy("protein", "domain", "tgroup").agg(F.max("prob").alias("best"))
+    per = best_per_topology(predictions)
     top = per.withColumn("top", F.max("best").over(Window.partitionBy("protein", "domain"))).filter(F.col("best") >= F.col("top") - near)
     label = top.groupBy("protein", "domain").agg(lk.confidence_label(F.count_distinct("tgroup"), F.count_distinct(lk.hierarchy_prefix("tgroup", 2))).alias("quality"))
     return predictions.filter(F.col("prob") >= least).join(label, ["protein", "domain"])

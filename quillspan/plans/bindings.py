@@ -41,8 +41,8 @@ SELECT user_id AS protein, row_number() OVER (PARTITION BY user_id ORDER BY ts,
        CAST(event_id % 9 AS BIGINT) AS contacts, CASE WHEN event_id % 3 = 0 THEN 1 ELSE 0 END AS hit
 FROM {events}
 """
-#: Residues of a chain with pair errors.
-CHAIN = 60
+#: Residues of a chain with pair errors, and of the longest chain that a hit can need.
+CHAIN, MOST = 60, 160
 
 
 def errors(chain: int) -> str:

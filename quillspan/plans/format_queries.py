@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import lookups as lk
-from ..operators import align, ml, windows
+from ..operators import align, graph, joins, ml, windows
 from ..sources import parsers, sinks
 from . import bindings as bd
-from . import state, validate
+from . import stages, state, validate
 from .queries import DR, _DA, H, PR, domain_rows, domains, hits, query
 
 
@@ -39,17 +38,32 @@ def structure_search_parse(spark, sf):
     return parsers.structure_search(lines).select(F.col("file").cast("bigint").alias("protein"), "template", "qs", "qe", "evalue")
 
 
-@query("structure_hits_parse", f"SELECT protein, CAST(template AS VARCHAR) || '_1' AS hit, z, CAST(qe - qs + 1 AS BIGINT) AS n_pairs, qs AS q_first, CAST(ts + qe - qs AS INT) AS t_last FROM {H}")
-def structure_hits_parse(spark, sf):
+def hit_text(spark, sf, rotated: bool):
+    """(file, value): the hits of each protein in the alignment list's form."""
     h = hits(spark, sf)
     head = F.concat(F.lit(">"), F.col("template").cast("string"), F.lit("_1 "), F.col("z").cast("string"), F.lit(" 9 100 0"))
-    rot = F.array(*[F.lit(f"rotation{k} 1 0 0") for k in (1, 2, 3)], F.lit("translation 1 2 3"))
+    rot = F.array(*[F.lit(f"rotation{k} 1 0 0") for k in (1, 2, 3)], F.lit("translation 1 2 3")) if rotated else F.array().cast("array<string>")
     pairs = F.transform(F.sequence("qs", "qe"), lambda q: F.concat(q.cast("string"), F.lit("\t"), (q - F.col("qs") + F.col("ts")).cast("string")))
-    text = h.select("protein", "line_no", F.array_join(F.concat(F.array(head), rot, pairs), "\n").alias("t")).groupBy("protein").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "t"))), lambda s: s["t"]), "\n").alias("value"))
-    got = parsers.structure_hits(parsers.to_lines(text.select(F.col("protein").cast("string").alias("file"), "value")))
+    return h.select(F.col("protein").cast("string").alias("file"), F.col("line_no").cast("int").alias("hit_no"), F.array_join(F.concat(F.array(head), rot, pairs), "\n").alias("value"))
+
+
+_HIT_SQL = f"SELECT protein, CAST(template AS VARCHAR) || '_1' AS hit, z, CAST(qe - qs + 1 AS BIGINT) AS n_pairs, qs AS q_first, CAST(ts + qe - qs AS INT) AS t_last FROM {H}"
+
+
+def hit_shape(got):
     return got.select(F.col("file").cast("bigint").alias("protein"), "hit", "z", F.size("pairs").cast("bigint").alias("n_pairs"), F.col("pairs")[0]["q"].alias("q_first"), F.element_at("pairs", -1)["t"].alias("t_last"))
 
 
+@query("structure_hits_parse", _HIT_SQL)
+def structure_hits_parse(spark, sf):
+    return hit_shape(parsers.structure_hits(parsers.to_blocks(hit_text(spark, sf, True))))
+
+
+@query("simple_hits_parse", _HIT_SQL)
+def simple_hits_parse(spark, sf):
+    return hit_shape(parsers.simple_hits(parsers.to_blocks(hit_text(spark, sf, False))))
+
+
 @query("pair_errors_parse", "SELECT user_id AS protein, CAST(i AS INT) AS r1, CAST(j AS INT) AS r2, CAST((user_id + i * 3 + j) % 30 AS DOUBLE) AS err FROM (SELECT DISTINCT user_id FROM events), generate_series(1, 12) a(i), generate_series(1, 12) b(j)")
 def pair_errors_parse(spark, sf):
     u = spark.read.parquet(f"{sf}/events.parquet").select("user_id").distinct()
@@ -107,14 +121,8 @@ def normalised_hits(spark, sf):
     return sinks.normalised_hits(li, norms).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "znorm", "support")
 
 
-@query("split_by_query", f"SELECT s_suppkey AS protein, count(line_no) AS hits FROM supplier LEFT JOIN (SELECT * FROM {H} WHERE z >= 19) h ON h.protein = s_suppkey GROUP BY s_suppkey")
+@query("split_by_query", f"SELECT s_suppkey AS protein, count(line_no) AS hits FROM supplier LEFT JOIN {H} h ON h.protein = s_suppkey GROUP BY s_suppkey")
 def split_by_query(spark, sf):
-    wanted = spark.read.parquet(f"{sf}/supplier.parquet").select(F.col("s_suppkey").alias("protein"))
-    return sinks.split_by_query(hits(spark, sf).filter("z >= 19"), wanted)[1]
-
-
-@query("split_by_query_whole", f"SELECT s_suppkey AS protein, count(line_no) AS hits FROM supplier LEFT JOIN {H} h ON h.protein = s_suppkey GROUP BY s_suppkey")
-def split_by_query_whole(spark, sf):
     wanted = spark.read.parquet(f"{sf}/supplier.parquet").select(F.col("s_suppkey").alias("protein"))
     return sinks.split_by_query(hits(spark, sf), wanted)[1]
 
@@ -126,23 +134,25 @@ def substructures(spark, sf):
     return sinks.substructures(atoms, d).select(F.col("file").alias("protein"), "domain", "resid")
 
 
-@query("group_union", f"SELECT protein, g AS label, CAST(count(DISTINCT resid) AS BIGINT) AS n FROM (SELECT protein, domain % 2 AS g, resid FROM {DR}) GROUP BY ALL")
+@query("group_union", f"SELECT protein, domain % 2 AS label, CAST(count(DISTINCT resid) AS BIGINT) AS n FROM {DR} GROUP BY ALL")
 def group_union(spark, sf):
-    d = domains(spark, sf).withColumn("label", F.col("domain") % 2)
-    return d.groupBy("protein", "label").agg(F.size(F.array_distinct(F.flatten(F.collect_list("resids")))).cast("bigint").alias("n"))
+    """Domains of a protein joined to those two places on: the even and the odd ones."""
+    d = domains(spark, sf)
+    edges = d.select("protein", F.col("domain").alias("a"), F.col("domain") % 2).toDF("protein", "a", "b")
+    return graph.merged_domains(edges, d.select("protein", "domain", "resids")).select("protein", "label", F.size("resids").cast("bigint").alias("n"))
 
 
-@query("interval_coverage", f"SELECT protein, domain, h.line_no AS line_no FROM {_DA} d JOIN {H} h USING (protein) WHERE h.qs <= 5 AND list_contains(d.resids, h.qs)")
-def interval_coverage(spark, sf):
-    h = hits(spark, sf).filter("qs <= 5").select("protein", "line_no", F.col("qs").alias("resid"))
-    return domain_rows(spark, sf).join(h, ["protein", "resid"]).select("protein", "domain", "line_no")
+@query("group_sizes", f"SELECT count(*) AS groups, CAST(sum(n) AS BIGINT) AS members, CAST(max(n) AS INT) AS largest, avg(n) AS mean FROM (SELECT protein, domain % 2 AS g, count(DISTINCT domain) AS n FROM {DR} GROUP BY ALL)")
+def group_sizes(spark, sf):
+    d = domains(spark, sf)
+    edges = d.select("protein", F.col("domain").alias("a"), F.col("domain") % 2).toDF("protein", "a", "b")
+    return graph.group_sizes(graph.merged_domains(edges, d.select("protein", "domain", "resids"))).withColumn("members", F.col("members").cast("bigint"))
 
 
-@query("interval_coverage_whole", f"SELECT d.protein, domain, line_no, count(*) AS n FROM {DR} d JOIN {H} h ON h.protein = d.protein AND d.resid BETWEEN h.qs AND h.qe GROUP BY ALL")
-def interval_coverage_whole(spark, sf):
+@query("interval_coverage", f"SELECT d.protein, domain, line_no, count(*) AS n FROM {DR} d JOIN {H} h ON h.protein = d.protein AND d.resid BETWEEN h.qs AND h.qe GROUP BY ALL")
+def interval_coverage(spark, sf):
     """Every hit with the domains it covers, and how many of their residues."""
-    h = hits(spark, sf).select("protein", "line_no", F.explode(F.sequence("qs", "qe")).alias("resid"))
-    return domain_rows(spark, sf).join(h, ["protein", "resid"]).groupBy("protein", "domain", "line_no").agg(F.count(F.lit(1)).alias("n"))
+    return joins.common_residues(domains(spark, sf).select("protein", "domain", "resids"), hits(spark, sf).withColumn("residues", F.sequence("qs", "qe"))).select("protein", "domain", "line_no", F.col("n_common").cast("bigint").alias("n"))
 
 
 # ---- features
@@ -172,12 +182,12 @@ def feature_rows(spark, sf):
 
 @query("max_rank_floor", f"SELECT protein, greatest(coalesce(max(z), 10.0), 10.0) AS top FROM {H} GROUP BY protein")
 def max_rank_floor(spark, sf):
-    return hits(spark, sf).groupBy("protein").agg(F.greatest(F.coalesce(F.max("z"), F.lit(10.0)), F.lit(10.0)).alias("top"))
+    return hits(spark, sf).groupBy("protein").agg(ml.rank_floor(F.max("z")).alias("top"))
 
 
 @query("best_per_topology", f"SELECT protein, domain, tgroup, max(prob) AS best FROM {PR} GROUP BY ALL")
 def best_per_topology(spark, sf):
-    return bd.bind(spark, sf, bd.PREDICTIONS).groupBy("protein", "domain", "tgroup").agg(F.max("prob").alias("best"))
+    return ml.best_per_topology(bd.bind(spark, sf, bd.PREDICTIONS))
 
 
 _BC = f"(SELECT *, CASE WHEN prob < 0.85 THEN 3 WHEN line_no % 3 = 0 THEN 1 WHEN line_no % 3 = 1 THEN 2 ELSE 3 END AS r FROM {PR})"
@@ -188,14 +198,17 @@ def best_classified(spark, sf):
     p = bd.bind(spark, sf, bd.PREDICTIONS)
     w = F.when(F.col("line_no") % 3 == 0, 0.9).when(F.col("line_no") % 3 == 1, 0.5).otherwise(0.1)
     p = p.withColumn("kind", lk.coverage_class("prob", w, w))
-    rank = F.when(F.col("kind") == "full", 1).when(F.col("kind") == "part", 2).otherwise(3)
-    place = F.row_number().over(Window.partitionBy("protein", "domain").orderBy(rank, F.col("prob").desc(), "line_no"))
-    return p.withColumn("k", place).filter("k = 1").select("protein", "domain", "template", "prob", "kind")
+    return stages.best_classified(p, ["protein", "domain"], ["line_no"]).select("protein", "domain", "template", "prob", "kind")
 
 
-@query("iterative_alignment")
+@query(
+    "iterative_alignment",
+    f"""WITH RECURSIVE r(protein, template, k, residues) AS (SELECT protein, domain, 1, list_sort(list(resid)) FROM {DR} GROUP BY ALL
+      UNION ALL SELECT protein, template, k + 1, residues[greatest(20, len(residues) // 2) + 1:] FROM r WHERE len(residues) >= 20)
+    SELECT protein, template || '_' || k AS hit, CAST(greatest(20, len(residues) // 2) AS DOUBLE) AS z, CAST(greatest(20, len(residues) // 2) AS INT) AS n, CAST(residues[1] AS INT) AS q_first FROM r WHERE len(residues) >= 20""",
+)
 def iterative_alignment(spark, sf):
-    """An injected aligner that takes the first half of what is left; tests hold the rounds against a plain model."""
+    """An injected aligner that takes the first half of what is left, 20 residues at least."""
 
     def halves(left, template):
         n = max(20, len(left) // 2)
@@ -292,10 +305,10 @@ def agreement_rubric(spark, sf):
     return validate.rubric(m, c).select("jaccard_80", F.round("mean_jaccard", 6).alias("mean_jaccard"), "t_agreement", "missed", "count_ratio")
 
 
-@query("shared_proteins", "SELECT l_suppkey AS protein FROM lineitem WHERE l_quantity > 45 INTERSECT SELECT s_suppkey FROM supplier WHERE s_acctbal > 0")
+@query("shared_proteins", "SELECT l_suppkey AS protein FROM lineitem INTERSECT SELECT s_suppkey FROM supplier WHERE s_acctbal > 0")
 def shared_proteins(spark, sf):
     li, s = spark.read.parquet(f"{sf}/lineitem.parquet"), spark.read.parquet(f"{sf}/supplier.parquet")
-    return li.filter("l_quantity > 45").select(F.col("l_suppkey").alias("protein")).intersect(s.filter("s_acctbal > 0").select("s_suppkey"))
+    return validate.shared_proteins(li.select(F.col("l_suppkey").alias("protein")), s.filter("s_acctbal > 0").select(F.col("s_suppkey").alias("protein")))
 
 
 @query("segment_islands", f"SELECT protein, domain, count(*) AS segments FROM (SELECT protein, domain, resid - row_number() OVER (PARTITION BY protein, domain ORDER BY resid) AS g FROM {DR} GROUP BY protein, domain, resid, g) GROUP BY protein, domain, g".replace("GROUP BY protein, domain, resid, g) GROUP BY protein, domain, g", ") GROUP BY protein, domain").replace("count(*) AS segments", "count(DISTINCT g) AS segments"))

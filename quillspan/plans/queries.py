@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import lookups as lk
 from ..functions import ranges as rg
-from ..operators import cluster, graph, joins, ml, running, windows
+from ..operators import graph, joins, ml, running, windows
 from . import bindings as bd
 
 QUERIES: dict = {}
@@ -111,11 +111,10 @@ def range_filter_segments(spark, sf):
     return resid_arrays(spark, sf).select("entity", rg.filter_segments(rg.format_full("resids"), 3, 5, 25).alias("text"))
 
 
-@query("range_merge", f"SELECT protein, {SHORT} AS text FROM {islands_sql(f'(SELECT DISTINCT protein, resid FROM {DR} WHERE domain < 2)', 'protein', 'resid')} GROUP BY protein")
+@query("range_merge", f"SELECT protein, {SHORT} AS text FROM {islands_sql(f'(SELECT DISTINCT protein, resid FROM {DR})', 'protein', 'resid')} GROUP BY protein")
 def range_merge(spark, sf):
-    d = domains(spark, sf)
-    x, y = (d.filter(f"domain = {k}").select("protein", F.col("text").alias(f"t{k}")) for k in (0, 1))
-    return x.join(y, "protein").select("protein", rg.merge_ranges("t0", "t1").alias("text"))
+    texts = domains(spark, sf).groupBy("protein").agg(F.array_sort(F.collect_list(F.struct("domain", "text"))).alias("d"))  # five a protein
+    return texts.select("protein", F.aggregate("d", F.lit(""), lambda a, x: rg.merge_ranges(a, x["text"])).alias("text"))
 
 
 # ---- lookups
@@ -209,9 +208,11 @@ def plain_ids(spark, sf):
 
 @query(
     "coverage_cap",
-    f"""WITH h AS {H}, r AS (SELECT *, unnest(generate_series(qs, qe)) AS residue FROM h),
-    k AS (SELECT protein, line_no, row_number() OVER (PARTITION BY protein, residue ORDER BY evalue, line_no) AS rn FROM r)
-    SELECT h.protein, h.line_no, h.template, h.qs, h.qe, h.evalue FROM h JOIN (SELECT protein, line_no FROM k WHERE rn <= 100 GROUP BY ALL HAVING count(*) >= 10) USING (protein, line_no)""",
+    f"""WITH h AS MATERIALIZED (SELECT protein, line_no, template, qs, qe, evalue FROM {H}),
+    r AS (SELECT protein, line_no, evalue, unnest(generate_series(qs, qe)) AS residue FROM h),
+    k AS (SELECT protein, line_no FROM r QUALIFY row_number() OVER (PARTITION BY protein, residue ORDER BY evalue, line_no) <= 100),
+    g AS MATERIALIZED (SELECT protein, line_no FROM k GROUP BY protein, line_no HAVING count(*) >= 10)
+    SELECT h.protein, h.line_no, h.template, h.qs, h.qe, h.evalue FROM h SEMI JOIN g ON h.protein = g.protein AND h.line_no = g.line_no""",
 )
 def coverage_cap(spark, sf):
     return running.coverage_cap(hits(spark, sf), F.col("evalue")).select("protein", "line_no", "template", "qs", "qe", "evalue")
@@ -273,12 +274,12 @@ def candidate_except(spark, sf):
     return h.filter("prob >= 50").select("protein", "template").subtract(h.filter("z >= 8").select("protein", "template"))
 
 
-@query("tagged_union", f"SELECT 'sequence' AS tag, protein, line_no, prob, CAST(NULL AS DOUBLE) AS z FROM {H} WHERE prob >= 90 UNION ALL SELECT 'structure', protein, line_no, NULL, z FROM {H} WHERE z >= 15")
+@query("tagged_union", f"SELECT 'sequence' AS tag, protein, line_no, prob, CAST(NULL AS DOUBLE) AS z FROM {H} UNION ALL SELECT 'structure', protein, line_no, NULL, z FROM {H}")
 def tagged_union(spark, sf):
     from ..sources.sinks import tagged_union as union
 
     h = hits(spark, sf)
-    return union(h.filter("prob >= 90").select("protein", "line_no", "prob"), h.filter("z >= 15").select("protein", "line_no", "z"))
+    return union(h.select("protein", "line_no", "prob"), h.select("protein", "line_no", "z"))
 
 
 @query("best_hit", f"SELECT protein, family, line_no, prob FROM (SELECT *, row_number() OVER (PARTITION BY protein, family ORDER BY prob DESC, line_no) AS k FROM {H}) WHERE k = 1")
@@ -308,35 +309,24 @@ def uniform_weights(spark, sf):
 
 @query(
     "sequence_support",
-    f"""WITH h AS {H}, s AS (SELECT protein, line_no, family, qs, qe FROM h WHERE z >= 12), q AS (SELECT protein, line_no AS hit, family, prob, qe - qs + 5 AS length, qs, qe, ts FROM h WHERE prob >= 60),
-    c AS (SELECT s.protein, s.line_no, q.hit, q.prob, CAST(greatest(0, least(s.qe, q.qe) - greatest(s.qs, q.qs) + 1) AS DOUBLE) / q.length AS cov FROM s JOIN q ON s.protein = q.protein AND s.family = q.family),
-    b AS (SELECT *, max(prob) OVER (PARTITION BY protein, line_no) AS best FROM c)
-    SELECT s.protein, s.line_no, coalesce(max(best), 0.0) AS best_prob, coalesce(max(CASE WHEN prob >= best - 0.1 THEN cov END), 0.0) AS best_cov FROM s LEFT JOIN b ON s.protein = b.protein AND s.line_no = b.line_no GROUP BY s.protein, s.line_no""",
-)
-def sequence_support(spark, sf):
-    h = hits(spark, sf)
-    st = h.filter("z >= 12").select("protein", "line_no", "family", F.sequence("qs", "qe").alias("residues"))
-    sq = h.filter("prob >= 60").select("protein", "family", F.col("line_no").alias("hit"), "prob", (F.col("qe") - F.col("qs") + 5).alias("length"), F.posexplode(F.sequence("qs", "qe")).alias("i", "q"), "ts")
-    return joins.support_by_family(st, sq.withColumn("t", F.col("ts") + F.col("i")))
-
-
-@query(
-    "sequence_support_whole",
     f"""WITH h AS {H}, c AS (SELECT s.protein, s.line_no, q.prob, CAST(greatest(0, least(s.qe, q.qe) - greatest(s.qs, q.qs) + 1) AS DOUBLE) / (q.qe - q.qs + 5) AS cov FROM h s JOIN h q ON s.protein = q.protein AND s.family = q.family),
     b AS (SELECT *, max(prob) OVER (PARTITION BY protein, line_no) AS best FROM c)
     SELECT protein, line_no, max(best) AS best_prob, max(CASE WHEN prob >= best - 0.1 THEN cov END) AS best_cov FROM b GROUP BY protein, line_no""",
 )
-def sequence_support_whole(spark, sf):
+def sequence_support(spark, sf):
     """All hits, as structure hits, by all hits of their family, as sequence hits."""
     h = hits(spark, sf)
-    sq = h.select("protein", "family", F.col("line_no").alias("hit"), "prob", (F.col("qe") - F.col("qs") + 5).alias("length"), F.posexplode(F.sequence("qs", "qe")).alias("i", "q"), "ts")
-    return joins.support_by_family(h.select("protein", "line_no", "family", F.sequence("qs", "qe").alias("residues")), sq.withColumn("t", F.col("ts") + F.col("i")))
+    sq = h.select("protein", "family", F.col("line_no").alias("hit"), "prob", (F.col("qe") - F.col("qs") + 5).alias("length"), F.sequence("qs", "qe").alias("q"), F.sequence("ts", F.col("ts") + F.col("qe") - F.col("qs")).alias("t"))
+    return joins.support_by_family(h.select("protein", "line_no", "family", F.sequence("qs", "qe").alias("residues")), sq)
 
 
-@query("span_coverage", f"SELECT protein, line_no, round(CAST(qe - qs + 1 AS DOUBLE) / p_size, 6) AS coverage FROM {H} JOIN part ON p_partkey = template")
+@query("span_coverage", f"SELECT protein, line_no, CAST(format('{{:.3f}}', CAST(qe - qs + 1 AS DOUBLE) / p_size) AS DOUBLE) AS coverage FROM {H} JOIN part ON p_partkey = template")
 def span_coverage(spark, sf):
-    part = spark.read.parquet(f"{sf}/part.parquet").select(F.col("p_partkey").alias("template"), "p_size")
-    return hits(spark, sf).join(part, "template").select("protein", "line_no", F.round((F.col("qe") - F.col("qs") + 1) / F.col("p_size"), 6).alias("coverage"))
+    from .stages import with_coverages
+
+    part = spark.read.parquet(f"{sf}/part.parquet").select(F.col("p_partkey").alias("template"), F.col("p_size").alias("length"))
+    got = with_coverages(hits(spark, sf).join(part, "template").withColumn("e", F.sequence("ts", F.col("ts") + F.col("qe") - F.col("qs"))))
+    return got.select("protein", "line_no", F.col("span_coverage").alias("coverage"))
 
 
 # ---- along a sequence
@@ -366,13 +356,17 @@ def secondary_structure(spark, sf):
 
 @query(
     "structure_counts",
-    f"""WITH s AS ({ORACLES["secondary_structure"]}), d AS (SELECT entity, sse_id, max(CASE WHEN sse_type = 'H' THEN 1 ELSE 0 END) AS h, max(CASE WHEN sse_type = 'E' THEN 1 ELSE 0 END) AS e, count(*) AS n FROM s WHERE sse_id IS NOT NULL AND pos BETWEEN 5 AND 60 GROUP BY entity, sse_id)
-    SELECT entity, count(*) FILTER (h = 1 AND n >= 6) AS helices, count(*) FILTER (e = 1 AND n >= 3) AS strands FROM d GROUP BY entity""",
+    f"""WITH s AS ({ORACLES["secondary_structure"]}), d AS (SELECT entity, pos <= 60 AS head, sse_id, max(CASE WHEN sse_type = 'H' THEN 1 ELSE 0 END) AS h, max(CASE WHEN sse_type = 'E' THEN 1 ELSE 0 END) AS e, count(*) AS n FROM s WHERE sse_id IS NOT NULL GROUP BY ALL),
+    g AS (SELECT DISTINCT entity, pos <= 60 AS head FROM s)
+    SELECT g.entity AS protein, CASE WHEN g.head THEN 'head' ELSE 'tail' END AS domain, count(*) FILTER (h = 1 AND n >= 6) AS helices, count(*) FILTER (e = 1 AND n >= 3) AS strands FROM g LEFT JOIN d ON d.entity = g.entity AND d.head = g.head GROUP BY ALL""",
 )
 def structure_counts(spark, sf):
-    s = windows.secondary_structure(bd.bind(spark, sf, bd.CODES), ["entity"]).filter("sse_id is not null and pos between 5 and 60")
-    d = s.groupBy("entity", "sse_id").agg(F.max((F.col("sse_type") == "H").cast("int")).alias("h"), F.max((F.col("sse_type") == "E").cast("int")).alias("e"), F.count(F.lit(1)).alias("n"))
-    return d.groupBy("entity").agg(F.count_if((F.col("h") == 1) & (F.col("n") >= 6)).alias("helices"), F.count_if((F.col("e") == 1) & (F.col("n") >= 3)).alias("strands"))
+    """Elements of every entity's first 60 residues and of the others, as two domains."""
+    from .stages import element_counts
+
+    s = windows.secondary_structure(bd.bind(spark, sf, bd.CODES), ["entity"]).withColumnsRenamed({"entity": "protein", "pos": "resid"})
+    d = s.groupBy("protein", F.when(F.col("resid") <= 60, "head").otherwise("tail").alias("domain")).agg(F.collect_list("resid").alias("resids"))
+    return element_counts(d, s)
 
 
 @query(
@@ -433,21 +427,7 @@ def contacts(spark, sf):
     return joins.contacts(bd.bind(spark, sf, bd.ERRORS), sse)
 
 
-_PS = f"(SELECT protein, a AS r1, b AS r2, max(prob) AS best, count(*) AS n FROM (SELECT protein, prob, a, unnest(generate_series(a + 1, least(qe, {bd.CHAIN}))) AS b FROM (SELECT protein, prob, qe, unnest(generate_series(qs, least(qe, {bd.CHAIN}))) AS a FROM {H} WHERE qs <= {bd.CHAIN} AND prob >= 80)) GROUP BY ALL)"
-
-
-def small_hits(spark, sf):
-    return hits(spark, sf).filter(f"qs <= {bd.CHAIN} and prob >= 80").withColumn("res", F.sequence("qs", F.least("qe", F.lit(bd.CHAIN))))
-
-
-@query("pair_scores", f"SELECT protein, r1, r2, best, n FROM (SELECT protein, CAST(r1 AS INT) AS r1, CAST(r2 AS INT) AS r2, best, n FROM {_PS})")
-def pair_scores(spark, sf):
-    return joins.pair_scores(small_hits(spark, sf), "res", "prob")
-
-
-_DIST = "abs(r1 - r2) * 0.75 + (r1 * r2) % 11"
-_MATRIX = f"""(SELECT e.protein, e.r1, e.r2, pow({case('e.dist', lk.DISTANCE_BINS, lk.DISTANCE_BEYOND, '<=')} * {case('e.err', lk.ERROR_BINS, lk.ERROR_BEYOND, '<=')} * {case("coalesce(CASE WHEN s.n > 10 THEN s.best + 100 ELSE s.best + 10 * s.n - 10 END, 20)", lk.SEQUENCE_BINS, lk.SEQUENCE_BELOW, '>=')} * {case("coalesce(CASE WHEN s.n > 5 THEN s.best / 5 + 5 ELSE s.best / 5 + s.n - 1 END, 1)", lk.STRUCTURE_BINS, lk.STRUCTURE_BELOW, '>=')}, 0.25) AS p
-  FROM (SELECT *, CAST({_DIST} AS DOUBLE) AS dist FROM {E}) e LEFT JOIN {_PS} s ON s.protein = e.protein AND s.r1 = e.r1 AND s.r2 = e.r2)"""
+_PS = f"(SELECT protein, CAST(a AS INT) AS r1, CAST(b AS INT) AS r2, max(prob) AS best, count(*) AS n FROM (SELECT protein, prob, a, unnest(generate_series(a + 1, qe)) AS b FROM (SELECT protein, prob, qe, unnest(generate_series(qs, qe)) AS a FROM {H})) GROUP BY ALL)"
 
 
 def whole_hits(spark, sf):
@@ -460,16 +440,23 @@ def longest(spark, sf) -> int:
     return max(bd.CHAIN, hits(spark, sf).agg(F.max("qe")).first()[0] or 0)
 
 
-@query("pair_scores_whole", f"SELECT protein, CAST(a AS INT) AS r1, CAST(b AS INT) AS r2, max(prob) AS best, count(*) AS n FROM (SELECT protein, prob, a, unnest(generate_series(a + 1, qe)) AS b FROM (SELECT protein, prob, qe, unnest(generate_series(qs, qe)) AS a FROM {H})) GROUP BY ALL")
-def pair_scores_whole(spark, sf):
+@query("pair_scores", f"SELECT * FROM {_PS}")
+def pair_scores(spark, sf):
     return joins.pair_scores(whole_hits(spark, sf), "res", "prob")
 
 
-def matrix(spark, sf, whole: bool = False):
-    """Probabilities of a chain's pairs: of ``CHAIN`` residues and the strong hits there, or ``whole``."""
-    e = bd.bind(spark, sf, bd.errors(longest(spark, sf)) if whole else bd.ERRORS)
+_DIST = "abs(r1 - r2) * 0.75 + (r1 * r2) % 11"
+_LONGEST = f"(SELECT greatest({bd.CHAIN}, coalesce(max(qe), 0)) FROM {H})"
+_GRID = f"(SELECT * FROM ({bd.duck(bd.errors(bd.MOST))}) WHERE r2 <= {_LONGEST})"
+_MATRIX = f"""(SELECT e.protein, e.r1, e.r2, pow({case('e.dist', lk.DISTANCE_BINS, lk.DISTANCE_BEYOND, '<=')} * {case('e.err', lk.ERROR_BINS, lk.ERROR_BEYOND, '<=')} * {case("coalesce(CASE WHEN s.n > 10 THEN s.best + 100 ELSE s.best + 10 * s.n - 10 END, 20)", lk.SEQUENCE_BINS, lk.SEQUENCE_BELOW, '>=')} * {case("coalesce(CASE WHEN s.n > 5 THEN s.best / 5 + 5 ELSE s.best / 5 + s.n - 1 END, 1)", lk.STRUCTURE_BINS, lk.STRUCTURE_BELOW, '>=')}, 0.25) AS p
+  FROM (SELECT *, CAST({_DIST} AS DOUBLE) AS dist FROM {_GRID}) e LEFT JOIN {_PS} s ON s.protein = e.protein AND s.r1 = e.r1 AND s.r2 = e.r2)"""
+
+
+def matrix(spark, sf):
+    """Probabilities of all pairs of chains as long as their hits need."""
+    e = bd.bind(spark, sf, bd.errors(longest(spark, sf)))
     dist = e.select("protein", "r1", "r2", F.expr(_DIST).cast("double").alias("dist"))
-    s = joins.pair_scores((whole_hits if whole else small_hits)(spark, sf), "res", "prob")
+    s = joins.pair_scores(whole_hits(spark, sf), "res", "prob")
     return joins.probability_matrix(dist, e, s, s.withColumn("best", F.col("best") / 5))
 
 
@@ -478,46 +465,38 @@ def probability_matrix(spark, sf):
     return matrix(spark, sf).withColumn("p", F.round("p", 6))
 
 
-@query("probability_matrix_whole")
-def probability_matrix_whole(spark, sf):
-    """The matrix of whole chains; tests hold it against a plain model."""
-    return matrix(spark, sf, whole=True).withColumn("p", F.round("p", 6))
+@query(
+    "probability_of_pairs",
+    f"""SELECT q.protein, q.r1, q.r2, CASE WHEN q.r1 = q.r2 THEN 1.0 ELSE coalesce(round(m.p, 6), 0.0) END AS p
+    FROM (SELECT protein, CAST(1 + line_no % 200 AS INT) AS r1, CAST(1 + (line_no * 7) % 190 AS INT) AS r2 FROM {H}) q LEFT JOIN {_MATRIX} m ON m.protein = q.protein AND m.r1 = least(q.r1, q.r2) AND m.r2 = greatest(q.r1, q.r2)""",
+)
+def probability_of_pairs(spark, sf):
+    """Pairs in either order, on the diagonal, and beyond the matrix."""
+    pairs = hits(spark, sf).select("protein", (1 + F.col("line_no") % 200).cast("int").alias("r1"), (1 + F.col("line_no") * 7 % 190).cast("int").alias("r2"))
+    return joins.probability_of(pairs, matrix(spark, sf)).select("protein", "r1", "r2", F.round("p", 6).alias("p"))
 
 
 @query(
     "chunk_pairs",
-    f"""WITH c AS (SELECT s_suppkey AS protein, unnest(generate_series(1, {bd.CHAIN})) AS r FROM supplier), k AS (SELECT protein, r, (r - 1) // 5 AS chunk FROM c),
-    g AS (SELECT a.protein, a.chunk AS i, b.chunk AS j, count(*) AS n, sum(p.p) AS total FROM k a JOIN k b ON a.protein = b.protein AND a.chunk < b.chunk AND a.r + 5 < b.r LEFT JOIN {_MATRIX} p ON p.protein = a.protein AND p.r1 = a.r AND p.r2 = b.r GROUP BY ALL)
+    f"""WITH c AS (SELECT s_suppkey AS protein, unnest(generate_series(1, {_LONGEST})) AS r FROM supplier), k AS (SELECT protein, r, (r - 1) // 5 AS chunk, count(*) OVER (PARTITION BY protein, (r - 1) // 5) AS held FROM c),
+    g AS (SELECT a.protein, a.chunk AS i, b.chunk AS j, count(*) AS n, sum(p.p) AS total FROM k a JOIN k b ON a.protein = b.protein AND a.chunk < b.chunk AND a.r + 5 < b.r LEFT JOIN {_MATRIX} p ON p.protein = a.protein AND p.r1 = a.r AND p.r2 = b.r WHERE a.held >= 3 AND b.held >= 3 GROUP BY ALL)
     SELECT protein, CAST(i AS BIGINT) AS i, CAST(j AS BIGINT) AS j, n, round(coalesce(total, 0) / n, 6) AS mean FROM g""",
 )
 def chunk_pairs(spark, sf):
     return shown_stats(pair_stats(spark, sf))
 
 
-@query("chunk_pairs_whole")
-def chunk_pairs_whole(spark, sf):
-    """Chunk pairs of whole chains; tests hold them against a plain model."""
-    return shown_stats(pair_stats(spark, sf, whole=True))
-
-
 def shown_stats(s):
     return s.select("protein", F.col("i").cast("bigint").alias("i"), F.col("j").cast("bigint").alias("j"), F.col("n").cast("bigint").alias("n"), F.round("mean", 6).alias("mean"))
 
 
-def all_chunks(spark, sf, whole: bool = False):
-    n = longest(spark, sf) if whole else bd.CHAIN
-    c = spark.read.parquet(f"{sf}/supplier.parquet").select(F.col("s_suppkey").alias("protein"), F.explode(F.sequence(F.lit(1), F.lit(n))).alias("resid"))
+def all_chunks(spark, sf):
+    c = spark.read.parquet(f"{sf}/supplier.parquet").select(F.col("s_suppkey").alias("protein"), F.explode(F.sequence(F.lit(1), F.lit(longest(spark, sf)))).alias("resid"))
     return windows.chunks(c)
 
 
-def pair_stats(spark, sf, whole: bool = False):
-    return windows.chunk_pairs(all_chunks(spark, sf, whole), matrix(spark, sf, whole))
-
-
-@query("chunk_clusters")
-def chunk_clusters(spark, sf):
-    """Greedy agglomeration has no SQL; tests hold it against a plain model. Whole chains with all hits."""
-    return cluster.cluster_chunks(pair_stats(spark, sf, whole=True), all_chunks(spark, sf, whole=True), 0.5)
+def pair_stats(spark, sf):
+    return windows.chunk_pairs(all_chunks(spark, sf), matrix(spark, sf))
 
 
 @query("spatial_contacts", f"SELECT a.protein, a.resid AS r1, b.resid AS r2 FROM {A} a JOIN {A} b ON a.protein = b.protein AND a.resid < b.resid WHERE sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) + (a.z - b.z) * (a.z - b.z)) <= 8")
@@ -567,26 +546,25 @@ def first_mapping(spark, sf):
 
 @query("mapped_residues", f"SELECT protein, domain, line_no, count(*) AS n, CAST(min(ts + resid - qs) AS INT) AS lowest FROM {_STRICT} JOIN {DR} USING (protein, domain) WHERE resid BETWEEN qs AND qe GROUP BY ALL")
 def mapped_residues(spark, sf):
-    h = hits(spark, sf).withColumn("residues", F.sequence("qs", "qe"))
+    h = hits(spark, sf).withColumn("residues", F.sequence("qs", "qe")).withColumns({"q": F.col("residues"), "e": F.sequence("ts", F.col("ts") + F.col("qe") - F.col("qs"))})
     both = joins.overlapping(domains(spark, sf).select("protein", "domain", "resids"), h, strict=True)
-    tres = F.transform(F.array_intersect("residues", "resids"), lambda r: r - F.col("qs") + F.col("ts"))
-    return both.withColumn("tres", tres).select("protein", "domain", "line_no", F.size("tres").cast("bigint").alias("n"), F.array_min("tres").alias("lowest"))
+    return both.withColumn("tres", joins.mapped_positions()).select("protein", "domain", "line_no", F.size("tres").cast("bigint").alias("n"), F.array_min("tres").alias("lowest"))
 
 
 @query("best_domain_match", f"""WITH d AS {_DA}, j AS (SELECT a.protein, a.domain AS domain_a, b.domain AS domain_b, CAST(len(list_intersect(a.resids, b.resids)) AS DOUBLE) / len(list_distinct(list_concat(a.resids, b.resids))) AS jaccard FROM d a JOIN d b ON a.protein = b.protein AND a.domain <> b.domain)
     SELECT protein, domain_a, domain_b, jaccard FROM (SELECT *, row_number() OVER (PARTITION BY protein, domain_a ORDER BY jaccard DESC, domain_b) AS k FROM j WHERE jaccard > 0) WHERE k = 1""")
 def best_domain_match(spark, sf):
+    """Each domain's best match among the others of its protein, as the left and the right of two sets of domains that differ by one place."""
     d = domains(spark, sf)
     a, b = (d.select("protein", F.col("domain").alias(f"domain_{s}"), F.col("resids").alias(f"resids_{s}")) for s in "ab")
-    pairs = a.join(b, "protein").filter("domain_a <> domain_b")
-    both = pairs.withColumn("jaccard", lk.jaccard("resids_a", "resids_b")).filter("jaccard > 0")
-    return joins.first_of(both, ["protein", "domain_a"], [F.col("jaccard").desc(), F.col("domain_b")]).select("protein", "domain_a", "domain_b", "jaccard")
+    b = b.withColumn("other", F.col("domain_b"))
+    return joins.best_match(a, b, "protein", where="domain_a <> other").select("protein", "domain_a", "domain_b", "jaccard")
 
 
 @query("unmerged", f"SELECT protein, domain FROM {D} WHERE (protein, domain) NOT IN (SELECT protein, domain FROM {D} WHERE (protein + domain) % 3 = 0)")
 def unmerged(spark, sf):
     d = domains(spark, sf).select("protein", "domain")
-    return d.join(d.filter("(protein + domain) % 3 = 0"), ["protein", "domain"], "left_anti")
+    return joins.singles(d, d.filter("(protein + domain) % 3 = 0"))
 
 
 # ---- merging and confidence
@@ -645,14 +623,19 @@ def confident(spark, sf):
 
 @query("prediction_summary", f"SELECT count(*) AS n, min(prob) AS lowest, max(prob) AS highest, round(avg(prob), 6) AS mean, round(median(prob), 6) AS middle, round(avg(CASE WHEN prob >= 0.6 THEN 1.0 ELSE 0.0 END), 6) AS share FROM {PR}")
 def prediction_summary(spark, sf):
-    p = bd.bind(spark, sf, bd.PREDICTIONS)
-    return p.agg(F.count(F.lit(1)).alias("n"), F.min("prob").alias("lowest"), F.max("prob").alias("highest"), F.round(F.avg("prob"), 6).alias("mean"), F.round(F.median("prob"), 6).alias("middle"), F.round(F.avg((F.col("prob") >= 0.6).cast("double")), 6).alias("share"))
+    return ml.prediction_summary(bd.bind(spark, sf, bd.PREDICTIONS)).select("n", "lowest", "highest", *[F.round(c, 6).alias(c) for c in ("mean", "middle", "share")])
 
 
-@query("weighted_coverage", f"SELECT protein, domain, round(CAST(count(*) FILTER (resid <= 100) AS DOUBLE) * 2 / 200 + CAST(count(*) FILTER (resid > 100) AS DOUBLE) / 200, 6) AS coverage FROM {DR} GROUP BY protein, domain")
+@query("weighted_coverage", f"SELECT protein, domain, CASE WHEN protein % 4 = 0 THEN round(CAST(count(*) FILTER (resid <= 150) AS DOUBLE) / 150, 6) ELSE round((CAST(count(*) FILTER (resid <= 100) AS DOUBLE) * 2 + count(*) FILTER (resid BETWEEN 101 AND 150)) / 250, 6) END AS coverage FROM {DR} GROUP BY protein, domain")
 def weighted_coverage(spark, sf):
-    w = F.when(F.col("resid") <= 100, 2.0).otherwise(1.0)
-    return domain_rows(spark, sf).groupBy("protein", "domain").agg(F.round(F.sum(w) / 200, 6).alias("coverage"))
+    """Domains as evidence on a template of 150 places per protein; every fourth has no weights."""
+    from .stages import template_coverage
+
+    d = domains(spark, sf).withColumn("template", F.col("protein"))
+    places = d.select("template").distinct().withColumn("length", F.lit(150))
+    weights = places.filter("template % 4 <> 0").select("template", F.explode(F.sequence(F.lit(1), "length")).alias("position"))
+    tables = {"weights": weights.withColumn("weight", F.when(F.col("position") <= 100, 2.0).otherwise(1.0)), "templates": places}
+    return template_coverage(d, tables, "resids").select("protein", "domain", F.round("covered", 6).alias("coverage"))
 
 
 _W = ml.synthetic_weights(4, 6)
@@ -674,7 +657,9 @@ def quality_of_group(spark, sf):
 
 @query("stage_counts", f"SELECT quality, count(*) AS n FROM ({ORACLES['confident']}) GROUP BY quality")
 def stage_counts(spark, sf):
-    return confident(spark, sf).groupBy("quality").agg(F.count(F.lit(1)).alias("n"))
+    from .state import label_counts
+
+    return label_counts(confident(spark, sf), "quality")
 
 
 # ---- streams' table forms

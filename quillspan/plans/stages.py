@@ -13,6 +13,7 @@ Inputs, all keyed by ``protein`` where they have one:
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -22,7 +23,9 @@ from pyspark.sql import functions as F
 
 from ..functions import lookups as lk
 from ..functions import ranges as rg
-from ..operators import cluster, graph, joins, ml, running, windows
+from ..operators import align, cluster, graph, joins, ml, running, windows
+from ..sources.shared import exists
+from . import state
 
 Tables = dict[str, DataFrame]
 
@@ -52,6 +55,8 @@ class Params:
     radius: float = 8.0
     use_filtered_range: bool = False
     hh_scale: float = 10.0
+    #: (residues left, template) -> (z, pairs of places) or None; without one, step 7 takes the aligner's output table.
+    aligner: Callable | None = None
 
 
 DEFAULT = Params()
@@ -72,8 +77,12 @@ def map_hits(t: Tables, p: Params = DEFAULT) -> DataFrame:
     got = pairs.groupBy("protein", "hit_no", "template", "prob").agg(F.array_sort(F.collect_list(F.struct("q", "e"))).alias("z"))
     got = got.filter(F.size("z") >= p.least_aligned).join(t["templates"].select("template", "length"), "template")
     q, e = F.transform("z", lambda s: s["q"]), F.transform("z", lambda s: s["e"])
-    out = got.select("protein", "hit_no", "template", "prob", "length", q.alias("q"), e.alias("e"))
-    return out.withColumn("coverage", F.bround(F.size("e") / F.col("length"), 3)).withColumn("span_coverage", F.bround((F.array_max("e") - F.array_min("e") + 1) / F.col("length"), 3))
+    return with_coverages(got.select("protein", "hit_no", "template", "prob", "length", q.alias("q"), e.alias("e")))
+
+
+def with_coverages(rows: DataFrame) -> DataFrame:
+    """``rows`` with the share of the template's ``length`` that its positions ``e`` cover, and that their span does."""
+    return rows.withColumn("coverage", lk.rounded(F.size("e") / F.col("length"), 3)).withColumn("span_coverage", lk.rounded((F.array_max("e") - F.array_min("e") + 1) / F.col("length"), 3))
 
 
 def candidates(t: Tables, p: Params = DEFAULT) -> DataFrame:
@@ -81,22 +90,48 @@ def candidates(t: Tables, p: Params = DEFAULT) -> DataFrame:
     return t["mapped"].select("protein", "template").union(t["capped"].select("protein", "template")).distinct()
 
 
+def unique_templates(t: Tables, p: Params = DEFAULT) -> DataFrame:
+    """The templates that any protein needs: what a cache is to hold."""
+    return t["candidates"].select("template").distinct()
+
+
+def align_hits(t: Tables, p: Params = DEFAULT) -> DataFrame:
+    """Step 7: iterative alignment of each candidate with what is left of its protein.
+
+    With an aligner in the parameters, every (protein, candidate) runs its rounds as a row of its own;
+    without, the hits are the output table of an aligner that has run.
+    """
+    if p.aligner is None:
+        return t["struct_hits"].select("protein", "hit_no", "template", "z", "pairs")
+    rows = t["candidates"].join(t["proteins"].select("protein", "length"), "protein").withColumn("resids", F.sequence(F.lit(1), "length"))
+    got = align.iterate(rows, p.aligner).withColumn("template", F.regexp_replace("hit", "_[0-9]+$", "")).withColumn("round", F.regexp_extract("hit", "_([0-9]+)$", 1).cast("int"))
+    place = F.row_number().over(Window.partitionBy("protein").orderBy("template", "round"))
+    pairs = F.transform(F.arrays_zip("query", "template_positions"), lambda x: F.struct(x["query"].alias("q"), x["template_positions"].alias("t")))
+    return got.select("protein", place.alias("hit_no"), "template", "z", pairs.alias("pairs"))
+
+
+def with_history(rows: DataFrame, score: DataFrame, history: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` with ``qscore``, and the shares of their template's history above z and qscore: -1 each where weights or history are absent."""
+    known = history.select("template").distinct().withColumn("known", F.lit(True))
+    rows = rows.join(score, keys, "left").join(known, "template", "left")
+    rows = rows.withColumn("qscore", F.when(F.col("known") & F.col("qscore").isNotNull(), F.col("qscore")).otherwise(-1.0)).drop("known")
+    rows = joins.history_percentiles(rows, history.withColumnRenamed("z", "hz").withColumnRenamed("q", "hq"), "template", [("z", "hz", "ztile"), ("qscore", "hq", "qtile")])
+    for c in ("ztile", "qtile"):
+        rows = rows.withColumn(c, F.when(F.col("qscore") < 0, -1.0).otherwise(F.col(c)))
+    return rows
+
+
 def analyse(t: Tables, p: Params = DEFAULT) -> DataFrame:
     """Step 8: scores, percentiles, ranks and ranges of structure hits."""
-    h = t["struct_hits"].join(t["templates"].select("template", "family"), "template")
+    h = t["aligned"].join(t["templates"].select("template", "family"), "template")
     pairs = h.select("protein", "hit_no", "template", F.explode("pairs").alias("x")).select("protein", "hit_no", "template", F.col("x.q").alias("q"), F.col("x.t").alias("t"))
     score = joins.weighted_score(pairs, t["weights"], ["protein", "hit_no"]).select("protein", "hit_no", "qscore")
-    known = t["history"].select("template").distinct().withColumn("known", F.lit(True))
-    h = h.join(score, ["protein", "hit_no"], "left").join(known, "template", "left")
-    h = h.withColumn("qscore", F.when(F.col("known") & F.col("qscore").isNotNull(), F.col("qscore")).otherwise(-1.0))
-    h = joins.history_percentiles(h, t["history"].withColumnRenamed("z", "hz").withColumnRenamed("q", "hq"), "template", [("z", "hz", "ztile"), ("qscore", "hq", "qtile")])
-    for c in ("ztile", "qtile"):
-        h = h.withColumn(c, F.when(F.col("qscore") < 0, -1.0).otherwise(F.col(c)))
+    h = with_history(h, score, t["history"], ["protein", "hit_no"])
     ranked = running.running_distinct(pairs.join(h.select("protein", "hit_no", "family", "z"), ["protein", "hit_no"]), ["protein", "q"], "family", [F.col("z").desc(), F.col("hit_no")])
-    rank = ranked.groupBy("protein", "hit_no").agg(F.bround(F.avg("seen"), 2).alias("rank"))
+    rank = ranked.groupBy("protein", "hit_no").agg(lk.rounded(F.avg("seen"), 2).alias("rank"))
     out = h.join(rank, ["protein", "hit_no"])
     qs, ts = F.transform("pairs", lambda x: x["q"]), F.transform("pairs", lambda x: x["t"])
-    return out.select("protein", "hit_no", "template", "family", F.bround("z", 2).alias("z"), F.bround("qscore", 2).alias("qscore"), F.bround("ztile", 2).alias("ztile"), F.bround("qtile", 2).alias("qtile"), "rank", qs.alias("q"), ts.alias("e"))
+    return out.select("protein", "hit_no", "template", "family", lk.rounded("z", 2).alias("z"), lk.rounded("qscore", 2).alias("qscore"), lk.rounded("ztile", 2).alias("ztile"), lk.rounded("qtile", 2).alias("qtile"), "rank", qs.alias("q"), ts.alias("e"))
 
 
 def sequence_result(t: Tables, p: Params = DEFAULT) -> DataFrame:
@@ -104,16 +139,16 @@ def sequence_result(t: Tables, p: Params = DEFAULT) -> DataFrame:
     rows = t["mapped"].withColumnRenamed("hit_no", "line_no")
     kept = running.greedy_redundancy(rows, ["protein", "template"], "prob", "e", p.redundancy)
     out = rows.join(kept, ["protein", "template", "line_no"]).join(t["templates"].select("template", "key", "family"), "template")
-    return out.select("protein", F.concat_ws("_", "template", "kept_no").alias("hitname"), "template", "key", "family", "prob", F.bround("coverage", 2).alias("coverage"), "length", "q", "e")
+    return out.select("protein", F.concat_ws("_", "template", "kept_no").alias("hitname"), "template", "key", "family", "prob", lk.rounded("coverage", 2).alias("coverage"), "length", "q", "e")
 
 
 def structure_result(t: Tables, p: Params = DEFAULT) -> DataFrame:
     """Step 9b: structure hits with the support of their family's sequence hits."""
     st = t["analysed"].withColumnRenamed("hit_no", "line_no")
     filled = st.select("protein", "line_no", "family", rg.gap_filled(rg.format_full(F.array_distinct("q")), p.gap).alias("residues"))
-    sq = t["mapped"].join(t["templates"].select("template", "family"), "template").select("protein", "family", F.col("hit_no").alias("hit"), "prob", "length", F.explode(F.arrays_zip("q", "e")).alias("x"))
-    support = joins.support_by_family(filled, sq.select("protein", "family", "hit", "prob", "length", F.col("x.q").alias("q"), F.col("x.e").alias("t")), p.near_best)
-    return st.join(support.withColumn("best_cov", F.bround("best_cov", 2)), ["protein", "line_no"])
+    sq = t["mapped"].join(t["templates"].select("template", "family"), "template").select("protein", "family", F.col("hit_no").alias("hit"), "prob", "length", "q", F.col("e").alias("t"))
+    support = joins.support_by_family(filled, sq, p.near_best)
+    return st.join(support.withColumn("best_cov", lk.rounded("best_cov", 2)), ["protein", "line_no"])
 
 
 def good_domains(t: Tables, p: Params = DEFAULT) -> DataFrame:
@@ -123,7 +158,7 @@ def good_domains(t: Tables, p: Params = DEFAULT) -> DataFrame:
     seq = t["sequence_result"].withColumn("range", text).withColumn("filtered", cut).filter("filtered != ''")
     seq = seq.select("protein", F.lit("sequence").alias("tag"), "hitname", "template", "family", "prob", "coverage", "range", "filtered", "q", "e")
     st = t["structure_result"].join(t["templates"].select("template", "norm"), "template", "left")
-    st = st.withColumn("znorm", F.when(F.col("norm") > 0, F.bround(F.col("z") / F.col("norm"), 2)).otherwise(0.0))
+    st = st.withColumn("znorm", F.when(F.col("norm") > 0, lk.rounded(F.col("z") / F.col("norm"), 2)).otherwise(0.0))
     st = st.withColumn("judge", lk.judge_score("rank", "qscore", "ztile", "qtile", "znorm", "best_prob", "best_cov")).filter("judge > 0")
     st = st.withColumn("range", text).withColumn("filtered", cut).filter("filtered != ''").withColumn("support", lk.sequence_support("best_prob", "best_cov"))
     st = st.select("protein", F.lit("structure").alias("tag"), F.concat_ws("_", "template", "line_no").alias("hitname"), "template", "family", "z", "znorm", "judge", "support", "range", "filtered", "q", "e")
@@ -158,8 +193,7 @@ def parse_domains(t: Tables, p: Params = DEFAULT) -> DataFrame:
     grid = t["proteins"].select("protein", F.explode(F.sequence(F.lit(1), "length")).alias("resid"))
     chunked = windows.chunks(grid.join(t["disorder"], ["protein", "resid"], "left_anti"))
     rows = cluster.cluster_chunks(windows.chunk_pairs(chunked, matrix), chunked, p.pair_threshold)
-    long = F.count(F.lit(1)).over(Window.partitionBy("protein", "domain")) >= p.least_domain
-    rows = rows.withColumn("long", long).filter("long").drop("long")
+    rows = windows.long_domains(rows, p.least_domain)
     rows = windows.remove_overlaps(windows.fill_gaps(rows), 10, p.total)
     out = rows.groupBy("protein", "domain").agg(F.array_sort(F.collect_list("resid")).alias("resids"))
     named = windows.number_by_position(out, "D")
@@ -220,11 +254,9 @@ def mappings(t: Tables, p: Params = DEFAULT) -> DataFrame:
     def first(hits: DataFrame, name: str, renumber: bool) -> DataFrame:
         rows = joins.overlapping(want, hits.withColumn("residues", F.array_distinct("q")).withColumnRenamed("template", "hit_template"), strict=True).filter("template = hit_template")
         rows = joins.first_of(rows, ["protein", "domain", "template"], [F.col("hit_no")])
-        kept = F.transform(F.filter(F.arrays_zip("q", "e"), lambda x: F.array_contains("resids", x["q"])), lambda x: x["e"])
         if renumber:
             rows = rows.join(maps, "template", "left")
-            kept = F.coalesce(F.filter(F.transform(kept, lambda r: F.try_element_at("m", r)), lambda r: r.isNotNull()), F.array().cast("array<int>"))
-        return rows.select("protein", "domain", "template", kept.alias(name))
+        return rows.select("protein", "domain", "template", joins.mapped_positions(renumber=renumber).alias(name))
 
     hh = first(t["mapped"].select("protein", "hit_no", "template", "q", "e"), "hh", True)
     st = first(t["analysed"].select("protein", "hit_no", "template", "q", "e"), "st", False)
@@ -233,6 +265,12 @@ def mappings(t: Tables, p: Params = DEFAULT) -> DataFrame:
     return out.withColumns({"hh": F.coalesce("hh", empty), "st": F.coalesce("st", empty)}).drop("resids")
 
 
+def evidence_counts(mapped: DataFrame) -> DataFrame:
+    """(mapped, hh, st, both): rows of the mappings, and those with evidence of each kind."""
+    hh, st = F.size("hh") > 0, F.size("st") > 0
+    return mapped.agg(F.count(F.lit(1)).alias("mapped"), F.count_if(hh).alias("hh"), F.count_if(st).alias("st"), F.count_if(hh & st).alias("both"))
+
+
 def template_coverage(rows: DataFrame, t: Tables, residues: str) -> DataFrame:
     """``rows`` with ``covered``: the weight of their template residues over the template's total."""
     from ..sources.parsers import position_weights
@@ -256,37 +294,63 @@ def compare(t: Tables, p: Params = DEFAULT) -> DataFrame:
     """Steps 20-21: candidate pairs that touch along the sequence (1) or in space (2), else 0."""
     d = t["domains"].select("protein", "domain", F.explode("resids").alias("resid"))
     near = joins.sequence_neighbours(d, d, d).withColumn("seq", F.lit(1))
-    touching = joins.spatial_contacts(t["atoms"], p.radius)
-    both = touching.union(touching.select("protein", F.col("r2"), F.col("r1"))).toDF("protein", "r1", "r2")
-    x = both.join(d.select("protein", F.col("domain").alias("d1"), F.col("resid").alias("r1")), ["protein", "r1"]).join(d.select("protein", F.col("domain").alias("d2"), F.col("resid").alias("r2")), ["protein", "r2"])
-    n = x.filter("d1 < d2").groupBy("protein", "d1", "d2").agg(F.count_distinct("r1", "r2").alias("contacts"))
+    n = joins.interface_counts(d, joins.spatial_contacts(t["atoms"], p.radius))
     pairs = t["merge_candidates"].select("protein", "d1", "d2")
-    out = pairs.join(near, ["protein", "d1", "d2"], "left").join(n, ["protein", "d1", "d2"], "left")
-    return out.withColumn("judgment", F.when(F.col("seq") == 1, 1).when(F.coalesce("contacts", F.lit(0)) >= p.interface, 2).otherwise(0)).drop("seq")
+    return judged_pairs(pairs, near, n, p.interface)
+
+
+def judged_pairs(pairs: DataFrame, near: DataFrame, interfaces: DataFrame, least: int = DEFAULT.interface) -> DataFrame:
+    """``pairs`` with ``judgment``: 1 for neighbours along the sequence (``seq`` is 1), 2 for ``least`` contacts or more, else 0."""
+    keys = ["protein", "d1", "d2"]
+    out = pairs.join(near, keys, "left").join(interfaces, keys, "left")
+    return out.withColumn("judgment", F.when(F.col("seq") == 1, 1).when(F.coalesce("contacts", F.lit(0)) >= least, 2).otherwise(0)).drop("seq")
+
+
+def connected(comparisons: DataFrame) -> DataFrame:
+    """(protein, a, b) of the pairs that are judged to belong together."""
+    return comparisons.filter("judgment > 0").select("protein", F.col("d1").alias("a"), F.col("d2").alias("b"))
 
 
 def merge(t: Tables, p: Params = DEFAULT) -> DataFrame:
     """Step 22: connected domains as groups with the union of their residues."""
-    edges = t["comparisons"].filter("judgment > 0").select("protein", F.col("d1").alias("a"), F.col("d2").alias("b"))
-    return graph.merged_domains(edges, t["domains"].select("protein", "domain", "resids"))
+    return graph.merged_domains(connected(t["comparisons"]), t["domains"].select("protein", "domain", "resids"))
+
+
+def best_predictions(rows: DataFrame) -> DataFrame:
+    """The best prediction of each template in a group; of equals the first domain's."""
+    return joins.first_of(rows, ["protein", "label", "template"], [F.col("prob").desc(), F.col("domain")])
+
+
+def length_ratio() -> F.Column:
+    """A domain's length over its topology's mean length; without one, its template evidence over the template's length."""
+    return F.coalesce(F.size("resids") / F.col("avg_length"), F.size("tres") / F.col("t_length"))
+
+
+def best_classified(rows: DataFrame, group: list[str], last: list[str]) -> DataFrame:
+    """Of each group the row of the best class (full, part, miss), of those the most probable, then the first by ``last``."""
+    rank = F.when(F.col("kind") == "full", 1).when(F.col("kind") == "part", 2).otherwise(3)
+    return joins.first_of(rows, group, [rank, F.col("prob").desc(), *map(F.col, last)])
+
+
+def with_keywords(rows: DataFrame, templates: DataFrame) -> DataFrame:
+    """``rows`` with their template's keyword, ``na`` without one."""
+    return rows.join(templates.select("template", "keyword"), "template", "left").withColumn("keyword", F.coalesce("keyword", F.lit("na")))
 
 
 def classify(t: Tables, p: Params = DEFAULT) -> DataFrame:
     """Step 23: the best template of each merged group and single domain: full, part or miss."""
     groups = t["merged"].select("protein", "label", "resids", "members", F.explode("members").alias("domain"))
-    single = t["domains"].join(groups.select("protein", "domain"), ["protein", "domain"], "left_anti")
-    single = single.select("protein", F.col("domain").alias("label"), "resids", F.array("domain").alias("members"), "domain")
+    single = joins.singles(t["domains"], groups).select("protein", F.col("domain").alias("label"), "resids", F.array("domain").alias("members"), "domain")
     unit = groups.unionByName(single)
     preds = unit.join(t["predictions"].select("protein", "domain", "template", "tgroup", "prob", "hh_prob", "z"), ["protein", "domain"])
-    best = joins.first_of(preds, ["protein", "label", "template"], [F.col("prob").desc(), F.col("domain")])
+    best = best_predictions(preds)
     evidence = unit.select("protein", "label", "domain").join(t["mappings"].select("protein", "domain", "template", "quality", "hh", "st"), ["protein", "domain"])
     evidence = evidence.groupBy("protein", "label", "template").agg(F.array_distinct(F.flatten(F.collect_list(lk.template_evidence("st", "hh")))).alias("tres"), lk.best_label(F.collect_set("quality")).alias("quality"))
     rows = best.join(evidence, ["protein", "label", "template"]).filter(F.size("tres") > 0)
     rows = template_coverage(rows, t, "tres").join(t["templates"].select("template", F.col("length").alias("t_length")), "template").join(t["tgroups"], "tgroup", "left")
-    rows = rows.withColumn("length_ratio", F.coalesce(F.size("resids") / F.col("avg_length"), F.size("tres") / F.col("t_length")))
+    rows = rows.withColumn("length_ratio", length_ratio())
     rows = rows.withColumn("kind", lk.coverage_class("prob", "covered", "length_ratio"))
-    rank = F.when(F.col("kind") == "full", 1).when(F.col("kind") == "part", 2).otherwise(3)
-    out = joins.first_of(rows, ["protein", "label"], [rank, F.col("prob").desc(), F.col("template")])
+    out = best_classified(rows, ["protein", "label"], ["template"])
     return out.select("protein", F.col("label").alias("domain"), F.array_join("members", ",").alias("members"), "resids", "kind", "template", "tgroup", "prob", "hh_prob", "z", F.col("covered").alias("weighted_ratio"), "length_ratio", "quality")
 
 
@@ -294,31 +358,70 @@ def integrate(t: Tables, p: Params = DEFAULT) -> DataFrame:
     """Step 24: final labels, numbered by position. The scale of ``hh_prob`` follows the known behaviour and is a parameter."""
     rows = t["classified"].join(element_counts(t["classified"], t["sse"]), ["protein", "domain"])
     rows = rows.withColumn("label", lk.refined_class("kind", F.col("helices") + F.col("strands"), F.col("hh_prob") / p.hh_scale, "weighted_ratio", "length_ratio"))
-    rows = rows.join(t["templates"].select("template", "keyword"), "template", "left").withColumn("keyword", F.coalesce("keyword", F.lit("na")))
+    rows = with_keywords(rows, t["templates"])
     named = windows.number_by_position(rows, "nD")
     return named.select("protein", F.col("name").alias("domain"), rg.format_short("resids").alias("range"), "template", "keyword", "tgroup", "prob", "hh_prob", "z", "weighted_ratio", "length_ratio", "label", "helices", "strands")
 
 
 #: (step number, name of the table it makes, stage)
 PLAN: list[tuple[int, str, Callable]] = [
-    (4, "capped", cap_hits), (5, "mapped", map_hits), (6, "candidates", candidates), (8, "analysed", analyse), (9, "sequence_result", sequence_result), (9, "structure_result", structure_result),
+    (4, "capped", cap_hits), (5, "mapped", map_hits), (6, "candidates", candidates), (7, "aligned", align_hits), (8, "analysed", analyse), (9, "sequence_result", sequence_result), (9, "structure_result", structure_result),
     (10, "good", good_domains), (11, "sse", structure_elements), (12, "disorder", disorder), (13, "domains", parse_domains), (15, "features", feature_table), (16, "predictions", infer),
     (17, "confident", confident), (18, "mappings", mappings), (19, "merge_candidates", merge_candidates), (21, "comparisons", compare), (22, "merged", merge), (23, "classified", classify), (24, "final", integrate),
 ]
 
 
-def run(spark: SparkSession, inputs: Tables, folder: str, p: Params = DEFAULT, resume: bool = True, until: int = 24) -> Tables:
+#: Names by which a stage may be asked for besides its own number.
+ALIASES = {14: 13}
+
+
+def fingerprint(inputs: Tables, p: Params) -> str:
+    """A name for what a run reads: its parameters, and the files of its inputs with their sizes and times."""
+    h = hashlib.sha256(repr({k: v for k, v in vars(p).items() if k != "aligner"}).encode())
+    for name in sorted(inputs):
+        spark = inputs[name].sparkSession
+        conf = spark._jsc.hadoopConfiguration()
+        h.update(f"{name} {inputs[name].schema.simpleString()}".encode())
+        for f in sorted(inputs[name].inputFiles()):
+            path = spark._jvm.org.apache.hadoop.fs.Path(f.replace("%20", " "))
+            s = path.getFileSystem(conf).getFileStatus(path)
+            h.update(f"{f} {s.getLen()} {s.getModificationTime()}".encode())
+    return h.hexdigest()
+
+
+def active_inputs(spark: SparkSession, inputs: Tables, events: DataFrame, step: int) -> Tables:
+    """``inputs`` without the rows of proteins that a failed critical step halts before ``step``."""
+    now = state.latest(events)
+    critical = state.steps(spark).filter("critical").select("step")
+    halted = now.filter((F.col("status") == "failed") & (F.col("step") < step)).join(critical, "step", "left_semi").select("protein").distinct()
+    return {k: v.join(halted, "protein", "left_anti") if "protein" in v.columns else v for k, v in inputs.items()}
+
+
+def run(spark: SparkSession, inputs: Tables, folder: str, p: Params = DEFAULT, resume: bool = True, until: int = 24, events: DataFrame | None = None) -> Tables:
     """All stages over all proteins, one Parquet table per stage below ``folder``.
 
-    With ``resume`` a stage whose table is complete (Spark's success marker) is read, not run again.
+    With ``resume`` a stage whose table is complete (Spark's success marker) is read, not run again, as
+    long as the inputs are the files of the run before. ``events`` (protein, step, status, error, at)
+    tells what the external searches did: a protein whose critical step failed is left out of the
+    stages after it. ``folder``/events gets a row for each protein and stage that ran.
     """
-    tables = dict(inputs)
+    until = ALIASES.get(until, until)
+    print_ = fingerprint(inputs, p)
+    mark = f"{folder}/_inputs"
+    if resume and exists(spark, mark):
+        resume = print_ in {r.value for r in spark.read.text(mark).collect()}  # one line
+    spark.createDataFrame([(print_,)], "value string").coalesce(1).write.mode("overwrite").text(mark)
+    first = PLAN[0][0]
+    tables = dict(inputs) if events is None else active_inputs(spark, dict(inputs), events, first)
     for step, name, stage in PLAN:
         if step > until:
             break
+        if events is not None and step > 7 and step - 1 <= 7:
+            tables = active_inputs(spark, tables, events, step)
         path = f"{folder}/step{step:02d}_{name}"
-        marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-        if not (resume and marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)):
+        if not (resume and exists(spark, f"{path}/_SUCCESS")):
             stage(tables, p).write.mode("overwrite").parquet(path)
+            done = tables["proteins"].select("protein", F.lit(step).alias("step"), F.lit("complete").alias("status"), F.lit(None).cast("string").alias("error"), F.current_timestamp().alias("at"))
+            done.write.mode("append").parquet(f"{folder}/events")
         tables[name] = spark.read.parquet(path)
     return tables

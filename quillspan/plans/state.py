@@ -17,8 +17,8 @@ def steps(spark: SparkSession) -> DataFrame:
 
 
 def latest(events: DataFrame) -> DataFrame:
-    """The last status of each (protein, step): ``events`` is append-only (protein, step, status, error, at)."""
-    return events.groupBy("protein", "step").agg(F.max_by(F.struct("status", "error"), "at").alias("s")).select("protein", "step", "s.*")
+    """The last status of each (protein, step): ``events`` is append-only (protein, step, status, error, at); of one time a failure counts as the later."""
+    return events.groupBy("protein", "step").agg(F.max_by(F.struct("status", "error"), F.struct("at", "status", F.coalesce("error", F.lit("")))).alias("s")).select("protein", "step", "s.*")
 
 
 def pending(proteins: DataFrame, all_steps: DataFrame, events: DataFrame, step: int) -> DataFrame:
@@ -45,6 +45,17 @@ def incomplete(proteins: DataFrame, events: DataFrame, last_step: int) -> DataFr
     return proteins.join(done, "protein", "left_anti")
 
 
+def retry(events: DataFrame) -> DataFrame:
+    """``events`` without the failures: what failed last is pending again, and so is all that it halted."""
+    failed = latest(events).filter(F.col("status") == "failed").select("protein", "step")
+    return events.join(failed, ["protein", "step"], "left_anti")
+
+
+def label_counts(rows: DataFrame, label: str) -> DataFrame:
+    """(label, n): rows by label."""
+    return rows.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+
+
 def from_documents(states: DataFrame) -> DataFrame:
     """Events of per-protein JSON states: completed_steps, and failed_steps as a map or (legacy) a list."""
     plain = F.from_json("value", "protein string, completed_steps array<int>, failed_steps map<string,string>")
@@ -86,6 +97,41 @@ def classify_files(files: DataFrame, suffixes: DataFrame) -> DataFrame:
     return rows.select("file", F.expr("substring(file, 1, length(file) - length(suffix))").alias("protein"), "step")
 
 
+def step_folder(root: str, step: int, sharded: bool = True) -> str:
+    """Where a step's files are: a folder of its own, or the root in the flat layout and for unknown steps."""
+    names = dict(STEPS)
+    return f"{root}/step{step:02d}_{names[step]}" if sharded and step in names else root
+
+
+def is_sharded(files: DataFrame) -> bool:
+    """Whether a listing (file: path below the root) has the folder of the first step."""
+    return files.filter(F.col("file").startswith(f"step{STEPS[0][0]:02d}_{STEPS[0][1]}/")).limit(1).count() > 0
+
+
+def migration_plan(files: DataFrame, suffixes: DataFrame, proteins: DataFrame, shared: tuple[str, ...] = (), dual: tuple[int, ...] = (24,)) -> DataFrame:
+    """(file, protein, step, action, target) that takes a flat listing to a folder per step: a dry run.
+
+    Known files of wanted proteins move to their step's folder; results of ``dual`` steps are copied to
+    ``results`` as well; names of ``shared`` folders move below ``_batch``; all else stays (skip).
+    """
+    known = classify_files(files, suffixes).join(proteins.select("protein").distinct(), "protein", "left_semi")
+    folders = F.create_map(*[F.lit(x) for n, name in STEPS for x in (n, f"step{n:02d}_{name}")])
+    move = known.withColumn("action", F.lit("move")).withColumn("target", F.concat(F.try_element_at(folders, F.col("step")), F.lit("/"), "file")).filter("target is not null")
+    copy = known.filter(F.col("step").isin(*dual)).withColumn("action", F.lit("copy")).withColumn("target", F.concat(F.lit("results/"), "file"))
+    rest = files.join(move.select("file"), "file", "left_anti").withColumns({"protein": F.lit(None).cast("string"), "step": F.lit(None).cast("int")})
+    is_shared = F.split("file", "/")[0].isin(*shared) if shared else F.lit(False)
+    rest = rest.withColumn("action", F.when(is_shared, "move").otherwise("skip")).withColumn("target", F.when(is_shared, F.concat(F.lit("_batch/"), "file")).otherwise(F.col("file")))
+    cols = ["file", "protein", "step", "action", "target"]
+    return move.select(*cols).unionByName(copy.select(*cols)).unionByName(rest.select(*cols))
+
+
+def job_script(name: str, inputs: str, out: str, executors: int = 10, cores: int = 4, memory: str = "16g", until: int = 24, shared: str = "", extra: dict[str, str] | None = None) -> str:
+    """A submission script of one run over all proteins; ``shared`` is the cluster's checkpoint folder."""
+    conf = {"spark.sql.adaptive.enabled": "true", "spark.checkpoint.dir": shared or f"{out}/_shared"} | (extra or {})
+    flags = [f"--name {name}", "--deploy-mode cluster", f"--num-executors {executors}", f"--executor-cores {cores}", f"--executor-memory {memory}", *[f"--conf {k}={v}" for k, v in sorted(conf.items())]]
+    return "#!/bin/sh\nset -eu\nexec spark-submit \\\n  " + " \\\n  ".join(flags) + f" \\\n  -m quillspan.cli run {inputs} {out} --until {until}\n"
+
+
 def clean_plan(files: DataFrame, remove: list[str], preserve: list[str]) -> DataFrame:
     """Files that match a removal pattern and no preserved one (regular expressions): a dry run."""
     gone = F.lit(False)

@@ -53,5 +53,20 @@ def protein_score(rows: DataFrame) -> DataFrame:
     return rows.withColumn("score", F.when(F.col("n_a") == F.col("n_b"), 33.0).otherwise(0.0) + 33.0 * F.col("mean_jaccard") + 34.0 * F.col("same_class"))
 
 
+def shared_proteins(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Proteins that both tables have."""
+    return a.select("protein").intersect(b.select("protein"))
+
+
+def report(differences: DataFrame, stages: DataFrame) -> DataFrame:
+    """(step, critical, differences, verdict) of every compared stage: without a difference it passes, else it fails if it is critical and warns if not.
+
+    ``differences``: step (a row for each); ``stages``: step, critical.
+    """
+    n = differences.groupBy("step").agg(F.count(F.lit(1)).alias("differences"))
+    rows = stages.join(n, "step", "left").fillna(0, ["differences"])
+    return rows.select("step", "critical", "differences", F.when(F.col("differences") == 0, "pass").when(F.col("critical"), "fail").otherwise("warn").alias("verdict"))
+
+
 def with_jaccard(pairs: DataFrame, a: str = "resids_a", b: str = "resids_b") -> DataFrame:
     return pairs.withColumn("jaccard", lk.jaccard(a, b))

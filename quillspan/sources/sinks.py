@@ -35,6 +35,63 @@ def tab_lines(rows: DataFrame, columns: list[str | Column], header: str | None =
     return rows.select(F.concat_ws("\t", *cols).alias("value"))
 
 
+def fixed(value: str | Column, digits: int) -> Column:
+    """A double with ``digits`` places as C prints it."""
+    x = (F.col(value) if isinstance(value, str) else value).cast("double")
+    k, n = 10**digits, lk.scaled(x, digits)
+    whole = F.floor(n / k).cast("bigint") if digits else n
+    sign = F.when(x.cast("string").startswith("-"), F.lit("-")).otherwise(F.lit(""))
+    text = F.concat(sign, whole.cast("string"), *([F.lit("."), F.lpad((n - whole * k).cast("string"), digits, "0")] if digits else []))
+    return F.when(x.isNotNull(), text)
+
+
+#: The columns of each text relation, with their decimals where they have some, and whether it has a header row.
+LAYOUTS: dict[str, tuple[list[tuple[str, int | None]], bool]] = {
+    "good_hits": ([("hitname", None), ("ecodnum", None), ("ecodkey", None), ("hgroup", None), ("zscore", None), ("qscore", None), ("ztile", None), ("qtile", None), ("rank", None), ("qrange", None), ("erange", None), ("rotation1", None), ("rotation2", None), ("rotation3", None), ("translation", None)], True),
+    "sequence_result": ([("hitname", None), ("ecodid", None), ("family", None), ("probability", None), ("coverage", None), ("ecodlen", None), ("qrange", None), ("trange", None)], False),
+    "structure_result": ([("hitname", None), ("ecodid", None), ("family", None), ("zscore", None), ("qscore", None), ("ztile", None), ("qtile", None), ("rank", None), ("bestprob", None), ("bestcov", None), ("qrange", None), ("srange", None)], False),
+    "filtered_search": ([("ecodnum", None), ("evalue", None), ("range", None)], True),
+    "sse": ([("resid", None), ("aa", None), ("sse_id", None), ("sse_type", None)], False),
+    "disorder": ([("resid", None)], False),
+    "domains": ([("domain", None), ("range", None)], False),
+    "features": ([("domID", None), ("domRange", None), ("tgroup", None), ("ecodid", None), ("domLen", None), ("Helix_num", None), ("Strand_num", None), ("HHprob", 3), ("HHcov", 3), ("HHrank", 2), ("Dzscore", 3), ("Dqscore", 3), ("Dztile", 3), ("Dqtile", 3), ("Drank", 2), ("Cdiff", 2), ("Ccov", 3), ("HHname", None), ("Dname", None), ("Drot1", None), ("Drot2", None), ("Drot3", None), ("Dtrans", None)], True),
+}
+
+
+def relation_lines(rows: DataFrame, name: str, file: str = "file", order: list[str] | None = None) -> DataFrame:
+    """(file, line_no, value): a relation's rows in its layout, in the given order; a header has line 0 of each file; nulls are ``na``."""
+    columns, header = LAYOUTS[name]
+    cells = [F.coalesce(F.col(c).cast("string") if digits is None else fixed(c, digits), F.lit("na")) for c, digits in columns]
+    order = order or [columns[0][0]]
+    place = F.row_number().over(Window.partitionBy(file).orderBy(*order))
+    body = rows.select(F.col(file).alias("file"), place.cast("bigint").alias("line_no"), F.concat_ws("\t", *cells).alias("value"))
+    if not header:
+        return body
+    return body.select("file").distinct().select("file", F.lit(0).cast("bigint").alias("line_no"), F.lit("\t".join(c for c, _ in columns)).alias("value")).unionByName(body)
+
+
+def union_lines(sequence: DataFrame, structure: DataFrame) -> DataFrame:
+    """(file, value): rows of both kinds in the tagged layout; the structure's score by its template's norm has two places."""
+    seq = ["ecodnum", "ecodid", "family", "probability", "coverage", "ecodlen", "qrange", "trange"]
+    st = ["hitname", "ecodid", "family", "zscore", "qscore", "ztile", "qtile", "rank", "bestprob", "bestcov", "qrange", "filtered"]
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("na"))
+    one = sequence.select("file", F.concat_ws("\t", F.lit("sequence"), *map(text, seq)).alias("value"))
+    two = structure.select("file", F.concat_ws("\t", F.lit("structure"), text("support"), text("ecodnum"), fixed("znorm", 2), *map(text, st)).alias("value"))
+    return one.unionByName(two)
+
+
+def key_lines(rows: DataFrame, key: str = "template", file: str = "protein") -> DataFrame:
+    """(file, line_no, value): the distinct keys of each file, one a line, in the order of their text."""
+    keys = rows.select(F.col(file).alias("file"), F.col(key).cast("string").alias("value")).distinct()
+    return keys.withColumn("line_no", F.row_number().over(Window.partitionBy("file").orderBy("value")).cast("bigint")).select("file", "line_no", "value")
+
+
+def capped(rows: DataFrame, group: list[str], order: list[Column], most: int) -> DataFrame:
+    """The first ``most`` rows of each group: the searches' own limits on their output."""
+    place = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+    return rows.withColumn("place", place).filter(F.col("place") <= most).drop("place")
+
+
 def write_tsv(rows: DataFrame, path: str, columns: list[str] | None = None, header: bool = True) -> None:
     (rows if columns is None else rows.select(*columns)).write.mode("overwrite").csv(path, sep="\t", header=header, nullValue="na", emptyValue="")
 

@@ -15,17 +15,21 @@ def hit_stream(spark: SparkSession, path: str, schema: str, files_per_trigger: i
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
-def capped(stream: DataFrame, state_path: str, out_path: str, checkpoint: str, least: int = 10, cap: int = 100) -> StreamingQuery:
+def capped(stream: DataFrame, state_path: str, out_path: str, checkpoint: str, least: int = 10, cap: int = 100, buckets: int = 256) -> StreamingQuery:
     """Append each micro-batch to the hit table, then recompute only the proteins it touched.
 
-    A batch's rows carry its id, so a batch that is run again overwrites itself instead of adding twice.
+    The table is partitioned by a bucket of the protein, so a batch reads the buckets of its proteins
+    only. A batch's rows carry its id, so a batch that is run again overwrites itself instead of adding twice.
     """
 
     def update(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{state_path}/batch={batch_id}")
-        touched = batch.select("protein").distinct()
-        hits = spark.read.parquet(state_path).drop("batch").join(touched, "protein", "left_semi")
+        rows = batch.withColumn("bucket", F.expr(f"pmod(xxhash64(protein), {buckets})").cast("int"))
+        rows.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{state_path}/batch={batch_id}")
+        mine = spark.read.parquet(f"{state_path}/batch={batch_id}")
+        touched = mine.select("protein").distinct()
+        known = [r.bucket for r in mine.select("bucket").distinct().collect()]  # ``buckets`` numbers at most
+        hits = spark.read.parquet(state_path).filter(F.col("bucket").isin(known)).drop("batch", "bucket").join(touched, "protein", "left_semi")
         coverage_cap(hits, F.col("evalue"), least, cap).withColumn("version", F.lit(batch_id)).write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
 
     return stream.writeStream.foreachBatch(update).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

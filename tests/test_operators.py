@@ -130,7 +130,7 @@ T 1abc_A   11 E-      11 (99)
 
 def test_structure_hits_without_pairs_go(spark):
     text = ">t1_1 12.5 2 100 0\nrotation1 1 0 0\nrotation2 0 1 0\nrotation3 0 0 1\ntranslation 1 2 3\n5 1\n6 2\n>t2_1 3.0 0 100 0\n"
-    rows = parsers.structure_hits(parsers.to_lines(whole(spark, text))).collect()
+    rows = parsers.structure_hits(parsers.to_blocks(whole(spark, text))).collect()
     assert [(r.hit, r.z, len(r.rotation), r.translation, [(p.q, p.t) for p in r.pairs]) for r in rows] == [("t1_1", 12.5, 3, "1,2,3", [(5, 1), (6, 2)])]
 
 

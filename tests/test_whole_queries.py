@@ -5,6 +5,7 @@ from collections import defaultdict
 import pytest
 
 from quillspan.functions import lookups as lk
+from quillspan.plans import evidence_queries as eq
 from quillspan.plans import format_queries as fq
 from quillspan.plans import queries as q
 from quillspan.plans import stage_query as sq
@@ -47,7 +48,7 @@ def plain_matrix(spark, hits):
 
 
 def test_pair_scores_of_all_hits(spark, hits):
-    got = {(r.protein, r.r1, r.r2): (float(r.best), r.n) for r in q.pair_scores_whole(spark, SF).collect()}
+    got = {(r.protein, r.r1, r.r2): (float(r.best), r.n) for r in q.pair_scores(spark, SF).collect()}
     want = plain_pairs(hits)
     assert got.keys() == want.keys() and max(b for _, _, b in got) > 60
     assert all(got[k][1] == want[k][1] and abs(got[k][0] - want[k][0]) < 1e-9 for k in want)
@@ -55,7 +56,7 @@ def test_pair_scores_of_all_hits(spark, hits):
 
 def test_matrix_and_chunks_of_whole_chains(spark, hits):
     want = plain_matrix(spark, hits)
-    got = {(r.protein, r.r1, r.r2): r.p for r in q.probability_matrix_whole(spark, SF).collect()}
+    got = {(r.protein, r.r1, r.r2): r.p for r in q.probability_matrix(spark, SF).collect()}
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 2e-6 for k in want)
     n = max(h.qe for h in hits)
     sums = defaultdict(lambda: [0, 0.0])
@@ -64,15 +65,15 @@ def test_matrix_and_chunks_of_whole_chains(spark, hits):
         if i < j and a + 5 < b:
             sums[p, i, j][0] += 1
             sums[p, i, j][1] += x
-    got = {(r.protein, r.i, r.j): (r.n, r.mean) for r in q.chunk_pairs_whole(spark, SF).collect()}
+    got = {(r.protein, r.i, r.j): (r.n, r.mean) for r in q.chunk_pairs(spark, SF).collect()}
     assert got.keys() == sums.keys() and all(got[k][0] == c and abs(got[k][1] - t / c) < 2e-6 for k, (c, t) in sums.items())
-    assert q.chunk_clusters(spark, SF).agg({"resid": "max"}).first()[0] > 60
+    assert eq.chunk_clusters(spark, SF).agg({"resid": "max"}).first()[0] > 60
 
 
 def test_coverage_of_all_hits(spark, hits):
     domains = [(r.protein, r.domain, set(r.resids)) for r in q.domains(spark, SF).collect()]
     want = {(p, d, h.line_no): len(x & set(range(h.qs, h.qe + 1))) for p, d, x in domains for h in hits if h.protein == p}
-    got = {(r.protein, r.domain, r.line_no): r.n for r in fq.interval_coverage_whole(spark, SF).collect()}
+    got = {(r.protein, r.domain, r.line_no): r.n for r in fq.interval_coverage(spark, SF).collect()}
     assert got == {k: n for k, n in want.items() if n}
 
 
@@ -84,7 +85,7 @@ def test_stage_inputs_hold_all_hits(spark, hits):
 
 
 def test_support_of_all_hits(spark, hits):
-    got = {(r.protein, r.line_no): (float(r.best_prob), float(r.best_cov)) for r in q.sequence_support_whole(spark, SF).collect()}
+    got = {(r.protein, r.line_no): (float(r.best_prob), float(r.best_cov)) for r in q.sequence_support(spark, SF).collect()}
     assert len(got) == len(hits)
     groups = defaultdict(list)
     for h in hits:
@@ -97,4 +98,4 @@ def test_support_of_all_hits(spark, hits):
 
 
 def test_split_counts_all_hits(spark, hits):
-    assert sum(r.hits for r in fq.split_by_query_whole(spark, SF).collect()) == len(hits)
+    assert sum(r.hits for r in fq.split_by_query(spark, SF).collect()) == len(hits)

@@ -275,7 +275,7 @@ def _count_links(batches):
         yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.binary()), pa.array([x[1] for x in out], pa.int64())], names=["sig", "n_links"])
 
 
-def count_links(records: DataFrame, labels: DataFrame, chunk: int = 2 << 20) -> DataFrame:
+def count_links(records: DataFrame, labels: DataFrame, chunk: int = 512 << 10) -> DataFrame:
     """(sig, n_links): with how many other classes each one links, as far as there are some.
 
     Classes that link are of one component and, by their sizes, of one band or of two that meet. The

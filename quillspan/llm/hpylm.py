@@ -6,14 +6,16 @@ context restaurant is a customer of the parent. Gibbs sweeps reseat all customer
 the Chinese-restaurant rule, given the seating of the rest as the sweep before left it; predictive
 probabilities are averaged over the sweeps after burn-in.
 
-All counts are of whole texts and of all training documents. Blocks of texts send their postings
-(token hash, context, document, count), packed by token hash, to reducers; a reducer holds its
-tokens' dishes in all restaurants, so the parent's counts are local. It stores its types (word,
-context, count) once; sweeps read only those. Totals per context are a table spread over hash
-ranges of the contexts: after each sweep, reducers send their sums to the ranges, which add them up
-and answer each reducer for the contexts it holds. Only single numbers and names of files pass
-through the driver. A task repeats earlier sweeps from their totals and seeds, so a lost executor
-costs a recomputation and no state. Reducers answer each block with sums per document.
+All counts are of whole texts and of all training documents. A block of texts keeps its tokens in a
+file of its own, as numbers of its types (word after context), and sends each type once, with its
+training count, to the shard of the type's hash: so a word or context that a third of all documents
+hold is spread over all shards, and a block counts before it sends. A shard holds its types' counts
+and seating. What restaurants and dishes have in all shards is added up by owners, spread by the
+hashes of contexts and words: after each sweep a shard sends one number for each context and word it
+holds, the owners add, reseat the parent's dishes and answer. Every sweep reads the types and the
+totals of the sweep before, once; names of files are a table, and only single sums pass through the
+driver. Seeds and totals fix a sweep, so a lost executor costs a recomputation and no state. In the
+end shards answer each block with one probability for each of its types.
 
 Defined cases: null and empty texts are one end token; a null id counts as the empty text in the
 hold-out rule; repeated rows count each; without training tokens all probabilities are uniform over
@@ -24,6 +26,7 @@ from __future__ import annotations
 
 import uuid
 import zlib
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -32,15 +35,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textkernel as tk
-from .common import bound_batches, buckets_for, discard, fetch, fresh, publish, release, small_batches
+from .common import bound_batches, buckets_for, fetch, fresh, publish, release, settle, small_batches
 from .exchange import exchange
 from .ngram_join import _from_planes, _planes, at_home
 
 BURN, KEEP = 1, 2
 STRENGTH, PARENT_STRENGTH = 1.0, 10.0
-EXACT = 64
+EXACT, STEP = 64, 16
 END = np.uint64(0x9AE16A3B2F90404F)
-BLOCK_TOKENS, BLOCK_DOCS = 2_500_000, 60_000
+BLOCK_TOKENS, BLOCK_DOCS = 2_500_000, 200_000
 
 
 def tokens(col) -> tuple[np.ndarray, np.ndarray]:
@@ -60,8 +63,49 @@ def held_out(doc_id) -> bool:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % 5 == 1
 
 
-def _postings(rows: DataFrame, n: int) -> DataFrame:
-    """(bucket, block, kind, body): postings by token hash, as far as there are some, and each block's documents (kind 1)."""
+# ---- packed columns
+
+
+def _publish(path: str, *columns: np.ndarray) -> None:
+    """A file of columns of integers, as compressed planes of bytes."""
+    body = b"".join(map(_planes, columns))
+    publish(path, np.array([len(columns), len(body), *map(len, columns)], np.int64).tobytes() + pa.compress(body, "zstd", asbytes=True))
+
+
+def _fetch(path: str) -> list[np.ndarray]:
+    """The columns of such a file."""
+    data = fetch(path)
+    n, total = np.frombuffer(data, np.int64, 2).tolist()
+    sizes = np.frombuffer(data, np.int64, n, 16)
+    body = pa.decompress(memoryview(data)[8 * (n + 2) :], total, "zstd", asbytes=True) if total else b""
+    ends = np.cumsum([0, *sizes.tolist()]).tolist()
+    return [_from_planes(memoryview(body)[8 * a : 8 * b], b - a).astype(np.int64) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+
+def _body(*groups: list[np.ndarray]) -> bytes:
+    """Groups of columns of one length each."""
+    return np.array([len(g[0]) for g in groups], np.uint32).tobytes() + b"".join(_planes(x) for g in groups for x in g)
+
+
+def _groups(body, widths: tuple[int, ...]) -> list[list[np.ndarray]]:
+    """The groups of such a body, of ``widths`` columns."""
+    sizes = np.frombuffer(body, np.uint32, len(widths)).tolist()
+    at, out = 4 * len(widths), []
+    for n, width in zip(sizes, widths, strict=True):
+        out.append([_from_planes(memoryview(body)[at + 8 * n * k : at + 8 * n * (k + 1)], n) for k in range(width)])
+        at += 8 * n * width
+    return out
+
+
+# ---- blocks
+
+
+def _blocks(rows: DataFrame, n: int, base: str) -> DataFrame:
+    """(bucket, block, kind, body): a block's types by shard, as far as it has some, and the name of its file (kind 1).
+
+    The file has, in the order of the block's tokens, the numbers of their types; for each type
+    whether its word is another than that of the type before; and its documents.
+    """
 
     def run(batches):
         part, seq = TaskContext.get().partitionId(), 0
@@ -73,38 +117,30 @@ def _postings(rows: DataFrame, n: int) -> DataFrame:
             block = (part << 32) | seq
             h, sizes = np.concatenate(held[0]), np.concatenate(held[1])
             out = np.array([held_out(d) for d in ids], bool)
-            place = np.empty(len(ids), np.int64)  # training documents come first
-            order = np.argsort(out, kind="stable")
-            place[order] = np.arange(len(ids))
-            doc = np.repeat(place, sizes)
             words, w = np.unique(h, return_inverse=True)
             c = np.empty_like(w)  # the token before; a text's first token follows an end
             c[1:] = w[:-1]
             c[np.cumsum(sizes) - sizes] = np.searchsorted(words, END)
-            m, many = np.uint64(len(ids)), np.uint64(len(words))
-            code, times = np.unique((w.astype(np.uint64) * many + c.astype(np.uint64)) * m + doc.astype(np.uint64), return_counts=True)
-            if times.max(initial=0) > 65535:  # a count of two bytes, so often as it takes
-                rep = (times + 65534) // 65535
-                last = times - (rep - 1) * 65535
-                code = np.repeat(code, rep)
-                ends = np.cumsum(rep) - 1
-                times = np.full(len(code), 65535)
-                times[ends] = last
-            code, doc = code // m, (code % m).astype(np.uint16)
-            w, c, times = (code // many).astype(np.int64), (code % many).astype(np.int64), times.astype(np.uint16)
-            per = np.bincount(w, minlength=len(words)).astype(np.uint32)
-            pos = np.concatenate([[0], np.cumsum(per, dtype=np.int64)])
-            some, edges = tk.ranges(words, n)
+            code, of = np.unique(w * len(words) + c, return_inverse=True)
+            count = np.bincount(of, weights=~np.repeat(out, sizes), minlength=len(code)).astype(np.int64)
+            w, c = code // len(words), code % len(words)
+            shard = tk.range_of(tk.mix(words[w] * tk._MULT[0] + words[c] * tk._MULT[1]), n)
+            order = np.argsort(shard, kind="stable")  # by shard, word and context
+            w, c, count, shard = w[order], c[order], count[order], shard[order]
+            place = np.empty_like(order)
+            place[order] = np.arange(len(order))
+            opens = np.concatenate([[True], (w[1:] != w[:-1]) | (shard[1:] != shard[:-1])])
+            path = f"{base}/block-{part}-{seq}-{uuid.uuid4().hex}"
+            _publish(path, place[of], opens, sizes, np.array([0 if d is None else d for d in ids], np.int64), np.array([d is not None for d in ids]), out)
+            some = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]]))
             bodies = []
-            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                p, q = pos[a], pos[b]
-                before, at = np.unique(c[p:q], return_inverse=True)
-                head = np.array([int((~out).sum()), b - a, q - p, len(before)], np.uint32)
-                bodies.append(b"".join((head.tobytes(), _planes(words[a:b]), per[a:b].tobytes(), _planes(words[before]), *(x.tobytes() for x in (at.astype(_index(len(before))), doc[p:q], times[p:q])))))
-            known = np.array([d is not None for d in ids], np.uint8)[order]
-            meta = b"".join(x.tobytes() for x in (np.array([0 if ids[i] is None else ids[i] for i in order.tolist()], np.int64), sizes[order].astype(np.int64), known, out[order].astype(np.uint8)))
+            for a, b in zip(some.tolist(), [*some[1:].tolist(), len(shard)], strict=True):
+                heads = a + np.flatnonzero(opens[a:b])
+                before, at = np.unique(c[a:b], return_inverse=True)
+                parts = (np.diff(np.append(heads, b)).astype(np.uint32), at.astype(_index(len(before))), count[a:b].astype(np.uint32))
+                bodies.append(np.array([len(heads), b - a, len(before)], np.uint32).tobytes() + _planes(words[w[heads]]) + _planes(words[before]) + b"".join(x.tobytes() for x in parts))
             got = pa.RecordBatch.from_arrays(
-                [pa.array([*some.tolist(), block % n], pa.int32()), pa.array([block] * (len(some) + 1), pa.int64()), pa.array([0] * len(some) + [1], pa.int32()), pa.array([*bodies, meta], pa.binary())],
+                [pa.array([*shard[some].tolist(), block % n], pa.int32()), pa.array([block] * (len(some) + 1), pa.int64()), pa.array([0] * len(some) + [1], pa.int32()), pa.array([*bodies, path.encode()], pa.binary())],
                 names=["bucket", "block", "kind", "body"],
             )
             seq += 1
@@ -133,78 +169,30 @@ def _index(n: int):
     return np.uint16 if n <= 1 << 16 else np.uint32
 
 
-def _publish(path: str, *columns: np.ndarray) -> None:
-    """A file of columns of integers, as compressed planes of bytes."""
-    body = b"".join(map(_planes, columns))
-    publish(path, np.array([len(body), *map(len, columns)], np.int64).tobytes() + pa.compress(body, "zstd", asbytes=True))
-
-
-def _fetch(path: str, n: int) -> list[np.ndarray]:
-    """The ``n`` columns of such a file."""
-    data = fetch(path)
-    total, *sizes = np.frombuffer(data, np.int64, n + 1).tolist()
-    body = pa.decompress(memoryview(data)[8 * (n + 1) :], total, "zstd", asbytes=True) if total else b""
-    ends = np.cumsum([0, *sizes]).tolist()
-    return [_from_planes(memoryview(body)[8 * a : 8 * b], b - a) for a, b in zip(ends[:-1], ends[1:], strict=True)]
-
-
-def _parts(body) -> list:
-    """Training documents, words, postings of each, contexts, and each posting's context, document and count."""
-    train, nw, n, nc = np.frombuffer(body, np.uint32, 4).tolist()
-    at, got = 16, [train]
-    for dtype, m in ((np.uint64, nw), (np.uint32, nw), (np.uint64, nc), (_index(nc), n), (np.uint16, n), (np.uint16, n)):
-        x = _from_planes(memoryview(body)[at : at + 8 * m], m) if dtype == np.uint64 else np.frombuffer(body, dtype, m, at)
+def _types(body) -> list[np.ndarray]:
+    """Words, contexts, types of each word, and each type's context and count."""
+    nw, n, nc = np.frombuffer(body, np.uint32, 3).tolist()
+    at, got = 12, []
+    for m in (nw, nc):
+        got.append(_from_planes(memoryview(body)[at : at + 8 * m], m))
+        at += 8 * m
+    for dtype, m in ((np.uint32, nw), (_index(nc), n), (np.uint32, n)):
+        x = np.frombuffer(body, dtype, m, at)
         at += x.nbytes
-        got.append(x)
+        got.append(x.astype(np.int64))
     return got
 
 
-class Shard:
-    """A reducer's tokens: words, the contexts they follow, and training types (word, context) with counts."""
-
-    def __init__(self, rows):
-        parts = [_parts(body) for _, block, kind, body in rows if not kind]
-        union = lambda j: np.unique(np.concatenate([p[j] for p in parts])) if parts else np.zeros(0, np.uint64)
-        self.words, self.contexts = union(1), union(3)
-        keys, counts = [], []
-        while parts:
-            part = parts.pop()
-            mine = part[5] < part[0]
-            keys.append(self.keys(*part[1:5])[mine])
-            counts.append(part[6][mine])
-        key, count = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (keys, counts))
-        del keys, counts
-        order = np.argsort(key, kind="stable")
-        key, count = key[order], count[order].astype(np.int64)
-        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-        self._types(key[first], np.add.reduceat(count, first) if len(first) else np.zeros(0, np.int64))
-
-    def _types(self, key: np.ndarray, count: np.ndarray) -> None:
-        self.key, self.count = key, count
-        self.word, self.ctx = self.key >> 32, self.key & 0xFFFFFFFF
-        self.word_count = np.bincount(self.word, weights=self.count, minlength=len(self.words)).astype(np.int64)
-        self.contexts_of = np.bincount(self.word, minlength=len(self.words))
-
-    def keys(self, words, per, before, ctx) -> np.ndarray:
-        """The type of each posting of a block."""
-        return (np.repeat(np.searchsorted(self.words, words), per).astype(np.int64) << 32) | np.searchsorted(self.contexts, before)[ctx]
-
-    def store(self, path: str) -> None:
-        _publish(path, self.words, self.contexts, self.key, self.count)
-
-    @classmethod
-    def load(cls, path: str) -> Shard:
-        self = cls.__new__(cls)
-        self.words, self.contexts, key, count = _fetch(path, 4)
-        self._types(key.astype(np.int64), count.astype(np.int64))
-        return self
+# ---- the model
 
 
 def seat(count: np.ndarray, mass: np.ndarray, discount: float, rng) -> np.ndarray:
     """Tables of each dish after its customers are seated one by one.
 
     ``mass`` is what a new table of the dish weighs; a dish with i customers at t tables weighs
-    i - discount * t. Beyond EXACT customers, as many again are seated per draw of new tables.
+    i - discount * t. The first EXACT customers come one at a time; later ones in groups of a STEPth of
+    those that sit, whose chances of a new table differ by as little: their new tables are one
+    binomial draw at the chance in the group's middle.
     """
     t = np.minimum(count, 1).astype(np.float64)
     live = np.flatnonzero(count > 1)
@@ -214,70 +202,51 @@ def seat(count: np.ndarray, mass: np.ndarray, discount: float, rng) -> np.ndarra
         i += 1
         live = live[count[live] > i]
     while len(live):
-        to = np.minimum(count[live], 2 * i)
-        new = rng.poisson(mass[live] * np.log((mass[live] + to - discount * t[live]) / (mass[live] + i - discount * t[live])))
-        t[live] = np.minimum(t[live] + new, t[live] + to - i)
-        i *= 2
+        group = np.minimum(count[live] - i, max(i // STEP, 1))
+        half = (group - 1) / 2
+        chance = mass[live] / (mass[live] + i - discount * t[live])
+        chance = mass[live] / (mass[live] + i + half - discount * (t[live] + half * chance))  # in the middle of the group
+        t[live] += rng.binomial(group, np.minimum(chance, 1.0))
+        i += max(i // STEP, 1)
         live = live[count[live] > i]
     return t
 
 
-def sweeps(shard: Shard, model: dict, upto: int, seed: int):
-    """The seating after each sweep 1..upto: (tables of types, customers and tables of words)."""
-    t = np.ones(len(shard.key))
-    c0, t0 = shard.contexts_of.astype(float), np.minimum(shard.contexts_of, 1).astype(float)
-    d, d0, base = model["d"], model["d0"], 1.0 / (model["V"] + 1)
-    for s in range(1, upto + 1):
-        rng = np.random.default_rng([seed, s])
-        tables, total0, customers0 = model["totals"][s - 1]
-        p0 = (c0 - d0 * t0 + (PARENT_STRENGTH + d0 * total0) * base) / (PARENT_STRENGTH + customers0)
-        t = seat(shard.count, p0[shard.word] * (STRENGTH + d * tables[shard.ctx]), d, rng)
-        c0 = np.bincount(shard.word, weights=t, minlength=len(shard.words))
-        t0 = seat(c0.astype(np.int64), np.full(len(c0), (PARENT_STRENGTH + d0 * total0) * base), d0, rng)
-        yield t, c0, t0
-
-
-_SENT = "bucket int, src int, part int, body binary"
-#: Parts below 0 go to the driver: a reducer's numbers, its file of types, a range's file of places, a reducer's file of totals.
-NUMBERS, TYPES, PLACES, TOTALS = -1, -2, -3, -4
-
-
-def _send(index: int, shard: Shard, n: int, columns: list[np.ndarray], numbers: list[int]):
-    """Rows of _SENT: a reducer's ``columns`` (one value per context) by hash range of the contexts, and its numbers."""
-    some, at = tk.ranges(shard.contexts, n)
-    for j, a, b in zip(some.tolist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
-        yield j, index, j, b"".join(_planes(x[a:b]) for x in columns)
-    yield index, index, NUMBERS, np.array(numbers, np.int64).tobytes()
-
-
-def _first(index: int, rows, n_parts: int, base: str):
-    """Stores one reducer's types; customers and types per context, and N, V and counts of counts."""
-    s = Shard(rows)
-    path = f"{base}/types-{index}-{uuid.uuid4().hex}"
-    s.store(path)
-    yield index, index, TYPES, path.encode()
-    k = len(s.contexts)
-    c, t = np.bincount(s.ctx, weights=s.count, minlength=k), np.bincount(s.ctx, minlength=k)
-    n = [s.count.sum(), (s.word_count > 0).sum(), (s.count == 1).sum(), (s.count == 2).sum(), (s.contexts_of == 1).sum(), (s.contexts_of == 2).sum(), t.sum()]
-    yield from _send(index, s, n_parts, [s.contexts, c, t], [int(x) for x in n])
-
-
-def _loaded(index: int, model: dict) -> tuple[Shard, dict]:
-    """A reducer's types, and the model with the totals of its contexts."""
-    s = Shard.load(model["types"][index])
-    k = len(s.contexts)
-    read = lambda files, n: [x.astype(np.float64) for x in _fetch(files[index], n)] if index in files else [np.zeros(k)] * n
-    columns = [read(files, 2 if i == 0 else 1) for i, (files, _, _) in enumerate(model["totals"])]
-    totals = [(x[-1], a, b) for x, (_, a, b) in zip(columns, model["totals"], strict=True)]
-    return s, model | {"totals": totals, "customers": columns[0][0]}
-
-
-def _sweep(index: int, model: dict, s: int, n: int):
-    """Tables per context, and of the parent, after sweep s."""
-    shard, mine = _loaded(index, model)
-    for t, _, t0 in sweeps(shard, mine, s, index):  # noqa: B007
-        pass
-    yield from _send(index, shard, n, [np.bincount(shard.ctx, weights=t, minlength=len(shard.contexts))], [int(t0.sum()), int(t.sum())])
+def parent(model: dict, c0: np.ndarray, t0: np.ndarray, s: int) -> np.ndarray:
+    """The parent's probability of words with ``c0`` customers at ``t0`` tables, after sweep ``s``."""
+    tables, customers = model["parents"][s]
+    return (c0 - model["d0"] * t0 + (PARENT_STRENGTH + model["d0"] * tables) / (model["V"] + 1)) / (PARENT_STRENGTH + customers)
+
+
+def predictive(model: dict, count, t, customers, tables, p0) -> np.ndarray:
+    """Probability of a word with ``count`` customers at ``t`` tables of a restaurant with ``customers`` at ``tables``."""
+    return (np.maximum(count - model["d"] * t, 0) + (STRENGTH + model["d"] * tables) * p0) / (STRENGTH + customers)
+
+
+class Shard:
+    """Types: their words, contexts and counts; totals of the restaurants and dishes that they are of."""
+
+    def __init__(self, path: str, totals: list[str]):
+        self.words, self.contexts, key, self.count = _fetch(path)
+        self.word, self.ctx = key >> 32, key & 0xFFFFFFFF
+        first = _fetch(totals[0])
+        self.customers, self.word_count = first[0], first[2]
+        self.totals = [(first[1], first[3], first[4]), *map(_fetch, totals[1:])]
+
+    def sweep(self, model: dict, s: int, seating: Callable, seed: int) -> np.ndarray:
+        """Tables of all types in sweep ``s``, given what the one before left."""
+        tables, c0, t0 = self.totals[s - 1 - self.skipped]
+        mass = parent(model, c0, t0, s - 1)[self.word] * (STRENGTH + model["d"] * tables[self.ctx])
+        return seating(self.count, mass, model["d"], np.random.default_rng([seed, s]))
+
+    skipped = 0  # totals of that many sweeps were not loaded
+
+
+# ---- exchanges
+
+#: Parts below 0: a task's numbers, a shard's files of types and of blocks' places, an owner's file of places, a shard's file of totals, a block's file.
+NUMBERS, TYPES, INDEX, PLACES, TOTALS, BLOCK = -1, -2, -3, -4, -5, -6
+_SENT = "bucket int, src bigint, part int, body binary"
 
 
 def _rows(batches):
@@ -287,154 +256,234 @@ def _rows(batches):
 
 def _batch(*rows):
     cols = zip(*rows, strict=True)
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=["bucket", "src", "part", "body"])
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int64(), pa.int32(), pa.binary()), strict=True)], names=["bucket", "src", "part", "body"])
+
+
+def _text(numbers) -> bytes:
+    return ",".join(str(int(x)) for x in numbers).encode()
 
 
-def _add(base: str, places: dict[int, str] | None):
-    """Per hash range of contexts: adds the reducers' columns up and answers each for its contexts. Without ``places``, finds and stores them."""
+def _send(src: int, contexts: np.ndarray, words: np.ndarray, n: int, of_contexts: list[np.ndarray], of_words: list[np.ndarray]):
+    """Rows of _SENT to the owners of ascending ``contexts`` and ``words``."""
+    (c_some, c_at), (w_some, w_at) = tk.ranges(contexts, n), tk.ranges(words, n)
+    spans = {int(j): [(int(a), int(b)), (0, 0)] for j, a, b in zip(c_some, c_at[:-1], c_at[1:], strict=True)}
+    for j, a, b in zip(w_some, w_at[:-1], w_at[1:], strict=True):
+        spans.setdefault(int(j), [(0, 0), (0, 0)])[1] = (int(a), int(b))
+    for j, ((a, b), (x, y)) in spans.items():
+        yield _batch((j, src, j, _body([v[a:b] for v in of_contexts], [v[x:y] for v in of_words])))
+
+
+def _gather(n: int, base: str):
+    """Per shard: stores its types and where each block has them; sends customers and types per context, and counts and contexts per word."""
+
+    def run(batches):
+        parts, src = [], None
+        for b in batches:
+            for bucket, block, kind, body in zip(*(b.column(c).to_pylist() for c in ("bucket", "block", "kind", "body")), strict=True):
+                if kind:
+                    yield _batch((bucket, block, BLOCK, body))
+                else:
+                    src = bucket
+                    parts.append((block, *_types(body)))
+        if src is None:
+            return
+        parts.sort(key=lambda p: p[0])
+        words, contexts = (np.unique(np.concatenate([p[k] for p in parts])) for k in (1, 2))
+        at = [np.searchsorted(words, p[1]) for p in parts]
+        keys = [(np.repeat(w, p[3]) << 32) | np.searchsorted(contexts, p[2])[p[4]] for w, p in zip(at, parts, strict=True)]
+        key, of = np.unique(np.concatenate(keys), return_inverse=True)
+        count = np.bincount(of, weights=np.concatenate([p[5] for p in parts])).astype(np.int64)
+        name = uuid.uuid4().hex
+        _publish(f"{base}/types-{src}-{name}", words, contexts, key, count)
+        _publish(f"{base}/index-{src}-{name}", np.array([p[0] for p in parts]), np.array([len(k) for k in keys]), of, np.array([len(w) for w in at]), np.concatenate(at))
+        yield _batch((src, src, TYPES, f"{base}/types-{src}-{name}".encode()), (src, src, INDEX, f"{base}/index-{src}-{name}".encode()))
+        del parts, keys, of, at
+        word, ctx, seen = key >> 32, key & 0xFFFFFFFF, count > 0
+        per = lambda x, m, w=None: np.bincount(x, weights=w, minlength=m).astype(np.int64)
+        yield _batch((src, src, NUMBERS, _text([(count == 1).sum(), (count == 2).sum(), 0, 0, 0, 0, 0, 0])))
+        yield from _send(src, contexts, words, n, [contexts, per(ctx, len(contexts), count), per(ctx[seen], len(contexts))], [words, per(word, len(words), count), per(word[seen], len(words))])
+
+    return run
+
+
+def _add(base: str, model: dict | None, s: int, seating: Callable):
+    """Per owner: adds the shards' numbers up, seats the parent's dishes of its words, and answers each shard. Without ``model``: finds and stores who has what."""
 
     def run(batches):
-        parts: dict[int, list] = {}
+        got, places, owner = [], None, None
         for row in _rows(batches):
-            if row[2] < 0:
+            if row[2] == PLACES:
+                places = bytes(row[3]).decode()
+            elif row[2] < 0:
                 yield _batch(row)
             else:
-                parts.setdefault(row[2], []).append((row[1], row[3]))
-        for part, got in parts.items():
-            got.sort(key=lambda x: x[0])
-            width = 24 if places is None else 8
-            size = [len(x) // width for _, x in got]
-            column = lambda j, got=got, size=size: np.concatenate([_from_planes(x[8 * j * m : 8 * (j + 1) * m], m) for (_, x), m in zip(got, size, strict=True)])
-            if places is None:
-                _, at = np.unique(column(0), return_inverse=True)
-                path = f"{base}/places-{part}-{uuid.uuid4().hex}"
-                _publish(path, at)
-                yield _batch((part, part, PLACES, path.encode()))
-            else:
-                at = _fetch(places[part], 1)[0].astype(np.int64)
-            sums = [np.bincount(at, weights=column(j))[at] for j in ((1, 2) if places is None else (0,))]
-            end = 0
-            for (src, _), m in zip(got, size, strict=True):
-                yield _batch((src, src, part, b"".join(_planes(x[end : end + m]) for x in sums)))
-                end += m
+                owner = row[2]
+                got.append((row[1], row[3]))
+        if owner is None:
+            return
+        got.sort(key=lambda x: x[0])
+        parsed = [_groups(body, (3, 3) if model is None else (1, 1)) for _, body in got]
+        column = lambda g, k: np.concatenate([p[g][k] for p in parsed])
+        if model is None:
+            at = [np.unique(column(g, 0), return_inverse=True)[1] for g in (0, 1)]
+            path = f"{base}/places-{owner}-{uuid.uuid4().hex}"
+            _publish(path, *at)
+            yield _batch((owner, owner, PLACES, path.encode()))
+        else:
+            at = _fetch(places)
+        total = lambda g, k: np.bincount(at[g], weights=column(g, k).astype(np.float64)).astype(np.int64) if len(at[g]) else np.zeros(0, np.int64)
+        if model is None:
+            count, c0 = total(1, 1), total(1, 2)
+            t0 = np.minimum(c0, 1)
+            columns = [[total(0, 1), total(0, 2)], [count, c0, t0]]
+            numbers = [0, 0, (c0 == 1).sum(), (c0 == 2).sum(), count.sum(), (count > 0).sum(), t0.sum(), c0.sum()]
+        else:
+            c0 = total(1, 0)
+            mass = (PARENT_STRENGTH + model["d0"] * model["parents"][s - 1][0]) / (model["V"] + 1)
+            t0 = seating(c0, np.full(len(c0), mass), model["d0"], np.random.default_rng([owner, s, 1])).astype(np.int64)
+            columns = [[total(0, 0)], [c0, t0]]
+            numbers = [0, 0, 0, 0, 0, 0, t0.sum(), c0.sum()]
+        yield _batch((owner, owner, NUMBERS, _text(numbers)))
+        ends = [0, 0]
+        for (src, _), p in zip(got, parsed, strict=True):
+            sizes = [len(p[0][0]), len(p[1][0])]
+            mine = [at[g][ends[g] : ends[g] + sizes[g]] for g in (0, 1)]
+            yield _batch((src, src, owner, _body(*[[x[mine[g]] for x in columns[g]] for g in (0, 1)])))
+            ends = [ends[g] + sizes[g] for g in (0, 1)]
 
     return run
 
 
-def _keep(base: str, width: int):
-    """Per reducer: stores the answers of all ranges, in the order of its contexts."""
+def _keep(base: str, widths: tuple[int, int]):
+    """Per shard: stores the answers of all owners, in the order of its contexts and words."""
 
     def run(batches):
-        got: dict[int, list] = {}
+        got, src = [], None
         for row in _rows(batches):
             if row[2] < 0:
                 yield _batch(row)
             else:
-                got.setdefault(row[1], []).append((row[2], row[3]))
-        for src, parts in got.items():
-            bodies = [x for _, x in sorted(parts, key=lambda x: x[0])]
-            path = f"{base}/totals-{src}-{uuid.uuid4().hex}"
-            size = [len(x) // (8 * width) for x in bodies]
-            _publish(path, *(np.concatenate([_from_planes(x[8 * j * m : 8 * (j + 1) * m], m) for x, m in zip(bodies, size, strict=True)]) for j in range(width)))
-            yield _batch((0, src, TOTALS, path.encode()))
+                src = row[1]
+                got.append((row[2], row[3]))
+        if src is None:
+            return
+        parsed = [_groups(body, widths) for _, body in sorted(got, key=lambda x: x[0])]
+        path = f"{base}/totals-{src}-{uuid.uuid4().hex}"
+        _publish(path, *(np.concatenate([p[g][k] for p in parsed]) for g in (0, 1) for k in range(widths[g])))
+        yield _batch((0, src, TOTALS, path.encode()))
 
     return run
 
 
-def _scores(index: int, rows, model: dict):
-    """Answers (block, kind, body): documents with their sums of log10 probabilities, base and known counts."""
-    shard, model = _loaded(index, model)
-    d, d0, n, v = model["d"], model["d0"], model["N"], model["V"]
-    base = 1.0 / (v + 1)
-    samples = []
-    for s, (t, c0, t0) in enumerate(sweeps(shard, model, BURN + KEEP, index), 1):
-        if s > BURN:
-            tables, total0, customers0 = model["totals"][s]
-            p0 = (c0 - d0 * t0 + (PARENT_STRENGTH + d0 * total0) * base) / (PARENT_STRENGTH + customers0)
-            samples.append((np.maximum(shard.count - d * t, 0), p0, (STRENGTH + d * tables) / (STRENGTH + model["customers"]), 1 / (STRENGTH + model["customers"])))
-    log_base = np.log10((shard.word_count + 0.5) / (n + 0.5 * (v + 1)))
-    known = shard.word_count > 0
-    for _, block, kind, body in rows:
-        if kind:
-            yield block, 1, bytes(body)
-            continue
-        _, words, per, before, at, doc, times = _parts(body)
-        key = shard.keys(words, per, before, at)
-        word, ctx = key >> 32, key & 0xFFFFFFFF
-        i = np.minimum(np.searchsorted(shard.key, key), max(len(shard.key) - 1, 0))
-        hit = shard.key[i] == key if len(shard.key) else np.zeros(len(key), bool)
-        p = np.zeros(len(key))
-        for left, p0, back, share in samples:
-            p += np.where(hit, left[i] if len(left) else 0.0, 0.0) * share[ctx] + back[ctx] * p0[word]
-        times = times.astype(np.float64)
-        size = int(doc.max()) + 1
-        there = np.flatnonzero(np.bincount(doc, minlength=size))
-        out = [np.bincount(doc, weights=times * x, minlength=size)[there] for x in (np.log10(p / len(samples)), log_base[word], known[word])]
-        yield block, 0, there.astype(np.uint16).tobytes() + out[0].tobytes() + out[1].tobytes() + out[2].astype(np.int64).tobytes()
-
-
-def _documents(n_train: int):
+def _exchanged(sent: DataFrame, places: DataFrame | None, n: int, base: str, model: dict | None, s: int, seating: Callable) -> tuple[list[int], DataFrame]:
+    """(sums of the tasks' numbers, table of the files' names) after the owners have answered ``sent``."""
+    if places is not None:
+        sent = sent.unionByName(places)
+    added = exchange(sent, n, "bucket").mapInArrow(_add(base, model, s, seating), _SENT)
+    names = settle(exchange(added, n, "bucket").mapInArrow(_keep(base, (2, 3) if model is None else (1, 2)), _SENT), "lm-names")
+    numbers = F.split(F.col("body").cast("string"), ",")
+    sums = names.filter(F.col("part") == NUMBERS).agg(*[F.sum(numbers[k].cast("bigint")) for k in range(8)]).first()
+    return [int(x or 0) for x in sums], names
+
+
+def _named(names: DataFrame, part: int, column: str) -> DataFrame:
+    return names.filter(F.col("part") == part).select("src", F.col("body").cast("string").alias(column))
+
+
+def _sweep(model: dict, s: int, n: int, seating: Callable):
+    """Tables per context and per word after sweep ``s``."""
+
     def run(batches):
-        metas, answers = {}, {}
         for b in batches:
-            for block, kind, body in zip(*(b.column(c).to_pylist() for c in ("block", "kind", "body")), strict=True):
+            for src, types, *totals in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                shard = Shard(types, totals)
+                shard.skipped = s - len(totals)
+                t = shard.sweep(model, s, seating, src)
+                per = lambda x, keys: np.bincount(x, weights=t, minlength=len(keys)).astype(np.int64)  # noqa: B023, E731
+                yield from _send(src, shard.contexts.astype(np.uint64), shard.words.astype(np.uint64), n, [per(shard.ctx, shard.contexts)], [per(shard.word, shard.words)])
+
+    return run
+
+
+def _answers(model: dict, sweeps: int, burn: int, seating: Callable):
+    """(block, src, kind, body): to each block the logarithms of its types' probabilities and its words' counts."""
+
+    def run(batches):
+        for b in batches:
+            for src, types, index, *totals in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                shard = Shard(types, totals)
+                p = np.zeros(len(shard.count))
+                for s in range(burn + 1, sweeps + 1):
+                    t = shard.sweep(model, s, seating, src)
+                    tables, c0, t0 = shard.totals[s]
+                    p += predictive(model, shard.count, t, shard.customers[shard.ctx], tables[shard.ctx], parent(model, c0, t0, s)[shard.word])
+                log = np.log10(p / (sweeps - burn))
+                blocks, n_types, of, n_words, word = _fetch(index)
+                x = y = 0
+                for block, m, k in zip(blocks.tolist(), n_types.tolist(), n_words.tolist(), strict=True):
+                    body = _body([log[of[x : x + m]].view(np.uint64)], [shard.word_count[word[y : y + k]]])
+                    yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([src], pa.int64()), pa.array([0], pa.int32()), pa.array([body], pa.binary())], names=["block", "src", "kind", "body"])
+                    x, y = x + m, y + k
+
+    return run
+
+
+_OUT = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, perplexity double"
+
+
+def _documents(model: dict):
+    def run(batches):
+        files, answers = {}, {}
+        for b in batches:
+            for block, src, kind, body in zip(*(b.column(c).to_pylist() for c in ("block", "src", "kind", "body")), strict=True):
                 if kind:
-                    metas[block] = body
-                else:  # added up as they come
-                    m = len(body) // 26
-                    doc = np.frombuffer(body, np.uint16, m)
-                    sums = answers.setdefault(block, np.zeros((3, 1 << 16)))
-                    for j in range(3):
-                        x = np.frombuffer(body, np.float64 if j < 2 else np.int64, m, 2 * m + 8 * m * j)
-                        sums[j, doc] += x
-        for block, meta in metas.items():
-            m = len(meta) // 18
-            ids, sizes = np.frombuffer(meta, np.int64, m), np.frombuffer(meta, np.int64, m, 8 * m)
-            known, out = np.frombuffer(meta, np.uint8, m, 16 * m), np.frombuffer(meta, np.uint8, m, 17 * m)
-            sums = answers.get(block, np.zeros((3, m)))[:, :m]
+                    files[block] = bytes(body).decode()
+                else:
+                    answers.setdefault(block, []).append((src, body))
+        for block, path in files.items():
+            of, opens, sizes, ids, known_id, out = _fetch(path)
+            parts = [_groups(body, (1, 1)) for _, body in sorted(answers.pop(block), key=lambda x: x[0])]
+            log = np.concatenate([p[0][0] for p in parts]).view(np.float64)
+            count = np.concatenate([p[1][0] for p in parts])[np.cumsum(opens) - 1].astype(np.float64)  # of each type's word
+            base = np.log10((count + 0.5) / (model["N"] + 0.5 * (model["V"] + 1)))
+            doc = np.repeat(np.arange(len(sizes)), sizes)
+            score, base_score, known = (np.bincount(doc, weights=x[of], minlength=len(sizes)) for x in (log, base, (count > 0).astype(np.float64)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, mask=known == 0), pa.array(out.astype(bool)), pa.array(sizes), pa.array(sums[2].astype(np.int64)), pa.array(np.full(m, n_train, np.int64)), pa.array(sums[1]), pa.array(sums[0]), pa.array(10 ** (-sums[0] / sizes))],
+                [pa.array(ids, mask=known_id == 0), pa.array(out.astype(bool)), pa.array(sizes), pa.array(known.astype(np.int64)), pa.array(np.full(len(sizes), model["N"], np.int64)), pa.array(base_score), pa.array(score), pa.array(10 ** (-score / sizes))],
                 names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"],
             )
 
     return run
 
 
-def _exchanged(spark: SparkSession, rdd, n: int, base: str, places: dict[int, str] | None) -> tuple[np.ndarray, dict[int, dict[int, str]]]:
-    """Sums of the reducers' numbers, and the names of the files that an exchange stored, by kind and index."""
-    sent = exchange(spark.createDataFrame(rdd, _SENT), n, "bucket").mapInArrow(_add(base, places), _SENT)
-    kept = exchange(sent, n, "bucket").mapInArrow(_keep(base, 2 if places is None else 1), _SENT)
-    numbers, files = [], {TYPES: {}, PLACES: {}, TOTALS: {}}
-    for _, src, part, body in kept.collect():  # a few short rows for each reducer
-        if part == NUMBERS:
-            numbers.append(np.frombuffer(bytes(body), np.int64))
-        else:
-            files[part][src] = bytes(body).decode()
-    return np.sum(numbers, axis=0), files
-
-
-def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", burn: int = BURN, keep: int = KEEP, seating: Callable = seat) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity) of every row."""
     spark = docs.sparkSession
     bound_batches(spark)
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    n = buckets_for(rows, "text")
-    base = fresh(spark, "lm")
-    posted = exchange(_postings(rows, n), n, "bucket").rdd  # one shuffle, read for the types and for the scores
-    got, files = _exchanged(spark, posted.mapPartitionsWithIndex(lambda i, it: _first(i, it, n, base)), n, base, None)
-    n_tokens, vocabulary, n1, n2, m1, m2, types = got.tolist()
+    n, base = buckets_for(rows, "text"), fresh(spark, "lm")
+    sent = exchange(_blocks(rows, n, base), n, "bucket").mapInArrow(_gather(n, base), _SENT)
+    (n1, n2, m1, m2, n_tokens, vocabulary, tables, customers), names = _exchanged(sent, None, n, base, None, 0, seating)
+    del sent
+    release(spark)  # the types that were exchanged
     discount = lambda a, b: float(np.clip(a / (a + 2 * b), 0.05, 0.95)) if a else 0.5
-    model = {"N": n_tokens, "V": vocabulary, "d": discount(n1, n2), "d0": discount(m1, m2), "types": files[TYPES], "totals": [(files[TOTALS], float(vocabulary), float(types))]}
-    each, places = spark.sparkContext.parallelize(range(n), n), files[PLACES]
-    for s in range(1, BURN + KEEP + 1):
-        swept = each.mapPartitionsWithIndex(lambda i, _, m=model | {"totals": list(model["totals"])}, s=s: _sweep(i, m, s, n))
-        got, files = _exchanged(spark, swept, n, base, places)
-        model["totals"].append((files[TOTALS], float(got[0]), float(got[1])))
-        del swept
+    model = {"N": n_tokens, "V": vocabulary, "d": discount(n1, n2), "d0": discount(m1, m2), "parents": [(float(tables), float(customers))]}
+    places = names.filter(F.col("part") == PLACES)
+    blocks = names.filter(F.col("part") == BLOCK).select(F.col("src").alias("block"), F.lit(-1).cast("bigint").alias("src"), F.lit(1).alias("kind"), "body")
+    shards = _named(names, TYPES, "types").join(_named(names, INDEX, "index"), "src").join(_named(names, TOTALS, "totals0"), "src")
+    shards = settle(shards, "lm-shards")
+    for s in range(1, burn + keep + 1):
+        columns = ["totals0"] + [f"totals{s - 1}"] * (s > 1)
+        dealt = exchange(shards.select(F.col("src").cast("int").alias("bucket"), "types", *columns), n, "bucket")
+        swept = dealt.mapInArrow(_sweep({**model, "parents": list(model["parents"])}, s, n, seating), _SENT)
+        got, names = _exchanged(swept, places, n, base, {**model, "parents": list(model["parents"])}, s, seating)
+        model["parents"].append((float(got[6]), float(got[7])))
+        shards = settle(shards.join(_named(names, TOTALS, f"totals{s}"), "src"), "lm-shards")
+        del dealt, swept
         release(spark)  # the sums that were exchanged
-    discard(*places.values())
-    answers = spark.createDataFrame(posted.mapPartitionsWithIndex(lambda i, it: _scores(i, it, model)), "block bigint, kind int, body binary")
-    return exchange(at_home(answers, n), n, "home").mapInArrow(_documents(n_tokens), "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, perplexity double")
+    dealt = exchange(shards.select(F.col("src").cast("int").alias("bucket"), "types", "index", *[f"totals{s}" for s in range(burn + keep + 1)]), n, "bucket")
+    answers = dealt.mapInArrow(_answers(model, burn + keep, burn, seating), "block bigint, src bigint, kind int, body binary")
+    return exchange(at_home(answers.unionByName(blocks), n), n, "home").mapInArrow(_documents(model), _OUT)
 
 
 def op7_hpylm(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -491,24 +491,33 @@ def test_predictive_sums_to_one():
     """Over the vocabulary and the unknown token, in every context, by the formulas that score."""
     rng = np.random.default_rng(0)
     k, words = 16, 40
-    shard = hpylm.Shard([])
     key = np.unique(rng.integers(0, words, 300) << 16 | rng.integers(0, k, 300))
-    shard.words, shard.key = np.arange(words, dtype=np.uint64), key
-    shard.word, shard.ctx = key >> 16, key & 0xFFFF
-    shard.count = rng.integers(1, 200, len(key))
-    shard.contexts_of = np.bincount(shard.word, minlength=words)
-    types = np.bincount(shard.ctx, minlength=k).astype(float)
-    model = {"d": 0.6, "d0": 0.5, "V": words, "totals": [(types, float(words), types.sum())]}
-    customers = np.bincount(shard.ctx, weights=shard.count, minlength=k)
-    (t, c0, t0), = hpylm.sweeps(shard, model, 1, 3)
-    assert (t >= 1).all() and (t <= shard.count).all() and (t0 <= c0).all()
-    tables = np.bincount(shard.ctx, weights=t, minlength=k)
-    base = 1 / (words + 1)
-    back = (hpylm.PARENT_STRENGTH + 0.5 * t0.sum()) * base
-    p0 = np.append(c0 - 0.5 * t0 + back, back) / (hpylm.PARENT_STRENGTH + c0.sum())
+    word, ctx, count = key >> 16, key & 0xFFFF, rng.integers(1, 200, len(key))
+    per = lambda x, n, w=None: np.bincount(x, weights=w, minlength=n).astype(float)
+    customers, c0 = per(ctx, k, count), per(word, words)
+    model = {"d": 0.6, "d0": 0.5, "V": words, "parents": [(float(words), c0.sum())]}
+    p0 = hpylm.parent(model, c0, np.minimum(c0, 1), 0)
+    t = hpylm.seat(count, p0[word] * (hpylm.STRENGTH + 0.6 * per(ctx, k)[ctx]), 0.6, rng)
+    c0 = per(word, words, t)
+    t0 = hpylm.seat(c0.astype(int), np.full(words, (hpylm.PARENT_STRENGTH + 0.5 * words) / (words + 1)), 0.5, rng)
+    assert (t >= 1).all() and (t <= count).all() and (t0 <= c0).all()
+    model["parents"].append((t0.sum(), c0.sum()))
+    p0 = hpylm.parent(model, np.append(c0, 0), np.append(t0, 0), 1)  # the last one is unknown
     assert math.isclose(p0.sum(), 1.0, rel_tol=1e-9)
+    tables = per(ctx, k, t)
     for u in range(k):
-        mine = shard.ctx == u
-        p = (hpylm.STRENGTH + 0.6 * tables[u]) * p0
-        np.add.at(p, shard.word[mine], (shard.count - 0.6 * t)[mine])
-        assert math.isclose(p.sum() / (hpylm.STRENGTH + customers[u]), 1.0, rel_tol=1e-9)
+        n, at = np.zeros(words + 1), np.zeros(words + 1)
+        n[word[ctx == u]], at[word[ctx == u]] = count[ctx == u], t[ctx == u]
+        assert math.isclose(hpylm.predictive(model, n, at, customers[u], tables[u], p0).sum(), 1.0, rel_tol=1e-9)
+
+
+@pytest.mark.parametrize("mass,discount", [(0.3, 0.5), (2.0, 0.8), (40.0, 0.2), (500.0, 0.9)])
+def test_groups_are_seated_like_single_customers(mass, discount, monkeypatch):
+    """Tables of 3000 customers: mean and spread as one by one."""
+    count = np.full(4000, 3000)
+    got = hpylm.seat(count, np.full(4000, mass), discount, np.random.default_rng(1))
+    monkeypatch.setattr(hpylm, "EXACT", 3001)
+    want = hpylm.seat(count, np.full(4000, mass), discount, np.random.default_rng(2))
+    error = want.std() / 4000**0.5
+    assert abs(got.mean() - want.mean()) < 5 * error + 0.005 * want.mean()
+    assert abs(got.std() / want.std() - 1) < 0.06

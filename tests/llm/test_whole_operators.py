@@ -1,6 +1,8 @@
 """Operators that do the whole job, against plain models."""
 
+import math
 import zlib
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -32,30 +34,52 @@ def test_contexts_are_not_pooled(spark):
     assert got[f"{u} a"] - got[f"{u} b"] > 1 and got[f"{v} b"] - got[f"{v} a"] > 1
 
 
-def test_totals_per_context_are_exact(spark, tmp_path):
-    """The totals that reducers get are those of all reducers' types in a context."""
-    rng = np.random.default_rng(1)
-    shards = []
-    hashes = np.unique(rng.integers(0, 1 << 63, 5000, dtype=np.uint64) * np.uint64(2))
-    for i in range(3):
-        s = hpylm.Shard([])
-        s.words, s.contexts = np.arange(40, dtype=np.uint64), np.sort(rng.choice(hashes, 3000, replace=False))
-        key = np.unique(rng.integers(0, 40, 9000) << 32 | rng.integers(0, 3000, 9000))
-        s._types(key, rng.integers(1, 9, len(key)))
-        s.store(f"{tmp_path}/types-{i}")
-        shards.append(s)
-    sent = [r for i, s in enumerate(shards) for r in hpylm._send(i, s, 3, [s.contexts, np.bincount(s.ctx, weights=s.count, minlength=3000), np.bincount(s.ctx, minlength=3000)], [1])]
-    kept = [r for b in hpylm._keep(str(tmp_path), 2)(hpylm._add(str(tmp_path), None)([hpylm._batch(*sent)])) for r in hpylm._rows([b])]
-    files = {src: body.decode() for _, src, part, body in kept if part == hpylm.TOTALS}
-    want = {}
-    for s in shards:
-        for c, n in zip(s.contexts[s.ctx].tolist(), s.count.tolist(), strict=True):
-            a, b = want.get(c, (0, 0))
-            want[c] = a + n, b + 1
-    model = {"types": {i: f"{tmp_path}/types-{i}" for i in range(3)}, "totals": [(files, 1.0, 1.0)]}
-    for i in range(3):
-        s, mine = hpylm._loaded(i, model)
-        assert [want.get(c, (0, 0)) for c in s.contexts.tolist()] == list(zip(mine["customers"].astype(int).tolist(), mine["totals"][0][0].astype(int).tolist(), strict=True))
+def plain_model(rows, seating, burn, keep):
+    """Scores of (doc_id, text) rows by the same sweeps over dicts, with a seating that draws nothing."""
+    toks = lambda t: [*(t or "").lower().split(), None]
+    pairs = lambda t: list(zip([None, *toks(t)], toks(t), strict=False))
+    count = defaultdict(int)
+    for d, text in rows:
+        for u, w in pairs(text):
+            count[u, w] += zlib.crc32(str(d).encode()) % 5 != 1
+    total = lambda x, i: {k: sum(v for p, v in x.items() if p[i] == k) for k in {p[i] for p in x}}
+    customers, n_w = total(count, 0), total(count, 1)
+    ones = {p: int(c > 0) for p, c in count.items()}
+    tables, c0 = total(ones, 0), total(ones, 1)
+    t0 = {w: min(c, 1) for w, c in c0.items()}
+    share = lambda x: (lambda a, b: min(max(a / (a + 2 * b), 0.05), 0.95) if a else 0.5)(sum(v == 1 for v in x), sum(v == 2 for v in x))
+    d, d0, v = share(count.values()), share(c0.values()), sum(c > 0 for c in n_w.values())
+    a, a0 = hpylm.STRENGTH, hpylm.PARENT_STRENGTH
+    p0 = lambda w: (c0[w] - d0 * t0[w] + (a0 + d0 * sum(t0.values())) / (v + 1)) / (a0 + sum(c0.values()))
+    one = lambda c, m, dd: float(seating(np.array([c]), np.array([m]), dd, None)[0])
+    p = defaultdict(float)
+    for s in range(burn + keep):
+        t = {(u, w): one(c, p0(w) * (a + d * tables[u]), d) for (u, w), c in count.items()}
+        mass = (a0 + d0 * sum(t0.values())) / (v + 1)
+        tables, c0 = total(t, 0), total(t, 1)
+        t0 = {w: one(int(c), mass, d0) for w, c in c0.items()}
+        for u, w in count:
+            if s >= burn:
+                p[u, w] += (max(count[u, w] - d * t[u, w], 0) + (a + d * tables[u]) * p0(w)) / (a + customers[u]) / keep
+    return [(dd, sum(math.log10(p[x]) for x in pairs(text)), sum(math.log10((n_w[w] + 0.5) / (sum(n_w.values()) + 0.5 * (v + 1))) for _, w in pairs(text))) for dd, text in rows]
+
+
+def test_sweeps_match_a_plain_model(spark):
+    """Blocks, shards, owners and their totals against dicts: a common word and end, unknown words, repeated rows, several sweeps."""
+    rng = np.random.default_rng(5)
+    words = [f"v{i}" for i in range(60)]
+    texts = [" ".join(rng.choice(words[: 3 + k % 58], rng.integers(0, 30))) + (" hot" * (k % 7)) for k in range(150)]
+    rows = [*enumerate(texts), (3, texts[3]), (200, "hot new hot unknown"), (201, None)]
+
+    def seating(count, mass, discount, rng):  # grows with both, at most the customers
+        return np.minimum(count, np.ceil(np.sqrt(count * (0.2 + mass) * (1 + discount)))).astype(float) * (count > 0)
+
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = sorted((r.doc_id, r.score, r.base_score) for r in hpylm.score(df, burn=2, keep=3, seating=seating).collect())
+    want = sorted(plain_model(rows, seating, 2, 3))
+    assert len(got) == len(want)
+    for (d, x, b), (e, y, c) in zip(got, want, strict=True):
+        assert d == e and math.isclose(x, y, rel_tol=1e-9) and math.isclose(b, c, rel_tol=1e-9)
 
 
 def test_many_repositories_make_an_example(spark):

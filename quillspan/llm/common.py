@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _own: list[str] = []
+_settled: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -47,9 +48,23 @@ def settle(df: DataFrame, tag: str) -> DataFrame:
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._settled_at = path
+    _settled.append(path)
     return out
 
 
+@contextlib.contextmanager
+def scratch() -> Iterator[list[DataFrame]]:
+    """Deletes in the end what is settled inside, but for the tables put into the list that it gives."""
+    first, keep = len(_settled), []
+    try:
+        yield keep
+    finally:
+        kept = {t._settled_at for t in keep}
+        discard(*[p for p in _settled[first:] if p not in kept])
+        del _settled[first:]
+        _settled.extend(kept)  # an outer scratch may still delete them
+
+
 def discard(*tables) -> None:
     """Delete settled tables (or paths) that nothing reads any more."""
     for t in tables:

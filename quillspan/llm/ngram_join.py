@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textkernel as tk
-from .common import bound_batches, broadcast_if_small, buckets_for, discard, release, settle, shield, small_batches, unshield
+from .common import bound_batches, broadcast_if_small, buckets_for, discard, release, scratch, settle, shield, small_batches, unshield
 from .components import components
 from .exchange import exchange
 
@@ -347,20 +347,20 @@ def _grouped(rows: DataFrame, meta: DataFrame, width: int, count: bool) -> DataF
     """(sig, label, n_links if counted) of every class: ``label`` names its component."""
     spark = rows.sparkSession
     n = buckets_for(rows, "text")
-    found = settle(_found(rows, width, n), "join-found")
-    release(spark)  # the postings
-    records = settle(found.groupBy("sig").agg(*[F.first(c).alias(c) for c in ("grp", "n", "own", "prefix", "items")]), "join-records")
-    discard(found)
-    del found
-    labels = links(records)
-    release(spark)  # the pairs
-    classes = meta.filter("sig is not null").select("sig").distinct()
-    classes = classes.join(labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn("label", F.coalesce("label", "sig"))
-    if count:
-        classes = classes.join(settle(count_links(records, labels), "join-counted"), "sig", "left")
-    classes = settle(classes, "join-labelled")
-    discard(records, labels)
-    return classes
+    with scratch() as keep:
+        found = settle(_found(rows, width, n), "join-found")
+        release(spark)  # the postings
+        records = settle(found.groupBy("sig").agg(*[F.first(c).alias(c) for c in ("grp", "n", "own", "prefix", "items")]), "join-records")
+        discard(found)
+        del found
+        labels = links(records)
+        release(spark)  # the pairs
+        classes = meta.filter("sig is not null").select("sig").distinct()
+        classes = classes.join(labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn("label", F.coalesce("label", "sig"))
+        if count:
+            classes = classes.join(settle(count_links(records, labels), "join-counted"), "sig", "left")
+        keep.append(settle(classes, "join-labelled"))
+        return keep[0]
 
 
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, count: bool = False) -> DataFrame:

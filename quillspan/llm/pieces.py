@@ -12,14 +12,15 @@ in lockstep: the trie is walked for all units at once, byte by byte.
 Decoding maps markers to spaces, drops the dummy prefix and joins byte pieces; bytes that are no
 UTF-8 become U+FFFD.
 
-Defined cases: null and empty texts have no ids; very long texts are coded whole, slice by slice in
-a batch; empty tables give empty results.
+Defined cases: null and empty texts have no ids; very long texts are coded whole, and so are very long
+units (a text without a space), which are solved by themselves; empty tables give empty results.
 """
 
 from __future__ import annotations
 
 import struct
 import zlib
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,6 +33,7 @@ from .common import append_columns
 from .units import CachedEncoder, tile
 
 MARK = "▁".encode()
+ALONE = 20_000  # bytes beyond which a unit is solved by itself
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
 
@@ -82,6 +84,12 @@ class Pieces:
     least: float
     key: str
 
+    def lists(self) -> tuple[list, list, list, list]:
+        """The trie and the scores as plain lists."""
+        if "plain" not in self.__dict__:
+            self.plain = tuple(x.tolist() for x in (self.base, self.check, self.leaf, self.scores))
+        return self.plain
+
 
 def load(path: str) -> Pieces:
     """Read a .model file."""
@@ -185,8 +193,12 @@ def viterbi(m: Pieces, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -
     out: list = [None] * len(starts)
     at = 0
     while at < len(order):  # units of like length, in matrices of a bounded size
+        if lengths[order[at]] > ALONE:
+            for i in order[at:].tolist():
+                out[i] = _alone(m, data[starts[i] : ends[i]])
+            break
         top = max(int(lengths[order[at]]) * 3 // 2, 16)
-        to = min(int(np.searchsorted(lengths[order], top, "right")), at + max(1, 1_000_000 // top))
+        to = min(int(np.searchsorted(lengths[order], min(top, ALONE), "right")), at + max(1, 1_000_000 // top))
         which = order[at : max(to, at + 1)]
         for i, ids in zip(which.tolist(), _lockstep(m, data, starts[which], lengths[which]), strict=True):
             out[i] = ids
@@ -194,6 +206,43 @@ def viterbi(m: Pieces, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -
     return np.concatenate(out).astype(np.int32) if out else np.zeros(0, np.int32), np.array([len(x) for x in out], np.int64)
 
 
+def _alone(m: Pieces, text: np.ndarray) -> list[int]:
+    """The ids of one long unit: the same sums and choices, character by character, in memory of a few numbers a byte."""
+    base, check, leaf, scores = m.lists()
+    codes, lead, n = text.tolist(), np.append(tk.IS_CHAR[text], True).tolist(), len(text)
+    best, from_at, by = [-float("inf")] * (n + 1), array("i", bytes(4 * (n + 1))), array("i", bytes(4 * (n + 1)))
+    best[0] = 0.0
+    low = -float("inf")
+    for i in range(n):
+        here = best[i]
+        if not lead[i] or here == low:
+            continue
+        end = i + 1
+        while not lead[end]:
+            end += 1
+        state, single, j = 0, False, i
+        while j < n:
+            t = base[state] + codes[j] + 1
+            if check[t] != state:
+                break
+            state = t
+            j += 1
+            w = leaf[t]
+            if w >= 0:
+                single = single or j == end
+                score = here + scores[w]
+                if score > best[j]:
+                    best[j], from_at[j], by[j] = score, i, w
+        if not single and here + m.least > best[end]:
+            best[end], from_at[end], by[end] = here + m.least, i, -1
+    back, j = [], n
+    while j:
+        i, w = from_at[j], by[j]
+        back.append([w] if w >= 0 else m.byte_ids[text[i:j]].tolist() if m.byte_ids[0] >= 0 else [m.unknown])
+        j = i
+    return [x for part in reversed(back) for x in part]
+
+
 def _lockstep(m: Pieces, data, starts, lengths) -> list:
     n, most = len(starts), int(lengths.max())
     text = np.zeros((n, most), np.uint8)
@@ -395,5 +444,5 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The ids of every document that the mix takes."""
-    return encode(docs.select("doc_id", "text", "lang", "source"), _model(), keep=["doc_id", "lang", "source"])
+    """The ids of every document that the mix takes, with its other columns but the text."""
+    return encode(docs, _model(), keep=[c for c in docs.columns if c != "text"])

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textkernel as tk
-from .common import append_columns, settle, shield, unshield
+from .common import append_columns, scratch, settle, shield, unshield
 
 SYMBOLS = b"#*$%&|<>"
 _IS_SYMBOL = np.zeros(256, bool)
@@ -248,12 +248,14 @@ def fit(docs: DataFrame, lang: str = "lang", source: str = "source", text: str =
     the chi-square distribution, so one cutoff holds for all groups.
     """
     two = docs.select(F.col(f"`{lang}`").alias("q_lang"), F.col(f"`{source}`").alias("q_source"), F.col(f"`{text}`").alias("q_text"))
-    rows = with_statistics(two, "q_text", ["q_lang", "q_source"]).withColumn("failed", base_failed())
-    rows = settle(rows.select("q_lang", "q_source", "failed", _g0().alias("g0"), *[c.alias(f"x{i}") for i, c in enumerate(vector())]), "mcd-rows")
-    of = settle(_grouped(rows, least), "mcd-groups")
-    keyed = rows.filter("not failed").join(of.select("g0", "into"), "g0").withColumn("grp", F.explode("into")).drop("into")
-    best = estimates(keyed, h, steps).groupBy("grp").agg(F.min_by(F.struct("mu", "prec", "logdet", "start", "scale"), F.struct("logdet", "start")).alias("best"))
-    return settle(of.join(best, "grp").select("g0", "grp", "best.*"), "mcd-fit")
+    with scratch() as keep:
+        rows = with_statistics(two, "q_text", ["q_lang", "q_source"]).withColumn("failed", base_failed())
+        rows = settle(rows.select("q_lang", "q_source", "failed", _g0().alias("g0"), *[c.alias(f"x{i}") for i, c in enumerate(vector())]), "mcd-rows")
+        of = settle(_grouped(rows, least), "mcd-groups")
+        keyed = rows.filter("not failed").join(of.select("g0", "into"), "g0").withColumn("grp", F.explode("into")).drop("into")
+        best = estimates(keyed, h, steps).groupBy("grp").agg(F.min_by(F.struct("mu", "prec", "logdet", "start", "scale"), F.struct("logdet", "start")).alias("best"))
+        keep.append(settle(of.join(best, "grp").select("g0", "grp", "best.*"), "mcd-fit"))
+        return keep[0]
 
 
 def judge(docs: DataFrame, model: DataFrame, lang: str = "lang", source: str = "source", text: str = "text", keep: list[str] | None = None, z_cut: float = 3.5) -> DataFrame:

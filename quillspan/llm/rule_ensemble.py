@@ -6,7 +6,8 @@ statistics; what keeps a weight is compiled into one Spark column expression. Sc
 JVM-side over statistics that a vectorised pass adds to each row.
 
 The fit takes a sample of ``MAX_ROWS`` labelled rows at most, those with the smallest hashes of
-their id (the documented bound); labels meet texts by an equi-join. Scores cover all documents.
+their id (the documented bound, which also holds where documents repeat an id); labels meet texts by an
+equi-join. Scores cover all documents.
 
 Defined cases: null text is the empty text and gets a score like any other; rows without a label
 only get scores; repeated labels of a document count each; without labels of both kinds the score
@@ -189,8 +190,9 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     known = labels.filter(F.col(label).isNotNull() & F.col(doc_id).isNotNull() & (crc_mod(F.col(doc_id), 4) != 2))
     known = known.select(F.col(doc_id).alias("lab_id"), F.col(label).cast("int").alias("lab"))
     sample = known.orderBy(F.xxhash64("lab_id"), "lab_id", "lab").limit(max_rows)
-    rows = docs.select(F.col(f"`{doc_id}`").alias("lab_doc"), F.col(f"`{text}`").alias("lab_text")).join(F.broadcast(sample), F.col("lab_doc") == F.col("lab_id"))
-    got = with_features(rows, "lab_text", ["lab_id", "lab"]).toPandas()
+    rows = docs.select(F.col(f"`{doc_id}`").alias("lab_doc"), F.col(f"`{text}`").alias("lab_text")).join(F.broadcast(sample), F.col("lab_doc") == F.col("lab_id"))  # ``max_rows`` numbers
+    known = with_features(rows, "lab_text", ["lab_id", "lab"])
+    got = known.orderBy(F.xxhash64("lab_id"), "lab_id", "lab", *[f"st_{c}" for c in STATS]).limit(max_rows).toPandas()  # documents may repeat an id
     got = got.sort_values(["lab_id", "lab"] + [f"st_{c}" for c in STATS], kind="stable")
     return fit(got[[f"st_{c}" for c in STATS]].to_numpy(float), got["lab"].to_numpy(float))
 

@@ -170,13 +170,12 @@ def op6_secret_scans(spark, sf_dir: str) -> DataFrame:
 def stage_secret_scans(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents; in their texts, each span that looks live is replaced by a mark of its kind.
 
-    Rows without a candidate are passed on as they are read; only those with one are settled,
-    counted and masked.
+    Texts are scanned once; only rows with a candidate are counted, joined and masked.
     """
     shielded, name = shield(docs)
     rows = candidates(shielded, name["text"], name["source"], name["lang"], shielded.columns)
-    clean = rows.filter(F.size("sec_spans") == 0)
-    found = settle(rows.filter(F.size("sec_spans") > 0).withColumn("sec_row", F.monotonically_increasing_id()), "secrets")
+    rows = settle(rows.withColumn("sec_row", F.monotonically_increasing_id()), "secrets")
+    clean, found = rows.filter(F.size("sec_spans") == 0), rows.filter(F.size("sec_spans") > 0)
     some = judged(found.withColumn("sec_id", F.col("sec_row")), ["sec_id"]).select("sec_id", F.filter("sec_judged", lambda s: s["live"]).alias("sec_live"))
     masked = found.join(some, F.col("sec_row") == F.col("sec_id")).withColumn(name["text"], _masked(F.col(name["text"]), F.col("sec_live")))
     return unshield(clean, docs).unionByName(unshield(masked, docs))

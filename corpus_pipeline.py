@@ -28,5 +28,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply all stages to ``documents``; each result is written as Parquet and reread."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = common.settle(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with common.scratch() as keep:  # what a stage and the one before left goes once its result is written
+            before, docs = docs, common.settle(stage(spark, docs, sf_dir), f"pipeline-{name}")
+            keep.append(docs)
+        common.discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -8,8 +8,8 @@ probabilities are averaged over the sweeps after burn-in.
 
 All counts are of whole texts and of all training documents. A block of texts keeps its tokens in a
 file of its own, as numbers of its types (word after context), and sends each type once, with its
-training count, to the shard of the type's hash: so a word or context that a third of all documents
-hold is spread over all shards, and a block counts before it sends. A shard holds its types' counts
+training count. Shards are a grid of ranges of words' and of contexts' hashes: a word or context that a
+third of all documents hold is spread over a row of the grid, and a block counts before it sends. A shard holds its types' counts
 and seating. What restaurants and dishes have in all shards is added up by owners, spread by the
 hashes of contexts and words: after each sweep a shard sends one number for each context and word it
 holds, the owners add, reseat the parent's dishes and answer. Every sweep reads the types and the
@@ -24,6 +24,7 @@ the unknown token alone (score 0); empty tables give empty results.
 
 from __future__ import annotations
 
+import math
 import uuid
 import zlib
 from collections.abc import Callable
@@ -106,6 +107,7 @@ def _blocks(rows: DataFrame, n: int, base: str) -> DataFrame:
     The file has, in the order of the block's tokens, the numbers of their types; for each type
     whether its word is another than that of the type before; and its documents.
     """
+    across = max(1, math.isqrt(n))  # shards are a grid of ranges of words and of contexts
 
     def run(batches):
         part, seq = TaskContext.get().partitionId(), 0
@@ -124,7 +126,7 @@ def _blocks(rows: DataFrame, n: int, base: str) -> DataFrame:
             code, of = np.unique(w * len(words) + c, return_inverse=True)
             count = np.bincount(of, weights=~np.repeat(out, sizes), minlength=len(code)).astype(np.int64)
             w, c = code // len(words), code % len(words)
-            shard = tk.range_of(tk.mix(words[w] * tk._MULT[0] + words[c] * tk._MULT[1]), n)
+            shard = tk.range_of(words[w], across) * (n // across) + tk.range_of(words[c], n // across)
             order = np.argsort(shard, kind="stable")  # by shard, word and context
             w, c, count, shard = w[order], c[order], count[order], shard[order]
             place = np.empty_like(order)
@@ -295,7 +297,9 @@ def _gather(n: int, base: str):
         count = np.bincount(of, weights=np.concatenate([p[5] for p in parts])).astype(np.int64)
         name = uuid.uuid4().hex
         _publish(f"{base}/types-{src}-{name}", words, contexts, key, count)
-        _publish(f"{base}/index-{src}-{name}", np.array([p[0] for p in parts]), np.array([len(k) for k in keys]), of, np.array([len(w) for w in at]), np.concatenate(at))
+        steps = lambda x, sizes: np.concatenate([np.diff(y, prepend=0) for y in np.split(x, np.cumsum(sizes)[:-1])])  # noqa: E731  (a block's numbers ascend)
+        n_types, n_words = [len(k) for k in keys], [len(w) for w in at]
+        _publish(f"{base}/index-{src}-{name}", np.array([p[0] for p in parts]), np.array(n_types), steps(of, n_types), np.array(n_words), steps(np.concatenate(at), n_words))
         yield _batch((src, src, TYPES, f"{base}/types-{src}-{name}".encode()), (src, src, INDEX, f"{base}/index-{src}-{name}".encode()))
         del parts, keys, of, at
         word, ctx, seen = key >> 32, key & 0xFFFFFFFF, count > 0
@@ -421,7 +425,7 @@ def _answers(model: dict, sweeps: int, burn: int, seating: Callable):
                 blocks, n_types, of, n_words, word = _fetch(index)
                 x = y = 0
                 for block, m, k in zip(blocks.tolist(), n_types.tolist(), n_words.tolist(), strict=True):
-                    body = _body([log[of[x : x + m]].view(np.uint64)], [shard.word_count[word[y : y + k]]])
+                    body = _body([log[np.cumsum(of[x : x + m])].view(np.uint64)], [shard.word_count[np.cumsum(word[y : y + k])]])
                     yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([src], pa.int64()), pa.array([0], pa.int32()), pa.array([body], pa.binary())], names=["block", "src", "kind", "body"])
                     x, y = x + m, y + k
 

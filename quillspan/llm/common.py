@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import contextlib
 import ctypes
+import functools
 import gc
 import operator
 import shutil
@@ -186,6 +187,17 @@ def trim() -> None:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
+def tidy(run):
+    """``run`` over batches, and then ``trim``."""
+
+    @functools.wraps(run)
+    def out(batches):
+        yield from run(batches)
+        trim()
+
+    return out
+
+
 def small_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20, rows: int = 20_000) -> Iterator[pa.RecordBatch]:
     """Slice Arrow batches so that ``column`` holds about ``limit`` bytes at most (one row at least), and to ``rows`` rows."""
     import numpy as np

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textkernel as tk
-from .common import bound_batches, buckets_for, fetch, fresh, publish, release, settle, small_batches
+from .common import bound_batches, buckets_for, fetch, fresh, publish, release, settle, small_batches, tidy
 from .exchange import exchange
 from .ngram_join import _from_planes, _planes, at_home
 
@@ -383,8 +383,8 @@ def _exchanged(sent: DataFrame, places: DataFrame | None, n: int, base: str, mod
     """(sums of the tasks' numbers, table of the files' names) after the owners have answered ``sent``."""
     if places is not None:
         sent = sent.unionByName(places)
-    added = exchange(sent, n, "bucket").mapInArrow(_add(base, model, s, seating), _SENT)
-    names = settle(exchange(added, n, "bucket").mapInArrow(_keep(base, (2, 3) if model is None else (1, 2)), _SENT), "lm-names")
+    added = exchange(sent, n, "bucket").mapInArrow(tidy(_add(base, model, s, seating)), _SENT)
+    names = settle(exchange(added, n, "bucket").mapInArrow(tidy(_keep(base, (2, 3) if model is None else (1, 2))), _SENT), "lm-names")
     numbers = F.split(F.col("body").cast("string"), ",")
     sums = names.filter(F.col("part") == NUMBERS).agg(*[F.sum(numbers[k].cast("bigint")) for k in range(8)]).first()
     return [int(x or 0) for x in sums], names
@@ -444,7 +444,8 @@ def _documents(model: dict):
                     files[block] = bytes(body).decode()
                 else:
                     answers.setdefault(block, []).append((src, body))
-        for block, path in files.items():
+        for block in list(files):
+            path = files.pop(block)
             of, opens, sizes, ids, known_id, out = _fetch(path)
             parts = [_groups(body, (1, 1)) for _, body in sorted(answers.pop(block), key=lambda x: x[0])]
             log = np.concatenate([p[0][0] for p in parts]).view(np.float64)
@@ -466,7 +467,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", burn: int
     bound_batches(spark)
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     n, base = buckets_for(rows, "text"), fresh(spark, "lm")
-    sent = exchange(_blocks(rows, n, base), n, "bucket").mapInArrow(_gather(n, base), _SENT)
+    sent = exchange(_blocks(rows, n, base), n, "bucket").mapInArrow(tidy(_gather(n, base)), _SENT)
     (n1, n2, m1, m2, n_tokens, vocabulary, tables, customers), names = _exchanged(sent, None, n, base, None, 0, seating)
     del sent
     release(spark)  # the types that were exchanged
@@ -479,15 +480,15 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", burn: int
     for s in range(1, burn + keep + 1):
         columns = ["totals0"] + [f"totals{s - 1}"] * (s > 1)
         dealt = exchange(shards.select(F.col("src").cast("int").alias("bucket"), "types", *columns), n, "bucket")
-        swept = dealt.mapInArrow(_sweep({**model, "parents": list(model["parents"])}, s, n, seating), _SENT)
+        swept = dealt.mapInArrow(tidy(_sweep({**model, "parents": list(model["parents"])}, s, n, seating)), _SENT)
         got, names = _exchanged(swept, places, n, base, {**model, "parents": list(model["parents"])}, s, seating)
         model["parents"].append((float(got[6]), float(got[7])))
         shards = settle(shards.join(_named(names, TOTALS, f"totals{s}"), "src"), "lm-shards")
         del dealt, swept
         release(spark)  # the sums that were exchanged
     dealt = exchange(shards.select(F.col("src").cast("int").alias("bucket"), "types", "index", *[f"totals{s}" for s in range(burn + keep + 1)]), n, "bucket")
-    answers = dealt.mapInArrow(_answers(model, burn + keep, burn, seating), "block bigint, src bigint, kind int, body binary")
-    return exchange(at_home(answers.unionByName(blocks), n), n, "home").mapInArrow(_documents(model), _OUT)
+    answers = dealt.mapInArrow(tidy(_answers(model, burn + keep, burn, seating)), "block bigint, src bigint, kind int, body binary")
+    return exchange(at_home(answers.unionByName(blocks), n), n, "home").mapInArrow(tidy(_documents(model)), _OUT)
 
 
 def op7_hpylm(spark: SparkSession, sf_dir: str) -> DataFrame:

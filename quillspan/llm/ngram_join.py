@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textkernel as tk
-from .common import bound_batches, broadcast_if_small, buckets_for, discard, release, scratch, settle, shield, small_batches, unshield
+from .common import bound_batches, broadcast_if_small, buckets_for, discard, release, scratch, settle, shield, small_batches, tidy, unshield
 from .components import components
 from .exchange import exchange
 
@@ -207,7 +207,7 @@ def _verify(pairs: DataFrame, records: DataFrame) -> DataFrame:
                 keep.append(DEN * same >= NUM * (na + nb - same))
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.join(left, "a").join(right, "b").mapInArrow(run, "a binary, b binary")
+    return pairs.join(left, "a").join(right, "b").mapInArrow(tidy(run), "a binary, b binary")
 
 
 def _fits(nx: Column, px: Column, ny: Column, py: Column) -> Column:
@@ -296,7 +296,7 @@ def count_links(records: DataFrame, labels: DataFrame, chunk: int = 512 << 10) -
     dealt = each.select("label", F.explode(F.concat(mine, above, below)).alias("to"), "sig", "n", "items").select("label", "to.*", "sig", "n", "items")
     keys = ["label", "band", "kind", "i", "j"]
     dealt = dealt.repartition(*keys).sortWithinPartitions(*keys)
-    return dealt.mapInArrow(_count_links, "sig binary, n_links bigint").groupBy("sig").agg(F.sum("n_links").alias("n_links"))
+    return dealt.mapInArrow(tidy(_count_links), "sig binary, n_links bigint").groupBy("sig").agg(F.sum("n_links").alias("n_links"))
 
 
 def links(records: DataFrame) -> DataFrame:
@@ -333,14 +333,14 @@ def links(records: DataFrame) -> DataFrame:
 
 
 def at_home(answers: DataFrame, n: int) -> DataFrame:
-    """Answers with the partition ``home`` of their block, one of ``n``."""
-    return answers.withColumn("home", F.expr(f"pmod(xxhash64(block), {n})").cast("int"))
+    """Answers with the partition ``home`` of their block, one of ``n``: first blocks of tasks go round."""
+    return answers.withColumn("home", F.expr(f"pmod(shiftright(block, 32) + (block & 4294967295) * 7919, {n})").cast("int"))
 
 
 def _found(rows: DataFrame, width: int, n: int) -> DataFrame:
     """Classes that can have partners, by way of the packed postings."""
     posted = exchange(_postings(rows, width, n), n, "bucket")
-    return exchange(at_home(posted.mapInArrow(_count, "block bigint, kind int, body binary"), n), n, "home").mapInArrow(_assemble, _RECORD)
+    return exchange(at_home(posted.mapInArrow(tidy(_count), "block bigint, kind int, body binary"), n), n, "home").mapInArrow(tidy(_assemble), _RECORD)
 
 
 def _grouped(rows: DataFrame, meta: DataFrame, width: int, count: bool) -> DataFrame:

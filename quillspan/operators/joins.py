@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import lookups as lk
 
+_SIDE = 256
+
 
 def aligned_pairs(hits: DataFrame, query: str = "query", template: str = "template", q_start: str = "q_start", t_start: str = "t_start") -> DataFrame:
     """(columns of ``hits``, q, t) of columns where both gapped strings have a residue; none for unequal lengths."""
@@ -83,11 +89,62 @@ def contacts(errors: DataFrame, sse: DataFrame, apart: int = 10, below: float =
     return ends.groupBy("protein", "resid").agg(F.count(F.lit(1)).alias("contacts"))
 
 
-def pair_scores(hits: DataFrame, residues: str, score: str) -> DataFrame:
-    """(protein, r1, r2, best, n) over hits that hold both residues. Only the two sums that are needed are kept, never lists."""
-    pairs = hits.select("protein", score, F.explode(residues).alias("r1"), F.col(residues).alias("rest"))
-    pairs = pairs.select("protein", score, "r1", F.explode(F.filter("rest", lambda x: x > F.col("r1"))).alias("r2"))
-    return pairs.groupBy("protein", "r1", "r2").agg(F.max(score).alias("best"), F.count(F.lit(1)).alias("n"))
+def pair_scores(hits: DataFrame, residues: str, score: str, share: int = 200_000) -> DataFrame:
+    """(protein, r1, r2, best, n) over hits that hold both residues, r1 < r2.
+
+    A hit of k residues is k * (k - 1) / 2 pairs, so hits meet before they become pairs: a task adds the
+    hits of a protein up in triangles of numbers, by blocks of 256 residues, and gives a row for each
+    r1 of a block. A protein's hits are dealt to a task for every ``share`` of them; what those tasks
+    give meets in an aggregation.
+    """
+    kind = hits.schema["protein"].dataType.simpleString()
+    size = hits.groupBy("protein").agg(F.ceil(F.count(F.lit(1)) / share).cast("int").alias("parts"))
+    rows = hits.select("protein", F.array_sort(F.array_distinct(residues)).alias("res"), F.col(score).cast("double").alias("score")).join(size, "protein")
+    rows = rows.withColumn("part", F.expr("pmod(xxhash64(res, score), parts)").cast("int"))
+    rows = rows.repartition("protein", "part").sortWithinPartitions("protein", "part").select("protein", "part", "res", "score")
+    out = "protein " + kind + ", r1 int, r2 array<int>, best array<double>, n array<bigint>"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, blocks, protein = None, {}, pa.null()
+
+        def done() -> Iterator[pa.RecordBatch]:
+            for (i, j), (best, n) in sorted(blocks.items()):
+                some = np.flatnonzero(n.any(axis=1))
+                held = [np.flatnonzero(n[k]) for k in some]
+                lists = lambda values, t: pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, held)]), pa.int32()), pa.array(np.concatenate(values), t))  # noqa: B023, E731
+                if len(some):
+                    columns = [pa.array([now[0]] * len(some), protein), pa.array(some + i * _SIDE, pa.int32()), lists([k + j * _SIDE for k in held], pa.int32())]
+                    columns += [lists([x[k, h] for k, h in zip(some, held, strict=True)], t) for x, t in ((best, pa.float64()), (n, pa.int64()))]
+                    yield pa.RecordBatch.from_arrays(columns, names=["protein", "r1", "r2", "best", "n"])
+            blocks.clear()
+
+        for b in batches:
+            protein = b.schema.types[0]
+            lists = b.column("res")
+            values, at = lists.flatten().to_numpy(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+            for k, (key, part, s) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(3).to_pylist(), strict=True)):
+                if (key, part) != now:
+                    yield from done()
+                    now = key, part
+                res = values[at[k] : at[k + 1]]
+                edges = np.append(np.flatnonzero(np.diff(res // _SIDE, prepend=-1)), len(res))
+                pieces = [(int(res[x]) // _SIDE, res[x:y] % _SIDE) for x, y in zip(edges[:-1], edges[1:], strict=True)]
+                for x, (i, r) in enumerate(pieces):
+                    for j, q in pieces[x:]:
+                        if (i, j) not in blocks:
+                            blocks[i, j] = (np.full((_SIDE, _SIDE), -np.inf), np.zeros((_SIDE, _SIDE), np.int64))
+                        best, n = blocks[i, j]
+                        rows_, cols = (r, q) if len(r) and (r[-1] - r[0] + 1 > len(r) or q[-1] - q[0] + 1 > len(q)) else (slice(r[0], r[-1] + 1), slice(q[0], q[-1] + 1))
+                        where = np.ix_(rows_, cols) if not isinstance(rows_, slice) else (rows_, cols)
+                        above = np.triu(np.ones((len(r), len(q)), bool), 1) if i == j and isinstance(rows_, slice) and rows_ == cols else np.less.outer(r, q) if i == j else None
+                        if s is None:  # it counts, without a score
+                            s = np.nan
+                        best[where] = np.fmax(best[where], s) if above is None else np.where(above, np.fmax(best[where], s), best[where])
+                        n[where] += 1 if above is None else above
+        yield from done()
+
+    got = rows.mapInArrow(run, out).select("protein", "r1", F.explode(F.arrays_zip("r2", "best", "n")).alias("x")).select("protein", "r1", "x.r2", "x.best", "x.n")
+    return got.groupBy("protein", "r1", "r2").agg(F.max(F.when(F.col("best") > float("-inf"), F.col("best"))).alias("best"), F.sum("n").alias("n"))
 
 
 def nearest_atoms(atoms: DataFrame) -> DataFrame:

@@ -134,17 +134,21 @@ def structure_hits(hits: DataFrame) -> DataFrame:
     (file, hit_no, hit, z, n, qlen, tlen, rotation, translation, pairs); hits without pairs go. A
     block is parsed in its row.
     """
-    rows = hits.withColumn("ls", F.filter(F.transform(F.split("block", "\r?\n"), lambda x: F.split(F.trim(x), r"\s+")), lambda t: t[0] != ""))
-    rows = rows.filter(F.size("ls") > 0).withColumn("head", F.col("ls")[0]).withColumn("body", F.expr("slice(ls, 2, greatest(size(ls) - 1, 0))"))
-    tag = lambda t, k: F.lower(t[0]).startswith(k)
-    join = lambda t: F.array_join(F.slice(t, 2, 100), ",")
-    pairs = F.transform(F.filter("body", lambda t: ~tag(t, "rotation") & ~tag(t, "trans")), lambda t: F.struct(t[0].cast("int").alias("q"), t[1].cast("int").alias("t")))
+    cut = F.instr("block", "\n")
+    rows = hits.withColumn("head", F.split(F.trim(F.regexp_replace(F.when(cut > 0, F.expr("left(block, instr(block, '\\n') - 1)")).otherwise(F.col("block")), "\r", "")), r"[ \t]+"))
+    rows = rows.withColumn("body", F.when(cut > 0, F.expr("substring(block, instr(block, '\\n') + 1)")).otherwise("")).filter("head[0] <> ''")
+    every = lambda pattern, group: F.regexp_extract_all("body", F.lit(rf"(?m)^[ \t]*{pattern}[ \t]*$"), group)
+    pair = r"(-?\d+)[ \t]+(-?\d+)(?:[ \t][^\r\n]*)?"
+    named = lambda word: F.transform(every(rf"(?i:{word})\S*[ \t]*([^\r\n]*)", 1), lambda x: F.regexp_replace(F.trim(x), r"[ \t]+", ","))
+    rows = rows.select("file", "hit_no", "head", F.regexp_count("body", F.lit(r"(?m)^.*\S.*$")).alias("m"), every(pair, 1).cast("array<int>").alias("q"), every(pair, 2).cast("array<int>").alias("t"), named("rotation").alias("rotation"), named("trans").alias("moved"))
+    known = F.size("q") + F.size("rotation") + F.size("moved")
+    ok = F.when(F.col("m") != known, F.raise_error(F.lit("a row of a hit is no pair of numbers")).cast("boolean")).otherwise(True)
     head = lambda i, kind: F.get("head", F.lit(i)).cast(kind)
-    out = rows.select(
+    out = rows.filter(ok).filter(F.size("q") > 0)
+    return out.select(
         "file", "hit_no", head(0, "string").alias("hit"), head(1, "double").alias("z"), *[head(i, "int").alias(c) for i, c in ((2, "n"), (3, "qlen"), (4, "tlen"))],
-        F.transform(F.filter("body", lambda t: tag(t, "rotation")), join).alias("rotation"), F.get(F.transform(F.filter("body", lambda t: tag(t, "trans")), join), F.lit(0)).alias("translation"), pairs.alias("pairs"),
+        "rotation", F.get("moved", F.lit(0)).alias("translation"), F.arrays_zip("q", "t").alias("pairs"),
     )
-    return out.filter(F.size("pairs") > 0)
 
 
 def simple_hits(hits: DataFrame) -> DataFrame:

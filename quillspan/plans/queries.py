@@ -650,6 +650,20 @@ def mlp(spark, sf):
     return ml.mlp(li, _MX, _W).select(*_LINE.split(", "), F.round("prob", 4).alias("prob"))
 
 
+_W13 = ml.synthetic_weights(13, 64)
+_X13 = [f"CAST(CAST((l_orderkey * {3 + 2 * i} + l_partkey * {i + 1} + l_linenumber) % 17 / 16.0 AS FLOAT) AS DOUBLE)" for i in range(13)]
+_H13 = ["greatest(" + " + ".join([repr(float(_W13["b1"][j]))] + [f"CAST({repr(float(_W13['w1'][i][j]))} AS DOUBLE) * x{i}" for i in range(13)]) + ", CAST(0 AS DOUBLE))" for j in range(64)]
+_O13 = [" + ".join([repr(float(_W13["b2"][k]))] + [f"CAST({repr(float(_W13['w2'][j][k]))} AS DOUBLE) * h{j}" for j in range(64)]) for k in range(2)]
+
+
+@query("mlp_full", f"SELECT {_LINE}, round(1 / (1 + exp(({_O13[0]}) - ({_O13[1]}))), 4) AS prob FROM (SELECT *, " + ", ".join(f"{h} AS h{j}" for j, h in enumerate(_H13)) + f" FROM (SELECT {_LINE}, " + ", ".join(f"{x} AS x{i}" for i, x in enumerate(_X13)) + " FROM lineitem))")
+def mlp_full(spark, sf):
+    """The network of 13 features, 64 hidden units and two classes."""
+    feature = lambda i: ((F.col("l_orderkey") * (3 + 2 * i) + F.col("l_partkey") * (i + 1) + F.col("l_linenumber")) % 17 / 16.0).alias(f"x{i}")
+    li = spark.read.parquet(f"{sf}/lineitem.parquet").select(*_LINE.split(", "), *map(feature, range(13)))
+    return ml.mlp(li, [f"x{i}" for i in range(13)], _W13).select(*_LINE.split(", "), F.round("prob", 4).alias("prob"))
+
+
 @query("quality_of_group", f"SELECT protein, CASE WHEN bool_or(quality = 'good') THEN 'good' WHEN bool_or(quality = 'ok') THEN 'ok' ELSE 'bad' END AS quality FROM ({ORACLES['confident']}) GROUP BY protein")
 def quality_of_group(spark, sf):
     return confident(spark, sf).groupBy("protein").agg(lk.best_label(F.collect_set("quality")).alias("quality"))

@@ -296,3 +296,41 @@ def log_lines(spark, sf):
     return state.durations(state.logs(e.select(value.alias("value"))))
 
 
+
+
+_EVERY = " UNION ALL ".join(
+    f"SELECT '{name}' AS name, CAST(line_no AS BIGINT) AS line_no, value FROM (VALUES " + (f"(0, '{header}" + "' || chr(9) || '".join(c for c, _ in columns) + "'), " if header is not None else "") + ", ".join(f"({k}, " + " || chr(9) || ".join("'x'" if d is None else f"format('{{:.{d}f}}', {k} / CAST(7 AS DOUBLE))" for _, d in columns) + ")" for k in (1, 2)) + ") v(line_no, value)"
+    for name, (columns, header) in sinks.LAYOUTS.items()
+)
+
+
+@query("every_layout", _EVERY)
+def every_layout(spark, sf):
+    """Two rows in each layout, with its header if it has one."""
+    two = spark.range(1, 3)
+    out = None
+    for name, (columns, _) in sinks.LAYOUTS.items():
+        rows = two.select(F.lit(name).alias("file"), "id", *[(F.lit("x") if d is None else F.col("id") / 7).alias(c) for c, d in columns])
+        lines = sinks.relation_lines(rows, name, order=["id"]).withColumnRenamed("file", "name")
+        out = lines if out is None else out.unionByName(lines)
+    return out
+
+
+@query("protein_ids", "SELECT DISTINCT 'Q' || (c_custkey % 97) AS protein FROM customer WHERE c_custkey % 5 <> 0")
+def protein_ids(spark, sf):
+    """Ids of structure and error files; other files do not count."""
+    k = F.col("c_custkey")
+    name = F.concat(F.lit("Q"), (k % 97).cast("string"))
+    files = F.when(k % 5 == 0, F.concat(name, F.lit(".txt"))).when(k % 5 == 1, F.concat(F.lit("AF-"), name, F.lit("-F1-model_v4.cif"))).when(k % 5 == 2, F.concat(name, F.lit(".json"))).otherwise(F.concat(name, F.lit(".pdb")))
+    return parsers.protein_ids(read(spark, sf, "customer").select(files.alias("file")))
+
+
+@query("template_cache", f"SELECT p_partkey AS template, p_size AS size FROM part WHERE p_partkey IN (SELECT template FROM {H} WHERE z >= 8)")
+def template_cache(spark, sf):
+    """The rows of templates that any protein needs, written once and read twice."""
+    from . import stages
+
+    part = read(spark, sf, "part").select(F.col("p_partkey").alias("template"), F.col("p_size").alias("size"))
+    tables, path = {"candidates": hits(spark, sf).filter("z >= 8").select("protein", "template")}, shared.fresh(spark, "templates")
+    stages.template_cache(tables, part, path)
+    return stages.template_cache(tables, part, path)

@@ -95,6 +95,13 @@ def unique_templates(t: Tables, p: Params = DEFAULT) -> DataFrame:
     return t["candidates"].select("template").distinct()
 
 
+def template_cache(t: Tables, rows: DataFrame, path: str) -> DataFrame:
+    """``rows`` (keyed by template) of the templates that any protein needs, written once for all proteins and read from there."""
+    if not exists(rows.sparkSession, f"{path}/_SUCCESS"):
+        rows.join(unique_templates(t), "template", "left_semi").write.mode("overwrite").parquet(path)
+    return rows.sparkSession.read.parquet(path)
+
+
 def align_hits(t: Tables, p: Params = DEFAULT) -> DataFrame:
     """Step 7: iterative alignment of each candidate with what is left of its protein.
 

@@ -49,6 +49,11 @@ def blocks(spark: SparkSession, path: str) -> DataFrame:
     return rows.filter("line_no > 0").select("file", F.col("line_no").alias("hit_no"), F.col("value").alias("block"))
 
 
+def protein_ids(files: DataFrame, pattern: str = r"^(?:AF-)?(.+?)(?:-F\d+.*)?\.(?:cif|pdb|json)$") -> DataFrame:
+    """(protein) of file names: what the pattern's group holds, each once."""
+    return files.select(F.regexp_extract("file", pattern, 1).alias("protein")).filter("protein <> ''").distinct()
+
+
 def to_lines(whole: DataFrame) -> DataFrame:
     return whole.select("file", F.posexplode(F.split("value", "\r?\n")).alias("line_no", "value")).select("file", F.col("line_no").cast("long"), "value")
 

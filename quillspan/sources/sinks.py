@@ -45,29 +45,41 @@ def fixed(value: str | Column, digits: int) -> Column:
     return F.when(x.isNotNull(), text)
 
 
-#: The columns of each text relation, with their decimals where they have some, and whether it has a header row.
-LAYOUTS: dict[str, tuple[list[tuple[str, int | None]], bool]] = {
-    "good_hits": ([("hitname", None), ("ecodnum", None), ("ecodkey", None), ("hgroup", None), ("zscore", None), ("qscore", None), ("ztile", None), ("qtile", None), ("rank", None), ("qrange", None), ("erange", None), ("rotation1", None), ("rotation2", None), ("rotation3", None), ("translation", None)], True),
-    "sequence_result": ([("hitname", None), ("ecodid", None), ("family", None), ("probability", None), ("coverage", None), ("ecodlen", None), ("qrange", None), ("trange", None)], False),
-    "structure_result": ([("hitname", None), ("ecodid", None), ("family", None), ("zscore", None), ("qscore", None), ("ztile", None), ("qtile", None), ("rank", None), ("bestprob", None), ("bestcov", None), ("qrange", None), ("srange", None)], False),
-    "filtered_search": ([("ecodnum", None), ("evalue", None), ("range", None)], True),
-    "sse": ([("resid", None), ("aa", None), ("sse_id", None), ("sse_type", None)], False),
-    "disorder": ([("resid", None)], False),
-    "domains": ([("domain", None), ("range", None)], False),
-    "features": ([("domID", None), ("domRange", None), ("tgroup", None), ("ecodid", None), ("domLen", None), ("Helix_num", None), ("Strand_num", None), ("HHprob", 3), ("HHcov", 3), ("HHrank", 2), ("Dzscore", 3), ("Dqscore", 3), ("Dztile", 3), ("Dqtile", 3), ("Drank", 2), ("Cdiff", 2), ("Ccov", 3), ("HHname", None), ("Dname", None), ("Drot1", None), ("Drot2", None), ("Drot3", None), ("Dtrans", None)], True),
+#: The columns of each text relation, with their decimals where they have some, and what its header row begins with (None: it has none).
+LAYOUTS: dict[str, tuple[list[tuple[str, int | None]], str | None]] = {
+    "good_hits": ([("hitname", None), ("ecodnum", None), ("ecodkey", None), ("hgroup", None), ("zscore", None), ("qscore", None), ("ztile", None), ("qtile", None), ("rank", None), ("qrange", None), ("erange", None), ("rotation1", None), ("rotation2", None), ("rotation3", None), ("translation", None)], ""),
+    "sequence_result": ([("hitname", None), ("ecodid", None), ("family", None), ("probability", None), ("coverage", None), ("ecodlen", None), ("qrange", None), ("trange", None)], None),
+    "structure_result": ([("hitname", None), ("ecodid", None), ("family", None), ("zscore", None), ("qscore", None), ("ztile", None), ("qtile", None), ("rank", None), ("bestprob", None), ("bestcov", None), ("qrange", None), ("srange", None)], None),
+    "filtered_search": ([("ecodnum", None), ("evalue", None), ("range", None)], ""),
+    "sse": ([("resid", None), ("aa", None), ("sse_id", None), ("sse_type", None)], None),
+    "disorder": ([("resid", None)], None),
+    "domains": ([("domain", None), ("range", None)], None),
+    "features": ([("domID", None), ("domRange", None), ("tgroup", None), ("ecodid", None), ("domLen", None), ("Helix_num", None), ("Strand_num", None), ("HHprob", 3), ("HHcov", 3), ("HHrank", 2), ("Dzscore", 3), ("Dqscore", 3), ("Dztile", 3), ("Dqtile", 3), ("Drank", 2), ("Cdiff", 2), ("Ccov", 3), ("HHname", None), ("Dname", None), ("Drot1", None), ("Drot2", None), ("Drot3", None), ("Dtrans", None)], ""),
+    "mapped": ([(c, None) for c in ("uid", "ecod_domain_id", "hh_prob", "hh_eval", "hh_score", "aligned_cols", "idents", "similarities", "sum_probs", "coverage", "ungapped_coverage", "query_range", "template_range", "template_seqid_range")], ""),
+    "predictions": ([("Domain", None), ("Range", None), ("Tgroup", None), ("ECOD_ref", None), ("prob", 4), ("HH_prob", 3), ("HH_cov", 3), ("HH_rank", 2), ("DALI_zscore", 3), ("DALI_qscore", 3), ("DALI_ztile", 3), ("DALI_qtile", 3), ("DALI_rank", 2), ("Consensus_diff", 2), ("Consensus_cov", 3), ("HH_hit", None), ("DALI_hit", None), ("DALI_rot1", None), ("DALI_rot2", None), ("DALI_rot3", None), ("DALI_trans", None)], ""),
+    "confident": ([(c, None) for c in ("domain", "domain_range", "tgroup", "ecod_ref", "prob", "quality")], "# "),
+    "mappings": ([(c, None) for c in ("domain", "domain_range", "ecod_id", "tgroup", "prob", "quality", "hh_template_range", "dali_template_range")], "# "),
+    "merge_candidates": ([(c, None) for c in ("domain1", "range1", "domain2", "range2")], "# "),
+    "comparisons": ([(c, None) for c in ("protein", "domain1", "domain2", "judgment", "range1", "range2")], "# "),
+    "merged": ([(c, None) for c in ("protein", "merged_domains", "merged_range")], "# "),
+    "classified": ([(c, None) for c in ("classification", "domain", "range", "ecod", "tgroup", "prob", "hh_prob", "dali_zscore", "weighted_ratio", "length_ratio", "quality")], "# "),
+    "final": ([("Domain", None), ("Range", None), ("ECOD_num", None), ("ECOD_key", None), ("T-group", None), ("prob", 3), ("HH_prob", 1), ("DALI_zscore", 1), ("Hit_cov", 3), ("Tgroup_cov", 3), ("Judge", None), ("Hcount", None), ("Scount", None)], ""),
 }
 
 
-def relation_lines(rows: DataFrame, name: str, file: str = "file", order: list[str] | None = None) -> DataFrame:
-    """(file, line_no, value): a relation's rows in its layout, in the given order; a header has line 0 of each file; nulls are ``na``."""
+def relation_lines(rows: DataFrame, name: str, file: str = "file", order: list[str] | None = None, heads: dict[str, str] | None = None) -> DataFrame:
+    """(file, line_no, value): a relation's rows in its layout, in the given order; a header has line 0 of each file; nulls are ``na``.
+
+    ``heads``: other names of columns in the header.
+    """
     columns, header = LAYOUTS[name]
-    cells = [F.coalesce(F.col(c).cast("string") if digits is None else fixed(c, digits), F.lit("na")) for c, digits in columns]
-    order = order or [columns[0][0]]
+    cells = [F.coalesce(F.col(f"`{c}`").cast("string") if digits is None else fixed(F.col(f"`{c}`"), digits), F.lit("na")) for c, digits in columns]
+    order = [F.col(f"`{c}`") for c in order or [columns[0][0]]]
     place = F.row_number().over(Window.partitionBy(file).orderBy(*order))
     body = rows.select(F.col(file).alias("file"), place.cast("bigint").alias("line_no"), F.concat_ws("\t", *cells).alias("value"))
-    if not header:
+    if header is None:
         return body
-    return body.select("file").distinct().select("file", F.lit(0).cast("bigint").alias("line_no"), F.lit("\t".join(c for c, _ in columns)).alias("value")).unionByName(body)
+    return body.select("file").distinct().select("file", F.lit(0).cast("bigint").alias("line_no"), F.lit(header + "\t".join((heads or {}).get(c, c) for c, _ in columns)).alias("value")).unionByName(body)
 
 
 def union_lines(sequence: DataFrame, structure: DataFrame) -> DataFrame:

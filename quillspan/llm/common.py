@@ -89,6 +89,8 @@ def _width(field: T.StructField) -> Column:
         size = F.octet_length(c) + 16
     elif isinstance(kind, T.ArrayType):
         size = F.size(c) * (16 if isinstance(kind.elementType, T.AtomicType) and not isinstance(kind.elementType, T.StringType | T.BinaryType) else 64) + 16
+    elif isinstance(kind, T.MapType):
+        size = F.size(c) * 64 + 16
     else:
         size = F.lit(16)
     return F.coalesce(size, F.lit(16)).cast("bigint")

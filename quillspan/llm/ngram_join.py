@@ -7,7 +7,9 @@ connected need no verification there.
 
 1. Blocks of texts are shingled; each block sends its (shingle hash, local class) postings, packed
    by hash range, to reducers, which find how many classes hold a shingle and answer each block for
-   the shingles held more than once. A shingle of any frequency costs ten bytes per class and block.
+   the shingles held more than once. Of a shingle that ``HOT`` classes of a block or more hold, the reducer
+   gets the number only; its classes go to where the block's answers meet. So a shingle of any frequency
+   costs a reducer under ten bytes times ``HOT`` a block.
 2. Per class, shingles are ordered by (frequency, hash). A class whose prefix of n - ceil(0.8 n) + 1
    shingles has only shingles of its own has no partner and goes. Shingles of its own never
    intersect, so the others suffice to verify.
@@ -42,6 +44,7 @@ from .components import components
 from .exchange import exchange
 
 WIDTH, NUM, DEN = 5, 80, 100
+HOT = 8
 BLOCK_BYTES, BLOCK_CLASSES = 16 << 20, 60_000  # a class of a block is a number of two bytes
 
 
@@ -102,9 +105,14 @@ def _postings(rows: DataFrame, width: int, n: int) -> DataFrame:
             d = np.repeat(np.arange(len(sets), dtype=np.uint16), [len(s) for s in sets])
             order = np.argsort(k, kind="stable")
             k, d = k[order], d[order]
-            some, at = tk.ranges(k, n)
-            bodies = [_planes(k[a:b]) + d[a:b].tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-            meta = np.array([len(s) for s in sets], np.uint32).tobytes() + b"".join(local)
+            first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
+            held = np.diff(np.append(first, len(k)))
+            hot, many = np.repeat(held >= HOT, held), held[held >= HOT].astype(np.uint32)
+            of_hot, held_k, held_d = k[first[held >= HOT]], k[~hot], d[~hot]
+            some = np.unique(np.concatenate([tk.range_of(held_k, n), tk.range_of(of_hot, n)]))
+            at, hot_at = (np.searchsorted(tk.range_of(x, n), np.append(some, n)).tolist() for x in (held_k, of_hot))
+            bodies = [np.array([b - a, y - x], np.uint32).tobytes() + _planes(held_k[a:b]) + held_d[a:b].tobytes() + _planes(of_hot[x:y]) + many[x:y].tobytes() for a, b, x, y in zip(at[:-1], at[1:], hot_at[:-1], hot_at[1:], strict=True)]
+            meta = np.array([len(sets), len(of_hot)], np.uint32).tobytes() + np.array([len(s) for s in sets], np.uint32).tobytes() + b"".join(local) + many.tobytes() + d[hot].tobytes()
             out = pa.RecordBatch.from_arrays(
                 [pa.array([*some.tolist(), block % n], pa.int32()), pa.array([block] * (len(some) + 1), pa.int64()), pa.array([0] * len(some) + [1], pa.int32()), pa.array([*bodies, meta], pa.binary())],
                 names=["bucket", "block", "kind", "body"],
@@ -130,29 +138,43 @@ def _postings(rows: DataFrame, width: int, n: int) -> DataFrame:
     return rows.select("text").mapInArrow(run, "bucket int, block bigint, kind int, body binary")
 
 
+def _parts(body, width: int) -> list[np.ndarray]:
+    """Of a body: shingles with what belongs to each (``width`` bytes), and hot shingles with a number each."""
+    m, h = np.frombuffer(body, np.uint32, 2).tolist()
+    view = memoryview(body)[8:]
+    light = _from_planes(view[: 8 * m], m), view[8 * m : (8 + width) * m]
+    view = view[(8 + width) * m :]
+    return [*light, _from_planes(view[: 8 * h], h), np.frombuffer(view, np.uint32, h, 8 * h)]
+
+
 def _count(batches):
-    """Reducer of hash ranges: answers each block with (hash, frequency, class) of shingles held more than once."""
-    blocks, keys, classes = [], [], []
+    """Reducer of hash ranges: answers each block with (hash, frequency, class) of shingles held more than once, and (hash, frequency) of hot ones."""
+    blocks, got = [], []
     for b in batches:
         for block, kind, body in zip(b.column("block").to_pylist(), b.column("kind").to_pylist(), b.column("body").to_pylist(), strict=True):
             if kind:
                 yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([1], pa.int32()), pa.array([body], pa.binary())], names=["block", "kind", "body"])
             else:
-                m = len(body) // 10
+                k, d, hot, many = _parts(body, 2)
                 blocks.append(block)
-                keys.append(_from_planes(body, m))
-                classes.append(np.frombuffer(body, np.uint16, m, 8 * m))
-    if not keys:
+                got.append((k, np.frombuffer(d, np.uint16), hot, many))
+    if not got:
         return
-    u, c = np.unique(np.concatenate(keys), return_counts=True)
+    u, c = np.unique(np.concatenate([g[0] for g in got]), return_counts=True)
+    hot, of = np.unique(np.concatenate([g[2] for g in got]), return_inverse=True)
+    more = np.bincount(of, weights=np.concatenate([g[3] for g in got]).astype(np.float64)).astype(np.int64) if len(hot) else np.zeros(0, np.int64)
+    if len(hot):  # hot in some blocks, and what the others hold
+        u, place = np.unique(np.concatenate([u, hot]), return_inverse=True)
+        c = np.bincount(place, weights=np.concatenate([c, more])).astype(np.int64)
     u, c = u[c > 1], c[c > 1].astype(np.uint32)
     if not len(u):
         return
-    for block, k, d in zip(blocks, keys, classes, strict=True):
+    for block, (k, d, mine, _) in zip(blocks, got, strict=True):
         i = np.minimum(np.searchsorted(u, k), len(u) - 1)
         hit = u[i] == k
-        if hit.any():
-            body = _planes(k[hit]) + c[i[hit]].tobytes() + d[hit].tobytes()
+        if hit.any() or len(mine):
+            head = np.array([int(hit.sum()), len(mine)], np.uint32).tobytes()
+            body = head + _planes(k[hit]) + c[i[hit]].tobytes() + d[hit].tobytes() + _planes(mine) + c[np.searchsorted(u, mine)].tobytes()
             yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([0], pa.int32()), pa.array([body], pa.binary())], names=["block", "kind", "body"])
 
 
@@ -170,10 +192,16 @@ def _assemble(batches):
                 answers.setdefault(block, []).append(body)
     for block, bodies in answers.items():
         meta = metas[block]
-        m = len(meta) // 20
-        size = np.frombuffer(meta, np.uint32, m).astype(np.int64)
-        parts = [(_from_planes(x, len(x) // 14), np.frombuffer(x, np.uint32, len(x) // 14, len(x) // 14 * 8), np.frombuffer(x, np.uint16, len(x) // 14, len(x) // 14 * 12)) for x in bodies]
-        k, f, d = (np.concatenate(x) for x in zip(*parts, strict=True))
+        m, h = np.frombuffer(meta, np.uint32, 2).tolist()
+        size, sigs = np.frombuffer(meta, np.uint32, m, 8).astype(np.int64), 8 + 4 * m
+        many = np.frombuffer(meta, np.uint32, h, sigs + 16 * m)
+        of_hot = np.frombuffer(meta, np.uint16, int(many.sum()), sigs + 16 * m + 4 * h)
+        parts = [_parts(x, 6) for x in bodies]
+        k, hot, often = (np.concatenate([p[i] for p in parts]) for i in (0, 2, 3))
+        f = np.concatenate([np.frombuffer(p[1], np.uint32, len(p[0])) for p in parts])
+        d = np.concatenate([np.frombuffer(p[1], np.uint16, len(p[0]), 4 * len(p[0])) for p in parts])
+        by = np.argsort(hot)  # as the block has them
+        k, f, d = np.concatenate([k, np.repeat(hot[by], many)]), np.concatenate([f, np.repeat(often[by], many)]), np.concatenate([d, of_hot])
         order = np.lexsort((k, f, d))
         k, d = k[order], d[order]
         at = np.searchsorted(d, np.arange(m + 1))
@@ -181,7 +209,7 @@ def _assemble(batches):
         need = size - (4 * size + 4) // 5 + 1  # ceil(0.8 n) shingles are in every partner
         rows = []
         for i in np.flatnonzero(need - own > 0).tolist():
-            sig = meta[4 * m + 16 * i : 4 * m + 16 * i + 16]
+            sig = meta[sigs + 16 * i : sigs + 16 * i + 16]
             mine = k[at[i] : at[i + 1]]
             prefix = mine[: need[i] - own[i]]
             grp = hashlib.blake2b(struct.pack("<Q", size[i]) + prefix.tobytes() + (sig if own[i] else b""), digest_size=16).digest()
@@ -254,7 +282,9 @@ def _count_links(batches):
         n, items = [np.array(x, np.int64) for x in n], [[np.frombuffer(x, np.uint64) for x in side] for side in items]
         _, _, kind, i, j = key
         if kind == 0 and i == j:  # a chunk with itself
-            got = [(_linked(n[0], items[0], n[0], items[0]).sum(axis=1) - 1, sig[0])]
+            found = _linked(n[0], items[0], n[0], items[0])
+            np.fill_diagonal(found, False)  # whether a class links with itself here depends on shingles of its own
+            got = [(found.sum(axis=1), sig[0])]
         else:
             found = _linked(n[0], items[0], n[1], items[1]) if sides[0] and sides[1] else np.zeros((len(sides[0]), len(sides[1])), bool)
             got = [(found.sum(axis=1), sig[0]), (found.sum(axis=0), sig[1])]
@@ -285,9 +315,10 @@ def count_links(records: DataFrame, labels: DataFrame, chunk: int = 512 << 10) -
     rows = labels.withColumnRenamed("node", "sig").join(records.select("sig", "n", "items"), "sig")
     rows = settle(rows.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / float(np.log(1.26))).cast("int")), "join-linking")
     sizes = rows.groupBy("label", "band").agg(F.ceil(F.sum(F.octet_length("items") + 64) / chunk).cast("int").alias("k"))
-    over, under = (sizes.select("label", (F.col("band") + d).alias("band"), F.col("k").alias(c)) for d, c in ((-1, "over"), (1, "under")))
-    sizes = settle(sizes.join(over, ["label", "band"], "left").join(under, ["label", "band"], "left"), "join-chunks")
-    each = rows.join(broadcast_if_small(sizes), ["label", "band"]).withColumn("c", F.expr("pmod(xxhash64(sig), k)").cast("int"))
+    sizes = settle(sizes.groupBy("label").agg(F.map_from_entries(F.collect_list(F.struct("band", "k"))).alias("bands")), "join-chunks")  # a band for each quarter of size
+    k_of = lambda d: F.try_element_at("bands", F.col("band") + d)
+    each = rows.join(broadcast_if_small(sizes), "label").withColumns({"k": k_of(0), "over": k_of(1), "under": k_of(-1)})
+    each = each.withColumn("c", F.expr("pmod(xxhash64(sig), k)").cast("int"))
     upto = lambda k: F.when(F.col(k).isNotNull(), F.sequence(F.lit(0), F.col(k) - 1)).otherwise(F.array().cast("array<int>"))
     to = lambda kind, i, j, side, band=F.col("band"): F.struct(band.alias("band"), F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"), side.cast("int").alias("side"))
     mine = F.transform(upto("k"), lambda o: to(0, F.least("c", o), F.greatest("c", o), F.col("c") > o))

@@ -193,3 +193,34 @@ def test_consistency_factor():
     d = (x * x).sum(axis=1)
     inner = x[d <= np.quantile(d, 0.75)]
     assert abs(quality_rules.consistency(6, 0.75) * inner.var(axis=0).mean() - 1) < 0.01
+
+
+def test_hot_shingles(spark):
+    """Passages that many texts of a block hold, and few of another: against brute force."""
+    rng = np.random.default_rng(3)
+    word = lambda: "".join(rng.choice(list("abcdefghijkl"), 6))
+    passage = [word() for _ in range(60)]
+    texts = [" ".join([*passage, *(word() for _ in range(rng.integers(2, 12)))]) for _ in range(60)] + [" ".join([word() for _ in range(9)] + passage[:30]) for _ in range(40)]
+    texts += [" ".join([*passage, "end"])] * 3 + [" ".join(word() for _ in range(40)) for _ in range(30)]
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).unionByName(spark.createDataFrame([(900 + i, texts[i]) for i in (0, 1, 70)], "doc_id long, text string").coalesce(1))
+    rows += [(900 + i, texts[i]) for i in (0, 1, 70)]
+    split = {i: t.split() for i, t in rows}
+    sets = {i: frozenset(tuple(w[j : j + 5]) for j in range(len(w) - 4)) for i, w in split.items()}
+    want = {i: sum(100 * len(x & s) >= 80 * len(x | s) for x in set(sets.values()) if x != s) for i, s in sets.items()}
+    got = {r.doc_id: r for r in ngram_join.join(df, count=True).collect()}
+    assert {i: r.n_links for i, r in got.items()} == want and max(want.values()) > 20
+    assert {i: r.n_shingles for i, r in got.items()} == {i: len(s) for i, s in sets.items()}
+    parent = {i: i for i in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in sets:
+        for j in sets:
+            if i < j and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                a, b = find(i), find(j)
+                parent[max(a, b)] = min(a, b)
+    assert {i: r.component_id for i, r in got.items()} == {i: find(i) for i in sets}

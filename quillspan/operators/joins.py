@@ -147,13 +147,31 @@ def pair_scores(hits: DataFrame, residues: str, score: str, share: int = 200_000
     return got.groupBy("protein", "r1", "r2").agg(F.max(F.when(F.col("best") > float("-inf"), F.col("best"))).alias("best"), F.sum("n").alias("n"))
 
 
-def nearest_atoms(atoms: DataFrame) -> DataFrame:
-    """(protein, r1, r2, dist): least atom distance of residue pairs r1 < r2."""
-    per = atoms.groupBy("protein", "resid").agg(F.collect_list(F.struct("x", "y", "z")).alias("xyz"))
-    a, b = per.select("protein", F.col("resid").alias("r1"), F.col("xyz").alias("a")), per.select("protein", F.col("resid").alias("r2"), F.col("xyz").alias("b"))
-    square = lambda p, q: (p["x"] - q["x"]) * (p["x"] - q["x"]) + (p["y"] - q["y"]) * (p["y"] - q["y"]) + (p["z"] - q["z"]) * (p["z"] - q["z"])
-    least = F.array_min(F.transform("a", lambda p: F.array_min(F.transform("b", lambda q: square(p, q)))))
-    return a.join(b, "protein").filter("r1 < r2").select("protein", "r1", "r2", F.sqrt(least).alias("dist"))
+def nearest_atoms(atoms: DataFrame, side: int = 64) -> DataFrame:
+    """(protein, r1, r2, dist): least atom distance of residue pairs r1 < r2.
+
+    Blocks of ``side`` residues meet, so a task holds two blocks' atoms, and a long protein's pairs of
+    blocks are dealt to many tasks.
+    """
+    per = atoms.withColumn("block", F.floor(F.col("resid") / side)).groupBy("protein", "block").agg(F.array_sort(F.collect_list(F.struct("resid", *[F.col(c).cast("double").alias(c) for c in "xyz"]))).alias("at"))  # the atoms of ``side`` residues
+    a, b = (per.select("protein", F.col("block").alias(f"b{k}"), *[F.col(f"at.{c}").alias(f"{c}{k}") for c in ("resid", "x", "y", "z")]) for k in (1, 2))
+    both = a.join(b, "protein").filter("b1 <= b2").drop("b1", "b2")
+    kind = atoms.schema["protein"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for p, *cells in zip(*(batch.column(i) for i in range(batch.num_columns)), strict=True):
+                cells = [np.array(c.values) for c in cells]
+                r1, xyz1, r2, xyz2 = cells[0], np.stack(cells[1:4]), cells[4], np.stack(cells[5:8])
+                (u1, s1), (u2, s2) = (np.unique(r, return_index=True) for r in (r1, r2))
+                square = sum((xyz1[c][:, None] - xyz2[c][None, :]) ** 2 for c in range(3))
+                least = np.minimum.reduceat(np.minimum.reduceat(square, s1, axis=0), s2, axis=1)
+                i, j = np.nonzero(u1[:, None] < u2[None, :])
+                if len(i):
+                    columns = [pa.array([p.as_py()] * len(i), batch.schema.types[0]), pa.array(u1[i], pa.int32()), pa.array(u2[j], pa.int32()), pa.array(np.sqrt(least[i, j]))]
+                    yield pa.RecordBatch.from_arrays(columns, names=["protein", "r1", "r2", "dist"])
+
+    return both.mapInArrow(run, f"protein {kind}, r1 int, r2 int, dist double")
 
 
 def probability_matrix(distances: DataFrame, errors: DataFrame, sequence: DataFrame, structure: DataFrame) -> DataFrame:
@@ -177,11 +195,16 @@ def probability_of(pairs: DataFrame, matrix: DataFrame) -> DataFrame:
     return got.withColumn("p", F.when(F.col("r1") == F.col("r2"), 1.0).otherwise(F.coalesce("p", F.lit(0.0))))
 
 
-def common_residues(domains: DataFrame, hits: DataFrame, a: str = "resids", b: str = "residues") -> DataFrame:
-    """Domain x hit of a protein that share residues, with ``n_common`` of them. Spans that do not meet are dropped first: they share nothing."""
-    d = domains.withColumns({"d1": F.array_min(a), "d2": F.array_max(a)})
-    h = hits.withColumns({"h1": F.array_min(b), "h2": F.array_max(b)})
-    both = d.join(h, "protein").filter("d1 <= h2 and h1 <= d2").drop("d1", "d2", "h1", "h2")
+def common_residues(domains: DataFrame, hits: DataFrame, a: str = "resids", b: str = "residues", width: int = 128) -> DataFrame:
+    """Domain x hit of a protein that share residues, with ``n_common`` of them.
+
+    Spans meet on cells of ``width`` residues; a pair is made in the first cell that both reach, so only
+    pairs whose spans come near each other are ever made, each once.
+    """
+    cell = lambda c: F.floor(F.col(c) / width).cast("int")
+    d = domains.withColumns({"d1": F.array_min(a), "d2": F.array_max(a)}).withColumn("cell", F.explode(F.sequence(cell("d1"), cell("d2"))))
+    h = hits.withColumns({"h1": F.array_min(b), "h2": F.array_max(b)}).withColumn("cell", F.explode(F.sequence(cell("h1"), cell("h2"))))
+    both = d.join(h, ["protein", "cell"]).filter((F.col("cell") == F.greatest(cell("d1"), cell("h1"))) & F.expr("d1 <= h2 and h1 <= d2")).drop("d1", "d2", "h1", "h2", "cell")
     return both.withColumn("n_common", F.size(F.array_intersect(a, b))).filter("n_common > 0")
 
 

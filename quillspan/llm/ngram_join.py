@@ -359,8 +359,16 @@ def links(records: DataFrame) -> DataFrame:
     one = member.select(F.col("grp").alias("grp_x"), F.col("sig").alias("a"), F.col("label").alias("la"))
     two = member.select(F.col("grp").alias("grp_y"), F.col("sig").alias("b"), F.col("label").alias("lb"))
     more = pairs.join(one, "grp_x").join(two, "grp_y").filter("la != lb and a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    second = _verify(more, records)
-    return components(first.union(second))
+    second = settle(_verify(more, records), "join-more-links")
+    if second.limit(1).count() == 0:
+        return labels
+    # components that the rest connects, as a graph of labels
+    ends = [member.select(F.col("sig").alias(c), F.col("label").alias(f"label_{c}")) for c in ("a", "b")]
+    between = second.join(ends[0], "a").join(ends[1], "b").select("a", "b", "label_a", "label_b")
+    between = settle(between, "join-between")
+    joined = components(between.select("label_a", "label_b").distinct(), "label_a", "label_b").select(F.col("node").alias("label"), F.col("label").alias("whole"))
+    known = labels.union(between.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("label_a").alias("label")), F.struct(F.col("b").alias("node"), F.col("label_b").alias("label")))).alias("x")).select("x.*")).distinct()
+    return settle(known.join(joined, "label", "left").select("node", F.coalesce("whole", "label").alias("label")), "join-labels")
 
 
 def at_home(answers: DataFrame, n: int) -> DataFrame:

@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from quillspan.llm import hpylm, ngram_join, quality_rules, secrets
 from quillspan.llm import textkernel as tk
@@ -224,3 +225,28 @@ def test_hot_shingles(spark):
                 a, b = find(i), find(j)
                 parent[max(a, b)] = min(a, b)
     assert {i: r.component_id for i, r in got.items()} == {i: find(i) for i in sets}
+
+
+@pytest.mark.parametrize("kept", ["false", "hash(a) % 3 = 0"])
+def test_the_second_pass_finds_what_the_first_left(spark, monkeypatch, kept):
+    """Components are whole even if the pivots' links are taken away."""
+    rng = np.random.default_rng(6)
+    words = [f"w{chr(97 + i // 26 % 26)}{chr(97 + i % 26)}" for i in range(600)]
+    texts = []
+    for k in range(12):
+        base = [words[(50 * k + i) % 600] for i in range(60)]
+        for _ in range(5):
+            t = list(base)
+            t[rng.integers(0, 60)] = "zz" + "".join(rng.choice(list("abcdefgh"), 6))
+            texts.append(" ".join(t))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = {r.doc_id: r.component_id for r in ngram_join.join(df).collect()}
+    real, calls = ngram_join._verify, []
+
+    def verify(pairs, records):
+        calls.append(1)
+        return real(pairs, records).filter(kept) if len(calls) == 1 else real(pairs, records)
+
+    monkeypatch.setattr(ngram_join, "_verify", verify)
+    assert {r.doc_id: r.component_id for r in ngram_join.join(df).collect()} == want
+    assert len(calls) == 2 and len(set(want.values())) < 60

@@ -78,12 +78,18 @@ def fasta(rows: DataFrame) -> DataFrame:
 
 
 def pdb_atoms(rows: DataFrame, strict: bool = False, records: tuple[str, ...] = ("ATOM",)) -> DataFrame:
-    """(file, line_no, atom, resname, chain, resid, x, y, z) of fixed-width atom lines; malformed ones go, or fail if ``strict``."""
+    """(file, line_no, atom, resname, chain, resid, x, y, z) of fixed-width atom lines; malformed ones go, or fail if ``strict``.
+
+    Residue numbers in hybrid-36, and such as run on over the columns up to the coordinates, are read too.
+    """
     cell = lambda a, n: F.trim(F.substring("value", a, n))
     cast = (lambda c, t: c.cast(t)) if strict else (lambda c, t: c.try_cast(t))
+    resid, first = F.when(cell(28, 3) != "", cell(23, 8)).otherwise(cell(23, 4)), 36**3
+    base36 = F.conv(resid, 36, 10).cast("int") + 10_000 - 10 * first
+    number = F.when(resid.rlike("^[A-Z][0-9A-Z]{3}$"), base36).when(resid.rlike("^[a-z][0-9a-z]{3}$"), base36 + 26 * first)
     got = rows.filter(F.trim(F.substring("value", 1, 6)).isin(*records)).select(
         "file", "line_no", cell(13, 4).alias("atom"), cell(18, 3).alias("resname"), cell(22, 1).alias("chain"),
-        cast(cell(23, 4), "int").alias("resid"), *[cast(cell(a, 8), "double").alias(c) for c, a in (("x", 31), ("y", 39), ("z", 47))],
+        F.coalesce(number, cast(resid, "int")).alias("resid"), *[cast(cell(a, 8), "double").alias(c) for c, a in (("x", 31), ("y", 39), ("z", 47))],
     )
     return got if strict else got.dropna(subset=["resid", "x", "y", "z"])
 

@@ -13,18 +13,31 @@ def fasta_lines(sequences: DataFrame) -> DataFrame:
     return sequences.select("file", F.concat(F.lit(">"), "header", F.lit("\n"), "sequence").alias("value"))
 
 
+def hybrid36(number: Column, width: int, beyond: Column | None = None) -> Column:
+    """A whole number in ``width`` characters: as digits, then in base 36 from A00.. and from a00.. on; ``beyond`` (or an error) for what needs more."""
+    first, digits = 36 ** (width - 1), 10**width
+    base36 = lambda k: F.conv(k.cast("string"), 10, 36)
+    upper, lower = number - digits + 10 * first, number - digits - 16 * first
+    beyond = F.raise_error(F.concat(number.cast("string"), F.lit(f" has no form in {width} columns"))) if beyond is None else beyond
+    out = F.when((number > -digits // 10) & (number < digits), F.lpad(number.cast("string"), width, " "))
+    return out.when((number >= digits) & (upper < 36 * first), base36(upper)).when((number >= digits) & (lower < 36 * first), F.lower(base36(lower))).otherwise(beyond)
+
+
 def pdb_lines(atoms: DataFrame, chain: str = "A") -> DataFrame:
     """(file, serial, value): fixed-width atom records, numbered per file by residue and order.
 
     ``atoms``: file, resid, ord, atom, element, letter, x, y, z. Names under four characters are padded left; unknown letters give UNK.
+    Numbers too long for their columns are in hybrid-36; residues beyond that run on into the four blank columns that follow.
     """
+    resid = F.col("resid").cast("bigint")
+    wide = F.when(F.length(resid.cast("string")) <= 8, F.lpad(resid.cast("string"), 8, " ")).otherwise(F.raise_error(F.concat(resid.cast("string"), F.lit(" has no form in 8 columns"))))
     serial = F.row_number().over(Window.partitionBy("file").orderBy("resid", "ord"))
     name = F.when(F.length("atom") < 4, F.concat(F.lit(" "), F.rpad("atom", 3, " "))).otherwise(F.col("atom"))
     rows = atoms.withColumn("serial", serial)
     number = lambda c: F.lpad(F.format_string("%.3f", F.col(c)), 8, " ")
     value = F.concat(
-        F.lit("ATOM  "), F.lpad(F.col("serial").cast("string"), 5, " "), F.lit(" "), name, F.lit(" "), lk.one_to_three("letter"), F.lit(f" {chain}"),
-        F.lpad(F.col("resid").cast("string"), 4, " "), F.lit("    "), number("x"), number("y"), number("z"), F.lit("  1.00  0.00          "), F.lpad(F.coalesce("element", F.lit("")), 2, " "),
+        F.lit("ATOM  "), hybrid36(F.col("serial").cast("bigint"), 5), F.lit(" "), name, F.lit(" "), lk.one_to_three("letter"), F.lit(f" {chain}"),
+        F.rpad(hybrid36(resid, 4, wide), 8, " "), number("x"), number("y"), number("z"), F.lit("  1.00  0.00          "), F.lpad(F.coalesce("element", F.lit("")), 2, " "),
     )
     return rows.select("file", "serial", value.alias("value"))
 

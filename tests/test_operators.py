@@ -170,6 +170,20 @@ def test_pdb_round_trip(spark):
     assert [(x.atom, x.resname, x.resid, x.x, x.y, x.z) for x in r] == [("CA", "MET", 3, 1.5, -2.25, 100.125)]
 
 
+def test_pdb_round_trip_of_long_numbers(spark):
+    """Beyond four digits, beyond upper-case and lower-case base 36, and below -999."""
+    want = [-1234567, -1000, -999, 0, 9999, 10_000, 10_255, 1_223_055, 1_223_056, 2_436_111, 2_436_112, 99_999_999]
+    atoms = spark.createDataFrame([("f", r, 0, "CA", "C", "M", 1.5, -2.25, 100.125) for r in want], "file string, resid int, ord int, atom string, element string, letter string, x double, y double, z double")
+    lines = sinks.pdb_lines(atoms).select("file", F.col("serial").cast("long").alias("line_no"), "value")
+    assert {len(r.value) for r in lines.collect()} == {78} and {r.value[22:26] for r in lines.filter("line_no in (6, 9)").collect()} == {"A000", "a000"}
+    for strict in (False, True):
+        assert sorted((x.resid, x.x, x.y, x.z) for x in parsers.pdb_atoms(lines, strict).collect()) == [(r, 1.5, -2.25, 100.125) for r in want]
+    serials = spark.range(1).select(F.explode(F.array(*map(F.lit, [99_999, 100_000, 43_770_015, 43_770_016, 87_440_031]))).alias("n"))
+    assert [r.s for r in serials.select(sinks.hybrid36(F.col("n"), 5).alias("s")).collect()] == ["99999", "A0000", "ZZZZZ", "a0000", "zzzzz"]
+    with pytest.raises(Exception, match="no form in 8 columns"):
+        sinks.pdb_lines(atoms.limit(1).withColumn("resid", F.lit(100_000_000))).collect()
+
+
 CIF = """data_x
 loop_
 _atom_site.group_PDB

@@ -8,6 +8,7 @@ from quillspan.functions import lookups as lk
 from quillspan.plans import evidence_queries as eq
 from quillspan.plans import format_queries as fq
 from quillspan.plans import queries as q
+from quillspan.plans import reader_queries as rq  # noqa: F401  (adds its queries)
 from quillspan.plans import stage_query as sq
 
 SF = "/root/testdata/sf0.001"
@@ -99,3 +100,10 @@ def test_support_of_all_hits(spark, hits):
 
 def test_split_counts_all_hits(spark, hits):
     assert sum(r.hits for r in fq.split_by_query(spark, SF).collect()) == len(hits)
+
+
+@pytest.mark.parametrize("name", ["strict_atoms", "pdb_round_trip"])
+def test_atoms_of_residues_beyond_four_digits(spark, tmp_path, name):
+    rows = [(i, [0.1, 0.2, 0.3], 7) for i in (9999, 10_000, 10_255, 51_281)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    assert sorted((r.resid, r.x) for r in q.QUERIES[name](spark, str(tmp_path)).collect()) == [(i, 5.0) for i, _, _ in rows]

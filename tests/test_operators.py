@@ -252,3 +252,44 @@ def test_stream_keeps_up(spark, tmp_path):
     ingest.run_now(run)
     want = running.coverage_cap(spark.createDataFrame(rows, schema), F.col("evalue"), 10, 5)
     assert {r.line_no for r in ingest.current(spark, f"{tmp_path}/out").collect()} == {r.line_no for r in want.collect()}
+
+
+def plain_ranks(hits):
+    out, seen = {}, {}
+    for p, line, family, start, end in sorted(hits, key=lambda h: (h[0], h[1])):
+        counts = []
+        for r in range(min(start, end), max(start, end) + 1):
+            seen.setdefault((p, r), set()).add(family)
+            counts.append(len(seen[p, r]))
+        out[p, line] = sum(counts) / len(counts)
+    return out
+
+
+def test_hit_ranks_over_blocks_and_batches(spark):
+    """Hits over several blocks, more of a block than are counted at once, nulls, and no row for a residue on the way."""
+    rng = np.random.default_rng(3)
+    hits = [(f"p{i % 3}", i, None if i % 11 == 0 else f"f{rng.integers(40)}", int(a), int(a + rng.integers(0, 600 if i % 50 == 0 else 40))) for i, a in enumerate(rng.integers(1, 900, 5000))]
+    hits[7] = (*hits[7][:3], hits[7][4], hits[7][3])
+    rows = spark.createDataFrame(hits, "protein string, line_no int, family string, qs int, qe int")
+    ranks = running.hit_ranks(rows.repartition(3), "family", [])
+    assert "Generate explode(sequence(qs" not in ranks._jdf.queryExecution().toString()
+    want = plain_ranks(hits)
+    got = {(r.protein, r.line_no): r.rank for r in ranks.collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_hits_are_dealt_once_for_ranks(spark):
+    """The hits' own deal by protein serves the ranking: lines, templates, and sums by hit are all that is shuffled."""
+    from pyspark.sql import functions as F
+
+    from quillspan.plans import bindings, queries
+
+    sf = "/root/testdata/sf0.001"
+    assert queries.hits(spark, sf).exceptAll(bindings.bind(spark, sf, bindings.HITS)).count() == 0
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = running.hit_ranks(queries.hits(spark, sf), "family", [-F.col("z")])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert plan.count("Exchange hashpartitioning") == 4

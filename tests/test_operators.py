@@ -293,3 +293,13 @@ def test_hits_are_dealt_once_for_ranks(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     assert plan.count("Exchange hashpartitioning") == 4
+
+
+def test_weighted_scores_send_nothing_through_the_driver(spark):
+    """Weights listed twice add up, null positions and unknown ones count nothing, repeated positions count twice; no broadcast, no row for a position."""
+    weights = spark.createDataFrame([("a", 1, 2.0), ("a", 1, 1.0), ("a", 2, 5.0), ("a", None, 2.0), ("b", 1, 0.0), ("c", 1, None), ("c", 2, 4.0)], "template string, position int, weight double")
+    hits = spark.createDataFrame([(1, "a", [1, 3]), (2, "a", [2, 2, None]), (3, "b", [1]), (4, "c", [1, 2]), (5, "a", []), (6, "x", [1])], "k int, template string, positions array<int>")
+    got = joins.weighted_score(hits, weights, ["k"])
+    assert {(r.k, r.template, r.qscore) for r in got.collect()} == {(1, "a", 0.3), (2, "a", 1.0), (3, "b", 0.0), (4, "c", 1.0)}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "Generate" not in plan

@@ -303,3 +303,32 @@ def test_weighted_scores_send_nothing_through_the_driver(spark):
     assert {(r.k, r.template, r.qscore) for r in got.collect()} == {(1, "a", 0.3), (2, "a", 1.0), (3, "b", 0.0), (4, "c", 1.0)}
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "Broadcast" not in plan and "Generate" not in plan
+
+
+def test_pair_grid_holds_every_pair_of_a_chain(spark):
+    """Blocks, hits with gaps, chains without hits, hits beyond a chain, groups, and asked pairs in either order, on the diagonal and beyond."""
+    rng = np.random.default_rng(5)
+    hits = []
+    for k in range(120):
+        a = int(rng.integers(1, 500))
+        res = list(range(a, a + int(rng.integers(1, 60))))
+        hits.append((f"p{k % 2}", res if k % 3 else sorted({*res[::2], *(r + 270 for r in res[::5])}), None if k % 17 == 0 else float(rng.integers(1, 9))))
+    lengths, groups = {"p0": 520, "p1": 300, "p2": 4}, {p: [None if r % 7 == 0 else r // 5 for r in range(1, n + 1)] for p, n in (("p0", 520), ("p1", 300), ("p2", 4))}
+    df = spark.createDataFrame(hits, "protein string, res array<int>, score double")
+    want = {(r.protein, r.r1, r.r2): (r.best, r.n) for r in joins.pair_scores(df, "res", "score").collect()}
+    whole = {(p, a, b): want.get((p, a, b), (None, 0)) for p, n in lengths.items() for a in range(1, n + 1) for b in range(a + 1, n + 1)}
+    chains = spark.createDataFrame(list(lengths.items()), "protein string, length int")
+    grid = joins.pair_grid(df, chains, "res", "score")
+    assert grid._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1  # hits, before they are pairs
+    rows = grid.collect()
+    assert len(rows) == len(whole) and {(r.protein, r.r1, r.r2): (r.best, r.n) for r in rows} == whole
+    grouped = spark.createDataFrame([(p, n, groups[p]) for p, n in lengths.items()], "protein string, length int, groups array<int>")
+    got = {(r.protein, r.r1, r.r2): (r.g1, r.g2, r.best, r.n) for r in joins.pair_grid(df, grouped, "res", "score").collect()}
+    assert got == {(p, a, b): (groups[p][a - 1], groups[p][b - 1], *v) for (p, a, b), v in whole.items() if a % 7 and b % 7}
+    asked = [(5, 9), (9, 5), (260, 3), (7, 7), (299, 302), (519, 520), (700, 2)]
+    some = df.withColumn("asked", F.array(*[F.struct(F.lit(a).alias("r1"), F.lit(b).alias("r2")) for a, b in asked]))
+    back = joins.pair_grid(some, chains, "res", "score", "asked").collect()
+    assert len(back) == len(hits) * len(asked)
+    for r in back:
+        key = (r.protein, min(r.r1, r.r2), max(r.r1, r.r2))
+        assert r.inside == (key in whole) and (not r.inside or (r.best, r.n) == whole[key])

@@ -93,3 +93,15 @@ def test_command_line(spark, inputs, tmp_path):
     assert {r.name for r in status.collect() if r.complete} == {"capped", "mapped"}
     same = cli.execute(spark, cli.parser().parse_args(["compare", f"{tmp_path}/in/weights", f"{tmp_path}/in/weights"]))
     assert same.count() == 0
+
+
+def test_only_measured_tables_are_broadcast_in_a_run(spark):
+    """A table exploded from few rows is not broadcast by the size of those; the settings come back."""
+    at, later = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    before = spark.conf.get(at), spark.conf.get(later, None)
+    small = spark.range(3).selectExpr("id", "explode(sequence(1, 1000)) AS place")
+    plan = lambda: spark.range(9).join(small, "id")._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" in plan()
+    with stages.measured_broadcasts(spark):
+        assert "Broadcast" not in plan() and spark.conf.get(later) == (before[1] or before[0])
+    assert (spark.conf.get(at), spark.conf.get(later, None)) == before

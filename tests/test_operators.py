@@ -332,3 +332,14 @@ def test_pair_grid_holds_every_pair_of_a_chain(spark):
     for r in back:
         key = (r.protein, min(r.r1, r.r2), max(r.r1, r.r2))
         assert r.inside == (key in whole) and (not r.inside or (r.best, r.n) == whole[key])
+
+
+def test_file_order_ranks_against_a_plain_model(spark):
+    from quillspan.plans import queries
+
+    sf = "/root/testdata/sf0.001"
+    ranks = queries.file_order_ranks(spark, sf)
+    assert "residue" not in ranks._jdf.queryExecution().toString()
+    want = plain_ranks([(h.protein, h.line_no, h.family, h.qs, h.qe) for h in queries.hits(spark, sf).collect()])
+    got = {(r.protein, r.line_no): r.rank for r in ranks.collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k] / 10) < 2e-6 for k in want)

@@ -107,3 +107,10 @@ def test_atoms_of_residues_beyond_four_digits(spark, tmp_path, name):
     rows = [(i, [0.1, 0.2, 0.3], 7) for i in (9999, 10_000, 10_255, 51_281)]
     spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
     assert sorted((r.resid, r.x) for r in q.QUERIES[name](spark, str(tmp_path)).collect()) == [(i, 5.0) for i, _, _ in rows]
+
+
+@pytest.mark.parametrize("name", ["chunk_pairs", "probability_of_pairs"])
+def test_no_pair_of_residues_is_joined(spark, name):
+    """Pairs come from the grid of their hits; only hits, chains and sums by chunk are shuffled."""
+    plan = q.QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and not any("Join" in line for line in plan.split("MapInArrow")[0].splitlines())

@@ -100,6 +100,12 @@ def rounded(value, digits: int) -> Column:
     return F.signum(x) * scaled(x, digits) / F.lit(float(10**digits))
 
 
+def round_signed(value, digits: int) -> Column:
+    """SQL's round of a double: halves go away from zero, and what becomes zero keeps its sign (Spark's own round drops it)."""
+    x = _c(value).cast("double")
+    return F.when(x.cast("string").startswith("-"), -F.round(F.abs(x), digits)).otherwise(F.round(x, digits))
+
+
 def is_amino_acid(code) -> Column:
     return F.element_at(_letters(AMINO_ACIDS), F.upper(_c(code))).isNotNull()
 

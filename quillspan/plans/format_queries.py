@@ -26,7 +26,7 @@ def fasta_round_trip(spark, sf):
 
 @query("pdb_round_trip", "SELECT 'p' || label AS file, CAST(vec_id AS INT) AS resid, 'CA' AS atom, round(CAST(embedding[1] AS DOUBLE) * 50, 2) AS x FROM embeddings")
 def pdb_round_trip(spark, sf):
-    a = bd.bind(spark, sf, bd.ATOMS).select(_file(F.col("protein")).alias("file"), "resid", F.lit(0).alias("ord"), F.lit("CA").alias("atom"), F.lit("C").alias("element"), F.lit("G").alias("letter"), *[F.round(c, 2).alias(c) for c in "xyz"])
+    a = bd.bind(spark, sf, bd.ATOMS).select(_file(F.col("protein")).alias("file"), "resid", F.lit(0).alias("ord"), F.lit("CA").alias("atom"), F.lit("C").alias("element"), F.lit("G").alias("letter"), *[lk.round_signed(c, 2).alias(c) for c in "xyz"])
     lines = sinks.pdb_lines(a).select("file", F.col("serial").cast("bigint").alias("line_no"), "value")
     return parsers.pdb_atoms(lines).select("file", "resid", "atom", "x")
 

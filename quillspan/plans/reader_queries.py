@@ -27,7 +27,7 @@ _CIF_HEAD = ["data_x", "loop_", *(f"_atom_site.{c}" for c in ("group_PDB", "id",
 
 
 def atom_rows(spark, sf):
-    return bd.bind(spark, sf, bd.ATOMS).select("protein", "resid", *[F.round(c, 3).alias(c) for c in "xyz"])
+    return bd.bind(spark, sf, bd.ATOMS).select("protein", "resid", *[lk.round_signed(c, 3).alias(c) for c in "xyz"])
 
 
 @query("structure_read", f"SELECT protein, resid, 'CA' AS atom, 'C' AS element, 'L' AS letter, x FROM ({_ATOM_SQL})")
@@ -82,7 +82,7 @@ def observed_sequences(spark, sf):
 @query("strict_atoms", f"SELECT protein, resid, x FROM ({_ATOM_SQL.replace(', 3)', ', 2)')})")
 def strict_atoms(spark, sf):
     """Atom lines by the strict reader, which fails on a malformed one (tested apart)."""
-    a = bd.bind(spark, sf, bd.ATOMS).select(F.col("protein").cast("string").alias("file"), "resid", F.lit(0).alias("ord"), F.lit("CA").alias("atom"), F.lit("C").alias("element"), F.lit("G").alias("letter"), *[F.round(c, 2).alias(c) for c in "xyz"])
+    a = bd.bind(spark, sf, bd.ATOMS).select(F.col("protein").cast("string").alias("file"), "resid", F.lit(0).alias("ord"), F.lit("CA").alias("atom"), F.lit("C").alias("element"), F.lit("G").alias("letter"), *[lk.round_signed(c, 2).alias(c) for c in "xyz"])
     lines = sinks.pdb_lines(a).select("file", F.col("serial").cast("bigint").alias("line_no"), "value")
     return parsers.pdb_atoms(lines, strict=True).select(F.col("file").cast("bigint").alias("protein"), "resid", "x")
 

@@ -2,6 +2,7 @@
 
 from collections import defaultdict
 
+import duckdb
 import pytest
 
 from quillspan.functions import lookups as lk
@@ -114,3 +115,13 @@ def test_no_pair_of_residues_is_joined(spark, name):
     """Pairs come from the grid of their hits; only hits, chains and sums by chunk are shuffled."""
     plan = q.QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("MapInArrow") == 1 and not any("Join" in line for line in plan.split("MapInArrow")[0].splitlines())
+
+
+@pytest.mark.parametrize("name", ["pdb_round_trip", "strict_atoms", "structure_read"])
+def test_coordinates_keep_the_sign_of_zero(spark, tmp_path, name):
+    """As the SQL's round, which makes -0.0 of a small negative number."""
+    rows = [(i, [v, 0.2, 0.3], 7) for i, v in enumerate((-0.000005, 0.000005, -0.0, 0.0, -0.1, -0.0625))]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = {r.resid: str(r.x) for r in q.QUERIES[name](spark, str(tmp_path)).collect()}
+    want = duckdb.sql(f"SELECT resid, CAST(x AS VARCHAR) FROM ({q.ORACLES[name].replace('FROM embeddings', f"FROM read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")})").fetchall()
+    assert got == dict(want) and got[0] == got[2] == "-0.0" and got[1] == got[3] == "0.0"

@@ -157,10 +157,14 @@ def _count(batches):
             else:
                 k, d, hot, many = _parts(body, 2)
                 blocks.append(block)
-                got.append((k, np.frombuffer(d, np.uint16), hot, many))
+                got.append((k, np.frombuffer(d, np.uint16).copy(), hot, many.copy()))  # copies, so that no body is held
     if not got:
         return
-    u, c = np.unique(np.concatenate([g[0] for g in got]), return_counts=True)
+    every = np.concatenate([g[0] for g in got])
+    every.sort()
+    first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])) if len(every) else np.zeros(0, np.int64)
+    u, c = every[first], np.diff(np.append(first, len(every)))
+    del every, first
     hot, of = np.unique(np.concatenate([g[2] for g in got]), return_inverse=True)
     more = np.bincount(of, weights=np.concatenate([g[3] for g in got]).astype(np.float64)).astype(np.int64) if len(hot) else np.zeros(0, np.int64)
     if len(hot):  # hot in some blocks, and what the others hold

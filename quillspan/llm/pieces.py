@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textkernel as tk
-from .common import append_columns
+from .common import append_columns, kept_by_worker
 from .units import CachedEncoder, tile
 
 MARK = "▁".encode()
@@ -357,7 +357,7 @@ def cuts(data: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
-_cached: dict[str, CachedEncoder] = {}
+_cached: dict[str, CachedEncoder] = kept_by_worker("pieces")
 
 
 def encode_column(m: Pieces, col) -> tuple[np.ndarray, np.ndarray]:
@@ -416,7 +416,7 @@ def encode(docs: DataFrame, m: Pieces, text: str = "text", keep: list[str] | Non
         scores = np.where(m.kinds == BYTE, 0.0, m.scores)[ids]
         return [lists, per.astype(np.int64), tk.sums(scores, np.concatenate([[0], np.cumsum(per)])), pa.array(same)]
 
-    return append_columns(docs, text, make, [("ids", "array<int>"), ("n_ids", "bigint"), ("score", "double"), ("exact", "boolean")], keep)
+    return append_columns(docs, text, make, [("ids", "array<int>"), ("n_ids", "bigint"), ("score", "double"), ("exact", "boolean")], keep, "pieces")
 
 
 def decode(encoded: DataFrame, m: Pieces, ids: str = "ids", keep: list[str] | None = None) -> DataFrame:

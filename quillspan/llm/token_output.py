@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import textkernel as tk
-from .common import bound_batches, fetch, filesystem, fresh, n_buckets, settle, small_batches
+from .common import bound_batches, fetch, filesystem, fresh, kept_by_worker, n_buckets, settle, small_batches
 from .units import CachedEncoder, tile
 
 BLOCK = 1024
@@ -182,7 +182,7 @@ def cuts(data: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
-_cached: dict[str, CachedEncoder] = {}
+_cached: dict[str, CachedEncoder] = kept_by_worker("tokens")
 
 
 def encoder(path: str) -> CachedEncoder:
@@ -267,7 +267,7 @@ def write_ids(docs: DataFrame, uri: str, tokenizer: str, doc_id: str = "doc_id",
             return row
 
         size = 0
-        for b in small_batches(batches, "text", 4 << 20):
+        for b in small_batches(batches, "text", 4 << 20, kind="tokens"):
             part = b.column("part")[0].as_py()
             ids, per = encode_column(b.column("text"), tokenizer, end)
             held[0] += b.column("doc_id").to_pylist()

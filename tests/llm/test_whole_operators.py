@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from quillspan.llm import hpylm, ngram_join, quality_rules, secrets
+from quillspan.llm import common, hpylm, ngram_join, pieces, quality_rules, secrets
 from quillspan.llm import textkernel as tk
 
 
@@ -250,3 +250,12 @@ def test_the_second_pass_finds_what_the_first_left(spark, monkeypatch, kept):
     monkeypatch.setattr(ngram_join, "_verify", verify)
     assert {r.doc_id: r.component_id for r in ngram_join.join(df).collect()} == want
     assert len(calls) == 2 and len(set(want.values())) < 60
+
+
+@pytest.mark.parametrize("task", ["small_batches", "tidy"])
+def test_a_worker_keeps_no_other_operators_cache(task):
+    """The units that an encoder's tasks left in a worker go when a task of another operator starts there."""
+    pieces._cached["model"] = object()
+    batches = [pa.RecordBatch.from_arrays([pa.array(["a b"])], names=["text"])]
+    assert list(common.small_batches(batches, "text", kind="pieces")) == batches and pieces._cached
+    assert list(common.small_batches(batches, "text") if task == "small_batches" else common.tidy(iter)(batches)) == batches and not pieces._cached

@@ -145,9 +145,12 @@ def write_partitioned(rows: DataFrame, path: str, key: str = "protein") -> None:
 
 
 def substructures(atoms: DataFrame, domains: DataFrame) -> DataFrame:
-    """Atoms of each domain's residues: ``domains`` has file, domain, resids; the first of repeated domains counts."""
+    """Atoms of each domain's residues: ``domains`` has file, domain, resids; the first of repeated domains counts.
+
+    A merge, not a broadcast: residues are many more than Spark expects of their domains.
+    """
     res = domains.dropDuplicates(["file", "domain"]).select("file", "domain", F.explode(F.array_distinct("resids")).alias("resid"))
-    return atoms.join(res, ["file", "resid"])
+    return atoms.hint("merge").join(res.hint("merge"), ["file", "resid"])
 
 
 def publish(rows: DataFrame, *paths: str) -> None:

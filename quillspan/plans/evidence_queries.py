@@ -73,7 +73,7 @@ def interfaces(spark, sf):
     """Residue pairs within reach between the residues of four domains, and whether they are enough."""
     a = bd.bind(spark, sf, bd.ATOMS)
     d = a.select("protein", "resid", (F.col("resid") % 4).alias("domain")).distinct()
-    return joins.interface_counts(d, joins.spatial_contacts(a)).withColumn("connected", F.col("contacts") >= 9)
+    return joins.interfaces(d, a).withColumn("connected", F.col("contacts") >= 9)
 
 
 @query("judged_pairs", f"SELECT protein, d1, d2, CASE WHEN n % 3 = 0 THEN 1 WHEN n >= 9 THEN 2 ELSE 0 END AS judgment FROM (SELECT protein, CAST(d1 AS INT) AS d1, CAST(d2 AS INT) AS d2, contacts AS n FROM {_IC})")
